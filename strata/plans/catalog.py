@@ -106,3 +106,64 @@ def q_xy_join(spark, sf):
     x = ent.select("l_orderkey", "l_quantity_mean")
     y = ent.select("l_orderkey", "label")
     return round_doubles(agg.xy_join(x, y, "l_orderkey"))
+
+
+# --- X1-X5 sampling ------------------------------------------------------------
+from strata.operators import sampling as S  # noqa: E402
+
+
+def _ord_labels(spark, sf):
+    return agg.entity_label(V.v_ord_raw(spark, sf), ORD)
+
+
+def ord_split(spark, sf):
+    """Entity labels of V-ORD with the seeded 80/20 train/test split."""
+    return S.stratified_split(_ord_labels(spark, sf), ["l_orderkey"], "label", 0.2)
+
+
+@register("stratified_split", O.with_(O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT)
+          + "SELECT l_orderkey, label, split FROM ord_split")
+def q_stratified_split(spark, sf):
+    return ord_split(spark, sf)
+
+
+@register("validation_split", O.with_(
+    O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT,
+    "ord_train AS (SELECT l_orderkey, label FROM ord_split WHERE split = 'train')",
+    O.split_sql("ord_val", "ord_train", ["l_orderkey"], "label", 0.2, 43, ("tr2", "val")))
+    + "SELECT l_orderkey, label, split FROM ord_val")
+def q_validation_split(spark, sf):
+    tr = ord_split(spark, sf).filter(F.col("split") == "train").drop("split")
+    return S.stratified_split(tr, ["l_orderkey"], "label", 0.2, seed=43, names=("tr2", "val"))
+
+
+@register("stratified_sample_n", O.with_(
+    O.V_ORD_RAW, O.ORD_LAB,
+    O.split_sql("smp", "ord_lab", ["l_orderkey"], "label", 2000, 42, ("rest", "sample")),
+    "smp_rows AS (SELECT l_orderkey, label FROM smp WHERE split = 'sample')",
+    O.split_sql("smp2", "smp_rows", ["l_orderkey"], "label", 0.2, 42, ("train", "test")))
+    + "SELECT l_orderkey, label, split FROM smp2")
+def q_stratified_sample_n(spark, sf):
+    smp = S.stratified_sample_n(_ord_labels(spark, sf), ["l_orderkey"], "label", 2000)
+    return S.stratified_split(smp, ["l_orderkey"], "label", 0.2)
+
+
+@register("stratified_folds", O.with_(
+    O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT,
+    "ord_train AS (SELECT l_orderkey, label FROM ord_split WHERE split = 'train')",
+    O.folds_sql("fo", "ord_train", ["l_orderkey"], "label", 5, 44))
+    + "SELECT l_orderkey, label, fold FROM fo")
+def q_stratified_folds(spark, sf):
+    tr = ord_split(spark, sf).filter(F.col("split") == "train").drop("split")
+    return S.stratified_folds(tr, ["l_orderkey"], "label", 5, seed=44)
+
+
+@register("class_capped_sample", O.with_(
+    O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT,
+    "ord_test AS (SELECT l_orderkey, label FROM ord_split WHERE split = 'test')",
+    "cap_rk AS (SELECT l_orderkey, label, row_number() OVER (PARTITION BY label ORDER BY "
+    + O.draw_sql(["l_orderkey"], 7) + ", l_orderkey) AS rn FROM ord_test)")
+    + "SELECT l_orderkey, label FROM cap_rk WHERE rn <= 40")
+def q_class_capped_sample(spark, sf):
+    te = ord_split(spark, sf).filter(F.col("split") == "test").drop("split")
+    return S.class_capped_sample(te, ["l_orderkey"], "label", 80, seed=7).select("l_orderkey", "label")

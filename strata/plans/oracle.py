@@ -74,3 +74,47 @@ def round_all(select_sql: str, double_cols: list[str], other_cols: list[str],
               places: int = PLACES) -> str:
     cols = other_cols + [f"{r(c, places)} AS {c}" for c in double_cols]
     return f"SELECT {', '.join(cols)} FROM ({select_sql}) q"
+
+
+# --- sampling twins (md5 draw order, largest-remainder quotas) -------------
+def draw_sql(keys: list[str], seed: int) -> str:
+    return "md5('" + str(seed) + "' || " + " || ".join(
+        f"':' || CAST({k} AS VARCHAR)" for k in keys) + ")"
+
+
+def split_sql(name: str, src: str, keys: list[str], label: str, share, seed: int,
+              names: tuple[str, str]) -> str:
+    """CTEs ``{name}_*`` ending in ``{name}`` = src.* + split."""
+    if isinstance(share, int):
+        n_test = f"CAST({share} AS BIGINT)"
+    else:
+        n_test = f"CAST(ceil({float(share)}::DOUBLE * sum(n_c)) AS BIGINT)"
+    k = ", ".join(keys)
+    return f"""{name}_cnt AS (SELECT {label}, count(*) AS n_c FROM {src} GROUP BY {label}),
+{name}_tot AS (SELECT sum(n_c) AS n, {n_test} AS n_test FROM {name}_cnt),
+{name}_q AS (SELECT c.{label}, CAST(c.n_c AS DOUBLE) / t.n * (t.n - t.n_test) AS cont,
+                    t.n - t.n_test AS n_train FROM {name}_cnt c, {name}_tot t),
+{name}_q2 AS (SELECT {label}, floor(cont) AS fl, n_train,
+                     row_number() OVER (ORDER BY cont - floor(cont) DESC, {label}) AS rr,
+                     sum(floor(cont)) OVER () AS sfl FROM {name}_q),
+{name}_quota AS (SELECT {label}, CAST(fl + CASE WHEN rr <= n_train - sfl THEN 1 ELSE 0 END AS BIGINT)
+                        AS quota FROM {name}_q2),
+{name}_rk AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {draw_sql(keys, seed)}, {k})
+                     AS rn FROM {src}),
+{name} AS (SELECT r.* EXCLUDE (rn), CASE WHEN r.rn <= q.quota THEN '{names[0]}' ELSE '{names[1]}' END
+                  AS split FROM {name}_rk r JOIN {name}_quota q ON r.{label} = q.{label})"""
+
+
+def folds_sql(name: str, src: str, keys: list[str], label: str, k: int, seed: int) -> str:
+    kk = ", ".join(keys)
+    return f"""{name}_cnt AS (SELECT {label}, count(*) AS n_c FROM {src} GROUP BY {label}),
+{name}_off AS (SELECT {label}, coalesce(sum(n_c) OVER (ORDER BY {label}
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM {name}_cnt),
+{name}_rk AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {draw_sql(keys, seed)}, {kk})
+                     AS rn FROM {src}),
+{name} AS (SELECT r.* EXCLUDE (rn), CAST((o.off + r.rn - 1) % {k} AS INTEGER) AS fold
+           FROM {name}_rk r JOIN {name}_off o ON r.{label} = o.{label})"""
+
+
+ORD_LAB = "ord_lab AS (SELECT l_orderkey, max(is_pos) AS label FROM v_ord_raw GROUP BY 1)"
+ORD_SPLIT = split_sql("ord_split", "ord_lab", ["l_orderkey"], "label", 0.2, 42, ("train", "test"))
