@@ -167,3 +167,163 @@ def q_stratified_folds(spark, sf):
 def q_class_capped_sample(spark, sf):
     te = ord_split(spark, sf).filter(F.col("split") == "test").drop("split")
     return S.class_capped_sample(te, ["l_orderkey"], "label", 80, seed=7).select("l_orderkey", "label")
+
+
+# --- A6-A19, P9, R6 profiles -----------------------------------------------------
+from strata.operators import profile as P  # noqa: E402
+
+ORD_F, DAY_F = O.ORD_FEATURES, O.DAY_FEATURES
+_ORD = O.with_(O.V_ORD_RAW, O.ORD_ENT)
+_DAY = O.with_(O.V_DAY_RAW, O.DAY_ENT)
+_DAYL = O.with_(O.V_DAY_RAW, O.DAY_ENT, O.DAY_LONG)
+_ORDL = O.with_(O.V_ORD_RAW, O.ORD_ENT, O.ORD_LONG)
+
+
+@register("table_profile", O.with_(O.V_ORD_RAW)
+          + "SELECT count(*) AS n_rows, CAST(9 AS BIGINT) AS n_cols, count(DISTINCT l_orderkey) AS n_entities"
+          " FROM v_ord_raw")
+def q_table_profile(spark, sf):
+    return P.table_profile(V.v_ord_raw(spark, sf), ["l_orderkey"])
+
+
+@register("class_balance", _ORD + "SELECT label, count(*) AS n, "
+          + O.r("count(*) / sum(count(*)) OVER ()") + " AS share FROM ord_ent GROUP BY label")
+def q_class_balance(spark, sf):
+    return round_doubles(P.class_balance(V.v_ord_entities(spark, sf)))
+
+
+_NULL_SHARE = "1.0 - CAST(count(value) AS DOUBLE) / count(*)"
+
+
+@register("null_profile", _DAYL + f"SELECT feature, {O.r('ns')} AS null_share FROM (SELECT feature, "
+          f"{_NULL_SHARE} AS ns FROM day_long GROUP BY feature) WHERE ns > 0 ORDER BY ns DESC, feature LIMIT 50")
+def q_null_profile(spark, sf):
+    return round_doubles(P.null_profile(V.v_day_entities(spark, sf), DAY_F))
+
+
+@register("null_bands", _DAYL + f"SELECT feature, {O.r('ns')} AS null_share, CASE WHEN ns > 0.9 THEN '>90%'"
+          " WHEN ns > 0.5 THEN '>50%' ELSE '<=50%' END AS band FROM (SELECT feature, "
+          f"{_NULL_SHARE} AS ns FROM day_long GROUP BY feature)")
+def q_null_bands(spark, sf):
+    return round_doubles(P.null_bands(V.v_day_entities(spark, sf), DAY_F))
+
+
+@register("null_overall", _DAYL + f"SELECT {O.r('avg(ns)')} AS mean_null_share, CAST(sum(nmiss) AS BIGINT)"
+          f" AS missing_cells FROM (SELECT feature, {_NULL_SHARE} AS ns, count(*) - count(value) AS nmiss"
+          " FROM day_long GROUP BY feature)")
+def q_null_overall(spark, sf):
+    return round_doubles(P.null_overall(V.v_day_entities(spark, sf), DAY_F))
+
+
+@register("split_rates", O.with_(O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT)
+          + f"SELECT split, count(*) AS n, {O.r('avg(label)')} AS pos_rate FROM ord_split GROUP BY split")
+def q_split_rates(spark, sf):
+    return round_doubles(P.split_rates(ord_split(spark, sf)))
+
+
+_HF = O.ORD_MEAN_FEATURES
+
+
+@register("histogram_by_class", O.with_(
+    O.V_ORD_RAW, O.ORD_ENT, f"hl AS ({O.long_sql('ord_ent', ['label'], _HF)})",
+    "hv AS (SELECT * FROM hl WHERE value IS NOT NULL)",
+    "hr0 AS (SELECT feature, label, min(value) AS lo0, max(value) AS hi0, count(*) AS n_fc FROM hv GROUP BY 1, 2)",
+    "hr AS (SELECT feature, label, n_fc, CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS lo,"
+    " CASE WHEN hi0 > lo0 THEN hi0 ELSE hi0 + 0.5 END AS hi FROM hr0)",
+    "hb AS (SELECT v.feature, v.label, CAST(least(floor((v.value - r.lo) * 40 / (r.hi - r.lo)), 39) AS INTEGER)"
+    " AS bin, r.lo, r.hi, r.n_fc FROM hv v JOIN hr r ON v.feature = r.feature AND v.label = r.label)")
+    + "SELECT feature, label, bin, " + O.r("lo + bin * ((hi - lo) / 40)") + " AS bin_lo, "
+    + O.r("lo + (bin + 1) * ((hi - lo) / 40)") + " AS bin_hi, count(*) AS n, "
+    + O.r("count(*) / (n_fc * ((hi - lo) / 40))") + " AS density FROM hb GROUP BY feature, label, bin, lo, hi, n_fc")
+def q_histogram_by_class(spark, sf):
+    return round_doubles(P.histogram_by_class(V.v_ord_entities(spark, sf), _HF))
+
+
+@register("boxplot_by_class", O.with_(
+    O.V_ORD_RAW, O.ORD_ENT, f"bl AS ({O.long_sql('ord_ent', ['label'], _HF)})",
+    "bv AS (SELECT * FROM bl WHERE value IS NOT NULL)",
+    "bq AS (SELECT feature, label, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med,"
+    " quantile_cont(value, 0.75) AS q3 FROM bv GROUP BY 1, 2)")
+    + "SELECT v.feature, v.label, " + ", ".join(O.r(f"q.{c}") + f" AS {c}" for c in ("q1", "med", "q3"))
+    + ", " + O.r("min(CASE WHEN v.value >= q.q1 - 1.5 * (q.q3 - q.q1) THEN v.value END)") + " AS whisker_lo, "
+    + O.r("max(CASE WHEN v.value <= q.q3 + 1.5 * (q.q3 - q.q1) THEN v.value END)") + " AS whisker_hi, "
+    "count(CASE WHEN v.value < q.q1 - 1.5 * (q.q3 - q.q1) OR v.value > q.q3 + 1.5 * (q.q3 - q.q1) THEN 1 END)"
+    " AS n_outliers, count(*) AS n FROM bv v JOIN bq q ON v.feature = q.feature AND v.label = q.label"
+    " GROUP BY v.feature, v.label, q.q1, q.med, q.q3")
+def q_boxplot_by_class(spark, sf):
+    return round_doubles(P.boxplot_by_class(V.v_ord_entities(spark, sf), _HF))
+
+
+def _corr_sql(features):
+    parts = []
+    for i, a in enumerate(features):
+        for b in features[:i]:
+            e = (f"covar_pop({a}, {b}) / nullif(stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END) * "
+                 f"stddev_pop(CASE WHEN {a} IS NOT NULL THEN {b} END), 0)")
+            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {O.r(e)} AS corr FROM day_ent")
+    return " UNION ALL ".join(parts)
+
+
+@register("corr_lower", _DAY + _corr_sql(O.DAY_MEAN_FEATURES))
+def q_corr_lower(spark, sf):
+    return round_doubles(P.corr_lower(V.v_day_entities(spark, sf), O.DAY_MEAN_FEATURES))
+
+
+@register("crosstab", _ORD + "SELECT o_priority, count(*) FILTER (WHERE label = 0) AS n_0,"
+          " count(*) FILTER (WHERE label = 1) AS n_1 FROM ord_ent GROUP BY o_priority")
+def q_crosstab(spark, sf):
+    return P.crosstab(V.v_ord_entities(spark, sf), "o_priority")
+
+
+@register("col_variance", _DAYL + f"SELECT feature, {O.r('var_samp(value)')} AS variance FROM day_long"
+          " GROUP BY feature")
+def q_col_variance(spark, sf):
+    return round_doubles(P.col_variance(V.v_day_entities(spark, sf), DAY_F))
+
+
+@register("col_median", _DAYL + f"SELECT feature, {O.r('quantile_cont(value, 0.5)')} AS median FROM day_long"
+          " WHERE value IS NOT NULL GROUP BY feature")
+def q_col_median(spark, sf):
+    return round_doubles(P.col_median(V.v_day_entities(spark, sf), DAY_F))
+
+
+@register("class_ratio", _ORD + "SELECT count(*) FILTER (WHERE label = 0) AS n_neg, count(*) FILTER"
+          " (WHERE label = 1) AS n_pos, " + O.r("coalesce(CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE)"
+                                                 " / nullif(count(*) FILTER (WHERE label = 1), 0), 0)")
+          + " AS ratio FROM ord_ent")
+def q_class_ratio(spark, sf):
+    return round_doubles(P.class_ratio(V.v_ord_entities(spark, sf)))
+
+
+def ord_train_entities(spark, sf):
+    ent = V.v_ord_entities(spark, sf)
+    sp = ord_split(spark, sf).select("l_orderkey", "split")
+    return ent.join(sp, "l_orderkey", "inner")
+
+
+_ORD_SPLIT_ENT = O.with_(O.V_ORD_RAW, O.ORD_ENT, O.ORD_LAB, O.ORD_SPLIT,
+                         "ord_se AS (SELECT e.*, s.split FROM ord_ent e JOIN ord_split s USING (l_orderkey))",
+                         "ord_tr AS (SELECT * FROM ord_se WHERE split = 'train')",
+                         f"tr_long AS ({O.long_sql('ord_tr', [], ORD_F)})")
+
+
+@register("cohort_stats", _ORD_SPLIT_ENT
+          + "SELECT feature, round(avg(value), 4) AS mean, round(CASE WHEN stddev_samp(value) = 0 THEN 1.0"
+          " ELSE stddev_samp(value) END, 4) AS std, "
+          + ", ".join(f"round(quantile_cont(value, {p}), 4) AS {n}" for n, p in
+                      (("q01", 0.01), ("q25", 0.25), ("q75", 0.75), ("q99", 0.99)))
+          + " FROM tr_long GROUP BY feature")
+def q_cohort_stats(spark, sf):
+    tr = ord_train_entities(spark, sf).filter(F.col("split") == "train")
+    return round_doubles(P.cohort_stats(tr, ORD_F))
+
+
+@register("dataset_summary", _DAYL + "SELECT (SELECT count(*) FROM v_day_raw) AS n_rows, (SELECT count(*)"
+          " FROM day_ent) AS n_entities, (SELECT " + O.r("avg(label)") + " FROM day_ent) AS pos_share, (SELECT "
+          + O.r("avg(ns)") + f" FROM (SELECT {_NULL_SHARE} AS ns FROM day_long GROUP BY feature)) AS"
+          f" mean_null_share, CAST({len(DAY_F)} AS BIGINT) AS n_features")
+def q_dataset_summary(spark, sf):
+    raw = V.v_day_raw(spark, sf)
+    from strata.operators.aggregate import entity_table
+    ent = entity_table(raw, DAY)
+    return round_doubles(P.dataset_summary(raw, ent, list(DAY.entity), DAY_F))

@@ -118,3 +118,19 @@ def folds_sql(name: str, src: str, keys: list[str], label: str, k: int, seed: in
 
 ORD_LAB = "ord_lab AS (SELECT l_orderkey, max(is_pos) AS label FROM v_ord_raw GROUP BY 1)"
 ORD_SPLIT = split_sql("ord_split", "ord_lab", ["l_orderkey"], "label", 0.2, 42, ("train", "test"))
+
+
+def long_sql(src: str, ids: list[str], features: list[str]) -> str:
+    """Unpivot ``features`` of ``src`` (NULLs kept) into (ids, feature, value)."""
+    names = ", ".join(f"'{f}'" for f in features)
+    vals = ", ".join(f"CAST({f} AS DOUBLE)" for f in features)
+    idc = "".join(f"{i}, " for i in ids)
+    return f"SELECT {idc}unnest([{names}]) AS feature, unnest([{vals}]) AS value FROM {src}"
+
+
+ORD_FEATURES = ORD_SPEC.feature_columns()
+DAY_FEATURES = DAY_SPEC.feature_columns()
+ORD_MEAN_FEATURES = [f"{m}_mean" for m in ORD_SPEC.measures]
+DAY_MEAN_FEATURES = [f"{m}_mean" for m in DAY_SPEC.measures]
+DAY_LONG = f"day_long AS ({long_sql('day_ent', ['label'], DAY_FEATURES)})"
+ORD_LONG = f"ord_long AS ({long_sql('ord_ent', ['l_orderkey', 'label'], ORD_FEATURES)})"
