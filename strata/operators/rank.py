@@ -54,23 +54,25 @@ def rank_within(df: DataFrame, strata: list[str], order: list[str | Column],
 
 
 def running_sums(df: DataFrame, order: list[str], values: list[str],
-                 descending: bool = False, n_parts: int | None = None,
-                 suffix: str = "_cum") -> DataFrame:
+                 descending: bool = False, groups: list[str] | None = None,
+                 n_parts: int | None = None, suffix: str = "_cum") -> DataFrame:
     """Inclusive running sums of ``values`` over the total order ``order``
-    (rows must be unique on ``order``; aggregate to distinct keys first).
-    Same offset scheme as ``rank_within``; the in-partition running sum is a
-    window over one range partition (balanced, not one task for all)."""
+    inside each of ``groups`` (rows must be unique on groups + order;
+    aggregate to distinct keys first).  Same offset scheme as
+    ``rank_within``; the in-partition running sum is a window over one range
+    partition (balanced), never one task for the whole table."""
+    groups = list(groups or [])
     n = _n_parts(df, n_parts)
     ocols = [F.col(o).desc() if descending else F.col(o).asc() for o in order]
-    parted = (df.repartitionByRange(n, *ocols)
+    parted = (df.repartitionByRange(n, *[F.col(g) for g in groups], *ocols)
               .withColumn("_pid", F.spark_partition_id()))
     parted = cut_lineage(parted)
-    totals = parted.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[
+    totals = parted.groupBy("_pid", *groups).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wt = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *groups, *[
         F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_off_{v}") for v in values])
-    wl = Window.partitionBy("_pid").orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
+    wl = Window.partitionBy("_pid", *groups).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
     local = parted.select("*", *[F.sum(v).over(wl).alias(f"_loc_{v}") for v in values])
-    joined = local.join(F.broadcast(offsets), "_pid", "inner")
+    joined = local.join(F.broadcast(offsets), ["_pid", *groups], "inner")
     return joined.select(*df.columns, *[
         (F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{v}{suffix}") for v in values])

@@ -327,3 +327,180 @@ def q_dataset_summary(spark, sf):
     from strata.operators.aggregate import entity_table
     ent = entity_table(raw, DAY)
     return round_doubles(P.dataset_summary(raw, ent, list(DAY.entity), DAY_F))
+
+
+# --- E1-E14, K3, K4 evaluation on V-SCORE -------------------------------------
+from strata.operators import evaluate as EV  # noqa: E402
+
+T_FOREST, T_BOOSTED = 0.3, 0.4
+_VS = O.with_(O.V_ORD_RAW, O.V_SCORE)
+
+
+def _dv(x):
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _conf_sql(t, src="v_score", prob="p"):
+    return (f"SELECT count(*) FILTER (WHERE label = 1 AND {prob} >= {t}) AS tp, count(*) FILTER (WHERE label = 1"
+            f" AND {prob} < {t}) AS fn, count(*) FILTER (WHERE label = 0 AND {prob} >= {t}) AS fp, count(*) FILTER"
+            f" (WHERE label = 0 AND {prob} < {t}) AS tn FROM {src}")
+
+
+def _prf_sql(tp="tp", fn="fn", fp="fp"):
+    return (f"{O.r(f'coalesce({_dv(tp)} / nullif({tp} + {fp}, 0), 0)')} AS precision, "
+            f"{O.r(f'coalesce({_dv(tp)} / nullif({tp} + {fn}, 0), 0)')} AS recall, "
+            f"{O.r(f'coalesce({_dv(f'2 * {tp}')} / nullif(2 * {tp} + {fp} + {fn}, 0), 0)')} AS f1")
+
+
+_AUC_CTE = ("sc AS (SELECT p, sum(label) AS pos, count(*) - sum(label) AS neg FROM v_score GROUP BY p)",
+            "cu AS (SELECT p, pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING"
+            " AND 1 PRECEDING), 0) AS nb FROM sc)",
+            "auc AS (SELECT sum(pos * (nb + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS roc_auc FROM cu)")
+
+
+def _grid_sql(grid):
+    return "grid AS (SELECT unnest([" + ", ".join(f"{t!r}::DOUBLE" for t in grid) + "]) AS threshold)"
+
+
+_GRID_CNT = ("gc AS (SELECT g.threshold, count(*) FILTER (WHERE s.label = 1 AND s.p >= g.threshold) AS tp,"
+             " count(*) FILTER (WHERE s.label = 0 AND s.p >= g.threshold) AS fp, count(*) FILTER (WHERE s.label"
+             " = 1) AS n_pos, count(*) FILTER (WHERE s.label = 0) AS n_neg FROM grid g CROSS JOIN v_score s"
+             " GROUP BY g.threshold)")
+
+
+@register("confusion", _VS + _conf_sql(T_FOREST))
+def q_confusion(spark, sf):
+    return EV.confusion(V.v_score(spark, sf), T_FOREST)
+
+
+@register("prf", O.with_(O.V_ORD_RAW, O.V_SCORE, f"c AS ({_conf_sql(T_FOREST)})") + f"SELECT {_prf_sql()} FROM c")
+def q_prf(spark, sf):
+    return round_doubles(EV.prf(V.v_score(spark, sf), T_FOREST))
+
+
+@register("roc_auc", O.with_(O.V_ORD_RAW, O.V_SCORE, *_AUC_CTE) + f"SELECT {O.r('roc_auc')} AS roc_auc FROM auc")
+def q_roc_auc(spark, sf):
+    return round_doubles(EV.roc_auc(V.v_score(spark, sf)))
+
+
+@register("roc_points", O.with_(O.V_ORD_RAW, O.V_SCORE, _AUC_CTE[0])
+          + "SELECT p AS threshold, " + O.r("sum(neg) OVER (ORDER BY p DESC) / (SELECT sum(neg) FROM sc)")
+          + " AS fpr, " + O.r("sum(pos) OVER (ORDER BY p DESC) / (SELECT sum(pos) FROM sc)") + " AS tpr FROM sc")
+def q_roc_points(spark, sf):
+    return round_doubles(EV.roc_points(V.v_score(spark, sf)))
+
+
+def _class_report_sql():
+    def d(a, b):
+        return f"coalesce({_dv(a)} / nullif({b}, 0), 0)"
+    p1, r1, p0, r0 = d("tp", "tp + fp"), d("tp", "tp + fn"), d("tn", "tn + fn"), d("tn", "tn + fp")
+    f1, f0 = d("2 * tp", "2 * tp + fp + fn"), d("2 * tn", "2 * tn + fn + fp")
+    n = "(tp + fn + fp + tn)"
+    rows = [
+        f"SELECT '0' AS row, {O.r(p0)} AS precision, {O.r(r0)} AS recall, {O.r(f0)} AS f1, tn + fp AS support FROM c",
+        f"SELECT '1', {O.r(p1)}, {O.r(r1)}, {O.r(f1)}, tp + fn FROM c",
+        f"SELECT 'accuracy', NULL::DOUBLE, NULL::DOUBLE, {O.r(d('tp + tn', n))}, {n} FROM c",
+        f"SELECT 'macro avg', {O.r(f'({p0} + {p1}) / 2')}, {O.r(f'({r0} + {r1}) / 2')}, {O.r(f'({f0} + {f1}) / 2')},"
+        f" {n} FROM c",
+        f"SELECT 'weighted avg', {O.r(d(f'{p0} * (tn + fp) + {p1} * (tp + fn)', n))},"
+        f" {O.r(d(f'{r0} * (tn + fp) + {r1} * (tp + fn)', n))}, {O.r(d(f'{f0} * (tn + fp) + {f1} * (tp + fn)', n))},"
+        f" {n} FROM c"]
+    return " UNION ALL ".join(rows)
+
+
+@register("class_report", O.with_(O.V_ORD_RAW, O.V_SCORE, f"c AS ({_conf_sql(T_FOREST)})") + _class_report_sql())
+def q_class_report(spark, sf):
+    return round_doubles(EV.class_report(V.v_score(spark, sf), T_FOREST))
+
+
+_CHOOSE = O.with_(O.V_ORD_RAW, O.V_SCORE, _grid_sql(EV.CALIBRATION_GRID), _GRID_CNT,
+                  "ct AS (SELECT threshold, " + _prf_sql("tp", "(n_pos - tp)", "fp") + " FROM gc)")
+
+
+@register("choose_threshold", _CHOOSE + "SELECT threshold, precision, recall, f1 FROM ct")
+def q_choose_threshold(spark, sf):
+    return round_doubles(EV.choose_threshold(V.v_score(spark, sf)))
+
+
+@register("best_threshold", _CHOOSE + "SELECT threshold, precision, recall, f1 FROM ct ORDER BY f1 DESC,"
+          " threshold LIMIT 1")
+def q_best_threshold(spark, sf):
+    return round_doubles(EV.best_threshold(EV.choose_threshold(V.v_score(spark, sf))))
+
+
+_SWEEP = O.with_(O.V_ORD_RAW, O.V_SCORE, _grid_sql(EV.sweep_grid()), _GRID_CNT)
+
+
+@register("threshold_sweep", _SWEEP + "SELECT threshold, tp, fp, n_pos, n_neg FROM gc")
+def q_threshold_sweep(spark, sf):
+    return EV.threshold_sweep(V.v_score(spark, sf))
+
+
+@register("sweep_delta", _SWEEP + "SELECT g.threshold, g.tp, g.fp, g.n_pos - g.tp AS fn, g.n_neg - g.fp AS tn,"
+          " (g.n_pos - b.tp) - (g.n_pos - g.tp) AS d_caught, g.fp - b.fp AS d_false_alarms, "
+          + O.r("CAST(g.tp AS DOUBLE) / nullif(g.n_pos, 0)") + " AS recall, "
+          + O.r("CAST(g.tp AS DOUBLE) / nullif(g.tp + g.fp, 0)") + " AS precision"
+          f" FROM gc g, (SELECT tp, fp FROM gc WHERE threshold = {T_FOREST}) b")
+def q_sweep_delta(spark, sf):
+    return round_doubles(EV.sweep_delta(EV.threshold_sweep(V.v_score(spark, sf)), T_FOREST))
+
+
+@register("metric_bundle", O.with_(O.V_ORD_RAW, O.V_SCORE, *_AUC_CTE, f"c AS ({_conf_sql(T_FOREST)})")
+          + f"SELECT {T_FOREST}::DOUBLE AS threshold, {_prf_sql()}, {O.r('roc_auc')} AS roc_auc, "
+          + O.r("CAST(tp + tn AS DOUBLE) / greatest(1, tp + tn + fp + fn)") + " AS accuracy, tp, fn, fp, tn"
+          " FROM c, auc")
+def q_metric_bundle(spark, sf):
+    return round_doubles(EV.metric_bundle(V.v_score(spark, sf), T_FOREST))
+
+
+_CMP = O.with_(
+    O.V_ORD_RAW, O.V_SCORE, O.V_SCORES_LONG,
+    f"st AS (SELECT *, CASE WHEN model = 'forest' THEN {T_FOREST} ELSE {T_BOOSTED} END AS t FROM v_scores_long)",
+    "mc AS (SELECT model, count(*) FILTER (WHERE label = 1 AND p >= t) AS tp, count(*) FILTER (WHERE label = 1"
+    " AND p < t) AS fn, count(*) FILTER (WHERE label = 0 AND p >= t) AS fp FROM st GROUP BY model)",
+    "msc AS (SELECT model, p, sum(label) AS pos, count(*) - sum(label) AS neg FROM v_scores_long GROUP BY 1, 2)",
+    "mcu AS (SELECT model, pos, neg, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY p ROWS BETWEEN"
+    " UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM msc)",
+    "mauc AS (SELECT model, sum(pos * (nb + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)) AS roc_auc"
+    " FROM mcu GROUP BY model)",
+    "mraw AS (SELECT mc.model, coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS precision,"
+    " coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall, coalesce(CAST(2 * tp AS DOUBLE) /"
+    " nullif(2 * tp + fp + fn, 0), 0) AS f1, roc_auc FROM mc JOIN mauc USING (model))")
+
+
+@register("model_comparison", _CMP + "SELECT model, round(f1, 4) AS f1, round(roc_auc, 4) AS roc_auc,"
+          " round(precision, 4) AS precision, round(recall, 4) AS recall FROM mraw")
+def q_model_comparison(spark, sf):
+    return EV.model_comparison(V.v_scores_long(spark, sf), {"forest": T_FOREST, "boosted": T_BOOSTED})
+
+
+@register("winner", _CMP + f"SELECT model, {O.r('f1')} AS f1 FROM mraw ORDER BY f1 DESC, CASE WHEN model ="
+          " 'boosted' THEN 0 ELSE 1 END LIMIT 1")
+def q_winner(spark, sf):
+    cmp_ = EV.model_comparison(V.v_scores_long(spark, sf), {"forest": T_FOREST, "boosted": T_BOOSTED},
+                               places=None)
+    return round_doubles(EV.winner(cmp_, {"boosted": 0, "forest": 1}).select("model", "f1"))
+
+
+@register("caught", _VS + f"SELECT count(*) FILTER (WHERE label = 1 AND p >= {T_FOREST}) AS caught, count(*)"
+          " FILTER (WHERE label = 1) AS n_pos, " + O.r(f"coalesce(CAST(count(*) FILTER (WHERE label = 1 AND p >="
+                                                        f" {T_FOREST}) AS DOUBLE) / nullif(count(*) FILTER (WHERE"
+                                                        " label = 1), 0), 0)") + " AS caught_share FROM v_score")
+def q_caught(spark, sf):
+    return round_doubles(EV.caught(V.v_score(spark, sf), T_FOREST))
+
+
+@register("score_parity", _VS + "SELECT count(*) AS n, " + O.r("max(abs(p - p2))") + " AS max_abs_delta,"
+          f" count(*) FILTER (WHERE (p >= {T_FOREST}) <> (p2 >= {T_FOREST})) AS n_flips FROM v_score")
+def q_score_parity(spark, sf):
+    s = V.v_score(spark, sf)
+    return round_doubles(EV.score_parity(s.select("l_orderkey", "p"), s.select("l_orderkey", F.col("p2").alias("p")),
+                                         "l_orderkey", T_FOREST))
+
+
+@register("outcome_class", _VS + f"SELECT l_orderkey, label, {O.r('p')} AS p, p2 AS p2, p >= {T_FOREST} AS alarm,"
+          f" CASE WHEN p >= {T_FOREST} AND label = 1 THEN 'correct alarm' WHEN p < {T_FOREST} AND label = 0 THEN"
+          f" 'correct silence' WHEN p >= {T_FOREST} AND label = 0 THEN 'false alarm' ELSE 'miss' END AS outcome"
+          " FROM v_score")
+def q_outcome_class(spark, sf):
+    return round_doubles(EV.outcome_class(V.v_score(spark, sf), T_FOREST))
