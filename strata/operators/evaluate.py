@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import safe_div
+from strata.functions.columns import combine_rows, safe_div
 from strata.operators.rank import running_sums
 
 # The calibration grid 0.05..0.50 step 0.05 and the sweep grid
@@ -70,11 +70,10 @@ def roc_auc(scored: DataFrame, label: str = "label", prob: str = "p",
 def roc_points(scored: DataFrame, label: str = "label", prob: str = "p") -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, highest first."""
     sc = _score_counts(scored, label, prob, [])
-    tot = sc.agg(F.sum("pos").alias("_n_pos"), F.sum("neg").alias("_n_neg"))
+    n_pos, n_neg = sc.agg(F.sum("pos"), F.sum("neg")).first()  # two scalars
     cu = running_sums(sc, [prob], ["pos", "neg"], descending=True)
-    return cu.join(F.broadcast(tot), how="inner").select(
-        F.col(prob).alias("threshold"), safe_div("neg_cum", "_n_neg").alias("fpr"),
-        safe_div("pos_cum", "_n_pos").alias("tpr"))
+    return cu.select(F.col(prob).alias("threshold"), safe_div("neg_cum", F.lit(n_neg or 0)).alias("fpr"),
+                     safe_div("pos_cum", F.lit(n_pos or 0)).alias("tpr"))
 
 
 def grid_counts(scored: DataFrame, grid: list[float], label: str = "label", prob: str = "p",
@@ -148,7 +147,7 @@ def metric_bundle(scored: DataFrame, threshold: float, label="label", prob="p",
     confusion counts in one row (``nested`` puts them in a struct)."""
     c = confusion(scored, threshold, label, prob)
     a = roc_auc(scored, label, prob)
-    row = c.join(a, how="inner")
+    row = combine_rows(c, a)
     acc = safe_div(F.col("tp") + F.col("tn"), F.greatest(F.lit(1), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")))
     cols = [F.lit(float(threshold)).alias("threshold"), *prf_cols(), "roc_auc", acc.alias("accuracy")]
     if nested:
@@ -237,8 +236,8 @@ def sweep_delta(sweep: DataFrame, base_threshold: float, step: float = SWEEP_STE
     last = int(round(1.0 / step))
     base_i = min(max(int(round(base_threshold / step)), 0), last)
     s = sweep.withColumn("_i", F.round(F.col("threshold") / step).cast("int"))
-    base = s.filter(F.col("_i") == base_i).select(F.col("tp").alias("tp_b"), F.col("fp").alias("fp_b"))
-    j = s.join(F.broadcast(base), how="inner")
+    base = s.filter(F.col("_i") == base_i).select("tp", "fp").first()  # one grid row
+    j = s.withColumn("tp_b", F.lit(base["tp"])).withColumn("fp_b", F.lit(base["fp"]))
     fn, fn_b = F.col("n_pos") - F.col("tp"), F.col("n_pos") - F.col("tp_b")
     return j.select(
         "threshold", "tp", "fp", fn.alias("fn"), (F.col("n_neg") - F.col("fp")).alias("tn"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import long_form, null_band, pearson, safe_div
+from strata.functions.columns import combine_rows, long_form, null_band, pearson, safe_div
 from strata.operators.quantile import exact_percentiles, exact_percentiles_wide
 
 
@@ -159,16 +159,4 @@ def dataset_summary(raw: DataFrame, ent: DataFrame, entity: list[str], features:
     a = raw.agg(F.count(F.lit(1)).alias("n_rows"))
     b = ent.agg(F.count(F.lit(1)).alias("n_entities"), F.avg(F.col(label).cast("double")).alias("pos_share"))
     c = null_overall(ent, features).select("mean_null_share")
-    return _one_row(a, b, c, F.lit(len(features)).cast("long").alias("n_features"))
-
-
-def _one_row(*dfs_and_cols):
-    """Combine single-row aggregates into one row by a key-less aggregation of
-    their union (each input is one row by construction)."""
-    dfs = [d for d in dfs_and_cols if isinstance(d, DataFrame)]
-    extra = [c for c in dfs_and_cols if not isinstance(c, DataFrame)]
-    cols = [c for d in dfs for c in d.columns]
-    u = None
-    for d in dfs:
-        u = d if u is None else u.unionByName(d, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in cols]).select(*cols, *extra)
+    return combine_rows(a, b, c, F.lit(len(features)).cast("long").alias("n_features"))

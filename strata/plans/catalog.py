@@ -504,3 +504,189 @@ def q_score_parity(spark, sf):
           " FROM v_score")
 def q_outcome_class(spark, sf):
     return round_doubles(EV.outcome_class(V.v_score(spark, sf), T_FOREST))
+
+
+# --- P2-P13 projections ---------------------------------------------------------
+from strata.functions.columns import decode, long_form  # noqa: E402
+
+_ORD_INT = {"l_orderkey", "o_priority", "l_linenumber_max", "label"}
+_ORD_COLS = ["l_orderkey", *ORD_F, "label"]
+
+
+def _sel_sql(cols, src="ord_ent"):
+    return "SELECT " + ", ".join(c if c in _ORD_INT else f"{O.r(c)} AS {c}" for c in cols) + f" FROM {src}"
+
+
+_DROP = ["o_priority", "l_tax_std", "no_such_column"]
+_PICK = ["l_orderkey", "l_quantity_max", "l_discount_mean", "l_extendedprice_range", "label"]
+
+
+@register("drop_cols", _ORD + _sel_sql([c for c in _ORD_COLS if c not in _DROP]))
+def q_drop_cols(spark, sf):
+    return round_doubles(V.v_ord_entities(spark, sf).drop(*_DROP))
+
+
+@register("select_features", _ORD + _sel_sql(_PICK))
+def q_select_features(spark, sf):
+    return round_doubles(V.v_ord_entities(spark, sf).select(*_PICK))
+
+
+@register("filter_label", _ORD + _sel_sql(["l_orderkey", "l_quantity_mean", "label"]) + " WHERE label = 1")
+def q_filter_label(spark, sf):
+    e = V.v_ord_entities(spark, sf)
+    return round_doubles(e.filter(F.col("label") == 1).select("l_orderkey", "l_quantity_mean", "label"))
+
+
+@register("decode_label", _ORD + "SELECT l_orderkey, label, CASE WHEN label = 1 THEN 'positive' WHEN label = 0"
+          " THEN 'negative' END AS class_name FROM ord_ent")
+def q_decode_label(spark, sf):
+    e = V.v_ord_entities(spark, sf)
+    return e.select("l_orderkey", "label", decode("label", {1: "positive", 0: "negative"}).alias("class_name"))
+
+
+@register("head_n", _ORD + _sel_sql(["l_orderkey", "o_totalprice", "l_quantity_mean", "label"])
+          + " ORDER BY l_orderkey LIMIT 5")
+def q_head_n(spark, sf):
+    e = V.v_ord_entities(spark, sf)
+    return round_doubles(e.select("l_orderkey", "o_totalprice", "l_quantity_mean", "label")
+                         .orderBy("l_orderkey").limit(5))
+
+
+_WORDS_SQL = "CASE a0 " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in
+    __import__("strata.operators.report", fromlist=["AGG_WORDS"]).AGG_WORDS.items()) + " ELSE a0 END"
+
+
+@register("feature_dictionary", _ORDL.rstrip() + ",\n" + ",\n".join([
+    "fl AS (SELECT feature, count(value) AS n_obs FROM ord_long GROUP BY feature)",
+    "sig AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}', '{d}')" for a, b, c, d in O.ORD_SIGNALS)
+    + ") t(signal, display, unit, system))",
+    "fs AS (SELECT feature, n_obs, CASE WHEN regexp_extract(feature, '^(.*)_([^_]+)$', 1) = '' THEN feature ELSE"
+    " regexp_extract(feature, '^(.*)_([^_]+)$', 1) END AS signal, CASE WHEN regexp_extract(feature,"
+    " '^(.*)_([^_]+)$', 1) = '' THEN NULL ELSE regexp_extract(feature, '^(.*)_([^_]+)$', 2) END AS a0 FROM fl)"])
+    + "\nSELECT fs.feature, fs.n_obs, fs.signal, CASE WHEN fs.signal = 'l_linenumber' THEN 'total' ELSE "
+    + _WORDS_SQL + " END AS agg, coalesce(sig.display, replace(fs.signal, '_', ' ')) AS display,"
+    " coalesce(sig.unit, '') AS unit, coalesce(sig.system, 'stay') AS system FROM fs LEFT JOIN sig USING (signal)")
+def q_feature_dictionary(spark, sf):
+    from strata.operators.report import feature_dictionary
+    e = V.v_ord_entities(spark, sf)
+    feats = long_form(e, [], ORD_F).groupBy("feature").agg(F.count("value").alias("n_obs"))
+    sig = spark.createDataFrame(O.ORD_SIGNALS, "signal string, display string, unit string, system string")
+    return feature_dictionary(feats, sig, length_signal=ORD.seq)
+
+
+# --- F1-F4, F9, F11 preparation ---------------------------------------------------
+from strata.operators import prep as PR  # noqa: E402
+
+_DAYP = O.with_(O.V_DAY_RAW, O.DAY_ENT, O.DAY_SPLIT, *O.DAY_PREP)
+_DKEYS = ["user_id", "day"]
+
+
+def day_split(spark, sf):
+    return S.stratified_split(V.v_day_entities(spark, sf), _DKEYS, "label", 0.2)
+
+
+@register("drop_zero_variance", _DAYP + "SELECT feature FROM zv")
+def q_drop_zero_variance(spark, sf):
+    tr = day_split(spark, sf).filter(F.col("split") == "train")
+    return PR.zero_variance_features(tr, DAY_F)
+
+
+def _imputed(spark, sf):
+    sp = day_split(spark, sf)
+    tr = sp.filter(F.col("split") == "train")
+    tr1, all1, zero = PR.drop_zero_variance(tr, sp, DAY_F)
+    f1 = [f for f in DAY_F if f not in zero]
+    tr2, all2, high, fill = PR.drop_high_null_and_impute(tr1, all1, f1)
+    return all2, [f for f in f1 if f not in high]
+
+
+@register("impute_median", _DAYP + "SELECT user_id, day, feature, " + O.r("value") + " AS value FROM imp")
+def q_impute_median(spark, sf):
+    all2, f2 = _imputed(spark, sf)
+    return round_doubles(long_form(all2, _DKEYS, f2))
+
+
+@register("variance_filter", _DAYP + "SELECT feature FROM kept")
+def q_variance_filter(spark, sf):
+    all2, f2 = _imputed(spark, sf)
+    tr = all2.filter(F.col("split") == "train")
+    _, _, keep = PR.variance_filter(tr, tr, f2)
+    return spark.createDataFrame([(f,) for f in keep], "feature string")
+
+
+@register("standardize", _DAYP + "SELECT user_id, day, feature, " + O.r("value") + " AS value FROM zs")
+def q_standardize(spark, sf):
+    sp = day_split(spark, sf)
+    prep = PR.fit_prep(sp.filter(F.col("split") == "train"), DAY_F)
+    return round_doubles(long_form(prep.transform(sp.drop("split")), _DKEYS, prep.output_features))
+
+
+@register("apply_prep", _DAYP + "SELECT user_id, day, feature, " + O.r("value") + " AS value FROM zs"
+          " WHERE split = 'test'")
+def q_apply_prep(spark, sf):
+    sp = day_split(spark, sf)
+    prep = PR.fit_prep(sp.filter(F.col("split") == "train"), DAY_F)
+    prep = PR.FittedPrep.from_json(prep.to_json())  # a stored preparation, re-applied
+    test = sp.filter(F.col("split") == "test").drop("split")
+    return round_doubles(long_form(prep.transform(test), _DKEYS, prep.output_features))
+
+
+@register("class_weights", O.with_(O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT)
+          + "SELECT label, count(*) AS n_c, " + O.r("sum(count(*)) OVER () / (2.0 * count(*))") + " AS weight"
+          " FROM ord_split WHERE split = 'train' GROUP BY label")
+def q_class_weights(spark, sf):
+    tr = ord_split(spark, sf).filter(F.col("split") == "train")
+    return round_doubles(PR.class_weights(tr))
+
+
+# --- R2, R3 cohort bands and rail positions ------------------------------------------
+from strata.operators import report as RP  # noqa: E402
+
+_STATS_CTE = ("cst AS (SELECT feature, round(avg(value), 4) AS mean, round(CASE WHEN stddev_samp(value) = 0"
+              " THEN 1.0 ELSE stddev_samp(value) END, 4) AS std, "
+              + ", ".join(f"round(quantile_cont(value, {p}), 4) AS {n}" for n, p in
+                          (("q01", 0.01), ("q25", 0.25), ("q75", 0.75), ("q99", 0.99)))
+              + " FROM tr_long GROUP BY feature)")
+_TEST_LONG = ("ord_te AS (SELECT * FROM ord_se WHERE split = 'test')",
+              f"te_long AS ({O.long_sql('ord_te', ['l_orderkey'], ORD_F)})")
+_BAND = _ORD_SPLIT_ENT.rstrip() + ",\n" + ",\n".join([_STATS_CTE, *_TEST_LONG]) + "\n"
+
+
+def _ord_test_and_stats(spark, sf):
+    se = ord_train_entities(spark, sf)
+    stats = P.cohort_stats(se.filter(F.col("split") == "train"), ORD_F)
+    return se.filter(F.col("split") == "test"), stats
+
+
+@register("cohort_band", _BAND + "SELECT t.l_orderkey, t.feature, " + O.r("t.value") + " AS value, CASE WHEN"
+          " t.value IS NULL OR s.q25 IS NULL OR s.q75 IS NULL THEN '' WHEN t.value > s.q75 THEN 'hi' WHEN t.value"
+          " < s.q25 THEN 'lo' ELSE '' END AS band FROM te_long t LEFT JOIN cst s USING (feature)")
+def q_cohort_band(spark, sf):
+    te, stats = _ord_test_and_stats(spark, sf)
+    return round_doubles(RP.cohort_band(te, ["l_orderkey"], ORD_F, stats))
+
+
+_POS = _BAND.rstrip() + ",\n" + ",\n".join([
+    "g AS (SELECT t.l_orderkey, t.feature, t.value, s.q25, s.q75, CASE WHEN s.q01 IS NOT NULL AND s.q99 IS NOT"
+    " NULL AND s.q99 > s.q01 THEN s.q01 ELSE coalesce(s.mean, 0) - 2 * coalesce(nullif(s.std, 0), 1) END AS"
+    " lo0, CASE WHEN s.q01 IS NOT NULL AND s.q99 IS NOT NULL AND s.q99 > s.q01 THEN s.q99 ELSE"
+    " coalesce(s.mean, 0) + 2 * coalesce(nullif(s.std, 0), 1) END AS hi0 FROM te_long t LEFT JOIN cst s"
+    " USING (feature))",
+    "g2 AS (SELECT *, CASE WHEN value IS NOT NULL AND value < lo0 THEN value - (hi0 - lo0) * 0.08 ELSE lo0 END"
+    " AS lo FROM g)",
+    "g3 AS (SELECT *, CASE WHEN value IS NOT NULL AND value > hi0 THEN value + (hi0 - lo) * 0.08 ELSE hi0 END"
+    " AS hi FROM g2)",
+    "g4 AS (SELECT *, coalesce(nullif(hi - lo, 0), 1) AS span FROM g3)"]) + "\n"
+
+
+def _at_sql(x):
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE " + O.r(f"least(greatest(({x} - lo) / span, 0), 1) * 100") + " END"
+
+
+@register("cohort_position", _POS + "SELECT l_orderkey, feature, " + O.r("value") + " AS value, "
+          + _at_sql("value") + " AS pos, " + _at_sql("q25") + " AS band_lo, " + _at_sql("q75")
+          + " AS band_hi FROM g4")
+def q_cohort_position(spark, sf):
+    te, stats = _ord_test_and_stats(spark, sf)
+    return round_doubles(RP.cohort_position(te, ["l_orderkey"], ORD_F, stats))

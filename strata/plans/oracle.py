@@ -134,3 +134,31 @@ ORD_MEAN_FEATURES = [f"{m}_mean" for m in ORD_SPEC.measures]
 DAY_MEAN_FEATURES = [f"{m}_mean" for m in DAY_SPEC.measures]
 DAY_LONG = f"day_long AS ({long_sql('day_ent', ['label'], DAY_FEATURES)})"
 ORD_LONG = f"ord_long AS ({long_sql('ord_ent', ['l_orderkey', 'label'], ORD_FEATURES)})"
+
+
+DAY_SPLIT = split_sql("day_split", "day_ent", ["user_id", "day"], "label", 0.2, 42, ("train", "test"))
+DAY_PREP = (
+    "dtr AS (SELECT * FROM day_split WHERE split = 'train')",
+    f"dtr_long AS ({long_sql('dtr', [], DAY_FEATURES)})",
+    f"dall_long AS ({long_sql('day_split', ['user_id', 'day', 'split'], DAY_FEATURES)})",
+    "zv AS (SELECT feature FROM dtr_long GROUP BY feature HAVING var_samp(value) = 0)",
+    "hn AS (SELECT feature FROM dtr_long WHERE feature NOT IN (SELECT feature FROM zv) GROUP BY feature"
+    " HAVING 1.0 - CAST(count(value) AS DOUBLE) / count(*) > 0.9)",
+    "med AS (SELECT feature, quantile_cont(value, 0.5) AS med FROM dtr_long WHERE feature NOT IN (SELECT"
+    " feature FROM zv) AND feature NOT IN (SELECT feature FROM hn) GROUP BY feature)",
+    "imp AS (SELECT a.user_id, a.day, a.split, a.feature, coalesce(a.value, m.med) AS value FROM dall_long a"
+    " JOIN med m USING (feature))",
+    "kept AS (SELECT feature FROM imp WHERE split = 'train' GROUP BY feature HAVING var_pop(value) > 0.01)",
+    "sst AS (SELECT feature, avg(value) AS mu, CASE WHEN stddev_pop(value) IS NULL OR stddev_pop(value) = 0"
+    " THEN 1.0 ELSE stddev_pop(value) END AS sc FROM imp WHERE split = 'train' AND feature IN (SELECT feature"
+    " FROM kept) GROUP BY feature)",
+    "zs AS (SELECT i.user_id, i.day, i.split, i.feature, (i.value - s.mu) / s.sc AS value FROM imp i JOIN sst s"
+    " USING (feature))")
+
+ORD_SIGNALS = [
+    # Display name, unit and group of each V-ORD signal.
+    ("l_quantity", "Quantity", "units", "volume"),
+    ("l_extendedprice", "Extended price", "currency", "value"),
+    ("l_discount", "Discount", "fraction", "pricing"),
+    ("l_tax", "Tax", "fraction", "pricing"),
+]
