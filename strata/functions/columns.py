@@ -104,11 +104,12 @@ def long_form(df: DataFrame, ids: list[str], features: list[str],
 def combine_rows(*parts) -> DataFrame:
     """Merge single-row aggregates (each a DataFrame of exactly one row, by
     construction) into one row without a join: union them by name and take
-    the max of every column.  Extra Column arguments are appended."""
+    the one non-NULL value of every column.  Extra Column arguments are
+    appended."""
     dfs = [d for d in parts if isinstance(d, DataFrame)]
     extra = [c for c in parts if not isinstance(c, DataFrame)]
     cols = [c for d in dfs for c in d.columns]
     u = None
     for d in dfs:
         u = d if u is None else u.unionByName(d, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in cols]).select(*cols, *extra)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols]).select(*cols, *extra)

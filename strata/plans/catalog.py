@@ -690,3 +690,220 @@ def _at_sql(x):
 def q_cohort_position(spark, sf):
     te, stats = _ord_test_and_stats(spark, sf)
     return round_doubles(RP.cohort_position(te, ["l_orderkey"], ORD_F, stats))
+
+
+# --- J5, F5-F8, M1-M13, S3-S8, K1, K2, R1, R4: models and artefacts -----------------
+from strata.operators import balance as BA  # noqa: E402
+from strata.operators import model as M  # noqa: E402
+from strata.plans import train_job as TJ  # noqa: E402
+
+_KNN_F = O.ORD_MEAN_FEATURES
+
+
+@register("minority_knn", _ORD_SPLIT_ENT.rstrip() + ",\n" + ",\n".join([
+    "mino AS (SELECT l_orderkey, " + ", ".join(_KNN_F) + " FROM ord_tr WHERE label = 1)",
+    "pairs AS (SELECT a.l_orderkey, b.l_orderkey AS nn_key, " + " + ".join(
+        f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in _KNN_F) + " AS d2 FROM mino a JOIN mino b"
+    " ON a.l_orderkey <> b.l_orderkey)",
+    "rk AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY d2, nn_key) AS nn_rank FROM pairs)"])
+    + "\nSELECT l_orderkey, nn_rank, nn_key, " + O.r("sqrt(d2)") + " AS dist FROM rk WHERE nn_rank <= 5")
+def q_minority_knn(spark, sf):
+    tr = ord_train_entities(spark, sf).filter(F.col("split") == "train")
+    mino = tr.filter(F.col("label") == 1).select("l_orderkey", *_KNN_F)
+    return round_doubles(BA.minority_knn(mino, "l_orderkey", _KNN_F, k=5).select(
+        "l_orderkey", F.col("nn_rank").cast("long").alias("nn_rank"), "nn_key", "dist"))
+
+
+@register("smote")
+def q_smote(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    tr = data.filter(F.col("split") == "train")
+    return BA.smote(tr, TJ.KEY, prep.kept, "label", k=5)
+
+
+@register("rfe_select")
+def q_rfe_select(spark, sf):
+    return TJ.rfe_select(spark, sf, k=8, step=0.5)
+
+
+@register("rfe_sweep")
+def q_rfe_sweep(spark, sf):
+    return TJ.rfe_sweep(spark, sf, ks=(4, 8, 12), folds=3)
+
+
+def _bundle_row(scored, t):
+    return round_doubles(EV.metric_bundle(scored, t))
+
+
+@register("rf_baseline")
+def q_rf_baseline(spark, sf):
+    _, _, scored, _ = TJ.baseline(spark, sf, "forest")
+    return _bundle_row(scored, 0.5)
+
+
+@register("gbt_baseline")
+def q_gbt_baseline(spark, sf):
+    _, _, scored, _ = TJ.baseline(spark, sf, "boosted")
+    return _bundle_row(scored, 0.5)
+
+
+@register("score_positive")
+def q_score_positive(spark, sf):
+    _, _, scored, _ = TJ.baseline(spark, sf, "forest")
+    return scored
+
+
+def _importances(spark, sf):
+    model, _, _, feats = TJ.baseline(spark, sf, "forest")
+    return RP.importance_table(feats, model.featureImportances.toArray(), spark)
+
+
+@register("importance_topk")
+def q_importance_topk(spark, sf):
+    return RP.importance_topk(_importances(spark, sf), 10)
+
+
+@register("importance_rank")
+def q_importance_rank(spark, sf):
+    return RP.importance_rank(_importances(spark, sf))
+
+
+@register("observation_sheet")
+def q_observation_sheet(spark, sf):
+    model, _, _, feats = TJ.baseline(spark, sf, "forest")
+    imp = RP.importance_table(feats, model.featureImportances.toArray(), spark)
+    data, _ = TJ.prepared(spark, sf)
+    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+    band = RP.cohort_band(test, [TJ.KEY], feats, P.cohort_stats(train, feats))
+    return round_doubles(RP.observation_sheet(band, imp, [TJ.KEY]))
+
+
+@register("leakfree_pipeline")
+def q_leakfree_pipeline(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    data = TJ.with_validation(data)
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20]})
+    return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
+
+
+@register("grid_search")
+def q_grid_search(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    data = TJ.with_validation(data)
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8,
+                           grid_values={"numTrees": [20, 40], "maxDepth": [6]})
+    return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
+
+
+@register("random_search")
+def q_random_search(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    data = TJ.with_validation(data)
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "boosted", 3, 8,
+                           space={"maxIter": ("int", 10, 30), "maxDepth": ("int", 2, 5),
+                                  "stepSize": ("loguniform", 0.01, 0.3), "subsamplingRate": ("uniform", 0.5, 1.0)},
+                           n_draws=2)
+    return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
+
+
+@register("deployable_fit")
+def q_deployable_fit(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    sel = [r["feature"] for r in TJ.rfe_select(spark, sf, k=8).collect()]
+    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
+    scaler, model = M.deployable_fit(train, TJ.KEY, sel, M.random_forest(num_trees=40, max_depth=10))
+    return M.p_positive(model.transform(scaler.transform(test))).select(TJ.KEY, "label", "p")
+
+
+@register("finalize")
+def q_finalize(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    data = TJ.with_validation(data)
+    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [30]})
+    res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
+    return round_doubles(EV.metric_bundle(res["scored"], res["threshold"]))
+
+
+@register("train_job")
+def q_train_job(spark, sf):
+    return TJ.train_job(spark, sf)
+
+
+@register("score_table")
+def q_score_table(spark, sf):
+    _, scored2, _, _ = TJ.score_with_bundle(spark, sf)
+    return scored2
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    scored1, scored2, bundle, _ = TJ.score_with_bundle(spark, sf)
+    return EV.score_parity(scored1, scored2, TJ.KEY, bundle.threshold)
+
+
+@register("score_log")
+def q_score_log(spark, sf):
+    from strata.operators.scoring import log_scores
+    _, scored2, bundle, _ = TJ.score_with_bundle(spark, sf)
+    path = TJ.work_dir(spark, "audit")
+    log_scores(scored2, path, bundle.threshold, bundle.model_type)
+    return spark.read.parquet(path)
+
+
+@register("score_stream")
+def q_score_stream(spark, sf):
+    from strata.streaming.scoring import score_stream
+    _, _, bundle, test = TJ.score_with_bundle(spark, sf)
+    src, sink, ck = (TJ.work_dir(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
+    rows = test.select(TJ.KEY, "label", *bundle.features)
+    rows.repartition(4).write.mode("overwrite").parquet(src)
+    q = score_stream(spark, src, rows.schema, bundle, [TJ.KEY, "label"], sink, ck)
+    q.awaitTermination()
+    return spark.read.parquet(sink).drop("epoch")
+
+
+@register("score_rejects", O.with_(O.V_DAY_RAW, O.DAY_ENT)
+          + "SELECT user_id, day, n_missing, missing_first FROM (SELECT user_id, day, len(m) AS n_missing,"
+          " array_to_string(m[1:5], ',') AS missing_first FROM (SELECT user_id, day, list_filter(["
+          + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in O.DAY_MEAN_FEATURES + ["hr_max"])
+          + "], x -> x IS NOT NULL) AS m FROM day_ent)) WHERE n_missing > 0")
+def q_score_rejects(spark, sf):
+    from strata.operators.scoring import split_rejects
+    ent = V.v_day_entities(spark, sf)
+    _, bad = split_rejects(ent, O.DAY_MEAN_FEATURES + ["hr_max"], keep=["user_id", "day"])
+    return bad
+
+
+@register("metrics_json", O.with_(O.V_ORD_RAW, O.V_SCORE, *_AUC_CTE, f"c AS ({_conf_sql(T_FOREST)})")
+          + f"SELECT {T_FOREST}::DOUBLE AS threshold, {_prf_sql()}, {O.r('roc_auc')} AS roc_auc, tp, fn, fp, tn"
+          " FROM c, auc")
+def q_metrics_json(spark, sf):
+    from strata.sources.tables import read_json_rows, write_json_rows
+    path = TJ.work_dir(spark, "metrics")
+    write_json_rows(EV.metric_bundle(V.v_score(spark, sf), T_FOREST, nested=True), path)
+    schema = ("threshold double, precision double, recall double, f1 double, roc_auc double, accuracy double, "
+              "confusion struct<tp:bigint,fn:bigint,fp:bigint,tn:bigint>")
+    from pyspark.sql.types import _parse_datatype_string
+    back = read_json_rows(spark, path, _parse_datatype_string(schema))
+    return round_doubles(back.select("threshold", "precision", "recall", "f1", "roc_auc", "confusion.*"))
+
+
+@register("scan_split", O.with_(O.V_ORD_RAW, O.ORD_ENT, O.ORD_LAB, O.ORD_SPLIT)
+          + "SELECT e.l_orderkey, " + O.r("e.l_quantity_mean") + " AS l_quantity_mean, e.label FROM ord_ent e"
+          " JOIN ord_split s USING (l_orderkey) WHERE s.split = 'test'")
+def q_scan_split(spark, sf):
+    from strata.sources.tables import scan_split, write_table
+    path = TJ.work_dir(spark, "splits")
+    ent = ord_train_entities(spark, sf).select("l_orderkey", "l_quantity_mean", "label", "split")
+    write_table(ent, path, partition_by=["split"])
+    return round_doubles(scan_split(spark, path, "test").drop("split"))
+
+
+@register("report_pack")
+def q_report_pack(spark, sf):
+    data, prep = TJ.prepared(spark, sf)
+    data = TJ.with_validation(data)
+    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20]})
+    res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
+    mb = EV.metric_bundle(res["scored"], res["threshold"], nested=True).first().asDict(recursive=True)
+    return TJ.report_pack(spark, data, res, "forest", mb, 80, len(prep.features_in))
