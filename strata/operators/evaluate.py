@@ -76,33 +76,49 @@ def roc_points(scored: DataFrame, label: str = "label", prob: str = "p") -> Data
                      safe_div("pos_cum", F.lit(n_pos or 0)).alias("tpr"))
 
 
+def grid_bucket(value: Column, grid: list[float]) -> Column:
+    """Number of (sorted) grid values <= value, as a balanced binary search of
+    CASE expressions: ~log2(len(grid)) literal comparisons per row, all inside
+    whole-stage codegen (no per-row array, no lambda)."""
+    g = sorted(float(t) for t in grid)
+
+    def bs(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value >= F.lit(g[mid]), bs(mid + 1, hi)).otherwise(bs(lo, mid))
+    return F.when(value.isNull(), F.lit(0)).otherwise(bs(0, len(g)))
+
+
 def grid_counts(scored: DataFrame, grid: list[float], label: str = "label", prob: str = "p",
                 groups: list[str] | None = None) -> DataFrame:
     """TP / FP at every grid threshold (p >= t, literal grid values).
 
-    Each row's bucket b is the number of grid values <= p (0..len(grid)); one
-    aggregation gives per-bucket counts, after which everything is tiny: a
-    bucket b counts towards thresholds 1..b.  Output: (groups..., i,
-    threshold, tp, fp, n_pos, n_neg)."""
+    One pass buckets each row (b = number of grid values <= p) and counts per
+    bucket; a bucket b counts towards thresholds 1..b.  The bucket table has
+    at most len(grid)+1 rows per group, so fanning each bucket row out over
+    the grid (index 0 carries the class totals) is tiny and needs no join.
+    Output: (groups..., i, threshold, tp, fp, n_pos, n_neg)."""
+    from pyspark.sql import Window
     groups = list(groups or [])
-    garr = F.array(*[F.lit(float(t)) for t in grid])
-    b = F.size(F.filter(garr, lambda t: t <= F.col(prob)))
+    grid = sorted(float(t) for t in grid)
+    n = len(grid)
     y = F.col(label).cast("long")
-    bc = scored.groupBy(*groups, b.alias("b")).agg(
+    bc = scored.groupBy(*groups, grid_bucket(F.col(prob), grid).alias("b")).agg(
         F.sum(y).alias("pos"), (F.count(F.lit(1)) - F.sum(y)).alias("neg"))
-    tot = bc.groupBy(*groups).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    points = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(float(t)).alias("threshold"))
-                       for i, t in enumerate(grid)])
-    frame = tot.select(*groups, "n_pos", "n_neg", F.explode(points).alias("g")).select(
-        *groups, "g.i", "g.threshold", "n_pos", "n_neg")
-    cum = (bc.filter(F.col("b") >= 1)
-           .select(*groups, F.explode(F.sequence(F.lit(1), F.col("b"))).alias("i"), "pos", "neg")
-           .groupBy(*groups, "i").agg(F.sum("pos").alias("tp"), F.sum("neg").alias("fp")))
-    out = frame.join(cum, [*groups, "i"], "left")
-    return out.select(*groups, "i", "threshold",
-                      F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-                      F.coalesce("fp", F.lit(0)).cast("long").alias("fp"),
-                      F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg"))
+    fan = bc.select(*groups, "b", "pos", "neg", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("i"))
+    hit = F.col("i") <= F.col("b")
+    cum = fan.groupBy(*groups, "i").agg(F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+                                        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"))
+    w = Window.partitionBy(*groups)
+    garr = F.array(*[F.lit(t) for t in grid])
+    out = cum.select(*groups, "i", "tp", "fp",
+                     F.max(F.when(F.col("i") == 0, F.col("tp"))).over(w).alias("n_pos"),
+                     F.max(F.when(F.col("i") == 0, F.col("fp"))).over(w).alias("n_neg"))
+    return out.filter(F.col("i") >= 1).select(
+        *groups, F.col("i").cast("int").alias("i"), F.element_at(garr, F.col("i").cast("int")).alias("threshold"),
+        F.col("tp").cast("long").alias("tp"), F.col("fp").cast("long").alias("fp"),
+        F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg"))
 
 
 def threshold_table(scored: DataFrame, grid: list[float], label="label", prob="p",
