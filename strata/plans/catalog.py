@@ -862,15 +862,19 @@ def q_score_stream(spark, sf):
     return spark.read.parquet(sink).drop("epoch")
 
 
+_REQ = O.DAY_MEAN_FEATURES + ["hr_max"]
+
+
 @register("score_rejects", O.with_(O.V_DAY_RAW, O.DAY_ENT)
-          + "SELECT user_id, day, n_missing, missing_first FROM (SELECT user_id, day, len(m) AS n_missing,"
-          " array_to_string(m[1:5], ',') AS missing_first FROM (SELECT user_id, day, list_filter(["
-          + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in O.DAY_MEAN_FEATURES + ["hr_max"])
-          + "], x -> x IS NOT NULL) AS m FROM day_ent)) WHERE n_missing > 0")
+          + "SELECT user_id, day, n_missing, array_to_string(list_slice(string_split(names, ','), 1, 5), ',')"
+          " AS missing_first FROM (SELECT user_id, day, CAST(" + " + ".join(
+              f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in _REQ) + " AS INTEGER) AS n_missing, concat_ws(',', "
+          + ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in _REQ) + ") AS names FROM day_ent)"
+          " WHERE n_missing > 0")
 def q_score_rejects(spark, sf):
     from strata.operators.scoring import split_rejects
     ent = V.v_day_entities(spark, sf)
-    _, bad = split_rejects(ent, O.DAY_MEAN_FEATURES + ["hr_max"], keep=["user_id", "day"])
+    _, bad = split_rejects(ent, _REQ, keep=["user_id", "day"])
     return bad
 
 
