@@ -76,3 +76,17 @@ def running_sums(df: DataFrame, order: list[str], values: list[str],
     joined = local.join(F.broadcast(offsets), ["_pid", *groups], "inner")
     return joined.select(*df.columns, *[
         (F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{v}{suffix}") for v in values])
+
+
+def dense_index(materialized: DataFrame, out: str = "_idx") -> DataFrame:
+    """0-based dense row index for a DataFrame read back from a reliable
+    checkpoint (fixed partitions and row order, so the index is stable under
+    task retries).  Offsets come from per-partition counts — one row per
+    partition — and are broadcast; no shuffle of the rows themselves."""
+    tagged = (materialized.withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id()))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pos0"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", "_pos0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    return tagged.join(F.broadcast(offsets), "_pid", "inner").select(
+        *materialized.columns, (F.col("_off") + F.col("_pos") - F.col("_pos0")).cast("long").alias(out))

@@ -782,7 +782,7 @@ def q_observation_sheet(spark, sf):
 def q_leakfree_pipeline(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20]})
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20], "maxDepth": [10]})
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
@@ -791,7 +791,7 @@ def q_grid_search(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
     cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8,
-                           grid_values={"numTrees": [20, 40], "maxDepth": [6]})
+                           grid_values={"numTrees": [20, 40], "maxDepth": [6, 10]})
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
@@ -819,7 +819,7 @@ def q_deployable_fit(spark, sf):
 def q_finalize(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [30]})
+    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [30], "maxDepth": [10]})
     res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
     return round_doubles(EV.metric_bundle(res["scored"], res["threshold"]))
 
@@ -907,7 +907,8 @@ def q_scan_split(spark, sf):
 def q_report_pack(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20]})
+    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8,
+                             grid_values={"numTrees": [20], "maxDepth": [10]})
     res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
     mb = EV.metric_bundle(res["scored"], res["threshold"], nested=True).first().asDict(recursive=True)
     return TJ.report_pack(spark, data, res, "forest", mb, 80, len(prep.features_in))
