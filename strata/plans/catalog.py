@@ -831,20 +831,33 @@ def q_train_job(spark, sf):
 
 @register("score_table")
 def q_score_table(spark, sf):
-    _, scored2, _, _ = TJ.score_with_bundle(spark, sf)
-    return scored2
+    return TJ.score_with_bundle(spark, sf)["reloaded_scored"]
 
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
-    scored1, scored2, bundle, _ = TJ.score_with_bundle(spark, sf)
-    return EV.score_parity(scored1, scored2, TJ.KEY, bundle.threshold)
+    """E12 export gate: 80 stratified test rows stacked (U2) with 2,000
+    Gaussian rows drawn around the training means (X6), scored by the bundle
+    before and after a save/load round trip."""
+    r = TJ.score_with_bundle(spark, sf)
+    loaded, test, data, original = r["loaded"], r["test"], r["data"], r["bundle"]
+    feats = loaded.features
+    train = data.filter(F.col("split") == "train")
+    stats = long_form(train, [], feats).groupBy("feature").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    syn = S.gaussian_rows(spark, stats, 2000).select((-F.col("row_id") - 1).alias(TJ.KEY), *feats)
+    smp = S.class_capped_sample(test, [TJ.KEY], "label", 80).select(TJ.KEY, *feats)
+    stacked = smp.unionByName(syn)
+    from strata.operators.scoring import score_table
+    a, b = score_table(stacked, original, [TJ.KEY]), score_table(stacked, loaded, [TJ.KEY])
+    return EV.score_parity(a, b, TJ.KEY, loaded.threshold)
 
 
 @register("score_log")
 def q_score_log(spark, sf):
     from strata.operators.scoring import log_scores
-    _, scored2, bundle, _ = TJ.score_with_bundle(spark, sf)
+    r = TJ.score_with_bundle(spark, sf)
+    scored2, bundle = r["reloaded_scored"], r["loaded"]
     path = TJ.work_dir(spark, "audit")
     log_scores(scored2, path, bundle.threshold, bundle.model_type)
     return spark.read.parquet(path)
@@ -853,7 +866,8 @@ def q_score_log(spark, sf):
 @register("score_stream")
 def q_score_stream(spark, sf):
     from strata.streaming.scoring import score_stream
-    _, _, bundle, test = TJ.score_with_bundle(spark, sf)
+    r = TJ.score_with_bundle(spark, sf)
+    bundle, test = r["loaded"], r["test"]
     src, sink, ck = (TJ.work_dir(spark, n) for n in ("stream-src", "stream-sink", "stream-ckpt"))
     rows = test.select(TJ.KEY, "label", *bundle.features)
     rows.repartition(4).write.mode("overwrite").parquet(src)

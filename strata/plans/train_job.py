@@ -232,7 +232,8 @@ def score_with_bundle(spark, sf, path: str | None = None):
     loaded = load_bundle(spark, path)
     data, _ = prepared(spark, sf)
     test = data.filter(F.col("split") == "test")
-    return scored, score_table(test, loaded, [KEY, "label"]), loaded, test
+    return {"scored": scored, "reloaded_scored": score_table(test, loaded, [KEY, "label"]), "bundle": b,
+            "loaded": loaded, "test": test, "data": data}
 
 
 def long_test_rows(data: DataFrame, feats: list[str]) -> DataFrame:
