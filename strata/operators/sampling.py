@@ -61,8 +61,10 @@ def stratified_split(df: DataFrame, keys: list[str], label: str, share: float |
                      split_col: str = "split") -> DataFrame:
     """Add ``split`` = names[0] / names[1] with exact per-class quotas.
     ``share`` is a fraction (ceil) or an absolute test size."""
-    quotas, _, _ = split_quotas(_class_counts(df, label), share)
+    # rank first: its checkpoint materialises the input once, and the class
+    # counts are then read from that materialisation (no second pass upstream)
     ranked = rank_within(df, [label], [draw_key(keys, seed), *keys], out="_r")
+    quotas, _, _ = split_quotas(_class_counts(ranked, label), share)
     q = F.broadcast(_quota_frame(df, label, quotas))
     return (ranked.join(q, label, "inner")
             .withColumn(split_col, F.when(F.col("_r") <= F.col("_quota"), F.lit(names[0]))
@@ -82,7 +84,8 @@ def stratified_folds(df: DataFrame, keys: list[str], label: str, k: int = 5,
                      seed: int = SEED, fold_col: str = "fold") -> DataFrame:
     """K stratified folds.  Rows are ordered by (class, seeded draw) and
     dealt round-robin, so per-class fold sizes differ by at most one."""
-    counts = _class_counts(df, label)
+    ranked = rank_within(df, [label], [draw_key(keys, seed), *keys], out="_r")
+    counts = _class_counts(ranked, label)
     offs, run = {}, 0
     for c, n in counts:
         offs[c] = run
@@ -90,7 +93,6 @@ def stratified_folds(df: DataFrame, keys: list[str], label: str, k: int = 5,
     spark = df.sparkSession
     off = spark.createDataFrame([(c, int(o)) for c, o in offs.items()],
                                 f"{label} {df.schema[label].dataType.simpleString()}, _off long")
-    ranked = rank_within(df, [label], [draw_key(keys, seed), *keys], out="_r")
     return (ranked.join(F.broadcast(off), label, "inner")
             .withColumn(fold_col, ((F.col("_off") + F.col("_r") - 1) % k).cast("int"))
             .drop("_r", "_off"))

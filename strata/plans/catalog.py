@@ -296,9 +296,13 @@ def q_class_ratio(spark, sf):
 
 
 def ord_train_entities(spark, sf):
-    ent = V.v_ord_entities(spark, sf)
-    sp = ord_split(spark, sf).select("l_orderkey", "split")
-    return ent.join(sp, "l_orderkey", "inner")
+    """V-ORD entity table with the split column, materialised once in the
+    shared checkpoint folder (inside the split's rank step): the profiles
+    below make several passes over it and must not re-aggregate the raw
+    tables for each."""
+    # the split's rank step checkpoints the full entity rows; membership is
+    # the same as ord_split's (it depends on key and label only)
+    return S.stratified_split(V.v_ord_entities(spark, sf), ["l_orderkey"], "label", 0.2)
 
 
 _ORD_SPLIT_ENT = O.with_(O.V_ORD_RAW, O.ORD_ENT, O.ORD_LAB, O.ORD_SPLIT,
