@@ -139,22 +139,34 @@ class FittedPrep:
 
 def fit_prep(train: DataFrame, features: list[str], null_thresh: float = 0.90,
              var_thresh: float = 0.01, scale: bool = True) -> FittedPrep:
-    """F1 -> F2 -> F3 (-> F4) fitted on ``train``; each stage sees the output
-    of the previous one, as in the reference order."""
-    zero = sorted(r["feature"] for r in zero_variance_features(train, features).collect())
+    """F1 -> F2 -> F3 (-> F4) fitted on ``train`` in three passes:
+
+    1. one long-form aggregate gives each feature's sample variance (F1) and
+       null share (F2's filter; a feature's share does not depend on which
+       other features were dropped);
+    2. exact medians of the surviving features;
+    3. one aggregate over the imputed values gives the population variance
+       (F3) and, from the same sums, the scaler's mean and population std (F4).
+    """
+    lf = long_form(train, [], features)
+    st = {r["feature"]: r for r in lf.groupBy("feature").agg(
+        F.var_samp("value").alias("v"),
+        (F.lit(1.0) - F.count("value") / F.count(F.lit(1))).alias("ns")).collect()}
+    zero = sorted(f for f in features if st[f]["v"] is not None and st[f]["v"] == 0)
     f1 = [f for f in features if f not in zero]
-    high = sorted(r["feature"] for r in high_null_features(train, f1, null_thresh).collect())
+    high = sorted(f for f in f1 if st[f]["ns"] > null_thresh)
     f2 = [f for f in f1 if f not in high]
     med = {f: float(v) for f, v in _per_feature(medians(train, f2), "median").items() if v is not None}
     filled = train.select(*[F.coalesce(F.col(f).cast("double"), F.lit(med[f])).alias(f) if f in med
                             else F.col(f).cast("double").alias(f) for f in f2])
-    var = _per_feature(population_variance(filled, f2), "variance")
-    kept = [f for f in f2 if var.get(f) is not None and var[f] > var_thresh]
+    mom = {r["feature"]: r for r in long_form(filled, [], f2).groupBy("feature").agg(
+        F.var_pop("value").alias("variance"), F.avg("value").alias("mean"),
+        F.stddev_pop("value").alias("sd")).collect()}
+    kept = [f for f in f2 if mom[f]["variance"] is not None and mom[f]["variance"] > var_thresh]
     prep = FittedPrep(features_in=list(features), zero_var=zero, high_null=high, medians=med, kept=kept)
     if scale and kept:
-        st = scaler_stats(filled.select(*kept), kept).collect()
-        prep.means = {r["feature"]: r["mean"] for r in st}
-        prep.scales = {r["feature"]: r["scale"] for r in st}
+        prep.means = {f: mom[f]["mean"] for f in kept}
+        prep.scales = {f: (mom[f]["sd"] if mom[f]["sd"] else 1.0) for f in kept}
     return prep
 
 
