@@ -211,7 +211,7 @@ class BalancedModel(Model):
         return self.inner.transform(dataset)
 
 
-def leakfree_pipeline(classifier, input_cols: list[str], key: str, k_features: int = 50,
+def leakfree_estimator(classifier, input_cols: list[str], key: str, k_features: int = 50,
                       step: float = 0.5, label: str = "label", seed: int = SEED) -> Pipeline:
     """M3: scale -> RFE(k) -> SMOTE -> classifier, every step refit per fold."""
     return Pipeline(stages=[

@@ -56,13 +56,13 @@ def q_entity_range(spark, sf):
     return round_doubles(agg.entity_range(V.v_ord_raw(spark, sf), ORD))
 
 
-@register("entity_statics", O.with_(O.V_DAY_RAW.replace("1.0::DOUBLE AS const_one", "1.0::DOUBLE AS const_one"))
+@register("entity_statics", O.with_(O.V_DAY_RAW)
           + "SELECT user_id, day, min({'o': hr, 'v': click}) FILTER (WHERE click IS NOT NULL).v AS click"
           " FROM v_day_raw GROUP BY user_id, day")
 def q_entity_statics(spark, sf):
     # first non-missing value in sequence order, on a sparse column
-    spec = V.DAY_SPEC.__class__(entity=("user_id", "day"), seq="hr", measures=(),
-                                statics=("click",))
+    from strata.spec import CohortSpec
+    spec = CohortSpec(entity=("user_id", "day"), seq="hr", measures=(), statics=("click",))
     return round_doubles(agg.entity_statics(V.v_day_raw(spark, sf), spec))
 
 
@@ -782,8 +782,8 @@ def q_observation_sheet(spark, sf):
     return round_doubles(RP.observation_sheet(band, imp, [TJ.KEY]))
 
 
-@register("leakfree_pipeline")
-def q_leakfree_pipeline(spark, sf):
+@register("leakfree_cv")
+def q_leakfree_cv(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
     cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20], "maxDepth": [10]})

@@ -110,7 +110,7 @@ def tune(spark, data: DataFrame, feats: list[str], kind: str, n_folds: int = 3,
     tr2 = data.filter(F.col("split") == "tr2")
     tr2 = S.stratified_folds(tr2, [KEY], "label", n_folds, seed=44)
     clf = M.random_forest(seed=M.SEED) if kind == "forest" else M.boosted_trees(seed=M.SEED)
-    pipe = M.leakfree_pipeline(clf, feats, KEY, k_features=k_features)
+    pipe = M.leakfree_estimator(clf, feats, KEY, k_features=k_features)
     if space is not None:
         grid = M.random_param_maps(clf, space, n_draws)
     else:

@@ -5,15 +5,15 @@ from strata.operators.aggregate import entity_table
 from strata.sources.tables import normalize_raw
 from strata.spec import CohortSpec
 
-SPEC = CohortSpec(entity=("Patient_ID",), seq="ICULOS", measures=("HR", "Lactate", "Temp"),
-                  statics=("Age", "Gender"), row_label="SepsisLabel", target="Sepsis")
+SPEC = CohortSpec(entity=("stay_id",), seq="hour", measures=("HR", "Lactate", "Temp"),
+                  statics=("Age", "Gender"), row_label="row_flag", target="ever_flag")
 
 
 def toy(spark):
     rows = [(1, 60, 1, 80.0, 1.0, 1, 0), (1, 60, 1, 90.0, 2.0, 2, 0), (1, 60, 1, 110.0, 4.0, 3, 1),
             (2, 45, 0, 70.0, float("nan"), 1, 0), (2, 45, 0, 72.0, None, 2, 0), (None, 50, 1, 1.0, 1.0, 1, 1)]
-    df = spark.createDataFrame(rows, "Patient_ID long, Age int, Gender int, HR double, Lactate double, "
-                                     "ICULOS int, SepsisLabel int")
+    df = spark.createDataFrame(rows, "stay_id long, Age int, Gender int, HR double, Lactate double, "
+                                     "hour int, row_flag int")
     return normalize_raw(df, SPEC)
 
 
@@ -23,14 +23,14 @@ def test_one_row_per_entity(spark):
 
 
 def test_label_is_ever_positive(spark):
-    got = {r.Patient_ID: r.Sepsis for r in entity_table(toy(spark), SPEC).collect()}
+    got = {r.stay_id: r.ever_flag for r in entity_table(toy(spark), SPEC).collect()}
     assert got == {1: 1, 2: 0}
 
 
 def test_range_and_length(spark):
-    r = {x.Patient_ID: x for x in entity_table(toy(spark), SPEC).collect()}
+    r = {x.stay_id: x for x in entity_table(toy(spark), SPEC).collect()}
     assert r[1].HR_range == 30.0
-    assert r[1].ICULOS_max == 3 and r[2].ICULOS_max == 2
+    assert r[1].hour_max == 3 and r[2].hour_max == 2
     assert math.isclose(r[1].HR_std, 15.275252316519467)
 
 
@@ -38,11 +38,11 @@ def test_column_names_and_absent_measure(spark):
     cols = entity_table(toy(spark), SPEC).columns
     assert [c for c in cols if c.startswith("HR_")] == ["HR_min", "HR_max", "HR_mean", "HR_std", "HR_range"]
     assert not any(c.startswith("Temp") for c in cols)  # listed but absent -> skipped
-    assert "SepsisLabel" not in cols
+    assert "row_flag" not in cols and "ever_flag" in cols
 
 
 def test_nan_and_null_are_missing(spark):
-    r = {x.Patient_ID: x for x in entity_table(toy(spark), SPEC).collect()}
+    r = {x.stay_id: x for x in entity_table(toy(spark), SPEC).collect()}
     assert r[2].Lactate_max is None and r[2].Lactate_mean is None and r[2].Lactate_std is None
     assert r[1].Lactate_mean == 7.0 / 3
 

@@ -63,11 +63,11 @@ def test_rfe_schedule():
     assert M.rfe_schedule(10, 4, 1) == [10, 9, 8, 7, 6, 5, 4]
 
 
-def test_leakfree_pipeline_cv_and_scores(spark, gauss):
+def test_leakfree_cv_and_scores(spark, gauss):
     from strata.operators.sampling import stratified_folds
     data = stratified_folds(gauss, ["k"], "label", 3)
     clf = M.random_forest(num_trees=10, max_depth=4)
-    pipe = M.leakfree_pipeline(clf, FEATS, "k", k_features=4)
+    pipe = M.leakfree_estimator(clf, FEATS, "k", k_features=4)
     grid = M.param_grid(clf, {"numTrees": [5, 10]})
     cvm = M.grid_search(pipe, grid, data, n_folds=3)
     assert len(cvm.avgMetrics) == 2 and all(0 <= m <= 1 for m in cvm.avgMetrics)
