@@ -92,3 +92,20 @@ def test_bundle_roundtrip_parity_and_rejects(spark, gauss, tmp_path):
     assert ok.count() == 197 and {r.missing_first for r in bad.collect()} == {"f1"}
     with pytest.raises(ValueError):
         split_rejects(gauss.drop("f5"), FEATS)
+
+
+@pytest.mark.parametrize("block_rows", [7, 40])
+def test_pivot_knn_matches_brute_force(spark, block_rows):
+    rng = np.random.default_rng(11)
+    centers = rng.normal(0, 4, (4, 3))
+    pts = np.concatenate([c + rng.normal(0, 1, (60, 3)) for c in centers])
+    pts[10] = pts[11]  # an exact duplicate: distance-0 tie broken by key
+    rows = [(i, *[float(v) for v in p]) for i, p in enumerate(pts)]
+    df = spark.createDataFrame(rows, "k long, a double, b double, c double")
+    got = BA.minority_knn(df, "k", ["a", "b", "c"], k=5, block_rows=block_rows, method="pivot").collect()
+    assert len(got) == 5 * len(pts)
+    K = np.arange(len(pts))
+    for r in got:
+        d = ((pts - pts[r.k]) ** 2).sum(1)
+        d[r.k] = np.inf
+        assert K[np.lexsort((K, d))[r.nn_rank - 1]] == r.nn_key
