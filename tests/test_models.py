@@ -94,7 +94,7 @@ def test_bundle_roundtrip_parity_and_rejects(spark, gauss, tmp_path):
         split_rejects(gauss.drop("f5"), FEATS)
 
 
-@pytest.mark.parametrize("block_rows", [7, 40])
+@pytest.mark.parametrize("block_rows", [25])
 def test_pivot_knn_matches_brute_force(spark, block_rows):
     rng = np.random.default_rng(11)
     centers = rng.normal(0, 4, (4, 3))
