@@ -21,11 +21,20 @@ def _per_feature(df: DataFrame, name: str) -> dict:
     return {r["feature"]: r[name] for r in df.collect()}
 
 
+def _is_constant() -> F.Column:
+    """Sample variance exactly zero, tested exactly: at least two non-missing
+    values and min == max.  (Spark's merged ``var_samp`` of a constant column
+    can come out as ~1e-30 depending on partition layout, so ``var == 0`` is
+    not a reliable test; an all-missing or single-value column has an
+    undefined variance and is not constant here.)"""
+    return (F.count("value") >= 2) & (F.min("value") == F.max("value"))
+
+
 def zero_variance_features(train: DataFrame, features: list[str]) -> DataFrame:
-    """F1 fit: (feature) with sample variance exactly 0 on the training rows
-    (an all-missing column has NULL variance and is left to the null filter)."""
-    v = long_form(train, [], features).groupBy("feature").agg(F.var_samp("value").alias("v"))
-    return v.filter(F.col("v") == 0).select("feature")
+    """F1 fit: (feature) with zero sample variance on the training rows (an
+    all-missing column is left to the null filter)."""
+    v = long_form(train, [], features).groupBy("feature").agg(_is_constant().alias("const"))
+    return v.filter(F.col("const")).select("feature")
 
 
 def drop_zero_variance(train: DataFrame, test: DataFrame, features: list[str]):
@@ -72,7 +81,8 @@ def variance_filter(train: DataFrame, test: DataFrame, features: list[str], thre
 def scaler_stats(train: DataFrame, features: list[str]) -> DataFrame:
     """F4 fit: mean and population std (0 -> 1) per feature."""
     st = long_form(train, [], features).groupBy("feature").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd"))
+        F.avg("value").alias("mean"),
+        F.when(F.min("value") == F.max("value"), F.lit(0.0)).otherwise(F.stddev_pop("value")).alias("sd"))
     return st.select("feature", "mean",
                      F.when(F.col("sd").isNull() | (F.col("sd") == 0), F.lit(1.0)).otherwise(F.col("sd"))
                      .alias("scale"))
@@ -150,9 +160,9 @@ def fit_prep(train: DataFrame, features: list[str], null_thresh: float = 0.90,
     """
     lf = long_form(train, [], features)
     st = {r["feature"]: r for r in lf.groupBy("feature").agg(
-        F.var_samp("value").alias("v"),
+        _is_constant().alias("const"),
         (F.lit(1.0) - F.count("value") / F.count(F.lit(1))).alias("ns")).collect()}
-    zero = sorted(f for f in features if st[f]["v"] is not None and st[f]["v"] == 0)
+    zero = sorted(f for f in features if st[f]["const"])
     f1 = [f for f in features if f not in zero]
     high = sorted(f for f in f1 if st[f]["ns"] > null_thresh)
     f2 = [f for f in f1 if f not in high]
@@ -161,7 +171,8 @@ def fit_prep(train: DataFrame, features: list[str], null_thresh: float = 0.90,
                             else F.col(f).cast("double").alias(f) for f in f2])
     mom = {r["feature"]: r for r in long_form(filled, [], f2).groupBy("feature").agg(
         F.var_pop("value").alias("variance"), F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("sd")).collect()}
+        F.when(F.min("value") == F.max("value"), F.lit(0.0)).otherwise(F.stddev_pop("value")).alias("sd")
+    ).collect()}
     kept = [f for f in f2 if mom[f]["variance"] is not None and mom[f]["variance"] > var_thresh]
     prep = FittedPrep(features_in=list(features), zero_var=zero, high_null=high, medians=med, kept=kept)
     if scale and kept:

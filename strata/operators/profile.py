@@ -141,7 +141,11 @@ def cohort_stats(ent: DataFrame, features: list[str], places: int | None = 4) ->
     """Per-feature mean, std (1.0 when 0), q01, q25, q75, q99; rounded
     to ``places`` as published."""
     lf = long_form(ent, [], features)
-    mom = lf.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    # std of an exactly constant column is 0 by definition (min == max): the
+    # merged stddev can carry float noise, so the test is on min/max
+    mom = lf.groupBy("feature").agg(
+        F.avg("value").alias("mean"),
+        F.when(F.min("value") == F.max("value"), F.lit(0.0)).otherwise(F.stddev_samp("value")).alias("std"))
     qs = exact_percentiles_wide(lf, ["feature"], "value",
                                 {"q01": 0.01, "q25": 0.25, "q75": 0.75, "q99": 0.99})
     out = mom.join(qs, "feature", "left").select(

@@ -141,7 +141,7 @@ DAY_PREP = (
     "dtr AS (SELECT * FROM day_split WHERE split = 'train')",
     f"dtr_long AS ({long_sql('dtr', [], DAY_FEATURES)})",
     f"dall_long AS ({long_sql('day_split', ['user_id', 'day', 'split'], DAY_FEATURES)})",
-    "zv AS (SELECT feature FROM dtr_long GROUP BY feature HAVING var_samp(value) = 0)",
+    "zv AS (SELECT feature FROM dtr_long GROUP BY feature HAVING count(value) >= 2 AND min(value) = max(value))",
     "hn AS (SELECT feature FROM dtr_long WHERE feature NOT IN (SELECT feature FROM zv) GROUP BY feature"
     " HAVING 1.0 - CAST(count(value) AS DOUBLE) / count(*) > 0.9)",
     "med AS (SELECT feature, quantile_cont(value, 0.5) AS med FROM dtr_long WHERE feature NOT IN (SELECT"
