@@ -59,3 +59,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     of executors, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``strata`` importable in Python workers (the pandas-UDF stages
+    pickle functions from this package): zip the package once per
+    SparkContext and ``addPyFile`` it, the standard way to ship code to
+    executors.  The zip is code, built on the driver; no data goes there."""
+    import zipfile
+
+    import strata
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(strata.__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="strata-pkg-"), "strata.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    sc._strata_shipped = True
