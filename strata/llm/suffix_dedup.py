@@ -3,31 +3,34 @@
 Every byte covered by a string of ``length`` bytes that also starts earlier
 (smaller doc_id, or the same document and a smaller offset) is removed.
 
-Suffixes are put into buckets by their first q = 32 bytes.  A bucket's
+Suffixes are put into buckets by their first q = 24 bytes.  A bucket's
 identifier is the 64-bit name of its q-gram, and deeper identifiers come from
 the identifiers of later offsets, reused at every level:
-id_2h(i) = name(id_h(i), id_h(i + h)).  Five levels give the 32-byte buckets,
-two more the 64-byte ones, and id_100(i) = name(id_64(i), id_32(i + 64),
-id_4(i + 96)).  Suffixes need not be sorted deeper than 100 bytes, and an order
-inside a bucket is only needed on (doc_id, offset), which is a minimum.
+id_2h(i) = name(id_h(i), id_h(i + h)), so id_24(i) = name(id_16(i), id_8(i + 16))
+and id_100(i) = name(id_64(i), id_32(i + 64), id_4(i + 96)).  Suffixes need not
+be sorted deeper than 100 bytes, and inside a class of equal strings only the
+order of (doc_id, offset) counts.
 
 Not every suffix carries a bucket pointer through the shuffle.  Each window of
-100 bytes points at its smallest 32-byte bucket identifier (leftmost on ties).
+100 bytes points at its smallest 24-byte bucket identifier (leftmost on ties).
 Equal windows point at equal buckets at equal offsets, so only windows whose
 pointers meet in one bucket can be equal.  The consecutive windows that share a
 pointer are one row, a *run*:
 
-1. buckets with one member are sorted out (partial counts, one shuffle of ids);
-2. runs in the other buckets are refined by the identifiers at their first and
-   last window: equal runs have equal bytes, and all but the earliest are
-   removed whole;
-3. in a bucket that still holds different runs, the earliest of each are
-   refined window by window; a window that has an earlier twin is removed.
-
-Names are 64-bit, and rows are compared on the bucket and the deeper name
-together (128 bits).  Counts and minima are combined before each shuffle; joins
-are plain equi-joins, which AQE splits where one bucket is hot; no bucket is
-collected, and no pairs are made."""
+1. the runs are sorted by (bucket, deeper identifier, place), the deeper one
+   being made of those of the run's first and last window, so that equal runs
+   have equal bytes.  All but the first of equal runs are removed whole, a
+   bucket with one member is done, and where a bucket still holds different
+   runs, the first of each go on;
+2. these are refined window by window on their bytes, in the order of their
+   places; a window that came before is removed.
+
+Both steps read a sorted stream and hold one row, or the windows of at most
+``chunk`` runs of one bucket.  Equal runs of one Arrow batch are combined before
+the shuffle, so a passage that a third of all documents share is a few rows of
+its bucket.  A bucket with more than ``chunk`` different runs is worked on chunk
+by chunk, and the first windows of its chunks meet in a second, evenly spread
+shuffle.  No bucket is collected, and no pairs are made."""
 
 from __future__ import annotations
 
@@ -36,12 +39,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_blocks, mapped, same_row, staged, utf8_column
+from strata.llm.common import doc_blocks, mapped, staged, utf8_column
 
-LENGTH, Q = 100, 32
+LENGTH, Q, CHUNK = 100, 24, 4096
 BLOCK = 1 << 18
 _POSITION = np.uint64((1 << 20) - 1)
 _RNG = np.random.default_rng(97531)
@@ -66,13 +70,16 @@ def identifiers(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.
         low = levels[size]
         levels[size * 2] = _name(size.bit_length(), low[:-size], low[size:]) if len(low) > size else low[:0]
         size *= 2
-    n = max(0, len(data) - length + 1)
-    parts, at, left = [], 0, length
-    while left:
-        size = 1 << left.bit_length() - 1
-        parts.append(levels[size][at:at + n])
-        at, left = at + size, left - size
-    return levels[Q], _name(12, *parts)
+
+    def deep(size: int, salt: int) -> np.ndarray:
+        n, parts, at = max(0, len(data) - size + 1), [], 0
+        while at < size:
+            step = 1 << (size - at).bit_length() - 1
+            parts.append(levels[step][at:at + n])
+            at += step
+        return _name(salt, *parts)
+
+    return deep(Q, 11), deep(length, 12)
 
 
 def pointers(q: np.ndarray, n: int, length: int = LENGTH) -> np.ndarray:
@@ -100,13 +107,12 @@ def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.nda
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
-    """(document, bucket, first window, number of windows, identifiers of the
-    first and last window, offset of the pointer from the first) of every run,
-    and a function that gives the identifiers of a run's windows.
+    """(document, bucket, deeper identifier, first window, number of windows)
+    of every run.
 
     A long document is worked on in stretches of 2^18 bytes; a run that crosses
     a stretch's end is two runs, which only makes two equal runs less likely to
-    be found equal as a whole: step 3 finds their windows."""
+    be found equal as a whole: their windows still are."""
     for lo, hi, docs, ends in _pieces(offsets, length):
         part = data[lo:hi]
         n = len(part) - length + 1
@@ -115,79 +121,172 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
         q, w = identifiers(part, length)
         point = pointers(q, n, length)
         at = np.arange(n)
-        doc = docs[np.searchsorted(ends, at + lo, "right") - 1] if len(docs) > 1 else np.full(n, docs[0])
+        doc = docs[np.searchsorted(ends, at + lo, "right") - 1]
         ok = at + lo + length <= offsets[doc + 1]
         if len(docs) == 1:
-            ok &= at < BLOCK if hi < offsets[docs[0] + 1] or lo > offsets[docs[0]] else True
+            ok &= at < (BLOCK if hi < offsets[docs[0] + 1] else n)
         new = ok.copy()
         new[1:] &= (point[1:] != point[:-1]) | (doc[1:] != doc[:-1]) | ~ok[:-1]
-        first = np.flatnonzero(new)
         stop = ok.copy()
         stop[:-1] &= new[1:] | ~ok[1:]
-        last = np.flatnonzero(stop)
-        yield doc[first], q[point[first]], first + lo - offsets[doc[first]], last - first + 1, \
-            w[first], w[last], point[first] - first, w, first
-
+        first, last = np.flatnonzero(new), np.flatnonzero(stop)
+        size = last - first + 1
+        shift = point[first] - first
+        deep = _name(13, w[first], w[last], size.astype(np.uint64), shift.astype(np.uint64))
+        yield doc[first], q[point[first]], deep, first + lo - offsets[doc[first]], size
 
-def _whole(first, last, n, shift):
-    return _name(13, first, last, n.astype(np.uint64), shift.astype(np.uint64))
 
+RUN = "bucket long, deep long, doc_id long, th int, at long, n int"
 
-def _as_long(x: np.ndarray) -> pa.Array:
-    return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
-def _batch(names: list[str], *cols) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else _as_long(c) for c in cols], names)
 
+def _run_rows(docs: DataFrame, length: int) -> DataFrame:
+    """The runs of all documents.  Of equal runs of one batch the first keeps
+    its bucket; the others are known to go: their n is negative, and they get a
+    random bucket."""
 
-def _take(column: pa.Array, rows: np.ndarray) -> pa.Array:
-    return column.take(pa.array(rows, pa.int64()))
-
-
-def _buckets(docs: DataFrame, length: int, full: bool) -> DataFrame:
-    """The bucket of every run; with ``full`` also its place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8_column(batch.column(2))
+            found = list(runs(data, offsets, length))
+            if not found:
+                continue
+            doc, bucket, deep, at, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            ids, th = batch.column(0), batch.column(1).to_numpy()
+            keys = np.rec.fromarrays([ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(), th])
+            _, one_of, place = np.unique(keys, return_index=True, return_inverse=True)
+            own = one_of[place[doc]] == doc         # not of a row that repeats another
+            doc, bucket, deep, at, n = (x[own] for x in (doc, bucket, deep, at, n))
+            order = np.lexsort((at, place[doc], deep, bucket))
+            again = np.zeros(len(order), bool)
+            one, two = order[1:], order[:-1]
+            again[one] = (bucket[one] == bucket[two]) & (deep[one] == deep[two])
+            bucket[again] = _name(14, place[doc[again]].astype(np.uint64), at[again].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(bucket), _signed(deep), ids.take(pa.array(doc)), pa.array(th[doc]), pa.array(at),
+                 pa.array(np.where(again, -n, n).astype(np.int32))],
+                ["bucket", "deep", "doc_id", "th", "at", "n"])
+
+    return mapped(docs, run, RUN)
+
+
+def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Step 1 over runs sorted by (bucket, deep, place): runs that go (n below
+    zero) and the first of each kind in buckets that hold several."""
+    before, pending = None, None    # the last row; a first run whose bucket may yet hold another
+    for batch in batches:
+        n = batch.column(5).to_numpy()
+        gone = batch.filter(pa.array(n < 0))
+        if gone.num_rows:
+            yield gone
+        batch = batch.filter(pa.array(n > 0))
+        if not batch.num_rows:
+            continue
+        ids = batch.column(2)
+        rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False),
+                ids.fill_null(0).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_numpy()]
+
+        def changed(x, i, before=before):
+            return np.r_[before is None or before[i] != x[0], x[1:] != x[:-1]]
+
+        steps = [changed(x, i) for i, x in enumerate(rows)]
+        new_bucket, new_deep = steps[0], steps[0] | steps[1]
+        same = ~np.logical_or.reduce(steps)          # a row of a document that another batch holds too
+        before, n = [x[-1] for x in rows], batch.column(5).to_numpy()
+        first = np.flatnonzero(new_deep)
+        if len(first):
+            follows = ~new_bucket[first]             # another run of the bucket comes before this one
+            if pending is not None and follows[0]:
+                yield pending
+            mixed = follows.copy()
+            mixed[:-1] |= follows[1:]
+            pending = None if mixed[-1] else batch.slice(first[-1], 1)
+            if mixed.any():
+                yield batch.take(pa.array(first[mixed]))
+        later = ~new_deep & ~same
+        if later.any():
+            yield batch.filter(pa.array(later)).set_column(5, "n", pa.array(-n[later]))
+
+
+def _bytes_of(docs: DataFrame, length: int) -> DataFrame:
+    """The bytes that the runs ``todo`` (bucket, at, n) of each document cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8_column(batch.column(2))
-            for doc, bucket, at, *_ in runs(data, offsets, length):
-                if full:
-                    yield _batch(["bucket", "doc_id", "th", "at"], bucket, _take(batch.column(0), doc),
-                                 _take(batch.column(1), doc), at)
-                else:
-                    value, n = np.unique(bucket, return_counts=True)
-                    yield _batch(["bucket", "n"], value, n)
+            todo = batch.column(3)
+            flat = todo.flatten()
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(todo.offsets.to_numpy()))
+            at, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            starts = offsets[doc] + at
+            raw = memoryview(data)
+            body = [raw[a:b].tobytes() for a, b in zip(starts, starts + n + length - 1, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [flat.field(0), batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)),
+                 flat.field(1), pa.array(body, pa.binary())], ["bucket", "doc_id", "th", "at", "body"])
 
-    return mapped(docs, run, "bucket long, doc_id long, th int, at long" if full else "bucket long, n long")
+    return mapped(docs, run, "bucket long, doc_id long, th int, at long, body binary")
 
 
-def _refined(docs: DataFrame, length: int, windows: bool) -> DataFrame:
-    """Step 2: the deeper identifiers of the runs that start at the offsets
-    ``ats``.  Step 3 (``windows``): those of each of their windows."""
+def _window_scan(length: int, chunk: int):
+    """Step 2 over runs sorted by (bucket, place): ranges of windows that go
+    (``sure``), and the first windows of each chunk of a bucket that has more
+    than one; k1 and k2 name the window, or spread the sure rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, tuple] = {}
+        bucket, held, chunks, last = None, 0, 0, None
+        rows: list[tuple] = []
+
+        def leave():
+            if chunks:
+                for window, place in seen.items():
+                    name = xxhash.xxh3_128_intdigest(window)
+                    rows.append(((name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), *place, 1, False))
+
+        def out():
+            cols = list(zip(*rows, strict=True))
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()
+            got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                             ["k1", "k2", "doc_id", "th", "at", "n", "sure"])
+            rows.clear()
+            return got
+
         for batch in batches:
-            data, offsets = utf8_column(batch.column(2))
-            wanted = batch.column(3)
-            some = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
-            wanted = (some << 40) | wanted.flatten().to_numpy()
-            wanted.sort()
-            for doc, bucket, at, n, first, last, shift, w, begin in runs(data, offsets, length):
-                keep = np.isin((doc << 40) | at, wanted)
-                doc, bucket, at, n = doc[keep], bucket[keep], at[keep], n[keep]
-                if windows:
-                    each = np.repeat(np.arange(len(n)), n)
-                    nth = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                    deep = w[begin[keep][each] + nth]
-                    yield _batch(["bucket", "deep", "doc_id", "th", "at"], bucket[each], deep,
-                                 _take(batch.column(0), doc[each]), _take(batch.column(1), doc[each]), at[each] + nth)
-                else:
-                    deep = _whole(first[keep], last[keep], n, shift[keep])
-                    yield _batch(["bucket", "deep", "doc_id", "th", "at", "n"], bucket, deep,
-                                 _take(batch.column(0), doc), _take(batch.column(1), doc), at, n)
-
-    return mapped(docs, run, "bucket long, deep long, doc_id long, th int, at long" + ("" if windows else ", n long"))
+            for b, doc, th, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != bucket:
+                    leave()
+                    seen, bucket, held, chunks = {}, b, 0, 0
+                elif (doc, th, at) == last:     # a row that repeats another
+                    continue
+                elif held == chunk:
+                    chunks += 1
+                    leave()
+                    seen, held = {}, 0
+                held, last = held + 1, (doc, th, at)
+                since = None
+                for k in range(len(body) - length + 1):
+                    window = body[k:k + length]
+                    if window in seen:
+                        since = k if since is None else since
+                        continue
+                    seen[window] = (doc, th, at + k)
+                    if since is not None:
+                        rows.append((b, at + since, doc, th, at + since, k - since, True))
+                        since = None
+                if since is not None:
+                    k = len(body) - length + 1
+                    rows.append((b, at + since, doc, th, at + since, k - since, True))
+            if len(rows) > 10_000:
+                yield out()
+        leave()
+        if rows:
+            yield out()
+
+    return run
 
 
 def _cut(docs: DataFrame, length: int) -> DataFrame:
@@ -223,7 +322,7 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH) -> DataFrame:
+                   length: int = LENGTH, chunk: int = CHUNK) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` per input row.
 
     A null text is empty; a text shorter than ``length`` loses nothing.  Rows
@@ -235,33 +334,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must be at least {Q}")
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col).cast("string")).alias("th"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    place = F.struct("doc_id", "th", "at")
-    shared = (_buckets(keyed, length, False).groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1")
-              .select("bucket"))
-    begins = staged(_buckets(keyed, length, True).join(shared, "bucket", "left_semi")
-                    .groupBy("doc_id", "th").agg(F.collect_list("at").alias("ats")), "suffix-begins")
+    place = "doc_id", "th", "at"
+    sorted_runs = _run_rows(keyed, length).repartition("bucket").sortWithinPartitions("bucket", "deep", *place)
+    judged = staged(mapped(sorted_runs, _sort_out, RUN), "suffix-runs")
+
+    key = "id", "null", "th"        # never null, so that one exchange serves a grouping and the join with the texts
+    own = F.coalesce("doc_id", F.lit(0)).alias("id"), F.isnull("doc_id").alias("null")
+    texts = keyed.select(*own, "doc_id", "th", "text")
 
     def with_text(lists: DataFrame, how: str) -> DataFrame:
-        return keyed.alias("d").join(lists.hint("shuffle_merge").alias("l"), same_row("d", "l", "doc_id", "th"), how)
-
-    level2 = staged(_refined(with_text(begins, "inner").select("d.doc_id", "d.th", "d.text", "l.ats"), length, False),
-                    "suffix-runs")
-    least = staged(level2.groupBy("bucket", "deep").agg(F.min(place).alias("p")), "suffix-least")
-    mixed = least.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    split = (least.join(mixed, "bucket", "left_semi").select("p.*")
-             .groupBy("doc_id", "th").agg(F.collect_list("at").alias("ats")))
-    level3 = staged(_refined(with_text(split, "inner").select("d.doc_id", "d.th", "d.text", "l.ats"), length, True),
-                    "suffix-windows")
-    earlier = level3.groupBy("bucket", "deep").agg(F.min(place).alias("p"), F.count(F.lit(1)).alias("c"))
-    twins = (level3.alias("w").join(earlier.where("c > 1").alias("e"), ["bucket", "deep"])
-             .where(~(F.col("w.doc_id").eqNullSafe(F.col("e.p.doc_id")) & F.col("w.th").eqNullSafe(F.col("e.p.th"))
-                      & (F.col("w.at") == F.col("e.p.at"))))
-             .select("w.doc_id", "w.th", "w.at", F.lit(1).cast("long").alias("n")))
-    later = (level2.alias("r").join(least.alias("e"), ["bucket", "deep"])
-             .where(~(F.col("r.doc_id").eqNullSafe(F.col("e.p.doc_id")) & F.col("r.th").eqNullSafe(F.col("e.p.th"))
-                      & (F.col("r.at") == F.col("e.p.at"))))
-             .select("r.doc_id", "r.th", "r.at", "r.n"))
-    gone = (later.union(twins).groupBy("doc_id", "th")
-            .agg(F.collect_list(F.struct("at", "n")).alias("gone")))
-    whole = with_text(gone, "left").select("d.doc_id", "d.text", "l.gone")
-    return _cut(whole, length)
+        return texts.join(lists.hint("shuffle_merge"), list(key), how)
+
+    todo = (judged.where("n > 0").select(*own, "th", F.struct("bucket", "at", "n").alias("r")).groupBy(*key)
+            .agg(F.collect_list("r").alias("todo")))
+    bodies = _bytes_of(with_text(todo, "inner").select("doc_id", "th", "text", "todo"), length)
+    windows = mapped(bodies.repartition("bucket")
+                     .sortWithinPartitions("bucket", *place), _window_scan(length, chunk),
+                     "k1 long, k2 long, doc_id long, th int, at long, n int, sure boolean")
+    nth = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("sure", *place))
+    twins = windows.withColumn("nth", nth).where("sure or nth > 1").select(*place, "n")
+    gone = (judged.where("n < 0").select(*place, (-F.col("n")).alias("n")).union(twins)
+            .select(*own, "th", F.struct("at", "n").alias("r")).groupBy(*key).agg(F.collect_list("r").alias("gone")))
+    return _cut(with_text(gone, "left").select("doc_id", "text", "gone"), length)
