@@ -34,6 +34,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, id_col: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``df``: those whose id has the smallest hash, the
+    same at any partitioning.  A cut of the hash at about twice the share that
+    is needed keeps what each task sends to the driver in proportion."""
+    n = df.count()
+    h = F.xxhash64(F.col(id_col).cast("long"))
+    if n > 2 * rows:
+        df = df.where(h < int(-(1 << 63) + (1 << 64) * (2 * rows / n)))
+    return df.orderBy(h, *[F.col(f"`{c}`") for c in df.columns]).limit(rows)
+
+
+def byte_pieces(text: Column, size: int, most: int) -> Column:
+    """At most ``most`` pieces of ``size`` bytes, spread evenly over a text."""
+    raw = text.cast("binary")
+    length = F.octet_length(raw)
+    step = F.greatest(F.lit(size), (length / most).cast("int"))
+    return F.filter(F.array(*[F.when(F.lit(j) * step < length, raw.substr(F.lit(j) * step + 1, F.lit(size)))
+                              for j in range(most)]), lambda p: p.isNotNull())
+
+
 def utf8_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and the n + 1 offsets of an Arrow string or binary column; a null
     is an empty text.  No row is decoded or copied."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import mapped, utf8_column
+from strata.llm.common import bounded_sample, byte_pieces, mapped, utf8_column
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 TRAIN_ROWS, WINDOWS_PER_DOC, EPOCHS, BATCH = 4000, 4, 4, 64
@@ -134,16 +134,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     and text not null); None if there is none."""
     key = F.crc32(F.col(id_col).cast("string").cast("binary"))
     rows = (docs.where((key % 5 != 0) & F.col(label_col).isNotNull() & (F.length(text_col) > 0))
-            .select(F.xxhash64(F.col(id_col).cast("long")).alias("h"), F.col(id_col).cast("long").alias("k"),
-                    F.col(label_col).cast("string").alias("y"), F.col(text_col).cast("string").alias("text")))
-    size = F.octet_length("text")
-    step = F.greatest(F.lit(WINDOW), (size / WINDOWS_PER_DOC).cast("int"))
-    raw = F.col("text").cast("binary")
-    picks = F.array(*[F.when(F.lit(j) * step < size, F.substring(raw, 1, WINDOW) if j == 0 else
-                             raw.substr(F.lit(j) * step + 1, F.lit(WINDOW))) for j in range(WINDOWS_PER_DOC)])
-    sample = (rows.select("h", "k", "y", picks.alias("w")).orderBy("h", "k", "y", "w").limit(train_rows)
-              .select("y", "w").collect())
-    pairs = [(r["y"], bytes(w)) for r in sample for w in r["w"] if w is not None]
+            .select(F.col(id_col).cast("long").alias("k"), F.col(label_col).cast("string").alias("y"),
+                    F.col(text_col).cast("string").alias("text")))
+    rows = rows.select("k", "y", byte_pieces(F.col("text"), WINDOW, WINDOWS_PER_DOC).alias("w"))
+    sample = bounded_sample(rows, "k", train_rows).select("y", "w").collect()
+    pairs = [(r["y"], bytes(w)) for r in sample for w in r["w"]]
     if not pairs:
         return None
     labels = sorted({y for y, _ in pairs})

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, langid, packing, pii, simhash, suffix_dedup
+from strata.llm import (cotrain, decontaminate, html_extract, langid, packing, pii, simhash, suffix_dedup, topk,
+                        toxicity)
 from strata.llm.common import table
 
 
+def op1_cotrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotrain.score(docs, cotrain.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.spans(table(spark, sf_dir, "documents")))
 
@@ -20,6 +26,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op6_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
 
@@ -29,9 +44,15 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_suffix_dedup, op4_simhash, op7_decontaminate, op8_langid, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_cotrain, op2_pii, op3_suffix_dedup, op4_simhash, op5_topk, op6_html_crf,
+                                   op7_decontaminate, op8_langid, op9_toxicity, op10_packing)}
 ORACLE: dict[str, str] = {}
