@@ -21,7 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def mapped(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with a function of this package, which the workers get."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()      # the worker stays for the next task
+
+    return df.mapInArrow(tidy, schema)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -73,6 +78,15 @@ def utf8_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches that hold at most ``most`` bytes of a text column,
+    or one longer row: a task's arrays stay small whatever a batch holds."""
+    for batch in batches:
+        _, offsets = utf8_column(batch.column(column))
+        for a, b in doc_blocks(offsets, most):
+            yield batch.slice(a, b - a)
+
+
 def doc_blocks(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of at most ``most`` bytes each, or of one longer row."""
     a, n = 0, len(offsets) - 1

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_sample, byte_pieces, doc_blocks, mapped, utf8_column
+from strata.llm.common import bounded_sample, byte_pieces, doc_blocks, mapped, small_batches, utf8_column
 
 TRAIN_ROWS, POOL_ROWS, PIECE, PIECES = 3000, 3000, 2048, 8
 ROUNDS, SHARE, SURE = 5, 0.05, 0.9
@@ -241,7 +241,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in batches:
+        for batch in small_batches(batches, 2):
             n = batch.num_rows
             zt = zm = z = np.zeros(n)
             if m and n:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import mapped, same_row, staged, utf8_column
+from strata.llm.common import mapped, same_row, small_batches, staged, utf8_column
 
 WIDTH, SHINGLE = 10, 3
 LOG_BITS = 24
@@ -174,7 +174,7 @@ def _count(docs: DataFrame, bits, sizes: list[int]) -> DataFrame:
     """``(token, seen)`` over all documents, summed per batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 0, SEGMENT):
             data, offsets = utf8_column(batch.column(0))
             _, starts, _, hashes = words_of(data, offsets)
             got = [sh for _, _, sh in _matches(hashes, _per_doc(starts, offsets), sizes, bits.value)]
@@ -191,7 +191,7 @@ def _probe(docs: DataFrame, bits, sizes: list[int], width: int) -> DataFrame:
     cand = pa.struct([("token", pa.int64()), ("pos", pa.int64()), ("lo", pa.int64()), ("ctx", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 2, SEGMENT):
             data, offsets = utf8_column(batch.column(2))
             text, starts, ends, hashes = words_of(data, offsets)
             n_words = _per_doc(starts, offsets)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_sample, byte_pieces, mapped, utf8_column
+from strata.llm.common import bounded_sample, byte_pieces, mapped, ship_package, small_batches, utf8_column
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 TRAIN_ROWS, WINDOWS_PER_DOC, EPOCHS, BATCH = 4000, 4, 4, 64
@@ -197,7 +197,7 @@ def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_
     shared = spark.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 2):
             names, score = _judge(shared.value, batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()),
                                               pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
@@ -210,14 +210,16 @@ def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_
 
 def keep_known(docs: DataFrame, net: ByteNet | None, text_col: str = "text", least: float = KEEP_SCORE) -> DataFrame:
     """``docs`` without the rows whose language is ``und`` or less sure than
-    ``least``; one pass, all columns as they are."""
+    ``least``; one pass, all columns as they are: only the text goes to Python."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, score = _judge(shared.value, batch.column(at))
-            keep = np.array([x != "und" for x in names], bool) & (score >= least)
-            yield batch.filter(pa.array(keep))
+    @F.arrow_udf("boolean")
+    def known(column: pa.Array) -> pa.Array:
+        keep = []
+        for part in small_batches([pa.record_batch([column], ["text"])], 0):
+            names, score = _judge(shared.value, part.column(0))
+            keep.append(np.array([x != "und" for x in names], bool) & (score >= least))
+        return pa.array(np.concatenate(keep) if keep else np.empty(0, bool))
 
-    return mapped(docs, run, docs.schema)
+    return docs.where(known(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

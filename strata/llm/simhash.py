@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import components, cut_lineage, mapped
+from strata.llm.common import components, cut_lineage, mapped, small_batches
 
 SHINGLE, DISTANCE, BLOCKS, BUCKET = 4, 4, 7, 4096
 SEED = 42
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(doc_id, fp)`` for each row; a null, empty or blank text has fp 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             values, counts = [], []
             fps, held = [], 0
             for text in batch.column(1):

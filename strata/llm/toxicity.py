@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bounded_sample, byte_pieces, mapped
+from strata.llm.common import bounded_sample, byte_pieces, mapped, small_batches
 
 TRAIN_ROWS, PIECE, PIECES = 2000, 1024, 16
 WINDOW, STEP, LEVEL = 64, 48, 9
@@ -147,10 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts: list[list[bytes]] = []
     for y in (1, 0):
         some = bounded_sample(known.where(F.col("y") == y), "k", train_rows).select("k")
-        pieces = byte_pieces(F.lower(F.col(text_col).cast("string")), PIECE, PIECES)
         # at most train_rows ids, so the side that is broadcast has a bound
-        rows = (docs.select(key.alias("k"), pieces.alias("p")).join(F.broadcast(some), "k")
-                .groupBy("k").agg(F.min("p").alias("p")).orderBy(F.xxhash64("k"), "k").collect())
+        kept = (docs.select(key.alias("k"), F.col(text_col).cast("string").alias("text"))
+                .join(F.broadcast(some), "k").groupBy("k").agg(F.min("text").alias("text")))
+        rows = (kept.select("k", byte_pieces(F.lower("text"), PIECE, PIECES).alias("p"))
+                .orderBy(F.xxhash64("k"), "k").collect())
         texts.append([raw for r in rows if (raw := b"".join(map(bytes, r["p"] or [])))])
     return train(texts[0], texts[1])
 
@@ -167,7 +168,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
         m = shared.value
         if m:
             one, two = _compressor(m.ordinary), _compressor(m.toxic + m.ordinary)
-        for batch in batches:
+        for batch in small_batches(batches, 2):
             got = np.zeros(batch.num_rows)
             if m and batch.num_rows:
                 got = _scores(m, np.array([features_of((t.as_py() or "").encode(), one, two)
