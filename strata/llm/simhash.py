@@ -176,6 +176,8 @@ def _scan(distance: int, bucket: int | None):
 def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFrame:
     """Edges ``(a, b)`` whose components are those of all links among the
     distinct values of ``fps(fp)``."""
+    if blocks <= distance:
+        raise ValueError("blocks must be more than distance")
     masks = block_masks(list(range(64)), blocks, distance)
     keyed = fps.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))

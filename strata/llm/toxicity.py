@@ -1,8 +1,8 @@
 """Toxicity by compression distance (operator 9).
 
 Two zstandard dictionaries are trained on labelled texts: one on ordinary text,
-one on what toxic text has that ordinary text lacks (runs of bytes whose 5-grams
-are several times as frequent in toxic documents).  Every whole text is cut into
+one on what toxic text has that ordinary text lacks (runs of bytes whose 6-grams
+are many times as frequent in toxic documents).  Every whole text is cut into
 overlapping windows, and each window is compressed twice: with the ordinary
 dictionary, and with the ordinary and the toxic one together.  The bytes saved
 by the second are the window's gain.  A text's score is a logistic function of
@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import bounded_sample, byte_pieces, mapped, small_batches
 
-TRAIN_ROWS, PIECE, PIECES = 2000, 1024, 16
+TRAIN_ROWS, PIECE, PIECES = 3000, 1024, 16
 WINDOW, STEP, LEVEL = 64, 48, 9
 ORDINARY_SIZE, TOXIC_SIZE = 16384, 4096
-GRAM, BITS, RATIO, LEAST_SHARE = 5, 20, 10.0, 0.04
+GRAM, BITS, RATIO, FLOOR, LEAST_SHARE = 6, 20, 10.0, 2.0, 0.03
 THRESHOLD = 0.7
 GAIN_STEPS = (2, 4, 6)
 
@@ -52,18 +52,21 @@ def _grams(raw: bytes) -> np.ndarray:
     return (h * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _document_counts(texts: list[bytes]) -> np.ndarray:
-    n = np.zeros(1 << BITS)
+def _gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of each gram per million, and the share of texts that hold it."""
+    times, held = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for raw in texts:
-        n[np.unique(_grams(raw))] += 1
-    return n
+        gram, n = np.unique(_grams(raw), return_counts=True)
+        times[gram] += n
+        held[gram] += 1
+    return times * (1e6 / max(1, times.sum())), held / max(1, len(texts))
 
 
 def telling_pieces(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Runs of toxic text whose 5-grams are at least RATIO times as frequent
-    there as in ordinary text, and not rare."""
-    a, b = _document_counts(toxic), _document_counts(ordinary)
-    telling = ((a + 0.5) / len(toxic) >= RATIO * (b + 0.5) / len(ordinary)) & (a >= max(2, LEAST_SHARE * len(toxic)))
+    """Runs of toxic text whose grams are at least RATIO times as frequent there
+    as in ordinary text, and not confined to a few texts."""
+    (a, share), (b, _) = _gram_counts(toxic), _gram_counts(ordinary)
+    telling = (a >= RATIO * (b + FLOOR)) & (share >= max(LEAST_SHARE, 2 / len(toxic)))
     out = []
     for raw in toxic:
         at = np.flatnonzero(telling[_grams(raw)])
