@@ -26,20 +26,13 @@ def safe_div(a: str | Column, b: str | Column, default=0.0) -> Column:
     return q if default is None else F.coalesce(q, F.lit(float(default)))
 
 
-def first_non_null_by(value: str, order: str, order_is_int32: bool = False) -> Column:
+def first_non_null_by(value: str, order: str) -> Column:
     """Value of ``value`` on the row with the smallest ``order`` among rows
-    where ``value`` is not NULL.  Order-independent (unlike ``first``), so it
-    is stable across partitions and task retries.
-
-    With a 32-bit integer ``order`` the ordering key is packed into one long
-    (order in the high word, a hash of the value in the low word), which keeps
-    the aggregation buffer fixed-width and therefore inside the hash
-    aggregate; ties on ``order`` are broken by the value hash.  Otherwise the
-    key is a struct (order, value) and Spark falls back to a sort aggregate."""
+    where ``value`` is not NULL; of several rows with that ``order`` the
+    smallest value, whatever the columns' types.  Order-independent (unlike
+    ``first``), so it is stable across partitions and task retries.  The map
+    side keeps one (order, value) per group."""
     v, o = F.col(value), F.col(order)
-    if order_is_int32:
-        key = F.shiftleft(o.cast("long"), 32).bitwiseOR(F.hash(v).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-        return F.min_by(v, F.when(v.isNotNull(), key))
     return F.min(F.when(v.isNotNull(), F.struct(o.alias("o"), v.alias("v")))).getField("v")
 
 

@@ -68,12 +68,16 @@ def roc_auc(scored: DataFrame, label: str = "label", prob: str = "p",
 
 
 def roc_points(scored: DataFrame, label: str = "label", prob: str = "p") -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score, highest first."""
+    """(threshold, fpr, tpr) at the start (0, 0), where nothing is
+    flagged (threshold infinity), and at every distinct score."""
     sc = _score_counts(scored, label, prob, [])
     n_pos, n_neg = sc.agg(F.sum("pos"), F.sum("neg")).first()  # two scalars
     cu = running_sums(sc, [prob], ["pos", "neg"], descending=True)
-    return cu.select(F.col(prob).alias("threshold"), safe_div("neg_cum", F.lit(n_neg or 0)).alias("fpr"),
-                     safe_div("pos_cum", F.lit(n_pos or 0)).alias("tpr"))
+    pts = cu.select(F.col(prob).cast("double").alias("threshold"), safe_div("neg_cum", F.lit(n_neg or 0)).alias("fpr"),
+                    safe_div("pos_cum", F.lit(n_pos or 0)).alias("tpr"))
+    start = scored.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
+                                                F.lit(0.0).alias("tpr"))
+    return start.unionByName(pts)
 
 
 def grid_bucket(value: Column, grid: list[float]) -> Column:
@@ -235,14 +239,28 @@ def caught(scored: DataFrame, threshold: float, label="label", prob="p") -> Data
 
 def score_parity(a: DataFrame, b: DataFrame, key: str | list[str], threshold: float,
                  prob_a: str = "p", prob_b: str = "p") -> DataFrame:
-    """Max |p_a - p_b| and label flips at ``threshold`` over the rows
-    scored both ways (inner join on key)."""
+    """Rows scored both ways, max |p_a - p_b| and label flips at
+    ``threshold`` among them, and the rows that only one side has or scored."""
     keys = [key] if isinstance(key, str) else list(key)
     k = a.select(*keys, F.col(prob_a).alias("_pa")).join(
-        b.select(*keys, F.col(prob_b).alias("_pb")), keys, "inner")
+        b.select(*keys, F.col(prob_b).alias("_pb")), keys, "full")
+    both = F.col("_pa").isNotNull() & F.col("_pb").isNotNull()
     flip = (F.col("_pa") >= threshold) != (F.col("_pb") >= threshold)
-    return k.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("_pa") - F.col("_pb"))).alias("max_abs_delta"),
-                 F.count(F.when(flip, 1)).alias("n_flips"))
+    return k.agg(F.count(F.when(both, 1)).alias("n"),
+                 F.max(F.abs(F.col("_pa") - F.col("_pb"))).alias("max_abs_delta"),
+                 F.count(F.when(flip, 1)).alias("n_flips"), F.count(F.when(~both, 1)).alias("n_unmatched"))
+
+
+class ParityError(AssertionError):
+    """Two scorings of the same rows differ."""
+
+
+def require_parity(a: DataFrame, b: DataFrame, key: str | list[str], threshold: float, tolerance: float = 1e-9,
+                   prob_a: str = "p", prob_b: str = "p") -> None:
+    """The export gate: raises if a row is lost, flips or moves by more than ``tolerance``."""
+    r = score_parity(a, b, key, threshold, prob_a, prob_b).first()
+    if r["n_unmatched"] or r["n_flips"] or (r["max_abs_delta"] or 0.0) > tolerance:
+        raise ParityError(f"scores differ: {r.asDict()}")
 
 
 def sweep_delta(sweep: DataFrame, base_threshold: float, step: float = SWEEP_STEP) -> DataFrame:

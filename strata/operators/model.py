@@ -4,19 +4,19 @@
   fits are distributed by MLlib, not by a process pool.
 * The leak-free pipeline is a ``pyspark.ml.Pipeline`` of three custom stages
   — population scaler, recursive feature eliminator, balanced classifier
-  (SMOTE in ``fit`` only) — so ``CrossValidator`` refits all of them inside
-  every fold.
-* Scoring never uses MLlib's ``prediction`` column for decisions:
-  P(positive) = ``vector_to_array(probability)[1]`` and positive iff
-  P >= threshold.
+  (SMOTE in ``fit`` only) — so all of them are refitted inside every fold.
+* Scoring decides by P(positive) = ``vector_to_array(probability)[1]`` >=
+  threshold; only the search's F1 reads MLlib's ``prediction`` column.
 """
 
 from __future__ import annotations
 
 import json
 import random
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.balance import smote
 from strata.operators.prep import scaler_stats, with_class_weight
+from strata.session import cut_lineage
 
 SEED = 42
 # MLlib's deepest allowed tree stands in for "unlimited depth".
@@ -48,7 +49,9 @@ def random_forest(num_trees: int = 100, max_depth: int | None = None, feature_su
                   min_instances: int = 1, weight_col: str | None = None, seed: int = SEED,
                   features_col: str = "features", label_col: str = "label") -> RandomForestClassifier:
     """M1: random forest; ``max_depth=None`` grows as deep as MLlib allows."""
-    rf = RandomForestClassifier(numTrees=num_trees, maxDepth=min(max_depth or MAX_DEPTH_CAP, MAX_DEPTH_CAP),
+    if max_depth is not None and max_depth > MAX_DEPTH_CAP:
+        raise ValueError(f"max_depth={max_depth}: MLlib grows at most {MAX_DEPTH_CAP} levels; None means that many")
+    rf = RandomForestClassifier(numTrees=num_trees, maxDepth=MAX_DEPTH_CAP if max_depth is None else max_depth,
                                 featureSubsetStrategy=feature_subset, minInstancesPerNode=min_instances,
                                 seed=seed, featuresCol=features_col, labelCol=label_col)
     if weight_col:
@@ -189,7 +192,8 @@ class BalancedClassifier(Estimator):
         that.estimator = self.estimator.copy(extra)
         return that
 
-    def _fit(self, dataset):
+    def balanced_rows(self, dataset) -> DataFrame:
+        """The oversampled rows, written once: a fit reads them many times."""
         g = self.getOrDefault
         fc, lab, key = g(self.featuresCol), g(self.labelCol), g(self.keyCol)
         arr = dataset.select(key, lab, vector_to_array(F.col(fc)).alias("_a"))
@@ -197,9 +201,16 @@ class BalancedClassifier(Estimator):
         names = [f"_f{i}" for i in range(d)]
         wide = arr.select(key, lab, *[F.col("_a")[i].alias(n) for i, n in enumerate(names)])
         bal = smote(wide, key, names, lab, k=g(self.k), seed=g(self.seed))
-        train = bal.select(assemble(names, fc), F.col(lab).cast("double").alias(lab))
-        est = self.estimator.copy().setFeaturesCol(fc).setLabelCol(lab)
-        return BalancedModel(est.fit(train))
+        return cut_lineage(bal.select(assemble(names, fc), F.col(lab).cast("double").alias(lab)))
+
+    def fit_balanced(self, rows: DataFrame, params: dict | None = None) -> BalancedModel:
+        """The classifier, with ``params`` over its own, on rows balanced before."""
+        g = self.getOrDefault
+        est = self.estimator.copy(params or {}).setFeaturesCol(g(self.featuresCol)).setLabelCol(g(self.labelCol))
+        return BalancedModel(est.fit(rows))
+
+    def _fit(self, dataset):
+        return self.fit_balanced(self.balanced_rows(dataset))
 
 
 class BalancedModel(Model):
@@ -237,6 +248,37 @@ def grid_search(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_col:
     return cv.fit(data)
 
 
+@dataclass
+class SearchResult:
+    """Mean score of each candidate, the pipeline refitted on all folds with
+    the first best, and the features that each fold's own elimination kept."""
+    avgMetrics: list[float]
+    bestModel: object
+    fold_features: list[list[int]]
+
+
+def leakfree_search(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_col: str = "fold", n_folds: int = 5,
+                    label: str = "label", parallelism: int = 2) -> SearchResult:
+    """M4 / M5: the same scores as ``grid_search`` over a leak-free pipeline,
+    but scaling, elimination and oversampling, which no candidate changes, are
+    fitted once per fold (on that fold's training rows alone) and shared by all
+    candidates."""
+    data = data.withColumn(label, F.col(label).cast("double"))
+    *front, last = pipeline.getStages()
+    evaluator, scores, kept = f1_evaluator(label), [0.0] * len(grid), []
+    for fold in range(n_folds):
+        inside = Pipeline(stages=front).fit(data.filter(F.col(fold_col) != fold))
+        kept.append(list(inside.stages[-1].indices))
+        rows = last.balanced_rows(inside.transform(data.filter(F.col(fold_col) != fold)))
+        held = cut_lineage(inside.transform(data.filter(F.col(fold_col) == fold)))
+        with ThreadPool(parallelism) as pool:
+            got = pool.map(inheritable_thread_target(data.sparkSession)(
+                lambda p, rows=rows, held=held: evaluator.evaluate(last.fit_balanced(rows, p).transform(held))), grid)
+        scores = [a + b / n_folds for a, b in zip(scores, got, strict=True)]
+    best = max(range(len(grid)), key=lambda i: scores[i])
+    return SearchResult(scores, pipeline.copy(grid[best]).fit(data), kept)
+
+
 def param_grid(classifier, values: dict) -> list[dict]:
     """Cartesian grid over parameter names of ``classifier``."""
     b = ParamGridBuilder()
@@ -292,7 +334,7 @@ def deployable_fit(train: DataFrame, key: str, selected: list[str], classifier,
     """M6: SMOTE once on the RAW selected features, fit the population scaler
     on the resampled rows, then the classifier (T16 order)."""
     bal = smote(train.select(key, *selected, label), key, selected, label, seed=seed)
-    bal = bal.select(*selected, F.col(label).cast("double").alias(label))
+    bal = cut_lineage(bal.select(*selected, F.col(label).cast("double").alias(label)))
     scaler = PopulationScaler(inputCols=selected, outputCol="features").fit(bal)
     clf = classifier.copy().setFeaturesCol("features").setLabelCol(label).fit(scaler.transform(bal))
     return scaler, clf

@@ -8,11 +8,14 @@ task.  Quantiles use the exact bracketed algorithm in ``quantile.py``.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import combine_rows, long_form, null_band, pearson, safe_div
+from strata.functions.columns import combine_rows, long_form, nan_to_null, null_band, safe_div
 from strata.operators.quantile import exact_percentiles, exact_percentiles_wide
+from strata.session import ship_package
 
 
 def table_profile(raw: DataFrame, entity: list[str]) -> DataFrame:
@@ -75,17 +78,22 @@ def histogram_by_class(ent: DataFrame, features: list[str], label: str = "label"
     j = lf.join(F.broadcast(rng), ["feature", label])
     b = F.least(F.floor((F.col("value") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
                 F.lit(bins - 1)).cast("int")
-    h = j.groupBy("feature", label, b.alias("bin"), "lo", "hi", "n_fc").agg(F.count(F.lit(1)).alias("n"))
+    n = j.groupBy("feature", label, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # every bin of every range, so that an empty one is a row with 0
+    grid = rng.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    h = grid.join(n, ["feature", label, "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     width = (F.col("hi") - F.col("lo")) / bins
     return h.select("feature", label, "bin",
                     (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
                     (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
-                    "n", (F.col("n") / (F.col("n_fc") * width)).alias("density"))
+                    F.col("n").cast("long").alias("n"),
+                    (F.col("n") / (F.col("n_fc") * width)).alias("density"))
 
 
 def boxplot_by_class(ent: DataFrame, features: list[str], label: str = "label",
                      whis: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers at the last datum within ``whis`` IQR, outliers."""
+    """Quartiles, whiskers at the last datum within ``whis`` IQR of the
+    box but never inside it, outliers."""
     lf = long_form(ent, [label], features).filter(F.col("value").isNotNull())
     qs = exact_percentiles_wide(lf, ["feature", label], "value", {"q1": 0.25, "med": 0.5, "q3": 0.75})
     j = lf.join(F.broadcast(qs), ["feature", label])
@@ -93,23 +101,62 @@ def boxplot_by_class(ent: DataFrame, features: list[str], label: str = "label",
     lo_f, hi_f = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
     v = F.col("value")
     return j.groupBy("feature", label, "q1", "med", "q3").agg(
-        F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
-        F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
+        F.least("q1", F.min(F.when(v >= lo_f, v))).alias("whisker_lo"),
+        F.greatest("q3", F.max(F.when(v <= hi_f, v))).alias("whisker_hi"),
         F.count(F.when((v < lo_f) | (v > hi_f), 1)).alias("n_outliers"),
         F.count(F.lit(1)).alias("n"))
 
 
+def _grams(features: list[str], shift: dict[str, float]):
+    """For every pair of features the sums over the rows that have both, added
+    up over a partition's batches: k^2 rows leave a task."""
+    centre = np.array([shift[f] for f in features])
+
+    def run(batches):
+        sums = None
+        for pdf in batches:
+            x = pdf[features].to_numpy(np.float64, na_value=np.nan) - centre
+            have = ~np.isnan(x)
+            x, m = np.where(have, x, 0.0), have.astype(np.float64)
+            part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            sums = part if sums is None else sums + part
+        if sums is None:
+            return
+        i, j = np.tril_indices(len(features), -1)
+        n, sx, sxx, sxy = sums
+        yield pd.DataFrame({"i": i, "j": j, "n": n[i, j], "sa": sx[i, j], "sb": sx[j, i], "saa": sxx[i, j],
+                            "sbb": sxx[j, i], "sab": sxy[i, j]})
+
+    return run
+
+
 def corr_lower(ent: DataFrame, features: list[str]) -> DataFrame:
     """Pearson matrix (pairwise-complete) as the strict lower triangle in
-    long form: one aggregate pass with k(k-1)/2 pair expressions."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[:i]]
-    if not pairs:
+    long form.  One scan with a Gram matrix per batch (the columns shifted by
+    their means, so that large offsets do not cancel), whatever the number of
+    columns; NULL for a constant column or fewer than two pairs."""
+    if len(features) < 2:
         return ent.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double")
-    row = ent.agg(*[pearson(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)]))
-    return row.select(stack.alias("s")).select("s.*")
+    ship_package(ent.sparkSession)
+    x = ent.select(*[nan_to_null(F.col(f).cast("double")).alias(f) for f in features])
+    ends = x.agg(*[F.avg(f).alias(f"m_{f}") for f in features], *[F.min(f).alias(f"a_{f}") for f in features],
+                 *[F.max(f).alias(f"b_{f}") for f in features]).first()     # three numbers for each feature
+    shift = {f: ends[f"m_{f}"] or 0.0 for f in features}
+    flat = [i for i, f in enumerate(features) if ends[f"a_{f}"] == ends[f"b_{f}"]]
+    sums = (x.mapInPandas(_grams(list(features), shift),
+                          "i int, j int, n double, sa double, sb double, saa double, sbb double, sab double")
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]))
+    va = F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")
+    vb = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")
+    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
+    # a column that is constant among a pair's rows leaves only rounding behind
+    some = (F.col("n") > 1) & (va > 1e-12 * F.col("saa")) & (vb > 1e-12 * F.col("sbb"))
+    if flat:
+        some = some & ~F.col("i").isin(flat) & ~F.col("j").isin(flat)
+    names = F.array(*[F.lit(f) for f in features])
+    return sums.select(F.element_at(names, F.col("i") + 1).alias("feature_a"),
+                       F.element_at(names, F.col("j") + 1).alias("feature_b"),
+                       F.when(some, cov / F.sqrt(va * vb)).alias("corr"))
 
 
 def crosstab(ent: DataFrame, static: str, label: str = "label", classes=(0, 1)) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.rank import rank_within
@@ -43,10 +43,43 @@ def largest_remainder(counts: list[tuple], n_draw: int) -> dict:
     return floors
 
 
-def _quota_frame(df: DataFrame, label: str, quotas: dict) -> DataFrame:
-    spark = df.sparkSession
-    return spark.createDataFrame([(k, int(v)) for k, v in quotas.items()],
-                                 f"{label} {df.schema[label].dataType.simpleString()}, _quota long")
+PREFIX = 5      # leading hex digits of a draw: 16^5 counts for each class
+
+
+def quota_cuts(df: DataFrame, keys: list[str], label: str, quotas, seed: int) -> dict:
+    """For each class the largest draw that its quota takes (keys are unique, so
+    a row is taken if its draw is not larger).  ``quotas`` maps the sorted
+    (class, count) list to a quota by class.
+
+    Two narrow passes over (class, draw): counts by class and leading digits,
+    from which the digits at the quota follow, then the exact draw among the rows
+    with those digits.  No row but those is sorted, and nothing is written; at most
+    16^5 counts a class are summed up in one task, and one row a class is collected."""
+    draws = df.select(F.col(label).alias("c"), draw_key(keys, seed).alias("h"))
+    counts = draws.groupBy("c", F.substring("h", 1, PREFIX).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    totals = sorted((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect())
+    quota = quotas(totals)
+    cuts = {c: "" if quota.get(c, 0) <= 0 else "g" for c, n in totals}       # "g" is above every hex digit
+    open_classes = [c for c, n in totals if 0 < quota.get(c, 0) < n]
+    if not open_classes:
+        return cuts
+    upto = F.sum("n").over(Window.partitionBy("c").orderBy("d"))
+    due = F.coalesce(*[F.when(F.col("c") == F.lit(c), F.lit(int(quota[c]))) for c in open_classes])
+    at = (counts.withColumn("upto", upto).withColumn("due", due)
+          .where((F.col("upto") >= F.col("due")) & (F.col("upto") - F.col("n") < F.col("due")))
+          .select("c", "d", (F.col("due") - F.col("upto") + F.col("n")).alias("nth")).collect())
+    here = F.coalesce(*[F.when((F.col("c") == F.lit(r["c"])) & F.col("h").startswith(r["d"]), F.lit(int(r["nth"])))
+                        for r in at])
+    rank = F.row_number().over(Window.partitionBy("c").orderBy("h"))
+    found = draws.withColumn("nth", here).where("nth is not null").withColumn("r", rank).where("r = nth").collect()
+    return cuts | {r["c"]: r["h"] for r in found}
+
+
+def taken(keys: list[str], label: str, cuts: dict, seed: int) -> Column:
+    """Whether a row is within its class's quota."""
+    h = draw_key(keys, seed)
+    cut = F.coalesce(*[F.when(F.col(label) == F.lit(c), F.lit(v)) for c, v in cuts.items()], F.lit(""))
+    return h <= cut
 
 
 def split_quotas(counts: list[tuple], share: float | int) -> tuple[dict, int, int]:
@@ -61,15 +94,8 @@ def stratified_split(df: DataFrame, keys: list[str], label: str, share: float |
                      split_col: str = "split") -> DataFrame:
     """Add ``split`` = names[0] / names[1] with exact per-class quotas.
     ``share`` is a fraction (ceil) or an absolute test size."""
-    # rank first: its checkpoint materialises the input once, and the class
-    # counts are then read from that materialisation (no second pass upstream)
-    ranked = rank_within(df, [label], [draw_key(keys, seed), *keys], out="_r")
-    quotas, _, _ = split_quotas(_class_counts(ranked, label), share)
-    q = F.broadcast(_quota_frame(df, label, quotas))
-    return (ranked.join(q, label, "inner")
-            .withColumn(split_col, F.when(F.col("_r") <= F.col("_quota"), F.lit(names[0]))
-                        .otherwise(F.lit(names[1])))
-            .drop("_r", "_quota"))
+    cuts = quota_cuts(df, keys, label, lambda counts: split_quotas(counts, share)[0], seed)
+    return df.withColumn(split_col, F.when(taken(keys, label, cuts, seed), F.lit(names[0])).otherwise(F.lit(names[1])))
 
 
 def stratified_sample_n(df: DataFrame, keys: list[str], label: str, n: int,
@@ -103,9 +129,15 @@ def class_capped_sample(df: DataFrame, keys: list[str], label: str, n_samples: i
     """Up to n_samples // 2 rows per class without replacement, returned
     in seeded shuffled order (``_order``)."""
     cap = max(1, n_samples // 2)
-    ranked = rank_within(df, [label], [draw_key(keys, seed), *keys], out="_r")
-    return (ranked.filter(F.col("_r") <= cap).drop("_r")
-            .withColumn("_order", draw_key(keys, seed + 1)))
+    cuts = quota_cuts(df, keys, label, lambda counts: {c: cap for c, _ in counts}, seed)
+    return df.filter(taken(keys, label, cuts, seed)).withColumn("_order", draw_key(keys, seed + 1))
+
+
+def _normal(seed: int, name: str, idx: Column) -> Column:
+    def uniform(salt: int) -> Column:
+        h = F.xxhash64(F.lit(seed), F.lit(name), F.lit(salt), idx)
+        return (h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") + 0.5) / float(1 << 53)
+    return F.sqrt(-2.0 * F.log(uniform(0))) * F.cos(2.0 * math.pi * uniform(1))
 
 
 def gaussian_rows(spark, stats: DataFrame, n: int, widen: float = 2.5,
@@ -114,10 +146,10 @@ def gaussian_rows(spark, stats: DataFrame, n: int, widen: float = 2.5,
 
     ``stats`` has one row per feature (feature, mean, std) — bounded by the
     number of features — so it is collected and inlined as literals.  Draws
-    are ``randn`` with a per-feature seed over ``spark.range``, so a retried
-    task reproduces its rows."""
+    are Box-Muller on two uniforms hashed from (seed, feature, row id): the
+    same rows at any partitioning and after any retry."""
     rows = sorted((r["feature"], r["mean"], r["std"]) for r in stats.collect())
     base = spark.range(n).withColumnRenamed("id", "row_id")
     return base.select("row_id", *[
-        (F.lit(m) + F.randn(seed + i) * F.lit(widen * (sd or 0.0))).alias(f)
-        for i, (f, m, sd) in enumerate(rows)])
+        (F.lit(m) + _normal(seed, f, F.col("row_id")) * F.lit(widen * (sd or 0.0))).alias(f)
+        for f, m, sd in rows])

@@ -231,10 +231,14 @@ _HF = O.ORD_MEAN_FEATURES
     "hr AS (SELECT feature, label, n_fc, CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS lo,"
     " CASE WHEN hi0 > lo0 THEN hi0 ELSE hi0 + 0.5 END AS hi FROM hr0)",
     "hb AS (SELECT v.feature, v.label, CAST(least(floor((v.value - r.lo) * 40 / (r.hi - r.lo)), 39) AS INTEGER)"
-    " AS bin, r.lo, r.hi, r.n_fc FROM hv v JOIN hr r ON v.feature = r.feature AND v.label = r.label)")
+    " AS bin FROM hv v JOIN hr r ON v.feature = r.feature AND v.label = r.label)",
+    "hc AS (SELECT feature, label, bin, count(*) AS n FROM hb GROUP BY 1, 2, 3)",
+    "hg AS (SELECT hr.*, CAST(g.bin AS INTEGER) AS bin FROM hr, range(40) g(bin))",
+    "ha AS (SELECT g.*, coalesce(c.n, 0) AS n FROM hg g LEFT JOIN hc c ON g.feature = c.feature AND g.label = c.label"
+    " AND g.bin = c.bin)")
     + "SELECT feature, label, bin, " + O.r("lo + bin * ((hi - lo) / 40)") + " AS bin_lo, "
-    + O.r("lo + (bin + 1) * ((hi - lo) / 40)") + " AS bin_hi, count(*) AS n, "
-    + O.r("count(*) / (n_fc * ((hi - lo) / 40))") + " AS density FROM hb GROUP BY feature, label, bin, lo, hi, n_fc")
+    + O.r("lo + (bin + 1) * ((hi - lo) / 40)") + " AS bin_hi, CAST(n AS BIGINT) AS n, "
+    + O.r("n / (n_fc * ((hi - lo) / 40))") + " AS density FROM ha")
 def q_histogram_by_class(spark, sf):
     return round_doubles(P.histogram_by_class(V.v_ord_entities(spark, sf), _HF))
 
@@ -245,8 +249,9 @@ def q_histogram_by_class(spark, sf):
     "bq AS (SELECT feature, label, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med,"
     " quantile_cont(value, 0.75) AS q3 FROM bv GROUP BY 1, 2)")
     + "SELECT v.feature, v.label, " + ", ".join(O.r(f"q.{c}") + f" AS {c}" for c in ("q1", "med", "q3"))
-    + ", " + O.r("min(CASE WHEN v.value >= q.q1 - 1.5 * (q.q3 - q.q1) THEN v.value END)") + " AS whisker_lo, "
-    + O.r("max(CASE WHEN v.value <= q.q3 + 1.5 * (q.q3 - q.q1) THEN v.value END)") + " AS whisker_hi, "
+    + ", " + O.r("least(q.q1, min(CASE WHEN v.value >= q.q1 - 1.5 * (q.q3 - q.q1) THEN v.value END))")
+    + " AS whisker_lo, "
+    + O.r("greatest(q.q3, max(CASE WHEN v.value <= q.q3 + 1.5 * (q.q3 - q.q1) THEN v.value END))") + " AS whisker_hi, "
     "count(CASE WHEN v.value < q.q1 - 1.5 * (q.q3 - q.q1) OR v.value > q.q3 + 1.5 * (q.q3 - q.q1) THEN 1 END)"
     " AS n_outliers, count(*) AS n FROM bv v JOIN bq q ON v.feature = q.feature AND v.label = q.label"
     " GROUP BY v.feature, v.label, q.q1, q.med, q.q3")
@@ -254,13 +259,13 @@ def q_boxplot_by_class(spark, sf):
     return round_doubles(P.boxplot_by_class(V.v_ord_entities(spark, sf), _HF))
 
 
-def _corr_sql(features):
+def _corr_sql(features, src="day_ent"):
     parts = []
     for i, a in enumerate(features):
         for b in features[:i]:
             e = (f"covar_pop({a}, {b}) / nullif(stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END) * "
                  f"stddev_pop(CASE WHEN {a} IS NOT NULL THEN {b} END), 0)")
-            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {O.r(e)} AS corr FROM day_ent")
+            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {O.r(e)} AS corr FROM {src}")
     return " UNION ALL ".join(parts)
 
 
@@ -388,6 +393,7 @@ def q_roc_auc(spark, sf):
 
 
 @register("roc_points", O.with_(O.V_ORD_RAW, O.V_SCORE, _AUC_CTE[0])
+          + "SELECT 'inf'::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr UNION ALL "
           + "SELECT p AS threshold, " + O.r("sum(neg) OVER (ORDER BY p DESC) / (SELECT sum(neg) FROM sc)")
           + " AS fpr, " + O.r("sum(pos) OVER (ORDER BY p DESC) / (SELECT sum(pos) FROM sc)") + " AS tpr FROM sc")
 def q_roc_points(spark, sf):
@@ -494,12 +500,16 @@ def q_caught(spark, sf):
     return round_doubles(EV.caught(V.v_score(spark, sf), T_FOREST))
 
 
-@register("score_parity", _VS + "SELECT count(*) AS n, " + O.r("max(abs(p - p2))") + " AS max_abs_delta,"
-          f" count(*) FILTER (WHERE (p >= {T_FOREST}) <> (p2 >= {T_FOREST})) AS n_flips FROM v_score")
+# p2 is kept for even keys only, so the rows that one side lacks are counted
+@register("score_parity", _VS.rstrip() + ",\npb AS (SELECT l_orderkey, p2 FROM v_score WHERE l_orderkey % 2 = 0)\n"
+          "SELECT count(b.l_orderkey) AS n, " + O.r("max(abs(p - b.p2))") + " AS max_abs_delta,"
+          f" count(*) FILTER (WHERE (p >= {T_FOREST}) <> (b.p2 >= {T_FOREST})) AS n_flips,"
+          " count(*) - count(b.l_orderkey) AS n_unmatched FROM v_score v LEFT JOIN pb b ON v.l_orderkey = b.l_orderkey")
 def q_score_parity(spark, sf):
     s = V.v_score(spark, sf)
-    return round_doubles(EV.score_parity(s.select("l_orderkey", "p"), s.select("l_orderkey", F.col("p2").alias("p")),
-                                         "l_orderkey", T_FOREST))
+    return round_doubles(EV.score_parity(
+        s.select("l_orderkey", "p"), s.where("l_orderkey % 2 = 0").select("l_orderkey", F.col("p2").alias("p")),
+        "l_orderkey", T_FOREST))
 
 
 @register("outcome_class", _VS + f"SELECT l_orderkey, label, {O.r('p')} AS p, p2 AS p2, p >= {T_FOREST} AS alarm,"
@@ -701,21 +711,78 @@ from strata.operators import balance as BA  # noqa: E402
 from strata.operators import model as M  # noqa: E402
 from strata.plans import train_job as TJ  # noqa: E402
 
-_KNN_F = O.ORD_MEAN_FEATURES
+_KNN_F = [f for f in O.ORD_FEATURES if not f.endswith("_std")]     # a single-row entity has no std
+_KNN_TIES = {"a": "CAST(l_quantity_max AS INTEGER) % 3", "b": "CAST(l_quantity_min AS INTEGER) % 2"}
+_KNN_OFFSET = {"a": "l_quantity_mean + 1e8", "b": "l_discount_mean", "c": "l_tax_mean"}
 
 
-@register("minority_knn", _ORD_SPLIT_ENT.rstrip() + ",\n" + ",\n".join([
-    "mino AS (SELECT l_orderkey, " + ", ".join(_KNN_F) + " FROM ord_tr WHERE label = 1)",
-    "pairs AS (SELECT a.l_orderkey, b.l_orderkey AS nn_key, " + " + ".join(
+def _knn_sql(columns: dict[str, str], keep: str = "label = 1") -> str:
+    return _ORD_SPLIT_ENT.rstrip() + ",\n" + ",\n".join([
+        "mino AS (SELECT l_orderkey, " + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in columns.items())
+        + f" FROM ord_tr WHERE {keep})",
+        "pairs AS (SELECT a.l_orderkey, b.l_orderkey AS nn_key, " + " + ".join(
+            f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in columns) + " AS d2 FROM mino a JOIN mino b"
+        " ON a.l_orderkey <> b.l_orderkey)",
+        "rk AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY d2, nn_key) AS nn_rank FROM pairs)"]) \
+        + "\nSELECT l_orderkey, nn_rank, nn_key, " + O.r("sqrt(d2)") + " AS dist FROM rk WHERE nn_rank <= 5"
+
+
+def _knn(spark, sf, columns: dict[str, str]):
+    tr = ord_train_entities(spark, sf).filter(F.col("split") == "train")
+    mino = tr.filter(F.col("label") == 1).select("l_orderkey", *[
+        F.expr(e).cast("double").alias(c) for c, e in columns.items()])
+    return round_doubles(BA.minority_knn(mino, "l_orderkey", list(columns), k=5).select(
+        "l_orderkey", F.col("nn_rank").cast("long").alias("nn_rank"), "nn_key", "dist"))
+
+
+@register("minority_knn", _knn_sql({f: f for f in _KNN_F}))
+def q_minority_knn(spark, sf):
+    """All numeric entity columns that every entity has."""
+    return _knn(spark, sf, {f: f for f in _KNN_F})
+
+
+@register("minority_knn_ties", _knn_sql(_KNN_TIES))
+def q_minority_knn_ties(spark, sf):
+    """Small integers: almost every distance is a tie."""
+    return _knn(spark, sf, _KNN_TIES)
+
+
+@register("minority_knn_offset", _knn_sql(_KNN_OFFSET))
+def q_minority_knn_offset(spark, sf):
+    """A column near 1e8 beside small ones."""
+    return _knn(spark, sf, _KNN_OFFSET)
+
+
+def _md5_u(salt: int) -> str:
+    return f"(CAST('0x' || substr(md5('42:{salt}:' || j), 1, 13) AS BIGINT) / 4503599627370496.0)"
+
+
+@register("smote_rows", _ORD_SPLIT_ENT.rstrip() + ",\n" + ",\n".join([
+    "mino AS (SELECT l_orderkey, " + ", ".join(_KNN_F) + ", row_number() OVER (ORDER BY l_orderkey) - 1 AS i"
+    " FROM ord_tr WHERE label = 1)",
+    "pairs AS (SELECT a.i, b.l_orderkey AS nn_key, " + " + ".join(
         f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in _KNN_F) + " AS d2 FROM mino a JOIN mino b"
     " ON a.l_orderkey <> b.l_orderkey)",
-    "rk AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY d2, nn_key) AS nn_rank FROM pairs)"])
-    + "\nSELECT l_orderkey, nn_rank, nn_key, " + O.r("sqrt(d2)") + " AS dist FROM rk WHERE nn_rank <= 5")
-def q_minority_knn(spark, sf):
+    "rk AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY d2, nn_key) - 1 AS r FROM pairs)",
+    "need AS (SELECT count(*) FILTER (WHERE label = 1) AS n_min, count(*) FILTER (WHERE label = 0) AS n_maj"
+    " FROM ord_tr)",
+    "dr AS (SELECT j, n_min FROM need, range(1000000) t(j) WHERE j < n_maj - n_min)",
+    f"draws AS (SELECT CAST(floor({_md5_u(1)} * n_min) AS BIGINT) AS i, CAST(floor({_md5_u(2)} * 5) AS BIGINT) AS r,"
+    f" {_md5_u(3)} AS u FROM dr)",
+    "syn AS (SELECT " + ", ".join(f"m.{f} + d.u * (n.{f} - m.{f}) AS {f}" for f in _KNN_F) + " FROM draws d JOIN mino m"
+    " ON d.i = m.i JOIN rk ON rk.i = d.i AND rk.r = d.r JOIN mino n ON n.l_orderkey = rk.nn_key)"])
+    + "\nSELECT l_orderkey, " + ", ".join(O.r(f) + f" AS {f}" for f in _KNN_F) + ", label, false AS synthetic FROM ord_tr"
+    + " UNION ALL SELECT NULL, " + ", ".join(O.r(f) for f in _KNN_F) + ", 1, true FROM syn")
+def q_smote_rows(spark, sf):
+    """F8 + U1 on the training entities, row by row."""
     tr = ord_train_entities(spark, sf).filter(F.col("split") == "train")
-    mino = tr.filter(F.col("label") == 1).select("l_orderkey", *_KNN_F)
-    return round_doubles(BA.minority_knn(mino, "l_orderkey", _KNN_F, k=5).select(
-        "l_orderkey", F.col("nn_rank").cast("long").alias("nn_rank"), "nn_key", "dist"))
+    return round_doubles(BA.smote(tr, "l_orderkey", _KNN_F, "label", k=5))
+
+
+@register("corr_wide", _ORD + _corr_sql(_KNN_F, "ord_ent"))
+def q_corr_wide(spark, sf):
+    """A13 over every numeric entity column."""
+    return round_doubles(P.corr_lower(V.v_ord_entities(spark, sf), _KNN_F))
 
 
 @register("smote")

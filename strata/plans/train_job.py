@@ -11,7 +11,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import long_form
 from strata.operators import evaluate as EV
 from strata.operators import model as M
 from strata.operators import profile as P
@@ -69,10 +68,10 @@ def baseline(spark, sf, kind: str = "forest"):
     feats = prep.kept
     tr, te = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     if kind == "forest":
-        clf = M.random_forest(num_trees=50, max_depth=10, weight_col="weight")
+        clf = M.random_forest(num_trees=100, max_depth=10, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "balanced")
     else:
-        clf = M.boosted_trees(n_iter=40, max_depth=4, step=0.1, weight_col="weight")
+        clf = M.boosted_trees(n_iter=100, max_depth=4, step=0.1, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "positive")
     return model, scaler, scored.select(KEY, "label", "p"), feats
 
@@ -115,7 +114,7 @@ def tune(spark, data: DataFrame, feats: list[str], kind: str, n_folds: int = 3,
         grid = M.random_param_maps(clf, space, n_draws)
     else:
         grid = M.param_grid(clf, grid_values or {})
-    cvm = M.grid_search(pipe, grid, cut_lineage(tr2), n_folds=n_folds)
+    cvm = M.leakfree_search(pipe, grid, cut_lineage(tr2), n_folds=n_folds)
     return cvm, grid, clf
 
 
@@ -234,7 +233,3 @@ def score_with_bundle(spark, sf, path: str | None = None):
     test = data.filter(F.col("split") == "test")
     return {"scored": scored, "reloaded_scored": score_table(test, loaded, [KEY, "label"]), "bundle": b,
             "loaded": loaded, "test": test, "data": data}
-
-
-def long_test_rows(data: DataFrame, feats: list[str]) -> DataFrame:
-    return long_form(data.filter(F.col("split") == "test"), [KEY], feats)

@@ -42,9 +42,8 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet",
     except AnalysisException as e:  # PATH_NOT_FOUND
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise DatasetNotFound(
-                f"Dataset not found at {path}. Pass the directory or file holding the "
-                "long (entity, sequence) table; text inputs need a header row and an "
-                "explicit schema.") from e
+                f"Dataset not found: nothing to scan at {path}. Expected a file or folder with one row per entity "
+                "and sequence step. CSV and JSON inputs also need schema=..., CSV a header row.") from e
         raise
     return df
 
@@ -52,7 +51,7 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet",
 def scan_raw(spark: SparkSession, path: str, spec, fmt: str = "parquet",
              schema: T.StructType | None = None) -> DataFrame:
     """S1 + P1 + T1/T2: scan, keep the spec's columns that exist, NaN -> NULL on
-    every measure, drop rows whose entity key is missing."""
+    every measure and fractional static, drop rows whose entity key is missing."""
     df = scan(spark, path, fmt=fmt, schema=schema)
     return normalize_raw(df, spec)
 
@@ -62,10 +61,14 @@ def normalize_raw(df: DataFrame, spec) -> DataFrame:
     keep = list(spec.entity) + [spec.seq] + list(spec.measures) + list(spec.statics)
     if spec.row_label in df.columns:
         keep.append(spec.row_label)
-    out = df.select(*[
-        nan_to_null(F.col(c).cast("double")).alias(c) if c in spec.measures else F.col(c)
-        for c in keep
-    ])
+    def clean(c: str):
+        if c in spec.measures:
+            return nan_to_null(F.col(c).cast("double")).alias(c)
+        if c in spec.statics and isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            return nan_to_null(c).cast(df.schema[c].dataType).alias(c)
+        return F.col(c)
+
+    out = df.select(*[clean(c) for c in keep])
     cond = None
     for k in spec.entity:
         cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()

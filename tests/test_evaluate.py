@@ -52,9 +52,19 @@ def test_choose_threshold_first_best_wins(spark):
 def test_roc_points_end_at_one(scored):
     df, y, p = scored
     pts = sorted(EV.roc_points(df).collect(), key=lambda r: -r.threshold)
-    assert len(pts) == len(np.unique(p)) and pts[-1].fpr == 1.0 and pts[-1].tpr == 1.0
+    assert len(pts) == len(np.unique(p)) + 1 and pts[-1].fpr == 1.0 and pts[-1].tpr == 1.0
+    assert (pts[0].fpr, pts[0].tpr) == (0.0, 0.0)     # nothing flagged
 
 
 def test_winner_tie_goes_to_priority(spark):
     cmp_ = spark.createDataFrame([("forest", 0.5), ("boosted", 0.5)], "model string, f1 double")
     assert EV.winner(cmp_, {"boosted": 0, "forest": 1}).first().model == "boosted"
+
+
+def test_parity_counts_lost_rows_and_the_gate_raises(spark):
+    a = spark.createDataFrame([(i, i / 10) for i in range(10)], "k long, p double")
+    r = EV.score_parity(a, a.filter("k < 3"), "k", 0.5).first()
+    assert (r.n, r.n_flips, r.n_unmatched) == (3, 0, 7)
+    EV.require_parity(a, a, "k", 0.5)
+    with pytest.raises(EV.ParityError):
+        EV.require_parity(a, a.filter("k < 3"), "k", 0.5)

@@ -1,4 +1,6 @@
 """k-NN / SMOTE invariants, RFE schedule, leak-free pipeline, scoring."""
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.operators import balance as BA
 from strata.operators import model as M
 from strata.operators.scoring import score_table, split_rejects
+from strata.session import cut_lineage
 from strata.sources.bundle import Bundle, load_bundle, save_bundle
 
 FEATS = [f"f{i}" for i in range(6)]
@@ -94,18 +97,49 @@ def test_bundle_roundtrip_parity_and_rejects(spark, gauss, tmp_path):
         split_rejects(gauss.drop("f5"), FEATS)
 
 
-@pytest.mark.parametrize("block_rows", [25])
-def test_pivot_knn_matches_brute_force(spark, block_rows):
+@pytest.mark.parametrize("kind", ["clusters", "grid", "offset"])
+def test_knn_ties_and_offsets(spark, kind):
     rng = np.random.default_rng(11)
-    centers = rng.normal(0, 4, (4, 3))
-    pts = np.concatenate([c + rng.normal(0, 1, (60, 3)) for c in centers])
+    pts = np.concatenate([c + rng.normal(0, 1, (60, 3)) for c in rng.normal(0, 4, (4, 3))])
     pts[10] = pts[11]  # an exact duplicate: distance-0 tie broken by key
-    rows = [(i, *[float(v) for v in p]) for i, p in enumerate(pts)]
-    df = spark.createDataFrame(rows, "k long, a double, b double, c double")
-    got = BA.minority_knn(df, "k", ["a", "b", "c"], k=5, block_rows=block_rows, method="pivot").collect()
-    assert len(got) == 5 * len(pts)
-    K = np.arange(len(pts))
-    for r in got:
-        d = ((pts - pts[r.k]) ** 2).sum(1)
-        d[r.k] = np.inf
-        assert K[np.lexsort((K, d))[r.nn_rank - 1]] == r.nn_key
+    if kind == "grid":
+        pts = rng.integers(0, 2, pts.shape).astype(float)
+    elif kind == "offset":
+        pts[:, 0] += 1e8
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "k long, a double, b double, c double")
+    for block_rows in (25, 20000):
+        got = BA.minority_knn(df, "k", ["a", "b", "c"], k=5, block_rows=block_rows)
+        assert got.count() == 5 * len(pts)
+        for r in got.collect():
+            d = ((pts - pts[r.k]) ** 2).sum(1)
+            d[r.k] = np.inf
+            assert np.lexsort((np.arange(len(pts)), d))[r.nn_rank - 1] == r.nn_key
+
+
+def test_knn_emits_from_many_tasks(spark):
+    df = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 17).cast("double").alias("a"))
+    plan = BA.minority_knn(df, "k", ["a"], k=3)._jdf.queryExecution().toString()
+    found = {int(n) for n in re.findall(r"hashpartitioning\(qb#\d+, rb#\d+, (\d+)\)", plan)}
+    assert found and min(found) >= 9        # at least three blocks on either side
+
+
+def test_nan_feature_is_rejected(spark, gauss):
+    holes = gauss.withColumn("f1", F.when(F.col("k") < 3, F.lit(float("nan"))).otherwise(F.col("f1")))
+    ok, bad = split_rejects(holes, FEATS, keep=["k"])
+    assert ok.count() == 197 and {r.missing_first for r in bad.collect()} == {"f1"}
+
+
+def test_depth_over_the_cap_is_an_error():
+    with pytest.raises(ValueError):
+        M.random_forest(max_depth=31)
+
+
+def test_a_fold_never_sees_its_own_labels(spark, gauss):
+    from strata.operators.sampling import stratified_folds
+    data = cut_lineage(stratified_folds(gauss, ["k"], "label", 3))
+    clf = M.random_forest(num_trees=5, max_depth=3)
+    pipe = M.leakfree_estimator(clf, FEATS, "k", k_features=3)
+    flip = data.withColumn("label", F.when(F.col("fold") == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    a, b = (M.leakfree_search(pipe, [{}], d, n_folds=3) for d in (data, flip))
+    assert a.fold_features[0] == b.fold_features[0] and len(a.fold_features) == 3
+    assert 0 <= a.avgMetrics[0] <= 1

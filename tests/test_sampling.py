@@ -52,3 +52,21 @@ def test_gaussian_rows(spark):
     g = S.gaussian_rows(spark, st, 2000)
     r = g.agg(F.avg("a"), F.stddev("a"), F.max("b"), F.min("b")).first()
     assert abs(r[0] - 1.0) < 0.5 and 4.0 < r[1] < 6.0 and r[2] == r[3] == -3.0
+
+
+def test_gaussian_rows_do_not_depend_on_partitions(spark):
+    st = spark.createDataFrame([("a", 1.0, 2.0), ("b", -3.0, 0.5)], "feature string, mean double, std double")
+    one = sorted(map(tuple, S.gaussian_rows(spark, st, 500).collect()))
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "7")
+    try:
+        assert sorted(map(tuple, S.gaussian_rows(spark, st, 500).collect())) == one
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_split_needs_no_sort_of_the_rows(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 7 == 0).cast("int").alias("label"))
+    out = S.stratified_split(df, ["k"], "label", 0.2)
+    plan = out._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert out.filter("split = 'test'").count() == 600
