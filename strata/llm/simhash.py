@@ -221,9 +221,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose component has a smaller doc_id; of
     repeated rows one stays.  ``found`` is what ``near_duplicates`` returned."""
-    stay = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_stay")).distinct())
-    return (docs.alias("d").join(stay.alias("s"), F.col(f"d.{id_col}").eqNullSafe(F.col("s._stay")), "left_semi")
-            .dropDuplicates([id_col, text_col]))
-
+    def key(name: str):     # never null, so that one exchange serves the join and the removal of repeated rows
+        return F.coalesce(F.col(name).cast("long"), F.lit(0)).alias("__id"), F.isnull(name).alias("__null")
 
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*key("doc_id")).distinct()
+    return (docs.select(*names, *key(id_col)).join(stay, ["__id", "__null"], "left_semi")
+            .dropDuplicates(["__id", "__null", text_col]).select(*names))
