@@ -83,3 +83,23 @@ s{k} AS (SELECT doc_id, {k} AS k, '{kind}' AS kind, CAST(start AS BIGINT) AS a,
 
 
 PERSONAL = _personal()
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+          r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+CONTAMINATION = f"""WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM
+ (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM
+  (SELECT item, w, least(10, len(w)) AS n FROM iw WHERE len(w) > 0))),
+ns AS (SELECT DISTINCT n FROM win),
+dwin AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS t FROM
+ (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM dw, ns WHERE len(w) >= n)),
+hits AS (SELECT d.doc_id, d.s, d.n, win.item FROM dwin d JOIN win ON d.n = win.n AND d.t = win.t),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+ (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS told FROM
+ (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+ sha256(coalesce(told, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos ON dw.doc_id = pos.doc_id LEFT JOIN held ON dw.doc_id = held.doc_id"""

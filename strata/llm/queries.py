@@ -56,4 +56,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_cotrain, op2_pii, op3_suffix_dedup, op4_simhash, op5_topk, op6_html_crf,
                                    op7_decontaminate, op8_langid, op9_toxicity, op10_packing)}
 #: The others hash, train or tokenize; tests compare them with brute force, round trips and held-out labels.
-ORACLE = {"op2_pii": oracle.PERSONAL, "op5_topk": oracle.TOP_K}
+ORACLE = {"op2_pii": oracle.PERSONAL, "op5_topk": oracle.TOP_K, "op7_decontaminate": oracle.CONTAMINATION}
