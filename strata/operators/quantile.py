@@ -1,66 +1,92 @@
 """Exact percentiles (linear interpolation) without one task per group.
 
 Spark's exact ``percentile`` merges every distinct value of a group into one
-buffer, i.e. the whole column of a feature in one task.  Here:
+buffer, i.e. the whole column of a feature in one task.  Here, the same at
+every size:
 
-1. ``percentile_approx`` (deterministic rank error <= n / accuracy) gives, per
-   (group, p), a bracket [lo, hi] that must contain the order statistics
-   floor((n-1)p) and ceil((n-1)p).  Groups with n <= ``small`` use the full
-   range (they are small by definition).
-2. One pass over the rows counts the rows below ``lo`` and the rows per
-   distinct value inside the bracket (ties collapse into one row).
-3. A running count over the bracket (a window whose partitions hold only the
-   bracket's distinct values) locates the two order statistics exactly.
+1. ``percentile_approx`` (rank error at most n / accuracy) gives, per group and
+   p, a bracket [lo, hi] around the order statistics floor((n-1)p) and
+   ceil((n-1)p).
+2. One pass turns the group into *cells*, disjoint ranges of values in order:
+   each distinct value inside a bracket is a cell, each gap between brackets is
+   one cell.  A cell keeps its count, smallest and largest value.
+3. Running counts over the cells (range partitions, so that a group's cells
+   are spread over tasks) tell which cell holds an order statistic.  It is known
+   if the cell has one value or if it is the first or last of its cell.
+4. That is checked, not assumed: a group whose statistic falls inside a gap
+   goes through steps 2 and 3 again with every distinct value as its own cell.
 
-The group/probability table is bounded by #groups x #probs and is broadcast.
-"""
+NULLs are ignored; a group without values has no rows; NaN counts as the
+largest value.  The table of brackets has one row per group and is broadcast:
+groups are features, or features by class."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.rank import running_sums
+from strata.session import cut_lineage
+
+
+def _cells(rows: DataFrame, groups: list[str], inside: Column, gap: Column) -> DataFrame:
+    """(groups..., _lo, _hi, _c, _c_cum): the cells with inclusive running counts."""
+    cells = (rows.groupBy(*groups, gap.alias("_gap"), F.when(inside, F.col("_v")).alias("_in"))
+             .agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_c")))
+    return running_sums(cells.select(*groups, "_lo", "_hi", "_c"), ["_lo"], ["_c"], groups=groups)
+
+
+def _pick(cells: DataFrame, sizes: DataFrame, groups: list[str], probs: list[float]) -> DataFrame:
+    """(groups..., _a0, _b0, _a1, ...): both order statistics of each p, NULL where
+    a cell does not tell them."""
+    before, upto = F.col("_c_cum") - F.col("_c"), F.col("_c_cum")
+
+    def at(k: Column) -> Column:
+        value = (F.when((k == before) | (F.col("_lo") == F.col("_hi")), F.col("_lo"))
+                 .when(k == upto - 1, F.col("_hi")))
+        return F.max(F.when((k >= before) & (k < upto), value))
+
+    pos = [(F.col("_n") - 1).cast("double") * F.lit(float(p)) for p in probs]
+    wanted = [e for i, x in enumerate(pos)
+              for e in (at(F.floor(x)).alias(f"_a{i}"), at(F.ceil(x)).alias(f"_b{i}"))]
+    return cells.join(F.broadcast(sizes), groups).groupBy(*groups, "_n").agg(*wanted)
+
 
 def exact_percentiles(long: DataFrame, groups: list[str], value: str, probs: list[float],
-                      accuracy: int = 10000, small: int | None = None,
-                      prob_col: str = "p", out: str = "q") -> DataFrame:
+                      accuracy: int = 10000, prob_col: str = "p", out: str = "q") -> DataFrame:
     """Return (groups..., p, q): the exact linear-interpolated percentile of
     ``value`` (NULLs ignored) for every p in ``probs`` inside every group."""
     margin = 3.0 / accuracy
-    small = small if small is not None else 3 * accuracy
-    lo_p = [max(0.0, p - margin) for p in probs]
-    hi_p = [min(1.0, p + margin) for p in probs]
-    brk = sorted(set(lo_p + hi_p))
+    edges = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
     vals = long.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    st = vals.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", brk, accuracy).alias("_apx"))
-    per_p = [F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
-                      F.lit(brk.index(lo_p[i]) + 1).alias("li"),
-                      F.lit(brk.index(hi_p[i]) + 1).alias("hi"))
-             for i, p in enumerate(probs)]
-    st = (st.select(*groups, "_n", "_apx", F.explode(F.array(*per_p)).alias("_pp"))
-          .select(*groups, "_n", F.col("_pp.i").alias("_i"), F.col("_pp.p").alias(prob_col),
-                  F.when(F.col("_n") > small, F.element_at("_apx", F.col("_pp.li"))).alias("_lo"),
-                  F.when(F.col("_n") > small, F.element_at("_apx", F.col("_pp.hi"))).alias("_hi")))
-    # st: one row per (group, p) -> bounded; broadcast
-    j = vals.join(F.broadcast(st), groups, "inner")
-    keep = F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))
-    bv = F.when(F.col("_lo").isNotNull() & (F.col("_v") < F.col("_lo")), F.lit(None)).otherwise(F.col("_v"))
-    bucket = (j.filter(keep).select(*groups, "_i", prob_col, "_n", bv.alias("_bv"))
-              .groupBy(*groups, "_i", prob_col, "_n", "_bv").agg(F.count(F.lit(1)).alias("_c")))
-    w = (Window.partitionBy(*groups, "_i").orderBy(F.col("_bv").asc_nulls_first())
-         .rowsBetween(Window.unboundedPreceding, 0))
-    pos = (F.col("_n") - 1).cast("double") * F.col(prob_col)
-    cum = bucket.select(*groups, "_i", prob_col, "_n", "_bv", F.sum("_c").over(w).alias("_cum"))
-    k0, k1 = F.floor(pos), F.ceil(pos)
-    res = cum.groupBy(*groups, "_i", prob_col, "_n").agg(
-        F.min(F.when(F.col("_bv").isNotNull() & (F.col("_cum") > k0), F.col("_bv"))).alias("_v0"),
-        F.min(F.when(F.col("_bv").isNotNull() & (F.col("_cum") > k1), F.col("_bv"))).alias("_v1"))
-    frac = pos - F.floor(pos)
-    q = F.when(F.col("_v1") == F.col("_v0"), F.col("_v0")).otherwise(
-        (F.lit(1.0) - frac) * F.col("_v0") + frac * F.col("_v1"))
-    return res.select(*groups, prob_col, q.alias(out))
+    st = cut_lineage(vals.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_e")))
+    sizes = st.select(*groups, "_n")
+
+    v = F.col("_v")
+    brackets = [(F.col("_e")[2 * i], F.col("_e")[2 * i + 1]) for i in range(len(probs))]
+    inside = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in brackets])
+    gap = reduce(lambda a, b: a + b, [(v > hi).cast("int") for _, hi in brackets])
+    rows = vals.join(F.broadcast(st), groups)
+    found = cut_lineage(_pick(_cells(rows, groups, inside, gap), sizes, groups, probs))
+
+    ends = [f"_{s}{i}" for i in range(len(probs)) for s in "ab"]
+    unknown = reduce(lambda a, b: a | b, [F.col(e).isNull() for e in ends])
+    if not found.filter(unknown).isEmpty():
+        again = vals.join(F.broadcast(found.filter(unknown).select(*groups)), groups, "left_semi")
+        whole = _pick(_cells(again, groups, F.lit(True), F.lit(0)), sizes, groups, probs)
+        found = found.filter(~unknown).unionByName(whole)
+
+    def answer(i: int, p: float) -> Column:
+        a, b, x = F.col(f"_a{i}"), F.col(f"_b{i}"), (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        share = x - F.floor(x)
+        q = F.when(a == b, a).otherwise((F.lit(1.0) - share) * a + share * b)
+        return F.struct(F.lit(float(p)).alias(prob_col), q.alias(out))
+
+    answers = F.explode(F.array(*[answer(i, p) for i, p in enumerate(probs)])).alias("_r")
+    return found.select(*groups, answers).select(*groups, f"_r.{prob_col}", f"_r.{out}")
 
 
 def exact_percentiles_wide(long: DataFrame, groups: list[str], value: str,

@@ -1,8 +1,10 @@
 """Exact bracketed percentiles and distributed ranks / running sums."""
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strata.operators import quantile
 from strata.operators.quantile import exact_percentiles
 from strata.operators.rank import rank_within, running_sums
 
@@ -13,7 +15,7 @@ def test_bracket_path_matches_exact_percentile(spark):
     rows = [(("a" if i % 3 else "b"), float(v)) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.01, 0.25, 0.5, 0.75, 0.99]
-    got = exact_percentiles(df, ["g"], "v", probs, accuracy=200, small=0).collect()
+    got = exact_percentiles(df, ["g"], "v", probs, accuracy=200).collect()
     want = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
     want = {r.g: r.q for r in want}
     assert len(got) == 2 * len(probs)
@@ -21,6 +23,32 @@ def test_bracket_path_matches_exact_percentile(spark):
         assert abs(r.q - want[r.g][probs.index(r.p)]) < 1e-12
 
 
+@pytest.mark.parametrize("n,accuracy", [(1, 10000), (2, 10000), (6, 10000), (999, 10000), (40000, 100), (40000, 10000)])
+def test_percentiles_at_every_size_and_bracket_width(spark, n, accuracy):
+    rng = np.random.default_rng(n)
+    vals = {"smooth": rng.normal(0, 1, n), "ties": rng.integers(0, 4, n).astype(float),
+            "heavy": rng.standard_cauchy(n) * 1e6}
+    df = spark.createDataFrame([(g, float(x)) for g, v in vals.items() for x in v] + [("smooth", None), ("none", None)],
+                               "g string, v double").repartition(7)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {(r.g, r.p): r.q for r in exact_percentiles(df, ["g"], "v", probs, accuracy=accuracy).collect()}
+    assert len(got) == 3 * len(probs)
+    for (g, p), q in got.items():
+        want = float(np.quantile(vals[g], p))
+        assert abs(q - want) <= 1e-9 * max(1.0, abs(want))
+
+
+def test_a_bracket_that_misses_is_noticed(spark, monkeypatch):
+    """With brackets moved away from their statistics every group is done again in full."""
+    df = spark.range(5000).select(F.lit("g").alias("g"), (F.col("id") * 7919 % 5003).cast("double").alias("v"))
+    asked = F.percentile_approx
+    monkeypatch.setattr(quantile.F, "percentile_approx",
+                        lambda c, edges, accuracy: asked(c, [e * 0.3 for e in edges], accuracy))
+    got = {r.p: r.q for r in exact_percentiles(df, ["g"], "v", [0.5, 0.9]).collect()}
+    vals = [float(i * 7919 % 5003) for i in range(5000)]
+    assert all(abs(got[p] - np.quantile(vals, p)) < 1e-9 for p in (0.5, 0.9))
+
+
 def test_rank_equals_window_rank_any_partitioning(spark):
     rows = [(i, i % 3, float((i * 7919) % 101)) for i in range(1000)]
     df = spark.createDataFrame(rows, "id long, s int, o double")
