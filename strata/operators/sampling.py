@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.rank import rank_within
+from strata.session import cut_lineage
 
 SEED = 42
 
@@ -53,10 +54,10 @@ def quota_cuts(df: DataFrame, keys: list[str], label: str, quotas, seed: int) ->
 
     Two narrow passes over (class, draw): counts by class and leading digits,
     from which the digits at the quota follow, then the exact draw among the rows
-    with those digits.  No row but those is sorted, and nothing is written; at most
-    16^5 counts a class are summed up in one task, and one row a class is collected."""
+    with those digits.  No row but those is sorted, and only the counts are written;
+    at most 16^5 counts a class are summed up in one task, and one row a class is collected."""
     draws = df.select(F.col(label).alias("c"), draw_key(keys, seed).alias("h"))
-    counts = draws.groupBy("c", F.substring("h", 1, PREFIX).alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(draws.groupBy("c", F.substring("h", 1, PREFIX).alias("d")).agg(F.count(F.lit(1)).alias("n")))
     totals = sorted((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect())
     quota = quotas(totals)
     cuts = {c: "" if quota.get(c, 0) <= 0 else "g" for c, n in totals}       # "g" is above every hex digit

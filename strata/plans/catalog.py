@@ -13,6 +13,7 @@ from strata.functions.columns import round_doubles
 from strata.operators import aggregate as agg
 from strata.plans import oracle as O
 from strata.plans import views as V
+from strata.session import cut_lineage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,7 +119,7 @@ def _ord_labels(spark, sf):
 
 def ord_split(spark, sf):
     """Entity labels of V-ORD with the seeded 80/20 train/test split."""
-    return S.stratified_split(_ord_labels(spark, sf), ["l_orderkey"], "label", 0.2)
+    return S.stratified_split(cut_lineage(_ord_labels(spark, sf)), ["l_orderkey"], "label", 0.2)
 
 
 @register("stratified_split", O.with_(O.V_ORD_RAW, O.ORD_LAB, O.ORD_SPLIT)
@@ -301,13 +302,11 @@ def q_class_ratio(spark, sf):
 
 
 def ord_train_entities(spark, sf):
-    """V-ORD entity table with the split column, materialised once in the
-    shared checkpoint folder (inside the split's rank step): the profiles
-    below make several passes over it and must not re-aggregate the raw
-    tables for each."""
-    # the split's rank step checkpoints the full entity rows; membership is
-    # the same as ord_split's (it depends on key and label only)
-    return S.stratified_split(V.v_ord_entities(spark, sf), ["l_orderkey"], "label", 0.2)
+    """V-ORD entity table with the split column (the same as ord_split's: it
+    depends on key and label only).  The entities are written once in the shared
+    checkpoint folder: the split and the profiles below make several passes over
+    them and must not aggregate the raw tables anew for each."""
+    return S.stratified_split(cut_lineage(V.v_ord_entities(spark, sf)), ["l_orderkey"], "label", 0.2)
 
 
 _ORD_SPLIT_ENT = O.with_(O.V_ORD_RAW, O.ORD_ENT, O.ORD_LAB, O.ORD_SPLIT,
@@ -597,7 +596,7 @@ _DKEYS = ["user_id", "day"]
 
 
 def day_split(spark, sf):
-    return S.stratified_split(V.v_day_entities(spark, sf), _DKEYS, "label", 0.2)
+    return S.stratified_split(cut_lineage(V.v_day_entities(spark, sf)), _DKEYS, "label", 0.2)
 
 
 @register("drop_zero_variance", _DAYP + "SELECT feature FROM zv")

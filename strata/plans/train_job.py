@@ -36,7 +36,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
 def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, FittedPrep]:
     """V-ORD entities with the 80/20 split and the label-free preparation
     fitted on train (imputation + filters; scaling happens in the models)."""
-    ent = V.v_ord_entities(spark, sf)
+    ent = cut_lineage(V.v_ord_entities(spark, sf))
     sp = S.stratified_split(ent, [KEY], "label", 0.2)
     prep = fit_prep(sp.filter(F.col("split") == "train"), ORD_F, scale=False)
     data = cut_lineage(prep.transform(sp, scale=False))
