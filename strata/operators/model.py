@@ -116,9 +116,9 @@ def rfe_schedule(n: int, k: int, step: float | int) -> list[int]:
     return widths
 
 
-def rfe_ranker(seed: int = SEED) -> RandomForestClassifier:
-    """F5 ranker: 20 trees, depth 5, balanced class weights."""
-    return random_forest(num_trees=20, max_depth=5, weight_col="_w", seed=seed,
+def rfe_ranker(seed: int = SEED, num_trees: int = 20, max_depth: int = 5) -> RandomForestClassifier:
+    """F5 ranker: balanced class weights; 20 trees of depth 5 unless told otherwise."""
+    return random_forest(num_trees=num_trees, max_depth=max_depth, weight_col="_w", seed=seed,
                          features_col="_rfe_x")
 
 
@@ -132,28 +132,47 @@ class RecursiveEliminator(Estimator):
                  TypeConverters.toFloat)
     labelCol = Param(Params._dummy(), "labelCol", "label column", TypeConverters.toString)
     seed = Param(Params._dummy(), "seed", "seed", TypeConverters.toInt)
+    rankerTrees = Param(Params._dummy(), "rankerTrees", "trees of the ranking forest", TypeConverters.toInt)
+    rankerDepth = Param(Params._dummy(), "rankerDepth", "depth of the ranking forest", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCol="features", outputCol="selected", k=50, step=0.5, labelCol="label", seed=SEED):
+    def __init__(self, inputCol="features", outputCol="selected", k=50, step=0.5, labelCol="label", seed=SEED,
+                 rankerTrees=20, rankerDepth=5):
         super().__init__()
-        self._setDefault(inputCol="features", outputCol="selected", k=50, step=0.5, labelCol="label", seed=SEED)
+        self._setDefault(inputCol="features", outputCol="selected", k=50, step=0.5, labelCol="label", seed=SEED,
+                         rankerTrees=20, rankerDepth=5)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset):
+    def fit_widths(self, dataset, ks: list[int]) -> dict:
+        """The selector of each k.  Eliminations to different widths rank the same
+        features until their last round, so each set of features is ranked once."""
         g = self.getOrDefault
         x, lab = g(self.inputCol), g(self.labelCol)
         data = with_class_weight(dataset.select(x, lab), lab, "_w").select(
             vector_to_array(F.col(x)).alias("_arr"), lab, "_w").persist()
         n = len(data.select("_arr").first()[0])
-        keep = list(range(n))
-        widths = rfe_schedule(n, g(self.k), g(self.step))
-        for target in widths[1:]:
-            sub = data.select(array_to_vector(F.array(*[F.col("_arr")[i] for i in keep])).alias("_rfe_x"), lab, "_w")
-            imp = rfe_ranker(g(self.seed)).setLabelCol(lab).fit(sub).featureImportances.toArray()
-            order = sorted(range(len(keep)), key=lambda i: (-imp[i], i))
-            keep = sorted(keep[i] for i in order[:target])
+        ranked = {}
+
+        def best_first(keep: tuple) -> list[int]:
+            if keep not in ranked:
+                sub = data.select(array_to_vector(F.array(*[F.col("_arr")[i] for i in keep])).alias("_rfe_x"), lab, "_w")
+                ranker = rfe_ranker(g(self.seed), g(self.rankerTrees), g(self.rankerDepth)).setLabelCol(lab)
+                imp = ranker.fit(sub).featureImportances.toArray()
+                ranked[keep] = [keep[i] for i in sorted(range(len(keep)), key=lambda i: (-imp[i], i))]
+            return ranked[keep]
+
+        models = {}
+        for k in ks:
+            keep = tuple(range(n))
+            for target in rfe_schedule(n, k, g(self.step))[1:]:
+                keep = tuple(sorted(best_first(keep)[:target]))
+            models[k] = SelectorModel(keep, x, g(self.outputCol))
         data.unpersist()
-        return SelectorModel(keep, x, g(self.outputCol))
+        return models
+
+    def _fit(self, dataset):
+        k = self.getOrDefault(self.k)
+        return self.fit_widths(dataset, [k])[k]
 
 
 class SelectorModel(Model):
@@ -248,6 +267,20 @@ def grid_search(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_col:
     return cv.fit(data)
 
 
+def fold_f1(estimator, data: DataFrame, n_folds: int, fold_col: str = "fold", label: str = "label",
+            parallelism: int = 4) -> float:
+    """The mean F1 of ``estimator`` over the folds, without a refit on all."""
+    data = data.withColumn(label, F.col(label).cast("double"))
+    evaluator = f1_evaluator(label)
+
+    def score(fold: int) -> float:
+        model = estimator.fit(data.filter(F.col(fold_col) != fold))
+        return evaluator.evaluate(model.transform(data.filter(F.col(fold_col) == fold)))
+
+    with ThreadPool(parallelism) as pool:
+        return sum(pool.map(inheritable_thread_target(data.sparkSession)(score), range(n_folds))) / n_folds
+
+
 @dataclass
 class SearchResult:
     """Mean score of each candidate, the pipeline refitted on all folds with
@@ -289,7 +322,8 @@ def param_grid(classifier, values: dict) -> list[dict]:
 
 def random_param_maps(classifier, space: dict, n_draws: int, seed: int = SEED) -> list[dict]:
     """M5: seeded random draws from ``space`` — each value is a list (choice),
-    ("int", lo, hi), ("uniform", lo, hi) or ("loguniform", lo, hi)."""
+    ("int", lo, hi), ("uniform", lo, hi), ("loguniform", lo, hi) or ("share", lo, hi),
+    a uniform draw as text, as MLlib's featureSubsetStrategy takes it."""
     import math
     rng = random.Random(seed)
     maps = []
@@ -303,6 +337,8 @@ def random_param_maps(classifier, space: dict, n_draws: int, seed: int = SEED) -
                 m[p] = rng.randint(spec[1], spec[2])
             elif spec[0] == "uniform":
                 m[p] = rng.uniform(spec[1], spec[2])
+            elif spec[0] == "share":
+                m[p] = f"{rng.uniform(spec[1], spec[2]):.4f}"
             else:
                 m[p] = math.exp(rng.uniform(math.log(spec[1]), math.log(spec[2])))
         maps.append(m)

@@ -798,7 +798,7 @@ def q_rfe_select(spark, sf):
 
 @register("rfe_sweep")
 def q_rfe_sweep(spark, sf):
-    return TJ.rfe_sweep(spark, sf, ks=(4, 8, 12), folds=3)
+    return TJ.rfe_sweep(spark, sf)
 
 
 def _bundle_row(scored, t):
@@ -896,7 +896,10 @@ def q_finalize(spark, sf):
 
 @register("train_job")
 def q_train_job(spark, sf):
-    return TJ.train_job(spark, sf)
+    """The whole job on the long V-ORD rows, with a small search."""
+    return TJ.train_job(spark, V.v_ord_raw(spark, sf), ORD, folds=3, k_features=8, n_draws=2,
+                        forest_grid={"numTrees": [20, 40], "maxDepth": [10]},
+                        boosted_space={**TJ.BOOSTED_SPACE, "maxIter": ("int", 10, 40), "maxDepth": ("int", 2, 6)})
 
 
 @register("score_table")

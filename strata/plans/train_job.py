@@ -1,6 +1,7 @@
-"""Training / finalisation jobs (M6, M9, M10, R1) composed from the
-operators, on the V-ORD cohort.  All driver-side data are per-feature,
-per-threshold or per-parameter rows; entity rows stay in Spark."""
+"""Training / finalisation jobs (M6, M9, M10, R1) composed from the operators.
+``train_job`` takes any long table with its ``CohortSpec``; the other jobs are on
+the V-ORD cohort.  All driver-side data are per-feature, per-threshold or
+per-parameter rows; entity rows stay in Spark."""
 
 from __future__ import annotations
 
@@ -8,23 +9,34 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.functions.columns import combine_rows
 from strata.operators import evaluate as EV
 from strata.operators import model as M
 from strata.operators import profile as P
 from strata.operators import sampling as S
+from strata.operators.aggregate import entity_table
 from strata.operators.prep import FittedPrep, fit_prep, with_class_weight, with_positive_weight
 from strata.operators.report import importance_rank
 from strata.operators.scoring import score_table
 from strata.plans import views as V
 from strata.session import cut_lineage, ensure_checkpoint_dir
-from strata.sources.bundle import Bundle, load_bundle, save_bundle
+from strata.sources.bundle import Bundle, load_bundle, publish_bundle, save_bundle
+from strata.sources.tables import normalize_raw
+from strata.spec import CohortSpec
 
 KEY = "l_orderkey"
 ORD_F = V.ORD_SPEC.feature_columns()
 
+# The published search.  MLlib has no smallest node to split, so its
+# 2 and 5 are the leaf sizes 1 and 2.
+FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [M.MAX_DEPTH_CAP, 20], "minInstancesPerNode": [1, 2]}
+BOOSTED_SPACE = {"maxIter": ("int", 50, 400), "maxDepth": ("int", 2, 8), "stepSize": ("loguniform", 0.01, 0.3),
+                 "subsamplingRate": ("uniform", 0.5, 1.0), "featureSubsetStrategy": ("share", 0.5, 1.0)}
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root (never a machine-local
@@ -33,20 +45,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "strata-work", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
+def prepare(ent: DataFrame, key: str, features: list[str], var_thresh: float = 0.01) -> tuple[DataFrame, FittedPrep]:
+    """Entities with the 80/20 split and the label-free preparation fitted on
+    train (imputation + filters; scaling happens in the models)."""
+    sp = S.stratified_split(cut_lineage(ent), [key], "label", 0.2)
+    prep = fit_prep(sp.filter(F.col("split") == "train"), features, var_thresh=var_thresh, scale=False)
+    return cut_lineage(prep.transform(sp, scale=False)), prep
+
+
 def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, FittedPrep]:
-    """V-ORD entities with the 80/20 split and the label-free preparation
-    fitted on train (imputation + filters; scaling happens in the models)."""
-    ent = cut_lineage(V.v_ord_entities(spark, sf))
-    sp = S.stratified_split(ent, [KEY], "label", 0.2)
-    prep = fit_prep(sp.filter(F.col("split") == "train"), ORD_F, scale=False)
-    data = cut_lineage(prep.transform(sp, scale=False))
-    return data, prep
+    """The V-ORD entities, prepared."""
+    return prepare(V.v_ord_entities(spark, sf), KEY, ORD_F)
 
 
-def with_validation(data: DataFrame) -> DataFrame:
+def with_validation(data: DataFrame, key: str = KEY) -> DataFrame:
     """tr2 / val inside train (another salt); test rows keep 'test'."""
     tr = data.filter(F.col("split") == "train").drop("split")
-    v = S.stratified_split(tr, [KEY], "label", 0.2, seed=43, names=("tr2", "val"))
+    v = S.stratified_split(tr, [key], "label", 0.2, seed=43, names=("tr2", "val"))
     return v.unionByName(data.filter(F.col("split") == "test"))
 
 
@@ -86,30 +101,39 @@ def rfe_select(spark, sf, k: int = 8, step: float = 0.5) -> DataFrame:
     return spark.createDataFrame([(i + 1, n) for i, n in enumerate(names)], "slot int, feature string")
 
 
-def rfe_sweep(spark, sf, ks=(4, 8, 12), folds: int = 3) -> DataFrame:
-    """for each k, RFE on train then the k-feature forest's CV F1."""
+def sweep_widths(n: int) -> list[int]:
+    """1 to 20, then by tens, up to the number of features."""
+    return [k for k in [*range(1, 21), *range(30, n + 1, 10)] if k <= n]
+
+
+def rfe_sweep(spark, sf, ks: list[int] | None = None, folds: int = 5, num_trees: int = 50,
+              step: float = 0.5) -> DataFrame:
+    """for each k, RFE on train then the k-feature forest's CV F1; ``best``
+    marks the smallest k of the highest score."""
     data, prep = prepared(spark, sf)
+    ks = ks or sweep_widths(len(prep.kept))
     tr = data.filter(F.col("split") == "train")
     tr = S.stratified_folds(tr, [KEY], "label", folds, seed=44)
     scaled = M.PopulationScaler(inputCols=prep.kept, outputCol="features").fit(tr).transform(tr)
-    scaled = cut_lineage(with_class_weight(scaled, "label", "weight"))
+    scaled = cut_lineage(with_class_weight(scaled, "label", "weight").select("features", "label", "weight", "fold"))
+    selectors = M.RecursiveEliminator(step=step).fit_widths(scaled, [min(k, len(prep.kept)) for k in ks])
+    rf = M.random_forest(num_trees=num_trees, max_depth=6, weight_col="weight", features_col="selected")
     rows = []
     for k in ks:
-        sel = M.RecursiveEliminator(k=min(k, len(prep.kept)), step=1).fit(scaled)
-        ds = sel.transform(scaled).withColumn("label", F.col("label").cast("double"))
-        rf = M.random_forest(num_trees=30, max_depth=6, weight_col="weight", features_col="selected")
-        cvm = M.grid_search(rf, [{}], ds, n_folds=folds)
-        rows.append((int(k), float(cvm.avgMetrics[0])))
-    return spark.createDataFrame(rows, "k int, cv_f1 double")
+        ds = selectors[min(k, len(prep.kept))].transform(scaled)
+        rows.append((int(k), float(M.fold_f1(rf, ds, folds))))
+    top = max(f1 for _, f1 in rows)
+    best = min(k for k, f1 in rows if f1 == top)
+    return spark.createDataFrame([(k, f1, k == best) for k, f1 in rows], "k int, cv_f1 double, best boolean")
 
 
-def tune(spark, data: DataFrame, feats: list[str], kind: str, n_folds: int = 3, k_features: int = 8,
-         grid_values: dict | None = None, space: dict | None = None, n_draws: int = 2):
+def tune(spark, data: DataFrame, feats: list[str], kind: str, n_folds: int = 5, k_features: int = 50,
+         grid_values: dict | None = None, space: dict | None = None, n_draws: int = 25, key: str = KEY):
     """M3 + M4 / M5: leak-free pipeline tuned on tr2 with stratified folds."""
     tr2 = data.filter(F.col("split") == "tr2")
-    tr2 = S.stratified_folds(tr2, [KEY], "label", n_folds, seed=44)
+    tr2 = S.stratified_folds(tr2, [key], "label", n_folds, seed=44)
     clf = M.random_forest(seed=M.SEED) if kind == "forest" else M.boosted_trees(seed=M.SEED)
-    pipe = M.leakfree_estimator(clf, feats, KEY, k_features=k_features)
+    pipe = M.leakfree_estimator(clf, feats, key, k_features=k_features)
     if space is not None:
         grid = M.random_param_maps(clf, space, n_draws)
     else:
@@ -118,7 +142,7 @@ def tune(spark, data: DataFrame, feats: list[str], kind: str, n_folds: int = 3,
     return cvm, grid, clf
 
 
-def finalize(spark, data: DataFrame, feats: list[str], cvm, grid, clf):
+def finalize(spark, data: DataFrame, feats: list[str], cvm, grid, clf, key: str = KEY):
     """M9: selected names -> threshold on val -> deployable refit on all of
     train -> test metrics at that threshold."""
     best = cvm.bestModel
@@ -130,9 +154,9 @@ def finalize(spark, data: DataFrame, feats: list[str], cvm, grid, clf):
     params = M.best_params(cvm, grid)
     est = clf.copy(params)
     train = data.filter(F.col("split").isin("tr2", "val"))
-    scaler, model = M.deployable_fit(train, KEY, selected, est)
+    scaler, model = M.deployable_fit(train, key, selected, est)
     test = data.filter(F.col("split") == "test")
-    scored = M.p_positive(model.transform(scaler.transform(test))).select(KEY, "label", "p")
+    scored = M.p_positive(model.transform(scaler.transform(test))).select(key, "label", "p")
     return {"selected": selected, "threshold": threshold, "params": params, "scaler": scaler,
             "model": model, "scored": scored, "cv_f1": float(max(cvm.avgMetrics))}
 
@@ -143,51 +167,67 @@ def bundle_of(result: dict, kind: str) -> Bundle:
                   scaler_scale=sc.scales, threshold=result["threshold"], model_type=kind)
 
 
-def train_job(spark: SparkSession, sf: str, out_dir: str | None = None, folds: int = 3,
-              k_features: int = 8, n_draws: int = 2, demo_samples: int = 80) -> DataFrame:
+def train_job(spark: SparkSession, source: str | DataFrame, spec: CohortSpec, out_dir: str | None = None,
+              folds: int = 5, k_features: int = 50, n_draws: int = 25, demo_samples: int = 80,
+              var_thresh: float = 0.01, forest_grid: dict | None = None,
+              boosted_space: dict | None = None) -> DataFrame:
     """Aggregate -> split -> prepare -> tune forest and boosted trees
-    leak-free -> finalise both -> pick the winner (boosted wins ties) ->
-    save bundle, run metrics and the report pack.  Returns the run-metrics row."""
+    leak-free -> finalise both -> pick the winner (boosted wins ties) -> publish
+    the bundle, write run metrics and the report pack.  Returns the run-metrics row.
+
+    ``source`` is a long table, or the path of one in Parquet, with the columns of
+    ``spec``; its entity is one integer column, and its target must be "label"."""
+    raw = spark.read.parquet(source) if isinstance(source, str) else source
+    spec = spec.resolve(raw)
+    if len(spec.entity) != 1 or not isinstance(raw.schema[spec.entity[0]].dataType, T.IntegralType):
+        raise ValueError(f"train_job needs one integer entity column, got {list(spec.entity)}")
+    if spec.target != "label":
+        raise ValueError(f"train_job needs the target to be named label, got {spec.target}")
+    key = spec.entity[0]
     out_dir = out_dir or work_dir(spark, "train")
-    data, prep = prepared(spark, sf)
-    data = cut_lineage(with_validation(data))
-    feats = prep.kept
-    results = {}
-    cvm, grid, clf = tune(spark, data, feats, "forest", folds, k_features, grid_values={"numTrees": [20, 40], "maxDepth": [10]})
-    results["forest"] = finalize(spark, data, feats, cvm, grid, clf)
-    cvm, grid, clf = tune(spark, data, feats, "boosted", folds, k_features,
-                          space={"maxIter": ("int", 10, 40), "maxDepth": ("int", 2, 6),
-                                 "stepSize": ("loguniform", 0.01, 0.3), "subsamplingRate": ("uniform", 0.5, 1.0)},
-                          n_draws=n_draws)
-    results["boosted"] = finalize(spark, data, feats, cvm, grid, clf)
-    metrics = {}
-    for kind, r in results.items():
-        mb = EV.metric_bundle(r["scored"], r["threshold"], nested=True).first().asDict(recursive=True)
-        metrics[kind] = mb
-    win = "boosted" if metrics["boosted"]["f1"] >= metrics["forest"]["f1"] else "forest"
-    bundle = bundle_of(results[win], win)
-    save_bundle(spark, bundle, os.path.join(out_dir, "bundle"))
-    n_train = data.filter(F.col("split") != "test").count()
-    n_test = data.filter(F.col("split") == "test").count()
+    data, prep = prepare(entity_table(normalize_raw(raw, spec), spec), key, spec.feature_columns(), var_thresh)
+    data = cut_lineage(with_validation(data, key))
+    searches = {"forest": {"grid_values": forest_grid or FOREST_GRID},
+                "boosted": {"space": boosted_space or BOOSTED_SPACE, "n_draws": n_draws}}
+    results, scores = {}, {}
+    for kind, options in searches.items():
+        found = tune(spark, data, prep.kept, kind, folds, k_features, key=key, **options)
+        results[kind] = finalize(spark, data, prep.kept, *found, key=key)
+        scores[kind] = EV.metric_bundle(results[kind]["scored"], results[kind]["threshold"], nested=True).first().asDict(
+            recursive=True)
+    win = "boosted" if scores["boosted"]["f1"] >= scores["forest"]["f1"] else "forest"
+    test = data.filter(F.col("split") == "test")
+    publish_bundle(spark, bundle_of(results[win], win), os.path.join(out_dir, "bundle"), test, key)
+    counts = {r["t"]: r["n"] for r in data.groupBy((F.col("split") == "test").alias("t")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
     summary = prep.summary()
-    run = {"winner": win, "n_train": n_train, "n_test": n_test, "n_candidates": summary["n_candidates"],
-           "n_features_after_label_free_reduction": summary["after_variance_filter"]}
-    for kind, r in results.items():
-        run[f"{kind}_f1"] = metrics[kind]["f1"]
-        run[f"{kind}_roc_auc"] = metrics[kind]["roc_auc"]
-        run[f"{kind}_threshold"] = r["threshold"]
-        run[f"{kind}_cv_f1"] = r["cv_f1"]
-        run[f"{kind}_n_features"] = len(r["selected"])
-        run[f"{kind}_best_params"] = json.dumps({p.name: v for p, v in r["params"].items()}, sort_keys=True)
-    row = spark.createDataFrame([run])
+    per_model = F.struct(*[model_metrics(scores[k], results[k]).alias(k) for k in results])
+    row = spark.range(1).select(
+        F.lit(win).alias("winner"), F.lit(counts.get(False, 0)).alias("n_train"),
+        F.lit(counts.get(True, 0)).alias("n_test"), F.lit(summary["n_candidates"]).alias("n_candidates"),
+        F.lit(summary["after_variance_filter"]).alias("n_features_after_label_free_reduction"),
+        per_model.alias("models")).select("*", "models.*").drop("models")
     row.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "metrics"))
-    pack = report_pack(spark, data, results[win], win, metrics[win], demo_samples, summary["n_candidates"])
+    pack = report_pack(spark, data, results[win], win, scores[win], demo_samples, summary["n_candidates"], key)
     pack.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "report"))
     return row
 
 
+def confusion_struct(c: dict) -> Column:
+    return F.struct(*[F.lit(int(c[n])).cast("long").alias(n) for n in ("tp", "fn", "fp", "tn")])
+
+
+def model_metrics(scores: dict, result: dict) -> Column:
+    """What the run row says of one model."""
+    params = json.dumps({p.name: v for p, v in result["params"].items()}, sort_keys=True)
+    return F.struct(
+        *[F.lit(scores[n]).cast("double").alias(n) for n in ("precision", "recall", "f1", "roc_auc", "threshold")],
+        confusion_struct(scores["confusion"]).alias("confusion"), F.lit(result["cv_f1"]).alias("cv_f1"),
+        F.lit(len(result["selected"])).alias("n_features"), F.lit(params).alias("best_params"))
+
+
 def report_pack(spark, data: DataFrame, result: dict, kind: str, metrics: dict, n_samples: int,
-                n_candidates: int) -> DataFrame:
+                n_candidates: int, key: str = KEY) -> DataFrame:
     """One document: ranked weights, meta, per-feature cohort stats,
     threshold sweep, stratified sample rows (n_samples // 2 per class)."""
     feats = result["selected"]
@@ -198,7 +238,7 @@ def report_pack(spark, data: DataFrame, result: dict, kind: str, metrics: dict,
     stats = P.cohort_stats(train, feats).agg(F.map_from_entries(F.collect_list(F.struct(
         "feature", F.struct("mean", "std", "q01", "q25", "q75", "q99")))).alias("stats"))
     sweep = EV.sweep_artifact(EV.threshold_sweep(result["scored"])).select(F.struct("*").alias("sweep"))
-    smp = S.class_capped_sample(test, [KEY], "label", n_samples, seed=M.SEED)
+    smp = S.class_capped_sample(test, [key], "label", n_samples, seed=M.SEED)
     names = F.array(*[F.lit(f) for f in feats])
     lab = F.when(F.col("label") == 1, F.lit("positive")).otherwise(F.lit("negative"))
     # sort by the seeded order first (maps are not orderable), then build the maps
@@ -206,16 +246,21 @@ def report_pack(spark, data: DataFrame, result: dict, kind: str, metrics: dict,
         "_order", lab.alias("label"), F.array(*[F.round(F.col(f), 4) for f in feats]).alias("v")))).alias("_s")) \
         .select(F.transform("_s", lambda r: F.struct(r["label"].alias("label"), F.map_from_arrays(
             names, r["v"]).alias("features"))).alias("samples"))
-    c = metrics["confusion"]
-    meta = {"roc_auc": round(metrics["roc_auc"], 4), "f1": round(metrics["f1"], 4),
-            "precision": round(metrics["precision"], 4), "recall": round(metrics["recall"], 4),
-            "accuracy": round((c["tp"] + c["tn"]) / max(1, sum(c.values())), 4),
-            "threshold": round(result["threshold"], 4), "n_candidates": n_candidates}
-    head = spark.createDataFrame([(kind, json.dumps(meta), feats)],
-                                 "model_type string, meta string, features array<string>")
+    c = confusion_struct(metrics["confusion"])
+    names_of = ("roc_auc", "f1", "precision", "recall", "accuracy")
+    rounded = [F.round(F.lit(metrics[n]).cast("double"), 4).alias(n) for n in names_of]
+    rounded.append(F.round(F.lit(float(result["threshold"])), 4).alias("threshold"))
+    sizes = combine_rows(
+        data.agg(F.count(F.when(F.col("split") != "test", 1)).alias("n_train"),
+                 F.count(F.when(F.col("split") == "test", 1)).alias("n_test")),
+        samples.select(F.size("samples").alias("n_demo_samples")))
+    head = sizes.select(
+        F.lit(kind).alias("model_type"),
+        F.struct(*rounded, c.alias("confusion"), "n_train", "n_test", F.lit(n_candidates).alias("n_candidates"),
+                 "n_demo_samples").alias("meta"),
+        F.array(*[F.lit(f) for f in feats]).alias("features"))
     parts = [head, ranked, stats, sweep, samples]
     # each part is exactly one row: merge by position-free union + first()
-    from strata.functions.columns import combine_rows
     merged = combine_rows(*[p.select(F.struct("*").alias(f"_p{i}")) for i, p in enumerate(parts)])
     return merged.select(*[f"_p{i}.*" for i in range(len(parts))])
 
