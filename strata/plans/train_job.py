@@ -88,7 +88,7 @@ def baseline(spark, sf, kind: str = "forest"):
     else:
         clf = M.boosted_trees(n_iter=100, max_depth=4, step=0.1, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "positive")
-    return model, scaler, scored.select(KEY, "label", "p"), feats
+    return model, scaler, cut_lineage(scored.select(KEY, "label", "p")), feats      # read by several aggregates
 
 
 def rfe_select(spark, sf, k: int = 8, step: float = 0.5) -> DataFrame:
@@ -156,7 +156,7 @@ def finalize(spark, data: DataFrame, feats: list[str], cvm, grid, clf, key: str
     train = data.filter(F.col("split").isin("tr2", "val"))
     scaler, model = M.deployable_fit(train, key, selected, est)
     test = data.filter(F.col("split") == "test")
-    scored = M.p_positive(model.transform(scaler.transform(test))).select(key, "label", "p")
+    scored = cut_lineage(M.p_positive(model.transform(scaler.transform(test))).select(key, "label", "p"))
     return {"selected": selected, "threshold": threshold, "params": params, "scaler": scaler,
             "model": model, "scored": scored, "cv_f1": float(max(cvm.avgMetrics))}
 
