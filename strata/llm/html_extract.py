@@ -11,7 +11,14 @@ article (``<article>`` or ``<main>`` without what lies in navigation and the
 like), and pages put together from the same blocks in other layouts (content
 classes instead of tags, sidebars, notices, adverts, forms, comments inside and
 outside the article), whose labels are known.  Pages of the sample without such
-tags are not used.  Extraction itself has no bound on pages, blocks or length."""
+tags are not used.  Extraction itself has no bound on pages, blocks or length.
+
+Of a skipped element everything is left out up to its end tag.  The inside of
+script, style and other plain-text elements holds no tags, so their end is the
+literal ``</name``.  Script and style that are never closed lose the rest of the
+page, which is code and which browsers do not show either; any other element
+that is never closed (for plain text: not before the next one of its name) loses
+its start tag only, and what follows is read as page text."""
 
 from __future__ import annotations
 
@@ -36,6 +43,7 @@ BREAKS = set("address article aside blockquote body button caption center dd det
              "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol "
              "option p pre section select summary table tbody td tfoot th thead tr ul".split())
 SKIPPED = set("script style noscript template textarea iframe svg math object canvas title".split())
+PLAIN = set("script style noscript textarea iframe title".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 TAGS = sorted(BREAKS - {"html", "body"})
 GOOD = "article body content entry main post story text".split()
@@ -46,6 +54,7 @@ NOTICE = re.compile(r"cookie|copyright|all rights reserved|©|privacy policy|ter
                     r"sign up|log in", re.I)
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
                  r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>", re.S)
+SAME = {t: re.compile(rf"<(/{'?' if t not in ('script', 'style') else ''}){t}(?![^\s/>])[^>]*>?", re.I) for t in PLAIN}
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -120,6 +129,41 @@ def _opened(tag: str, attributes: str) -> tuple[str, tuple[int, ...], bool, bool
     return got
 
 
+def _tokens(page: str) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, slash, tag, attributes) of each tag; a comment and a plain-text
+    element up to its end tag have no tag name."""
+    out, at = [], 0
+    while at >= 0:
+        start, at = at, -1
+        for m in TAG.finditer(page, start):
+            tag = (m[2] or "").lower()
+            if tag in PLAIN and not m[1] and not m[3].endswith("/"):
+                same = SAME[tag].search(page, m.end())
+                if same and same[1]:
+                    at = same.end()
+                elif tag in ("script", "style"):
+                    at = len(page)
+                if at >= 0:
+                    out.append((m.start(), at, "", "", tag))
+                    break
+            out.append((m.start(), m.end(), m[1] or "", tag, m[3] or ""))
+    return out
+
+
+def _ends(tokens: list[tuple[int, int, str, str, str]]) -> dict[int, int]:
+    """The end tag of each skipped element with tags inside; unclosed ones have none."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for i, (_, _, slash, tag, attributes) in enumerate(tokens):
+        if tag not in SKIPPED or tag in PLAIN:
+            continue
+        if not slash and not attributes.endswith("/"):
+            opened.setdefault(tag, []).append(i)
+        elif slash and opened.get(tag):
+            out[opened[tag].pop()] = i
+    return out
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order; entities decoded, white space folded.  Unclosed,
     stray and wrongly nested tags are put up with: an end tag closes up to its
@@ -128,7 +172,6 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple] = []
     parts: list[str] = []
     linked, links = 0, 0
-    skip_until = ""
 
     def close():
         nonlocal linked
@@ -138,49 +181,47 @@ def blocks_of(page: str) -> list[Block]:
         parts.clear()
         linked = 0
 
-    at = 0
-    for m in TAG.finditer(page):
-        if m.start() > at and not skip_until:
-            piece = page[at:m.start()]
+    tokens = _tokens(page)
+    ends = _ends(tokens)
+    at, skip_to = 0, -1
+    for i, (start, end, slash, tag, attributes) in enumerate(tokens):
+        if i <= skip_to:
+            at = end
+            continue
+        if start > at:
+            piece = page[at:start]
             parts.append(piece)
             if links:
                 linked += len(piece.strip())
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if skip_until:
-            if m[1] and tag == skip_until:
-                skip_until = ""
-            continue
-        if tag in SKIPPED:
-            if not m[1] and not m[3].endswith("/"):
+        at = end
+        if not tag:
+            if attributes:
                 close()
-                skip_until = tag
-            continue
-        if tag == "a":
-            links = 0 if m[1] else 1
+        elif tag in SKIPPED:
+            if not slash and not attributes.endswith("/"):
+                close()
+                skip_to = ends.get(i, i)
+        elif tag == "a":
+            links = 0 if slash else 1
         elif tag == "br":
             parts.append(" ")
         elif tag in BREAKS:
             close()
             links = 0
-            if m[1]:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
+            if slash:
+                for j in range(len(stack) - 1, -1, -1):
+                    if stack[j][0] == tag:
+                        del stack[j:]
                         break
             else:
                 if stack and stack[-1][0] == "p":
                     stack.pop()
                 elif stack and tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack[-1][0] == tag:
                     stack.pop()
-                if tag not in VOID and not m[3].endswith("/"):
-                    stack.append(_opened(tag, m[3]))
-    if not skip_until:
-        parts.append(page[at:])
-        close()
+                if tag not in VOID and not attributes.endswith("/"):
+                    stack.append(_opened(tag, attributes))
+    parts.append(page[at:])
+    close()
     return out
 
 

@@ -105,6 +105,19 @@ def test_pages(spark):
     assert html_extract.extract(made.limit(0), chain).count() == 0
 
 
+def test_skipped_elements_end_at_their_end_tag():
+    def texts(head):
+        return [b.text for b in html_extract.blocks_of(f"<head>{head}</head><article><p>One.</p><p>Two.</p></article>")]
+
+    for head in ("<script>for(i=0;i<n;i++){}</script>", "<SCRIPT>if(a<b)x='<p>'</Script >", "<style>a<b{}</style>",
+                 "<title>i<n</title>", "<textarea>i<n</textarea>", "<iframe>i<n</iframe>", "<noscript><img a<n</noscript>",
+                 "<noscript>", "<iframe src=x>", "<title>", "<object>", "<svg><path d=x>", "<canvas>", "<template>",
+                 "<noscript><noscript>x</noscript>", "<svg><svg>x</svg>y</svg>", "<svg><style>a<b</style>x</svg>"):
+        assert texts(head) == ["One.", "Two."], head
+    assert texts("<p>Before.<script>i<n;") == ["Before."]
+    assert texts("<title>Name") == ["Name", "One.", "Two."]
+
+
 def test_chain_marginals_sum_to_one_and_viterbi_is_best():
     rng = np.random.default_rng(2)
     chain = html_extract.Chain(rng.normal(size=(len(html_extract.NAMES), 2)), rng.normal(size=(2, 2)),
