@@ -93,16 +93,16 @@ def pointers(q: np.ndarray, n: int, length: int = LENGTH) -> np.ndarray:
     return (np.minimum(low[:n], low[width - size:width - size + n]) & _POSITION).astype(np.int64)
 
 
-def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Stretches [lo, hi) of the bytes with the first offset and number of the
-    windows of each: whole documents together, or parts of a long one that
-    overlap so that no window and no run is cut."""
+def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """Stretches [lo, hi) of the bytes with the offset before which the windows of
+    each start: whole documents together, or parts of a long one that overlap so
+    that no window is cut and none belongs to two."""
     for a, b in doc_blocks(offsets, BLOCK):
         lo, hi = offsets[a], offsets[b]
         if hi - lo <= 2 * BLOCK:
-            yield lo, hi, np.arange(a, b), offsets[a:b + 1]
+            yield lo, hi, hi, np.arange(a, b), offsets[a:b + 1]
         else:
-            yield from ((s, min(s + BLOCK + 2 * length, hi), np.array([a]), offsets[a:a + 2])
+            yield from ((s, min(s + BLOCK + 2 * length, hi), min(s + BLOCK, hi), np.array([a]), offsets[a:a + 2])
                         for s in range(int(lo), int(hi), BLOCK))
 
 
@@ -113,7 +113,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
     A long document is worked on in stretches of 2^18 bytes; a run that crosses
     a stretch's end is two runs, which only makes two equal runs less likely to
     be found equal as a whole: their windows still are."""
-    for lo, hi, docs, ends in _pieces(offsets, length):
+    for lo, hi, stop_at, docs, ends in _pieces(offsets, length):
         part = data[lo:hi]
         n = len(part) - length + 1
         if n <= 0:
@@ -122,9 +122,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
         point = pointers(q, n, length)
         at = np.arange(n)
         doc = docs[np.searchsorted(ends, at + lo, "right") - 1]
-        ok = at + lo + length <= offsets[doc + 1]
-        if len(docs) == 1:
-            ok &= at < (BLOCK if hi < offsets[docs[0] + 1] else n)
+        ok = (at + lo + length <= offsets[doc + 1]) & (at + lo < stop_at)
         new = ok.copy()
         new[1:] &= (point[1:] != point[:-1]) | (doc[1:] != doc[:-1]) | ~ok[:-1]
         stop = ok.copy()

@@ -23,6 +23,14 @@ def test_repeats_long_text_crosses_stretches(spark):
     assert got == brute.repeats(data)
 
 
+@pytest.mark.parametrize("tail", [100, 150, 201])
+def test_repeats_short_last_stretch(spark, tail):
+    rng = np.random.default_rng(tail)
+    data = [(1, "".join(rng.choice(list("abcdefgh "), 2 * suffix_dedup.BLOCK + tail)))]
+    got = rows(suffix_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).drop("kept"))
+    assert got == brute.repeats(data) and got[0][2] == 0
+
+
 def test_repeated_rows_are_one_document(odd, twice, none):
     want = rows(suffix_dedup.remove_repeats(odd).drop("kept"))
     got = suffix_dedup.remove_repeats(twice, chunk=3).drop("kept")
