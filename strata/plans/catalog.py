@@ -852,7 +852,7 @@ def q_observation_sheet(spark, sf):
 def q_leakfree_cv(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [20], "maxDepth": [10]})
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
@@ -860,8 +860,7 @@ def q_leakfree_cv(spark, sf):
 def q_grid_search(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", 3, 8,
-                           grid_values={"numTrees": [20, 40], "maxDepth": [6, 10]})
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
@@ -869,19 +868,16 @@ def q_grid_search(spark, sf):
 def q_random_search(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "boosted", 3, 8,
-                           space={"maxIter": ("int", 10, 30), "maxDepth": ("int", 2, 5),
-                                  "stepSize": ("loguniform", 0.01, 0.3), "subsamplingRate": ("uniform", 0.5, 1.0)},
-                           n_draws=2)
+    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "boosted", space=TJ.BOOSTED_SPACE)
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
 @register("deployable_fit")
 def q_deployable_fit(spark, sf):
     data, prep = TJ.prepared(spark, sf)
-    sel = [r["feature"] for r in TJ.rfe_select(spark, sf, k=8).collect()]
+    sel = [r["feature"] for r in TJ.rfe_select(spark, sf, k=50).collect()]
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    scaler, model = M.deployable_fit(train, TJ.KEY, sel, M.random_forest(num_trees=40, max_depth=10))
+    scaler, model = M.deployable_fit(train, TJ.KEY, sel, M.random_forest())
     return M.p_positive(model.transform(scaler.transform(test))).select(TJ.KEY, "label", "p")
 
 
@@ -889,17 +885,15 @@ def q_deployable_fit(spark, sf):
 def q_finalize(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8, grid_values={"numTrees": [30], "maxDepth": [10]})
+    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
     return round_doubles(EV.metric_bundle(res["scored"], res["threshold"]))
 
 
 @register("train_job")
 def q_train_job(spark, sf):
-    """The whole job on the long V-ORD rows, with a small search."""
-    return TJ.train_job(spark, V.v_ord_raw(spark, sf), ORD, folds=3, k_features=8, n_draws=2,
-                        forest_grid={"numTrees": [20, 40], "maxDepth": [10]},
-                        boosted_space={**TJ.BOOSTED_SPACE, "maxIter": ("int", 10, 40), "maxDepth": ("int", 2, 6)})
+    """The whole job on the long V-ORD rows, with the published search."""
+    return TJ.train_job(spark, V.v_ord_raw(spark, sf), ORD)
 
 
 @register("score_table")
@@ -994,8 +988,7 @@ def q_scan_split(spark, sf):
 def q_report_pack(spark, sf):
     data, prep = TJ.prepared(spark, sf)
     data = TJ.with_validation(data)
-    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", 3, 8,
-                             grid_values={"numTrees": [20], "maxDepth": [10]})
+    cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
     mb = EV.metric_bundle(res["scored"], res["threshold"], nested=True).first().asDict(recursive=True)
     return TJ.report_pack(spark, data, res, "forest", mb, 80, len(prep.features_in))

@@ -86,7 +86,7 @@ def baseline(spark, sf, kind: str = "forest"):
         clf = M.random_forest(num_trees=100, max_depth=10, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "balanced")
     else:
-        clf = M.boosted_trees(n_iter=100, max_depth=4, step=0.1, weight_col="weight")
+        clf = M.boosted_trees(n_iter=100, max_depth=6, step=0.1, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "positive")
     return model, scaler, cut_lineage(scored.select(KEY, "label", "p")), feats      # read by several aggregates
 

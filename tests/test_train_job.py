@@ -1,4 +1,5 @@
 """The train job on a table of the caller's own: run row, report, bundle gate."""
+import inspect
 import json
 
 import pytest
@@ -93,3 +94,40 @@ def test_eliminations_to_several_widths_equal_single_ones(spark):
     for k in (2, 4):
         alone = M.RecursiveEliminator(k=k, step=0.5, rankerTrees=4, rankerDepth=3).fit(x)
         assert both[k].indices == alone.indices and len(alone.indices) == k
+
+
+def test_registered_searches_are_the_published_ones(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from strata.plans import catalog as C
+
+    class Stop(Exception):
+        pass
+
+    def called(name, target, owner):
+        seen = {}
+
+        def stop(*args, **kwargs):
+            seen.update(inspect.signature(real).bind(*args, **kwargs).arguments)
+            raise Stop
+
+        real = getattr(owner, target)
+        with monkeypatch.context() as m:
+            m.setattr(owner, target, stop)
+            m.setattr(TJ, "prepared", lambda *a: (MagicMock(), MagicMock(kept=["x"])))
+            m.setattr(TJ, "with_validation", lambda d: d)
+            m.setattr(C.V, "v_ord_raw", lambda *a: None)
+            with pytest.raises(Stop):
+                C.QUERIES[name](None, "")
+        return seen
+
+    for name in ("leakfree_cv", "grid_search", "finalize", "report_pack", "random_search"):
+        got = called(name, "tune", TJ)
+        boosted = name == "random_search"
+        assert got["kind"] == ("boosted" if boosted else "forest"), name
+        assert got.get("grid_values") == (None if boosted else TJ.FOREST_GRID), name
+        assert got.get("space") == (TJ.BOOSTED_SPACE if boosted else None), name
+        assert (got.get("n_folds", 5), got.get("k_features", 50), got.get("n_draws", 25)) == (5, 50, 25), name
+    assert set(called("train_job", "train_job", TJ)) == {"spark", "source", "spec"}
+    assert called("deployable_fit", "rfe_select", TJ)["k"] == 50
+    assert called("gbt_baseline", "boosted_trees", M)["max_depth"] == 6
