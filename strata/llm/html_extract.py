@@ -57,6 +57,7 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
 SAME = {t: re.compile(rf"<(/{'?' if t not in ('script', 'style') else ''}){t}(?![^\s/>])[^>]*>?", re.I) for t in PLAIN}
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
+DIGIT = re.compile(r"[0-9]")
 
 NAMES = ([f"in:{t}" for t in TAGS] + [f"own:{t}" for t in TAGS] + [f"good:{w}" for w in GOOD]
          + [f"bad:{w}" for w in BAD]
@@ -102,9 +103,9 @@ def _features(text: str, linked: int, stack: list[tuple[str, tuple[int, ...], bo
     found.add(INDEX[f"length {1 + sum(n >= x for x in (12, 40, 100, 250))}"])
     if text[-1] in ".!?:;\"”»…":
         found.add(INDEX["ends as sentence"])
-    if any("0" <= c <= "9" for c in text[:200]):
+    if DIGIT.search(text):
         found.add(INDEX["has digits"])
-    if sum(c.isupper() for c in text[:200]) * 2 > min(n, 200):
+    if sum(map(str.isupper, text)) * 2 > n:
         found.add(INDEX["mostly capitals"])
     if NOTICE.search(text):
         found.add(INDEX["notice"])

@@ -118,6 +118,16 @@ def test_skipped_elements_end_at_their_end_tag():
     assert texts("<title>Name") == ["Name", "One.", "Two."]
 
 
+def test_block_features_see_the_whole_block():
+    def names(text):
+        (block,) = html_extract.blocks_of(f"<p>{text}</p>")
+        return {html_extract.NAMES[i] for i in block.features}
+
+    assert "has digits" in names("x" * 250 + "7")
+    assert "mostly capitals" in names("x" * 200 + "X" * 300)
+    assert "mostly capitals" not in names("X" * 200 + "x" * 300) and "has digits" not in names("x" * 500)
+
+
 def test_chain_marginals_sum_to_one_and_viterbi_is_best():
     rng = np.random.default_rng(2)
     chain = html_extract.Chain(rng.normal(size=(len(html_extract.NAMES), 2)), rng.normal(size=(2, 2)),
