@@ -103,3 +103,35 @@ held AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item)
 SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
  sha256(coalesce(told, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN pos ON dw.doc_id = pos.doc_id LEFT JOIN held ON dw.doc_id = held.doc_id"""
+
+HARD_NEGATIVES = """WITH c AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings),
+ok AS (SELECT c.vec_id FROM c GROUP BY c.vec_id HAVING bool_and(x IS NOT NULL AND isfinite(x))),
+e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM embeddings
+      JOIN ok USING (vec_id) WHERE label IS NOT NULL),
+q AS (SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM c JOIN e USING (vec_id)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, CAST(sum(a.x * b.x) AS BIGINT) AS score
+      FROM q a JOIN q b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY 1, 2),
+t AS (SELECT s.*, a.label = b.label AS same FROM s JOIN e a ON a.vec_id = anchor_id JOIN e b ON b.vec_id = other),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM t WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT p.anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+      CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank
+      FROM p JOIN t ON p.anchor_id = t.anchor_id AND NOT same
+       AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+_TERMS = (r"regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+LEXICAL = f"""WITH dt AS (SELECT doc_id, n, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+ FROM (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_TERMS} AS w FROM documents)) WHERE n > 0),
+c AS (SELECT count(DISTINCT doc_id) AS nn, count(*) AS ll FROM dt),
+tf AS (SELECT doc_id, any_value(n) AS n, t, count(*) AS tf FROM dt GROUP BY doc_id, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, c),
+it AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id,
+ translate(unnest({_TERMS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark) GROUP BY 1, 2),
+s AS (SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll)))) AS BIGINT)
+ AS score FROM it JOIN w USING (t) JOIN tf USING (t), c GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s
+ WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""

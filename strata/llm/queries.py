@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import (cotrain, decontaminate, html_extract, langid, oracle, packing, pii, simhash, suffix_dedup,
-                        topk, toxicity)
+from strata.llm import (cotrain, decontaminate, html_extract, langid, lexical, negatives, oracle, packing, pii, simhash,
+                        suffix_dedup, topk, toxicity, wavelet)
 from strata.llm.common import table
 
 
@@ -53,7 +54,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = wavelet.write(table(spark, sf_dir, "documents"))
+    return wavelet.documents(wavelet.shards(spark, path))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", shifted))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_cotrain, op2_pii, op3_suffix_dedup, op4_simhash, op5_topk, op6_html_crf,
-                                   op7_decontaminate, op8_langid, op9_toxicity, op10_packing)}
+                                   op7_decontaminate, op8_langid, op9_toxicity, op10_packing, op11_wavelet, op12_hard_negatives,
+                                   op13_lexical)}
 #: The others hash, train or tokenize; tests compare them with brute force, round trips and held-out labels.
-ORACLE = {"op2_pii": oracle.PERSONAL, "op5_topk": oracle.TOP_K, "op7_decontaminate": oracle.CONTAMINATION}
+ORACLE = {"op2_pii": oracle.PERSONAL, "op5_topk": oracle.TOP_K, "op7_decontaminate": oracle.CONTAMINATION,
+          "op12_hard_negatives": oracle.HARD_NEGATIVES, "op13_lexical": oracle.LEXICAL}
