@@ -31,7 +31,7 @@ from strata.session import cut_lineage, ship_package
 LOCAL_BYTES = 1 << 27
 WRITE_EVERY = 8
 NODES_A_PASS = 4096         # open nodes whose histograms a task holds at once
-BLOCK = "grp int, n long, x binary, y binary, key binary"
+BLOCK = "grp int, n long, ones long, x binary, y binary, key binary"
 TREES = "fit int, tree int, " + ", ".join(f"`{c}` binary" for c in Tree.TYPES)
 
 
@@ -76,8 +76,9 @@ def write_blocks(rows: DataFrame, edges: dict[int, list[np.ndarray]]) -> DataFra
                 seen = T.binned(flat[at[mine][:, None] + np.arange(d)[None, :]], known.value[int(g)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([g], pa.int32()), pa.array([len(mine)], pa.int64()),
+                     pa.array([int(y[mine].sum())], pa.int64()),
                      *[pa.array([v.tobytes()], pa.binary()) for v in (seen, y[mine].astype(np.uint8), key[mine])]],
-                    ["grp", "n", "x", "y", "key"])
+                    ["grp", "n", "ones", "x", "y", "key"])
 
     return cut_lineage(_mapped(rows.select("grp", "x", "y", "h"), run, BLOCK))
 
@@ -126,6 +127,7 @@ def _near(blocks: DataFrame, fits: dict[int, Fit]) -> DataFrame:
         plans, pieces = known.value
         i, lo, hi = pieces[table["work"][0].as_py()]
         x, y, key = _joined(table)
+        x = plans[i].seen(x)
         if plans[i].kind == "forest":
             return _tree_batch([(i, t, T.grow_forest(x, y, key, t, plans[i])) for t in range(lo, hi)])
         return _tree_batch([(i, t, tree) for t, tree in enumerate(_boosted(x, y, key, plans[i]))])
@@ -194,11 +196,12 @@ def forest_histograms(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo:
         held: dict = {}
         for batch in batches:
             for grp, *raw in zip(*(batch.column(c) for c in ("grp", "x", "y", "key")), strict=True):
-                x, y, key = _arrays(*(v.as_buffer() for v in raw))
+                block, y, key = _arrays(*(v.as_buffer() for v in raw))
                 for (i, t), (feature, cut, left, nodes, path, vain) in work.items():
                     fit = models[i]
                     if fit.group != grp.as_py():
                         continue
+                    x = fit.seen(block)
                     slots = fit.tried(x.shape[1])
                     place = np.full(len(feature), -1)
                     place[nodes] = np.arange(len(nodes))
@@ -253,11 +256,12 @@ def _some(tops: dict, most: int) -> dict:
 
 def _far_forests(blocks: DataFrame, fits: dict[int, Fit], columns: dict[int, int], local_bytes: int) -> DataFrame:
     tops = {(i, t): _Top(T.root_path(f.seed, t)[0]) for i, f in fits.items() for t in range(f.trees)}
-    slots = {i: f.tried(columns[f.group]) for i, f in fits.items()}
+    widths = {i: f.width(columns[f.group]) for i, f in fits.items()}
+    slots = {i: f.tried(widths[i]) for i, f in fits.items()}
     while todo := _some(tops, NODES_A_PASS):
         got = {(r["fit"], r["tree"], r["node"]): r for r in _cuts(forest_histograms(blocks, fits, tops, todo), fits, slots)}
         for (i, t), nodes in todo.items():
-            fit, top, width = fits[i], tops[i, t], columns[fits[i].group]
+            fit, top, width = fits[i], tops[i, t], widths[i]
             for node, vain in nodes.items():
                 r = got.get((i, t, node))
                 del top.open[node]
@@ -295,10 +299,11 @@ def _finished(blocks: DataFrame, fits: dict[int, Fit], tops: dict) -> DataFrame:
         models, work = known.value
         for batch in batches:
             for grp, *raw in zip(*(batch.column(c) for c in ("grp", "x", "y", "key")), strict=True):
-                x, y, key = _arrays(*(v.as_buffer() for v in raw))
+                block, y, key = _arrays(*(v.as_buffer() for v in raw))
                 for (i, t), (feature, cut, left, local, *_) in work.items():
                     if models[i].group != grp.as_py() or not local:
                         continue
+                    x = models[i].seen(block)
                     at = T.descend(feature, cut, left, x)
                     at[T.bag(key, models[i].seed, t) == 0] = -1
                     for node in np.intersect1d(at, local):
@@ -349,12 +354,13 @@ def boosted_histograms(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo
         held: dict = {}
         for batch in batches:
             for grp, m, *raw in zip(*(batch.column(c) for c in ("grp", "margin", "x", "y", "key")), strict=True):
-                x, y, key = _arrays(*(v.as_buffer() for v in raw))
+                block, y, key = _arrays(*(v.as_buffer() for v in raw))
                 margins = np.frombuffer(m.as_buffer(), np.float64).reshape(-1, len(y))
                 for i, (feature, cut, left, nodes) in work.items():
                     fit = models[i]
                     if fit.group != grp.as_py():
                         continue
+                    x = fit.seen(block)
                     margin = _with_recent(margins[at_place[fit.group].index(i)], late[i], fit, x)
                     place = np.full(len(feature), -1)
                     place[nodes] = np.arange(len(nodes))
@@ -386,7 +392,8 @@ def _boosted_cuts(summed: DataFrame, fits: dict[int, Fit], columns: dict[int, in
 
     def run(table: pa.Table) -> pa.Table:
         i = table["fit"][0].as_py()
-        fit, width = known.value[0][i], known.value[1][known.value[0][i].group]
+        fit = known.value[0][i]
+        width = fit.width(known.value[1][fit.group])
         sums = np.zeros((width * BINS, 3))
         sums[table["cell"].to_numpy()] = np.stack([table[c].to_numpy() for c in ("a", "b", "n")], axis=1)
         drawn = T.drawn_columns(width, fit, number)
@@ -461,10 +468,10 @@ def _margins_written(state: DataFrame, fits: dict[int, Fit], recent: dict, order
             for grp, m, *raw in zip(*(batch.column(c) for c in ("grp", "margin", "x", "y", "key")), strict=True):
                 x, y, _ = _arrays(*(v.as_buffer() for v in raw))
                 margins = np.frombuffer(m.as_buffer(), np.float64).reshape(-1, len(y))
-                out.append(b"".join(_with_recent(one, late[i], models[i], x).tobytes()
+                out.append(b"".join(_with_recent(one, late[i], models[i], models[i].seen(x)).tobytes()
                                     for one, i in zip(margins, at_place[grp.as_py()], strict=True)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "n", "x", "y", "key")),
-                                              pa.array(out, pa.binary())], ["grp", "n", "x", "y", "key", "margin"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("grp", "n", "ones", "x", "y", "key")),
+                                              pa.array(out, pa.binary())], ["grp", "n", "ones", "x", "y", "key", "margin"])
 
     return cut_lineage(_mapped(state, run, BLOCK + ", margin binary"))
 
@@ -480,23 +487,28 @@ class Grown:
     def of(self, fit: int) -> list[Tree]:
         return [Tree.unpack(r) for r in self.trees.where(F.col("fit") == fit).orderBy("tree").collect()]
 
+    def _edges(self, fit: int) -> list[np.ndarray]:
+        plan = self.fits[fit]
+        all_columns = self.edges[plan.group]
+        return all_columns if plan.columns is None else [all_columns[c] for c in plan.columns]
+
     def model(self, fit: int, max_depth: int = T.UNLIMITED, min_split: int = 2, trees: int | None = None) -> TreeModel:
         """One fit as a model; with smaller limits, the model that those would have grown."""
         plan, some = self.fits[fit], self.of(fit)[:trees]
         used = [t.stopped(max_depth, min_split) for t in some]
-        return TreeModel(plan.kind, self.edges[plan.group], used, [t.cut for t in some], [t.left for t in some],
+        return TreeModel(plan.kind, self._edges(fit), used, [t.cut for t in some], [t.left for t in some],
                          [T.leaf_values(t, plan) for t in some],
                          T.importances([Tree(**{**t.__dict__, "feature": u}) for t, u in zip(some, used, strict=True)],
-                                       plan.kind, len(self.edges[plan.group])))
+                                       plan.kind, len(self._edges(fit))))
 
     def importances(self) -> dict[int, np.ndarray]:
         """Shares of the columns for each fit, from the trees where they lie; a bounded collect."""
-        fits, widths = self.fits, {g: len(e) for g, e in self.edges.items()}
+        fits, widths = self.fits, [len(self._edges(i)) for i in range(len(self.fits))]
 
         def run(table: pa.Table) -> pa.Table:
             i = table["fit"][0].as_py()
             some = [Tree.unpack(r) for r in table.sort_by("tree").to_pylist()]
-            share = T.importances(some, fits[i].kind, widths[fits[i].group])
+            share = T.importances(some, fits[i].kind, widths[i])
             return pa.table([pa.array([i], pa.int32()), pa.array([share.tolist()], pa.list_(pa.float64()))], ["fit", "share"])
 
         ship_package(self.trees.sparkSession)
@@ -504,18 +516,38 @@ class Grown:
                 self.trees.groupBy("fit").applyInArrow(run, "fit int, share array<double>").collect()}
 
 
-def grow(rows: DataFrame, fits: list[Fit], local_bytes: int = LOCAL_BYTES) -> Grown:
-    """All ``fits`` on ``rows(grp, x, y, h)`` (see ``keyed_rows``), which are binned and written once."""
+@dataclass
+class Binned:
+    """Rows binned and written once, for any number of fits."""
+    blocks: DataFrame
+    edges: dict[int, list[np.ndarray]]
+    sizes: dict[int, tuple[int, int]]       # rows of label 0 and 1
+
+    def balanced(self, group: int) -> tuple[float, float]:
+        """n / (2 n_c) for either label."""
+        return tuple(sum(self.sizes[group]) / (2.0 * n) if n else 1.0 for n in self.sizes[group])
+
+
+def bin_rows(rows: DataFrame) -> Binned:
+    """``rows(grp, x, y, h)`` (see ``keyed_rows``) in blocks; rows without a label take no part."""
     rows = cut_lineage(rows.where(F.col("y").isNotNull()))
     edges = bin_edges(rows)
     blocks = write_blocks(rows, edges)
-    sizes = {r["grp"]: r["n"] for r in blocks.groupBy("grp").agg(F.sum("n").alias("n")).collect()}
+    sizes = {r["grp"]: (r["n"] - r["ones"], r["ones"]) for r in blocks.groupBy("grp").agg(
+        F.sum("n").alias("n"), F.sum("ones").alias("ones")).collect()}
+    return Binned(blocks, edges, sizes)
+
+
+def grow(rows: DataFrame | Binned, fits: list[Fit], local_bytes: int = LOCAL_BYTES) -> Grown:
+    """All ``fits`` on rows as ``bin_rows`` takes or returns them."""
+    data = rows if isinstance(rows, Binned) else bin_rows(rows)
+    blocks, edges, sizes = data.blocks, data.edges, data.sizes
     columns = {g: len(e) for g, e in edges.items()}
     near, forests, boosted = {}, {}, {}
     for i, f in enumerate(fits):
         if f.group not in sizes:
             raise ValueError(f"fit {i} has no rows")
-        small = sizes[f.group] * (columns[f.group] + 9) <= local_bytes
+        small = sum(sizes[f.group]) * (columns[f.group] + 9) <= local_bytes
         (near if small else forests if f.kind == "forest" else boosted)[i] = f
     parts = []
     if near:
@@ -556,7 +588,7 @@ def held_confusion(grown: Grown, held: DataFrame, variants: list[tuple[int, int,
             i = some["fit"][0].as_py()
             grown_here = [(r["tree"], Tree.unpack(r)) for r in some.sort_by("tree").to_pylist()]
             for block, x, y in zip(rows["block"], rows["x"], rows["y"], strict=True):
-                seen = np.frombuffer(x.as_buffer(), np.uint8).reshape(len(y.as_buffer()), -1)
+                seen = fits[i].seen(np.frombuffer(x.as_buffer(), np.uint8).reshape(len(y.as_buffer()), -1))
                 for v in asked[i]:
                     _, n_trees, depth, least = variants[v]
                     total = np.zeros(len(seen))

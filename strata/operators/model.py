@@ -1,7 +1,7 @@
 """Models, leak-free tuning and scoring.
 
-* Models are MLlib ``RandomForestClassifier`` / ``GBTClassifier``: the tree
-  fits are distributed by MLlib, not by a process pool.
+* ``Forest`` and ``Boosted`` are estimators over ``strata/operators/ensembles.py``: many
+  fits are grown together from rows that are binned and written once.
 * The leak-free pipeline is a ``pyspark.ml.Pipeline`` of three custom stages
   — population scaler, recursive feature eliminator, balanced classifier
   (SMOTE in ``fit`` only) — so all of them are refitted inside every fold.
@@ -12,27 +12,32 @@
 from __future__ import annotations
 
 import json
+import math
 import random
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasSeed, HasWeightCol
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.balance import smote
-from strata.operators.prep import scaler_stats, with_class_weight
+from strata.operators.ensembles import Binned, bin_rows, grow, held_confusion, keyed_rows, scored
+from strata.operators.prep import scaler_stats
+from strata.operators.trees import UNLIMITED, Fit, TreeModel
 from strata.session import cut_lineage
 
 SEED = 42
-# MLlib's deepest allowed tree stands in for "unlimited depth".
-MAX_DEPTH_CAP = 30
 
 
 def assemble(cols: list[str], out: str = "features") -> F.Column:
@@ -45,30 +50,156 @@ def p_positive(df: DataFrame, prob_col: str = "probability", out: str = "p") ->
     return df.withColumn(out, vector_to_array(F.col(prob_col)).getItem(1))
 
 
+class _Trees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed):
+    """What both kinds of trees share.  ``maxDepth`` None is no limit.  A weight column must hold one weight for
+    each label.  Rows that are equal in all columns are drawn together."""
+    maxDepth = Param(Params._dummy(), "maxDepth", "deepest level, None for no limit")
+    minInstancesPerNode = Param(Params._dummy(), "minInstancesPerNode", "rows of a leaf at least", TypeConverters.toInt)
+    minSamplesSplit = Param(Params._dummy(), "minSamplesSplit", "rows of a split at least", TypeConverters.toInt)
+    featureSubsetStrategy = Param(Params._dummy(), "featureSubsetStrategy", "columns tried: sqrt, log2, all, a number "
+                                  "or, for boosting, a share of a tree's columns", TypeConverters.toString)
+
+    def setFeaturesCol(self, value):
+        return self._set(featuresCol=value)
+
+    def setLabelCol(self, value):
+        return self._set(labelCol=value)
+
+    def _fit(self, dataset):
+        label = self.getLabelCol()
+        rows = keyed_rows(dataset, vector_to_array(F.col(self.getFeaturesCol())), label, F.lit(0), F.lit(0))
+        weight = self.getWeightCol() if self.isDefined(self.weightCol) else None
+        weights = label_weights(dataset, label, weight) if weight else (1.0, 1.0)
+        return TreesModel(grow(rows, [self.plan(0, weights)]).model(0), self.getFeaturesCol())
+
+    def _depth(self) -> int:
+        d = self.getOrDefault(self.maxDepth)
+        return UNLIMITED if d is None else d
+
+
+class Forest(_Trees):
+    """M1: trees on Poisson bags; every split looks at a subset of the columns, and at more only without a cut there."""
+    numTrees = Param(Params._dummy(), "numTrees", "trees", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, numTrees=100, maxDepth=None, featureSubsetStrategy="sqrt", minInstancesPerNode=1,
+                 minSamplesSplit=2, weightCol=None, seed=42, featuresCol="features", labelCol="label"):
+        super().__init__()
+        self._setDefault(numTrees=100, maxDepth=None, featureSubsetStrategy="sqrt", minInstancesPerNode=1,
+                         minSamplesSplit=2, seed=42, featuresCol="features", labelCol="label")
+        self._set(**self._input_kwargs)
+
+    def plan(self, group: int, weights: tuple[float, float], columns: int = 0) -> Fit:
+        g = self.getOrDefault
+        how = g(self.featureSubsetStrategy)
+        tried = {"sqrt": 0, "all": 1 << 15, "log2": max(1, int(math.log2(columns))) if columns else 0}.get(how)
+        return Fit(group, "forest", g(self.numTrees), self._depth(), g(self.minSamplesSplit), g(self.minInstancesPerNode),
+                   int(how) if tried is None else tried, weights=weights, seed=g(self.seed))
+
+    def _fit(self, dataset):
+        if self.getOrDefault(self.featureSubsetStrategy) != "log2":
+            return super()._fit(dataset)
+        width = len(dataset.select(vector_to_array(F.col(self.getFeaturesCol())).alias("x")).first()[0])
+        return self.copy({self.featureSubsetStrategy: str(max(1, int(math.log2(width))))}).fit(dataset)
+
+
+class Boosted(_Trees):
+    """M2: second-order boosting of the log loss; each tree on a share of the rows and of the columns."""
+    maxIter = Param(Params._dummy(), "maxIter", "trees", TypeConverters.toInt)
+    stepSize = Param(Params._dummy(), "stepSize", "learning rate", TypeConverters.toFloat)
+    subsamplingRate = Param(Params._dummy(), "subsamplingRate", "share of the rows of a tree", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, maxIter=100, maxDepth=6, stepSize=0.3, subsamplingRate=1.0, featureSubsetStrategy="all",
+                 weightCol=None, seed=42, featuresCol="features", labelCol="label"):
+        super().__init__()
+        self._setDefault(maxIter=100, maxDepth=6, stepSize=0.3, subsamplingRate=1.0, featureSubsetStrategy="all",
+                         minInstancesPerNode=1, minSamplesSplit=2, seed=42, featuresCol="features", labelCol="label")
+        self._set(**self._input_kwargs)
+
+    def plan(self, group: int, weights: tuple[float, float], columns: int = 0) -> Fit:
+        g = self.getOrDefault
+        how = g(self.featureSubsetStrategy)
+        return Fit(group, "boosted", g(self.maxIter), self._depth(), step=g(self.stepSize),
+                   subsample=g(self.subsamplingRate), share=1.0 if how == "all" else float(how), weights=weights,
+                   seed=g(self.seed))
+
+
+class TreesModel(Model):
+    """Fitted trees: adds ``probability`` (a vector of both labels) and ``prediction`` (1 from P >= 0.5)."""
+
+    def __init__(self, model: TreeModel, features_col: str = "features"):
+        super().__init__()
+        self.model, self.features_col, self._known = model, features_col, None
+
+    def getFeaturesCol(self) -> str:
+        return self.features_col
+
+    def getProbabilityCol(self) -> str:
+        return "probability"
+
+    @property
+    def featureImportances(self):
+        return Vectors.dense(self.model.importance)
+
+    def _transform(self, dataset):
+        if self._known is None:
+            self._known = scored(self.model, dataset.sparkSession)
+        out = dataset.withColumn("_p", self._known(vector_to_array(F.col(self.features_col))))
+        p = F.col("_p")
+        return (out.withColumn("probability", array_to_vector(F.array(1 - p, p)))
+                .withColumn("prediction", (p >= 0.5).cast("double")).drop("_p"))
+
+    def save(self, spark, path: str) -> None:
+        """One Parquet row for each tree, and the edges of its columns."""
+        m = self.model
+        rows = [(t, *[bytearray(np.ascontiguousarray(v, k).tobytes()) for v, k in zip(tree, self.KINDS, strict=True)])
+                for t, tree in enumerate(zip(m.features, m.cuts, m.lefts, m.values, strict=True))]
+        spark.createDataFrame(rows, "tree int, feature binary, cut binary, `left` binary, value binary").write.mode(
+            "overwrite").parquet(f"{path}/trees")
+        spark.createDataFrame([(m.kind, [e.tolist() for e in m.edges], m.importance.tolist())],
+                              "kind string, edges array<array<double>>, importance array<double>").coalesce(
+            1).write.mode("overwrite").parquet(f"{path}/head")
+
+    KINDS = ("<i2", "u1", "<i4", "<f8")
+
+    @classmethod
+    def load(cls, spark, path: str, features_col: str = "features") -> TreesModel:
+        head = spark.read.parquet(f"{path}/head").first()
+        rows = spark.read.parquet(f"{path}/trees").orderBy("tree").collect()
+        parts = [[np.frombuffer(r[c], k) for r in rows] for c, k in zip(("feature", "cut", "left", "value"), cls.KINDS,
+                                                                      strict=True)]
+        return cls(TreeModel(head["kind"], [np.array(e) for e in head["edges"]], *parts, np.array(head["importance"])),
+                   features_col)
+
+
+def label_weights(dataset: DataFrame, label: str, weight: str) -> tuple[float, float]:
+    """The weight of label 0 and of label 1."""
+    got = {int(r["y"]): r for r in dataset.groupBy(F.col(label).cast("int").alias("y")).agg(
+        F.min(weight).alias("lo"), F.max(weight).alias("hi")).where("y is not null").collect()}
+    if any(r["lo"] != r["hi"] for r in got.values()):
+        raise ValueError(f"{weight} must hold one weight for each label")
+    return tuple(float(got[y]["lo"]) if y in got else 1.0 for y in (0, 1))
+
+
 def random_forest(num_trees: int = 100, max_depth: int | None = None, feature_subset: str = "sqrt",
                   min_instances: int = 1, weight_col: str | None = None, seed: int = SEED,
-                  features_col: str = "features", label_col: str = "label") -> RandomForestClassifier:
-    """M1: random forest; ``max_depth=None`` grows as deep as MLlib allows."""
-    if max_depth is not None and max_depth > MAX_DEPTH_CAP:
-        raise ValueError(f"max_depth={max_depth}: MLlib grows at most {MAX_DEPTH_CAP} levels; None means that many")
-    rf = RandomForestClassifier(numTrees=num_trees, maxDepth=MAX_DEPTH_CAP if max_depth is None else max_depth,
-                                featureSubsetStrategy=feature_subset, minInstancesPerNode=min_instances,
-                                seed=seed, featuresCol=features_col, labelCol=label_col)
-    if weight_col:
-        rf.setWeightCol(weight_col)
-    return rf
-
-
-def boosted_trees(n_iter: int = 100, max_depth: int = 5, step: float = 0.1, subsample: float = 1.0,
+                  features_col: str = "features", label_col: str = "label", min_split: int = 2) -> Forest:
+    """M1: random forest; ``max_depth=None`` grows until its leaves are pure or smaller than ``min_split``."""
+    if max_depth is not None and max_depth < 1:
+        raise ValueError(f"max_depth={max_depth}: None means no limit")
+    return Forest(numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy=feature_subset,
+                  minInstancesPerNode=min_instances, minSamplesSplit=min_split, weightCol=weight_col, seed=seed,
+                  featuresCol=features_col, labelCol=label_col)
+
+
+def boosted_trees(n_iter: int = 100, max_depth: int = 6, step: float = 0.3, subsample: float = 1.0,
                   feature_subset: str = "all", weight_col: str | None = None, seed: int = SEED,
-                  features_col: str = "features", label_col: str = "label") -> GBTClassifier:
+                  features_col: str = "features", label_col: str = "label") -> Boosted:
     """M2: gradient-boosted trees (logistic loss)."""
-    g = GBTClassifier(maxIter=n_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
-                      featureSubsetStrategy=feature_subset, seed=seed, featuresCol=features_col,
-                      labelCol=label_col)
-    if weight_col:
-        g.setWeightCol(weight_col)
-    return g
+    return Boosted(maxIter=n_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
+                   featureSubsetStrategy=feature_subset, weightCol=weight_col, seed=seed, featuresCol=features_col,
+                   labelCol=label_col)
 
 
 # --------------------------------------------------------------------------
@@ -116,10 +247,27 @@ def rfe_schedule(n: int, k: int, step: float | int) -> list[int]:
     return widths
 
 
-def rfe_ranker(seed: int = SEED, num_trees: int = 20, max_depth: int = 5) -> RandomForestClassifier:
-    """F5 ranker: balanced class weights; 20 trees of depth 5 unless told otherwise."""
-    return random_forest(num_trees=num_trees, max_depth=max_depth, weight_col="_w", seed=seed,
-                         features_col="_rfe_x")
+def eliminate(rows: Binned, widths: dict[int, list[int]], step: float = 0.5, trees: int = 20, depth: int = 5,
+              seed: int = SEED) -> dict[tuple[int, int], list[int]]:
+    """F5 / F7 for many groups and widths: the columns that each ``(group, k)`` keeps.
+
+    One round grows the ranking forests of all groups and of all different sets of columns together, from rows that
+    were binned once; eliminations to several widths rank the same columns until their last round, so each set is
+    ranked once.  Labels weigh as balanced classes; equal importances go by the column's place."""
+    kept = {(g, k): tuple(range(len(rows.edges[g]))) for g, ks in widths.items() for k in ks}
+    left = {(g, k): rfe_schedule(len(rows.edges[g]), k, step)[1:] for g, k in kept}
+    ranked: dict = {}
+    while any(left.values()):
+        need = sorted({(g, kept[g, k]) for (g, k), todo in left.items() if todo} - ranked.keys())
+        if need:
+            fits = [Fit(g, "forest", trees, depth, weights=rows.balanced(g), seed=seed, columns=some) for g, some in need]
+            for i, share in grow(rows, fits).importances().items():
+                some = need[i][1]
+                ranked[need[i]] = [some[j] for j in sorted(range(len(some)), key=lambda j: (-share[j], j))]
+        for (g, k), todo in left.items():
+            if todo:
+                kept[g, k] = tuple(sorted(ranked[g, kept[g, k]][:todo.pop(0)]))
+    return {gk: list(some) for gk, some in kept.items()}
 
 
 class RecursiveEliminator(Estimator):
@@ -144,31 +292,11 @@ class RecursiveEliminator(Estimator):
         self._set(**self._input_kwargs)
 
     def fit_widths(self, dataset, ks: list[int]) -> dict:
-        """The selector of each k.  Eliminations to different widths rank the same
-        features until their last round, so each set of features is ranked once."""
+        """The selector of each k."""
         g = self.getOrDefault
-        x, lab = g(self.inputCol), g(self.labelCol)
-        data = with_class_weight(dataset.select(x, lab), lab, "_w").select(
-            vector_to_array(F.col(x)).alias("_arr"), lab, "_w").persist()
-        n = len(data.select("_arr").first()[0])
-        ranked = {}
-
-        def best_first(keep: tuple) -> list[int]:
-            if keep not in ranked:
-                sub = data.select(array_to_vector(F.array(*[F.col("_arr")[i] for i in keep])).alias("_rfe_x"), lab, "_w")
-                ranker = rfe_ranker(g(self.seed), g(self.rankerTrees), g(self.rankerDepth)).setLabelCol(lab)
-                imp = ranker.fit(sub).featureImportances.toArray()
-                ranked[keep] = [keep[i] for i in sorted(range(len(keep)), key=lambda i: (-imp[i], i))]
-            return ranked[keep]
-
-        models = {}
-        for k in ks:
-            keep = tuple(range(n))
-            for target in rfe_schedule(n, k, g(self.step))[1:]:
-                keep = tuple(sorted(best_first(keep)[:target]))
-            models[k] = SelectorModel(keep, x, g(self.outputCol))
-        data.unpersist()
-        return models
+        rows = bin_rows(keyed_rows(dataset, vector_to_array(F.col(g(self.inputCol))), g(self.labelCol), F.lit(0), F.lit(0)))
+        kept = eliminate(rows, {0: ks}, g(self.step), g(self.rankerTrees), g(self.rankerDepth), g(self.seed))
+        return {k: SelectorModel(kept[0, k], g(self.inputCol), g(self.outputCol)) for k in ks}
 
     def _fit(self, dataset):
         k = self.getOrDefault(self.k)
@@ -290,26 +418,104 @@ class SearchResult:
     fold_features: list[list[int]]
 
 
+def fold_scalers(data: DataFrame, cols: list[str], n_folds: int, fold_col: str = "fold") -> list[dict]:
+    """F4 for the training side of each fold, {column: (mean, scale)}: moments of every fold from one job, and each
+    side the merge of the other folds' moments."""
+    long = data.select(fold_col, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [fold_col], cols, "feature", "value")
+    own = defaultdict(list)
+    for r in long.groupBy(fold_col, "feature").agg(
+            F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("var"),
+            F.min("value").alias("lo"), F.max("value").alias("hi")).where("n > 0").collect():
+        own[r["feature"]].append(r)
+    out = []
+    for fold in range(n_folds):
+        side = {}
+        for c in cols:
+            parts = [r for r in own[c] if r[fold_col] != fold]
+            n = sum(r["n"] for r in parts)
+            mean = sum(r["n"] * r["mean"] for r in parts) / n if n else 0.0
+            var = sum(r["n"] * (r["var"] + (r["mean"] - mean) ** 2) for r in parts) / n if n else 0.0
+            same = not parts or min(r["lo"] for r in parts) == max(r["hi"] for r in parts)
+            side[c] = mean, 1.0 if same or var <= 0 else math.sqrt(var)
+        out.append(side)
+    return out
+
+
+def training_sides(data: DataFrame, n_folds: int, fold_col: str = "fold") -> DataFrame:
+    """Every row once for each fold whose training side it is on, with that fold in ``side``."""
+    others = F.array(*[F.lit(f) for f in range(n_folds)])
+    return data.withColumn("side", F.explode(F.filter(others, lambda f: f != F.col(fold_col))))
+
+
+def f1_of(tp: int, fp: int, fn: int) -> float:
+    return 2 * tp / (2 * tp + fp + fn) if tp else 0.0
+
+
 def leakfree_search(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_col: str = "fold", n_folds: int = 5,
-                    label: str = "label", parallelism: int = 2) -> SearchResult:
-    """M4 / M5: the same scores as ``grid_search`` over a leak-free pipeline,
-    but scaling, elimination and oversampling, which no candidate changes, are
-    fitted once per fold (on that fold's training rows alone) and shared by all
-    candidates."""
+                    label: str = "label", parallelism: int = 4) -> SearchResult:
+    """M4 / M5: the same scores as ``grid_search`` over a leak-free pipeline, but scaling, elimination and
+    oversampling, which no candidate changes, are fitted once per fold (on that fold's training rows alone) and
+    shared by all candidates.  Candidates that are trees are grown together over all folds; others one by one."""
     data = data.withColumn(label, F.col(label).cast("double"))
-    *front, last = pipeline.getStages()
-    evaluator, scores, kept = f1_evaluator(label), [0.0] * len(grid), []
-    for fold in range(n_folds):
-        inside = Pipeline(stages=front).fit(data.filter(F.col(fold_col) != fold))
-        kept.append(list(inside.stages[-1].indices))
-        rows = last.balanced_rows(inside.transform(data.filter(F.col(fold_col) != fold)))
-        held = cut_lineage(inside.transform(data.filter(F.col(fold_col) == fold)))
-        with ThreadPool(parallelism) as pool:
-            got = pool.map(inheritable_thread_target(data.sparkSession)(
-                lambda p, rows=rows, held=held: evaluator.evaluate(last.fit_balanced(rows, p).transform(held))), grid)
-        scores = [a + b / n_folds for a, b in zip(scores, got, strict=True)]
+    scaler, chooser, last = pipeline.getStages()
+    cols = scaler.getOrDefault(scaler.inputCols)
+    sides = fold_scalers(data, cols, n_folds, fold_col)
+    c = chooser.getOrDefault
+    x = F.array(*[F.col(f).cast("double") for f in cols])       # bins, and so ranks, are the same before scaling
+    k = min(c(chooser.k), len(cols))
+    if k < len(cols):
+        rows = bin_rows(keyed_rows(training_sides(data, n_folds, fold_col), x, label, F.lit(0), F.col("side")))
+        kept = eliminate(rows, {f: [k] for f in range(n_folds)}, c(chooser.step), c(chooser.rankerTrees),
+                         c(chooser.rankerDepth), c(chooser.seed))
+    else:
+        kept = {(f, k): list(range(len(cols))) for f in range(n_folds)}
+    inside = [PipelineModel([
+        PopulationScalerModel(cols, [s[f][0] for f in cols], [s[f][1] for f in cols], scaler.getOrDefault(scaler.outputCol)),
+        SelectorModel(kept[fold, k], c(chooser.inputCol), c(chooser.outputCol))]) for fold, s in enumerate(sides)]
+
+    def balanced(fold: int) -> DataFrame:
+        return last.balanced_rows(inside[fold].transform(data.filter(F.col(fold_col) != fold)))
+
+    with ThreadPool(n_folds) as pool:
+        rows = pool.map(inheritable_thread_target(data.sparkSession)(balanced), range(n_folds))
+    if isinstance(last.estimator, _Trees):
+        scores = _tree_scores(last, grid, rows, inside, data, fold_col, label, k)
+    else:
+        scores, evaluator = [0.0] * len(grid), f1_evaluator(label)
+        for fold in range(n_folds):
+            held = cut_lineage(inside[fold].transform(data.filter(F.col(fold_col) == fold)))
+            with ThreadPool(parallelism) as pool:
+                got = pool.map(inheritable_thread_target(data.sparkSession)(
+                    lambda p, f=fold, h=held: evaluator.evaluate(last.fit_balanced(rows[f], p).transform(h))), grid)
+            scores = [a + b / n_folds for a, b in zip(scores, got, strict=True)]
     best = max(range(len(grid)), key=lambda i: scores[i])
-    return SearchResult(scores, pipeline.copy(grid[best]).fit(data), kept)
+    return SearchResult(scores, pipeline.copy(grid[best]).fit(data), [kept[f, k] for f in range(n_folds)])
+
+
+def _tree_scores(last: BalancedClassifier, grid: list[dict], rows: list[DataFrame], inside: list[PipelineModel],
+                 data: DataFrame, fold_col: str, label: str, columns: int) -> list[float]:
+    """Mean F1 of each candidate.  Forests that differ only in trees, depth and smallest split are one forest,
+    as large as the largest, read with their own limits."""
+    chosen = F.col(last.getOrDefault(last.featuresCol))
+    every = [keyed_rows(r, vector_to_array(chosen), label, F.lit(0), F.lit(f)) for f, r in enumerate(rows)]
+    held = [keyed_rows(m.transform(data.filter(F.col(fold_col) == f)), vector_to_array(chosen), label, F.lit(0), F.lit(f))
+            for f, m in enumerate(inside)]
+    plans = [last.estimator.copy(p).plan(0, (1.0, 1.0), columns) for p in grid]
+    grown: dict[Fit, int] = {}
+    variants = []
+    for fold in range(len(rows)):
+        for p in plans:
+            whole = replace(p, group=fold)
+            if p.kind == "forest":
+                whole = replace(whole, trees=max(q.trees for q in plans), max_depth=max(q.max_depth for q in plans),
+                                min_split=min(q.min_split for q in plans))
+            at = grown.setdefault(whole, len(grown))
+            variants.append((at, p.trees, p.max_depth, p.min_split))
+    trees = grow(reduce(DataFrame.unionByName, every), list(grown))
+    counts = held_confusion(trees, reduce(DataFrame.unionByName, held), variants)
+    f1 = [f1_of(*counts[v]) if v in counts else 0.0 for v in range(len(variants))]
+    return [sum(f1[i::len(grid)]) / len(rows) for i in range(len(grid))]
 
 
 def param_grid(classifier, values: dict) -> list[dict]:

@@ -37,6 +37,13 @@ class Fit:
     ridge: float = 1.0
     weights: tuple[float, float] = (1.0, 1.0)
     seed: int = 42
+    columns: tuple[int, ...] | None = None      # of the written rows, all if None
+
+    def seen(self, x: np.ndarray) -> np.ndarray:
+        return x if self.columns is None else x[:, list(self.columns)]
+
+    def width(self, columns: int) -> int:
+        return columns if self.columns is None else len(self.columns)
 
     def tried(self, columns: int) -> int:
         return self.features or max(1, int(columns ** 0.5))

@@ -19,9 +19,11 @@ from strata.operators import model as M
 from strata.operators import profile as P
 from strata.operators import sampling as S
 from strata.operators.aggregate import entity_table
+from strata.operators.ensembles import bin_rows, grow, held_confusion, keyed_rows
 from strata.operators.prep import FittedPrep, fit_prep, with_class_weight, with_positive_weight
 from strata.operators.report import importance_rank
 from strata.operators.scoring import score_table
+from strata.operators.trees import Fit
 from strata.plans import views as V
 from strata.session import cut_lineage, ensure_checkpoint_dir
 from strata.sources.bundle import Bundle, load_bundle, publish_bundle, save_bundle
@@ -31,9 +33,8 @@ from strata.spec import CohortSpec
 KEY = "l_orderkey"
 ORD_F = V.ORD_SPEC.feature_columns()
 
-# The published search.  MLlib has no smallest node to split, so its
-# 2 and 5 are the leaf sizes 1 and 2.
-FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [M.MAX_DEPTH_CAP, 20], "minInstancesPerNode": [1, 2]}
+# The published search.
+FOREST_GRID = {"numTrees": [100, 200], "maxDepth": [None, 20], "minSamplesSplit": [2, 5]}
 BOOSTED_SPACE = {"maxIter": ("int", 50, 400), "maxDepth": ("int", 2, 8), "stepSize": ("loguniform", 0.01, 0.3),
                  "subsamplingRate": ("uniform", 0.5, 1.0), "featureSubsetStrategy": ("share", 0.5, 1.0)}
 
@@ -83,10 +84,10 @@ def baseline(spark, sf, kind: str = "forest"):
     feats = prep.kept
     tr, te = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     if kind == "forest":
-        clf = M.random_forest(num_trees=100, max_depth=10, weight_col="weight")
+        clf = M.random_forest(num_trees=100, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "balanced")
     else:
-        clf = M.boosted_trees(n_iter=100, max_depth=6, step=0.1, weight_col="weight")
+        clf = M.boosted_trees(n_iter=100, max_depth=6, step=0.3, weight_col="weight")
         model, scaler, scored = fit_scored(tr, te, feats, clf, "positive")
     return model, scaler, cut_lineage(scored.select(KEY, "label", "p")), feats      # read by several aggregates
 
@@ -111,17 +112,18 @@ def rfe_sweep(spark, sf, ks: list[int] | None = None, folds: int = 5, num_trees:
     """for each k, RFE on train then the k-feature forest's CV F1; ``best``
     marks the smallest k of the highest score."""
     data, prep = prepared(spark, sf)
-    ks = ks or sweep_widths(len(prep.kept))
-    tr = data.filter(F.col("split") == "train")
-    tr = S.stratified_folds(tr, [KEY], "label", folds, seed=44)
-    scaled = M.PopulationScaler(inputCols=prep.kept, outputCol="features").fit(tr).transform(tr)
-    scaled = cut_lineage(with_class_weight(scaled, "label", "weight").select("features", "label", "weight", "fold"))
-    selectors = M.RecursiveEliminator(step=step).fit_widths(scaled, [min(k, len(prep.kept)) for k in ks])
-    rf = M.random_forest(num_trees=num_trees, max_depth=6, weight_col="weight", features_col="selected")
-    rows = []
-    for k in ks:
-        ds = selectors[min(k, len(prep.kept))].transform(scaled)
-        rows.append((int(k), float(M.fold_f1(rf, ds, folds))))
+    ks = [k for k in ks or sweep_widths(len(prep.kept)) if k <= len(prep.kept)]
+    tr = cut_lineage(S.stratified_folds(data.filter(F.col("split") == "train"), [KEY], "label", folds, seed=44))
+    x = F.array(*[F.col(f).cast("double") for f in prep.kept])
+    sides = M.training_sides(tr, folds).unionByName(tr.withColumn("side", F.lit(folds)))     # the last is all of train
+    rows = bin_rows(keyed_rows(sides, x, "label", F.col(KEY), F.col("side")))
+    kept = M.eliminate(rows, {folds: ks}, step)
+    fits = [Fit(fold, "forest", num_trees, 6, weights=rows.balanced(fold), seed=M.SEED, columns=tuple(kept[folds, k]))
+            for k in ks for fold in range(folds)]
+    held = keyed_rows(tr, x, "label", F.col(KEY), F.col("fold"))
+    counts = held_confusion(grow(rows, fits), held, [(i, num_trees, 6, 2) for i in range(len(fits))])
+    f1 = [M.f1_of(*counts[i]) for i in range(len(fits))]
+    rows = [(k, sum(f1[i * folds:(i + 1) * folds]) / folds) for i, k in enumerate(ks)]
     top = max(f1 for _, f1 in rows)
     best = min(k for k, f1 in rows if f1 == top)
     return spark.createDataFrame([(k, f1, k == best) for k, f1 in rows], "k int, cv_f1 double, best boolean")

@@ -129,9 +129,9 @@ def test_nan_feature_is_rejected(spark, gauss):
     assert ok.count() == 197 and {r.missing_first for r in bad.collect()} == {"f1"}
 
 
-def test_depth_over_the_cap_is_an_error():
+def test_depth_below_one_is_an_error():
     with pytest.raises(ValueError):
-        M.random_forest(max_depth=31)
+        M.random_forest(max_depth=0)
 
 
 def test_a_fold_never_sees_its_own_labels(spark, gauss):

@@ -32,7 +32,8 @@ def _same(a, b):
 
 
 def test_forest_is_the_same_by_passes_and_in_tasks(rows):
-    fits = [T.Fit(0, "forest", 4, weights=(0.6, 2.5)), T.Fit(1, "forest", 3, max_depth=4, min_split=9, features=3)]
+    fits = [T.Fit(0, "forest", 4, weights=(0.6, 2.5)),
+            T.Fit(1, "forest", 3, max_depth=4, min_split=9, features=3, columns=(0, 1, 2, 4))]
     near = E.grow(rows, fits)
     for local in (0, 1500):
         far = E.grow(rows, fits, local_bytes=local)
@@ -46,7 +47,7 @@ def test_forest_is_the_same_by_passes_and_in_tasks(rows):
 def test_boosting_is_the_same_by_passes_and_in_tasks(rows, monkeypatch):
     monkeypatch.setattr(E, "WRITE_EVERY", 2)
     fits = [T.Fit(0, "boosted", 3, max_depth=3, step=0.3, subsample=0.7, share=0.6),
-            T.Fit(1, "boosted", 2, max_depth=2, step=0.1, weights=(1.0, 4.0), seed=7)]
+            T.Fit(1, "boosted", 2, max_depth=2, step=0.1, weights=(1.0, 4.0), seed=7, columns=(4, 2, 0))]
     near, far = E.grow(rows, fits), E.grow(rows, fits, local_bytes=0)
     for i in range(2):
         _same(near.of(i), far.of(i))
