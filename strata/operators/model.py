@@ -248,13 +248,14 @@ def rfe_schedule(n: int, k: int, step: float | int) -> list[int]:
 
 
 def eliminate(rows: Binned, widths: dict[int, list[int]], step: float = 0.5, trees: int = 20, depth: int = 5,
-              seed: int = SEED) -> dict[tuple[int, int], list[int]]:
+              seed: int = SEED, path: list | None = None) -> dict[tuple[int, int], list[int]]:
     """F5 / F7 for many groups and widths: the columns that each ``(group, k)`` keeps.
 
     One round grows the ranking forests of all groups and of all different sets of columns together, from rows that
     were binned once; eliminations to several widths rank the same columns until their last round, so each set is
-    ranked once.  Labels weigh as balanced classes; equal importances go by the column's place."""
-    kept = {(g, k): tuple(range(len(rows.edges[g]))) for g, ks in widths.items() for k in ks}
+    ranked once.  Labels weigh as balanced classes; equal importances go by the column's place.  ``path`` takes
+    (width, column) of every column that leaves."""
+    kept = {(g, min(k, len(rows.edges[g]))): tuple(range(len(rows.edges[g]))) for g, ks in widths.items() for k in ks}
     left = {(g, k): rfe_schedule(len(rows.edges[g]), k, step)[1:] for g, k in kept}
     ranked: dict = {}
     while any(left.values()):
@@ -266,7 +267,10 @@ def eliminate(rows: Binned, widths: dict[int, list[int]], step: float = 0.5, tre
                 ranked[need[i]] = [some[j] for j in sorted(range(len(some)), key=lambda j: (-share[j], j))]
         for (g, k), todo in left.items():
             if todo:
-                kept[g, k] = tuple(sorted(ranked[g, kept[g, k]][:todo.pop(0)]))
+                order, target = ranked[g, kept[g, k]], todo.pop(0)
+                if path is not None:
+                    path += [(len(order), c) for c in order[target:]]
+                kept[g, k] = tuple(sorted(order[:target]))
     return {gk: list(some) for gk, some in kept.items()}
 
 
@@ -416,6 +420,7 @@ class SearchResult:
     avgMetrics: list[float]
     bestModel: object
     fold_features: list[list[int]]
+    fold_scores: list[list[float]]
 
 
 def fold_scalers(data: DataFrame, cols: list[str], n_folds: int, fold_col: str = "fold") -> list[dict]:
@@ -454,7 +459,16 @@ def f1_of(tp: int, fp: int, fn: int) -> float:
 
 def leakfree_search(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_col: str = "fold", n_folds: int = 5,
                     label: str = "label", parallelism: int = 4) -> SearchResult:
-    """M4 / M5: the same scores as ``grid_search`` over a leak-free pipeline, but scaling, elimination and
+    """M4 / M5: ``cross_validate``, and the pipeline refitted on all rows with the first best candidate."""
+    found = cross_validate(pipeline, grid, data, fold_col, n_folds, label, parallelism)
+    best = max(range(len(grid)), key=lambda i: found.avgMetrics[i])
+    data = data.withColumn(label, F.col(label).cast("double"))
+    return replace(found, bestModel=pipeline.copy(grid[best]).fit(data))
+
+
+def cross_validate(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_col: str = "fold", n_folds: int = 5,
+                   label: str = "label", parallelism: int = 4) -> SearchResult:
+    """M3: the same scores as ``grid_search`` over a leak-free pipeline, but scaling, elimination and
     oversampling, which no candidate changes, are fitted once per fold (on that fold's training rows alone) and
     shared by all candidates.  Candidates that are trees are grown together over all folds; others one by one."""
     data = data.withColumn(label, F.col(label).cast("double"))
@@ -480,22 +494,21 @@ def leakfree_search(pipeline: Pipeline, grid: list[dict], data: DataFrame, fold_
     with ThreadPool(n_folds) as pool:
         rows = pool.map(inheritable_thread_target(data.sparkSession)(balanced), range(n_folds))
     if isinstance(last.estimator, _Trees):
-        scores = _tree_scores(last, grid, rows, inside, data, fold_col, label, k)
+        by_fold = _tree_scores(last, grid, rows, inside, data, fold_col, label, k)
     else:
-        scores, evaluator = [0.0] * len(grid), f1_evaluator(label)
+        by_fold, evaluator = [], f1_evaluator(label)
         for fold in range(n_folds):
             held = cut_lineage(inside[fold].transform(data.filter(F.col(fold_col) == fold)))
             with ThreadPool(parallelism) as pool:
-                got = pool.map(inheritable_thread_target(data.sparkSession)(
-                    lambda p, f=fold, h=held: evaluator.evaluate(last.fit_balanced(rows[f], p).transform(h))), grid)
-            scores = [a + b / n_folds for a, b in zip(scores, got, strict=True)]
-    best = max(range(len(grid)), key=lambda i: scores[i])
-    return SearchResult(scores, pipeline.copy(grid[best]).fit(data), [kept[f, k] for f in range(n_folds)])
+                by_fold.append(pool.map(inheritable_thread_target(data.sparkSession)(
+                    lambda p, f=fold, h=held: evaluator.evaluate(last.fit_balanced(rows[f], p).transform(h))), grid))
+    means = [sum(f[i] for f in by_fold) / n_folds for i in range(len(grid))]
+    return SearchResult(means, None, [kept[f, k] for f in range(n_folds)], by_fold)
 
 
 def _tree_scores(last: BalancedClassifier, grid: list[dict], rows: list[DataFrame], inside: list[PipelineModel],
-                 data: DataFrame, fold_col: str, label: str, columns: int) -> list[float]:
-    """Mean F1 of each candidate.  Forests that differ only in trees, depth and smallest split are one forest,
+                 data: DataFrame, fold_col: str, label: str, columns: int) -> list[list[float]]:
+    """F1 of each candidate on each fold.  Forests that differ only in trees, depth and smallest split are one forest,
     as large as the largest, read with their own limits."""
     chosen = F.col(last.getOrDefault(last.featuresCol))
     every = [keyed_rows(r, vector_to_array(chosen), label, F.lit(0), F.lit(f)) for f, r in enumerate(rows)]
@@ -515,7 +528,7 @@ def _tree_scores(last: BalancedClassifier, grid: list[dict], rows: list[DataFram
     trees = grow(reduce(DataFrame.unionByName, every), list(grown))
     counts = held_confusion(trees, reduce(DataFrame.unionByName, held), variants)
     f1 = [f1_of(*counts[v]) if v in counts else 0.0 for v in range(len(variants))]
-    return [sum(f1[i::len(grid)]) / len(rows) for i in range(len(grid))]
+    return [f1[f * len(grid):(f + 1) * len(grid)] for f in range(len(rows))]
 
 
 def param_grid(classifier, values: dict) -> list[dict]:

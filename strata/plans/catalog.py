@@ -848,34 +848,96 @@ def q_observation_sheet(spark, sf):
     return round_doubles(RP.observation_sheet(band, imp, [TJ.KEY]))
 
 
+_FOLDS = _ORD_SPLIT_ENT.rstrip() + ",\n" + O.folds_sql("fo", "ord_tr", ["l_orderkey"], "label", 5, 44)
+
+
+def _ord_folds(spark, sf):
+    tr = ord_train_entities(spark, sf).filter(F.col("split") == "train").drop("split")
+    return cut_lineage(S.stratified_folds(tr, ["l_orderkey"], "label", 5, seed=44))
+
+
+@register("fold_scalers", _FOLDS + ",\nfl AS (" + O.long_sql("fo", ["fold"], _KNN_F) + ")\nSELECT CAST(f AS INTEGER) AS fold, feature, "
+          + O.r("avg(value)") + " AS mean, " + O.r("CASE WHEN min(value) = max(value) THEN 1.0 ELSE stddev_pop(value) END")
+          + " AS scale FROM fl, range(5) t(f) WHERE fold <> f GROUP BY f, feature")
+def q_fold_scalers(spark, sf):
+    """F4 inside M3: the scalers of all training sides from one job."""
+    sides = M.fold_scalers(_ord_folds(spark, sf), _KNN_F, 5)
+    rows = [(fold, c, float(m), float(s)) for fold, side in enumerate(sides) for c, (m, s) in side.items()]
+    return round_doubles(spark.createDataFrame(rows, "fold int, feature string, mean double, scale double"))
+
+
+_CUT_EDGES = {"l_quantity_max": [5.0, 10.0, 20.0, 30.0, 38.0, 40.0, 45.0, 49.0],
+              "l_discount_max": [0.01, 0.03, 0.05, 0.07, 0.08, 0.09], "l_linenumber_max": [1.0, 2.0, 3.0, 5.0]}
+_ROOT_CUT = ("l_quantity_max", 5)
+
+
+def _bin_sql(col: str) -> str:
+    return " + ".join(f"CAST({col} > {e} AS INTEGER)" for e in _CUT_EDGES[col])
+
+
+@register("boosted_histograms", _FOLDS + ",\nsides AS (SELECT CAST(f AS INTEGER) AS side, * FROM fo, range(5) t(f) WHERE fold <> f),\n"
+          + "hb AS (" + " UNION ALL ".join(
+              f"SELECT side, label, CASE WHEN {_ROOT_CUT[0]} <= {_CUT_EDGES[_ROOT_CUT[0]][_ROOT_CUT[1]]} THEN 1 ELSE 2 END"
+              f" AS node, '{c}' AS feature, {_bin_sql(c)} AS bin FROM sides" for c in _CUT_EDGES)
+          + ")\nSELECT side AS fold, node, feature, CAST(bin AS INTEGER) AS bin, sum(0.5 - label)::DOUBLE AS gradient,"
+            " sum(0.25)::DOUBLE AS hessian, count(*) AS n FROM hb GROUP BY ALL")
+def q_boosted_histograms(spark, sf):
+    """M2: one aggregate with the gradient histograms of the open nodes of all folds' first trees, below a root
+    that is cut at a fixed place."""
+    import numpy as np
+
+    from strata.operators import ensembles as EN
+    from strata.operators.trees import BINS, FIX, Fit
+    names = list(_CUT_EDGES)
+    x = F.array(*[F.col(c).cast("double") for c in names])
+    rows = EN.keyed_rows(M.training_sides(_ord_folds(spark, sf), 5), x, "label", F.col("l_orderkey"), F.col("side"))
+    edges = {f: [np.array(e) for e in _CUT_EDGES.values()] for f in range(5)}
+    order = {f: [f] for f in range(5)}
+    state = EN.with_margins(EN.write_blocks(rows, edges), order)
+    tops = {(f, 0): EN._Top(np.uint64(0)) for f in range(5)}
+    for top in tops.values():
+        top.split(0, names.index(_ROOT_CUT[0]), _ROOT_CUT[1], 0.0, (0, 0, 0), (0, 0, 0))
+    sums = EN.boosted_histograms(state, {f: Fit(f, "boosted", 1) for f in range(5)}, tops, {ft: {1: 0, 2: 0} for ft in tops},
+                                 {f: [] for f in range(5)}, 0, order)
+    feature = F.element_at(F.array(*[F.lit(c) for c in names]), (F.col("cell") / BINS).cast("int") + 1)
+    return sums.select(F.col("fit").alias("fold"), "node", feature.alias("feature"), (F.col("cell") % BINS).alias("bin"),
+                       (F.col("a") / FIX).alias("gradient"), (F.col("b") / FIX).alias("hessian"), "n")
+
+
+@register("rfe_final")
+def q_rfe_final(spark, sf):
+    return TJ.rfe_final(spark, sf)
+
+
+def _wide(spark, sf):
+    data, prep = TJ.prepared(spark, sf, True)
+    return TJ.with_validation(data), prep
+
+
 @register("leakfree_cv")
 def q_leakfree_cv(spark, sf):
-    data, prep = TJ.prepared(spark, sf)
-    data = TJ.with_validation(data)
-    cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
-    return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
+    data, prep = _wide(spark, sf)
+    return round_doubles(TJ.leakfree_cv(spark, data, prep.kept))
 
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    data, prep = TJ.prepared(spark, sf)
-    data = TJ.with_validation(data)
+    data, prep = _wide(spark, sf)
     cvm, grid, _ = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
 @register("random_search")
 def q_random_search(spark, sf):
-    data, prep = TJ.prepared(spark, sf)
-    data = TJ.with_validation(data)
+    data, prep = _wide(spark, sf)
     cvm, grid, _ = TJ.tune(spark, data, prep.kept, "boosted", space=TJ.BOOSTED_SPACE)
     return spark.createDataFrame(M.search_results(cvm, grid), "params string, cv_f1 double")
 
 
 @register("deployable_fit")
 def q_deployable_fit(spark, sf):
-    data, prep = TJ.prepared(spark, sf)
-    sel = [r["feature"] for r in TJ.rfe_select(spark, sf, k=50).collect()]
+    data, prep = TJ.prepared(spark, sf, True)
+    sel = [r["feature"] for r in TJ.rfe_select(spark, sf, k=50, wide=True).collect()]
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     scaler, model = M.deployable_fit(train, TJ.KEY, sel, M.random_forest())
     return M.p_positive(model.transform(scaler.transform(test))).select(TJ.KEY, "label", "p")
@@ -883,8 +945,7 @@ def q_deployable_fit(spark, sf):
 
 @register("finalize")
 def q_finalize(spark, sf):
-    data, prep = TJ.prepared(spark, sf)
-    data = TJ.with_validation(data)
+    data, prep = _wide(spark, sf)
     cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
     return round_doubles(EV.metric_bundle(res["scored"], res["threshold"]))
@@ -892,8 +953,8 @@ def q_finalize(spark, sf):
 
 @register("train_job")
 def q_train_job(spark, sf):
-    """The whole job on the long V-ORD rows, with the published search."""
-    return TJ.train_job(spark, V.v_ord_raw(spark, sf), ORD)
+    """The whole job on the long V-WIDE rows, with the published search."""
+    return TJ.train_job(spark, V.v_wide_raw(spark, sf), V.WIDE_SPEC)
 
 
 @register("score_table")
@@ -986,8 +1047,7 @@ def q_scan_split(spark, sf):
 
 @register("report_pack")
 def q_report_pack(spark, sf):
-    data, prep = TJ.prepared(spark, sf)
-    data = TJ.with_validation(data)
+    data, prep = _wide(spark, sf)
     cvm, grid, clf = TJ.tune(spark, data, prep.kept, "forest", grid_values=TJ.FOREST_GRID)
     res = TJ.finalize(spark, data, prep.kept, cvm, grid, clf)
     mb = EV.metric_bundle(res["scored"], res["threshold"], nested=True).first().asDict(recursive=True)

@@ -54,8 +54,10 @@ def prepare(ent: DataFrame, key: str, features: list[str], var_thresh: float = 0
     return cut_lineage(prep.transform(sp, scale=False)), prep
 
 
-def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, FittedPrep]:
-    """The V-ORD entities, prepared."""
+def prepared(spark: SparkSession, sf: str, wide: bool = False) -> tuple[DataFrame, FittedPrep]:
+    """The V-ORD or V-WIDE entities, prepared."""
+    if wide:
+        return prepare(V.v_wide_entities(spark, sf), KEY, V.WIDE_SPEC.feature_columns())
     return prepare(V.v_ord_entities(spark, sf), KEY, ORD_F)
 
 
@@ -92,9 +94,9 @@ def baseline(spark, sf, kind: str = "forest"):
     return model, scaler, cut_lineage(scored.select(KEY, "label", "p")), feats      # read by several aggregates
 
 
-def rfe_select(spark, sf, k: int = 8, step: float = 0.5) -> DataFrame:
+def rfe_select(spark, sf, k: int = 8, step: float = 0.5, wide: bool = False) -> DataFrame:
     """names kept by recursive elimination on scaled train features."""
-    data, prep = prepared(spark, sf)
+    data, prep = prepared(spark, sf, wide)
     tr = data.filter(F.col("split") == "train")
     scaled = M.PopulationScaler(inputCols=prep.kept, outputCol="features").fit(tr).transform(tr)
     sel = M.RecursiveEliminator(k=k, step=step).fit(scaled)
@@ -102,6 +104,19 @@ def rfe_select(spark, sf, k: int = 8, step: float = 0.5) -> DataFrame:
     return spark.createDataFrame([(i + 1, n) for i, n in enumerate(names)], "slot int, feature string")
 
 
+def rfe_final(spark, sf, k: int = 50) -> DataFrame:
+    """one column less a round, ranked by 10 trees of depth 4; (feature, width, kept): the width at which a
+    feature left, or k for those that stay."""
+    data, prep = prepared(spark, sf, True)
+    tr = data.filter(F.col("split") == "train")
+    x = F.array(*[F.col(f).cast("double") for f in prep.kept])
+    path: list[tuple[int, int]] = []
+    rows = bin_rows(keyed_rows(tr, x, "label", F.col(KEY), F.lit(0)))
+    kept = M.eliminate(rows, {0: [k]}, 1, 10, 4, path=path)[0, min(k, len(prep.kept))]
+    told = [(prep.kept[c], width, False) for width, c in path] + [(prep.kept[c], len(kept), True) for c in kept]
+    return spark.createDataFrame(told, "feature string, width int, kept boolean")
+
+
 def sweep_widths(n: int) -> list[int]:
     """1 to 20, then by tens, up to the number of features."""
     return [k for k in [*range(1, 21), *range(30, n + 1, 10)] if k <= n]
@@ -129,18 +144,31 @@ def rfe_sweep(spark, sf, ks: list[int] | None = None, folds: int = 5, num_trees:
     return spark.createDataFrame([(k, f1, k == best) for k, f1 in rows], "k int, cv_f1 double, best boolean")
 
 
+def tuning_folds(data: DataFrame, n_folds: int = 5, key: str = KEY) -> DataFrame:
+    return cut_lineage(S.stratified_folds(data.filter(F.col("split") == "tr2"), [key], "label", n_folds, seed=44))
+
+
+def leakfree_cv(spark, data: DataFrame, feats: list[str], n_folds: int = 5, k_features: int = 50,
+                key: str = KEY) -> DataFrame:
+    """M3: scale, eliminate, oversample and fit inside every fold; what each fold's own elimination kept and its F1."""
+    pipe = M.leakfree_estimator(M.random_forest(seed=M.SEED), feats, key, k_features=k_features)
+    found = M.cross_validate(pipe, [{}], tuning_folds(data, n_folds, key), n_folds=n_folds)
+    rows = [(f, len(kept), len(feats) - len(kept), ",".join(feats[i] for i in kept), scores[0])
+            for f, (kept, scores) in enumerate(zip(found.fold_features, found.fold_scores, strict=True))]
+    return spark.createDataFrame(rows, "fold int, n_features int, n_dropped int, features string, f1 double")
+
+
 def tune(spark, data: DataFrame, feats: list[str], kind: str, n_folds: int = 5, k_features: int = 50,
          grid_values: dict | None = None, space: dict | None = None, n_draws: int = 25, key: str = KEY):
     """M3 + M4 / M5: leak-free pipeline tuned on tr2 with stratified folds."""
-    tr2 = data.filter(F.col("split") == "tr2")
-    tr2 = S.stratified_folds(tr2, [key], "label", n_folds, seed=44)
     clf = M.random_forest(seed=M.SEED) if kind == "forest" else M.boosted_trees(seed=M.SEED)
     pipe = M.leakfree_estimator(clf, feats, key, k_features=k_features)
+    tr2 = tuning_folds(data, n_folds, key)
     if space is not None:
         grid = M.random_param_maps(clf, space, n_draws)
     else:
         grid = M.param_grid(clf, grid_values or {})
-    cvm = M.leakfree_search(pipe, grid, cut_lineage(tr2), n_folds=n_folds)
+    cvm = M.leakfree_search(pipe, grid, tr2, n_folds=n_folds)
     return cvm, grid, clf
 
 

@@ -51,6 +51,31 @@ def v_ord_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity_table(v_ord_raw(spark, sf_dir), ORD_SPEC)
 
 
+# V-WIDE: V-ORD with every measure also by line status and by return flag.
+WIDE_PARTS = [("l_linestatus", v) for v in ("F", "O")] + [("l_returnflag", v) for v in ("A", "N", "R")]
+WIDE_MEASURES = ORD_MEASURES + tuple(f"{m}_{v.lower()}" for _, v in WIDE_PARTS for m in ORD_MEASURES)
+WIDE_SPEC = CohortSpec(entity=("l_orderkey",), seq="l_linenumber", measures=WIDE_MEASURES,
+                       statics=("o_totalprice", "o_priority"), row_label="is_pos", target="label")
+
+
+def v_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V-ORD's rows and label with 24 measures, most of them often missing: 123 entity features."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", *ORD_MEASURES, "l_returnflag", "l_linestatus")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_totalprice",
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("o_priority"))
+    parts = [F.when(F.col(c) == v, F.col(m)).alias(f"{m}_{v.lower()}") for c, v in WIDE_PARTS for m in ORD_MEASURES]
+    is_pos = ((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 40)
+              & (F.col("l_discount") >= 0.08)).cast("int").alias("is_pos")
+    return normalize_raw(li.join(o, "l_orderkey", "inner").select(
+        "l_orderkey", "l_linenumber", *ORD_MEASURES, *parts, "o_totalprice", "o_priority", is_pos), WIDE_SPEC)
+
+
+def v_wide_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entity_table(v_wide_raw(spark, sf_dir), WIDE_SPEC)
+
+
 def v_day_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         "user_id", F.to_date("ts").alias("day"), F.hour("ts").alias("hr"), "event_type", "value")

@@ -116,12 +116,13 @@ def test_registered_searches_are_the_published_ones(spark, monkeypatch):
             m.setattr(owner, target, stop)
             m.setattr(TJ, "prepared", lambda *a: (MagicMock(), MagicMock(kept=["x"])))
             m.setattr(TJ, "with_validation", lambda d: d)
-            m.setattr(C.V, "v_ord_raw", lambda *a: None)
+            m.setattr(C.V, "v_wide_raw", lambda *a: None)
             with pytest.raises(Stop):
                 C.QUERIES[name](None, "")
         return seen
 
-    for name in ("leakfree_cv", "grid_search", "finalize", "report_pack", "random_search"):
+    assert set(called("leakfree_cv", "leakfree_cv", TJ)) == {"spark", "data", "feats"}
+    for name in ("grid_search", "finalize", "report_pack", "random_search"):
         got = called(name, "tune", TJ)
         boosted = name == "random_search"
         assert got["kind"] == ("boosted" if boosted else "forest"), name
