@@ -369,9 +369,9 @@ def boosted_histograms(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo
                     rows, at = rows[at >= 0], at[at >= 0]
                     g, h = T.gradients(margin[rows], y[rows], fit)
                     columns = T.drawn_columns(x.shape[1], fit, number)
-                    xs = x[np.ix_(rows, columns)]
-                    hist = T.histograms(xs, at, len(nodes), g, h)
-                    n = T.histograms(xs, at, len(nodes), np.ones(len(at)), np.ones(len(at)))[:1]
+                    xt = np.ascontiguousarray(x.T[columns][:, rows])
+                    hist = T.histograms(xt, at, len(nodes), g, h)
+                    n = T.histograms(xt, at, len(nodes), np.ones(len(at)), np.ones(len(at)))[:1]
                     _, sums = held.setdefault((i, number), (nodes, np.zeros((len(nodes), x.shape[1] * BINS, 3), np.int64)))
                     cell = (columns[:, None] * BINS + np.arange(BINS)[None, :]).ravel()
                     sums[:, cell] += np.concatenate([hist, n]).transpose(2, 1, 3, 0).reshape(len(nodes), -1, 3).astype(np.int64)

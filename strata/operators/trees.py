@@ -258,16 +258,31 @@ def drawn_columns(columns: int, fit: Fit, tree: int) -> np.ndarray:
     return np.sort(np.argsort(draws, kind="stable")[:most])
 
 
-def histograms(x: np.ndarray, at: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """(2, column, node, bin) sums of whole numbers, exact below 2^53."""
-    out = np.empty((2, x.shape[1], nodes, BINS))
-    for j in range(x.shape[1]):
-        key = at * BINS + x[:, j]
+def histograms(xt: np.ndarray, at: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """(2, column, node, bin) sums of whole numbers, exact below 2^53; ``xt`` has a row for each column."""
+    out = np.empty((2, len(xt), nodes, BINS))
+    base = at * BINS
+    for j, column in enumerate(xt):
+        key = base + column
         out[0, j] = np.bincount(key, g, nodes * BINS).reshape(nodes, BINS)
         out[1, j] = np.bincount(key, h, nodes * BINS).reshape(nodes, BINS)
     return out
 
 
+def child_histograms(xt: np.ndarray, at: np.ndarray, above: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Histograms of both children of each node of ``above``: the smaller child is summed, its sibling is the rest."""
+    pairs = above.shape[2]
+    sizes = np.bincount(at, minlength=2 * pairs).reshape(pairs, 2)
+    small = sizes.argmin(axis=1)
+    mine = np.flatnonzero(at % 2 == small[at // 2])
+    summed = histograms(xt[:, mine], at[mine] // 2, pairs, g[mine], h[mine])
+    out = np.empty((2, len(xt), 2 * pairs, BINS))
+    one = 2 * np.arange(pairs)
+    out[:, :, one + small] = summed
+    out[:, :, one + 1 - small] = above - summed
+    return out
+
+
 def boosted_splits(hist: np.ndarray, fit: Fit):
     """For each node the best (column, bin, gain, left gradient, left hessian), column -1 without a gain."""
     left = np.cumsum(hist, axis=3)
@@ -280,12 +295,11 @@ def boosted_splits(hist: np.ndarray, fit: Fit):
 
     gain = 0.5 * (score(left) + score(right) - score(total))
     gain[(left[1] < FIX) | (right[1] < FIX)] = -np.inf       # a child has a hessian of 1 at least
-    nodes = hist.shape[2]
-    flat = gain.transpose(1, 0, 2).reshape(nodes, -1)
-    best = flat.argmax(axis=1)
-    top = flat[np.arange(nodes), best]
-    column, cut = best // BINS, best % BINS
-    one = np.arange(nodes)
+    cuts = gain.argmax(axis=2)
+    tops = np.take_along_axis(gain, cuts[:, :, None], 2)[:, :, 0]
+    column = tops.argmax(axis=0)
+    one = np.arange(hist.shape[2])
+    top, cut = tops[column, one], cuts[column, one]
     return np.where(top > 1e-6, column, -1), cut, top, left[0, column, one, cut], left[1, column, one, cut]
 
 
@@ -294,16 +308,17 @@ def grow_boosted(x: np.ndarray, y: np.ndarray, key: np.ndarray, margin: np.ndarr
     columns = drawn_columns(x.shape[1], fit, tree)
     rows = drawn_rows(key, fit, tree)
     g, h = gradients(margin[rows], y[rows], fit)
-    xs = x[np.ix_(rows, columns)]
+    xt = np.ascontiguousarray(x.T[columns][:, rows])
     at = np.zeros(len(rows), np.int64)
     cols = {k: [] for k in Tree.TYPES}
-    size, nodes, depth = 0, 1, 0
+    size, nodes, depth, hist = 0, 1, 0, None
     while nodes:
         sg, sh = np.bincount(at, g, nodes), np.bincount(at, h, nodes)
         feature, cut = np.full(nodes, -1), np.zeros(nodes, np.int64)
         left, gain = np.full(nodes, NO_NODE), np.zeros(nodes)
         if depth < fit.max_depth:
-            feature, cut, gain, _, _ = boosted_splits(histograms(xs, at, nodes, g, h), fit)
+            hist = histograms(xt, at, nodes, g, h) if hist is None else child_histograms(xt, at, hist, g, h)
+            feature, cut, gain, _, _ = boosted_splits(hist, fit)
         inner = np.flatnonzero(feature >= 0)
         left[inner] = size + nodes + 2 * np.arange(len(inner))
         told = np.where(feature >= 0, columns[feature], -1)
@@ -312,8 +327,10 @@ def grow_boosted(x: np.ndarray, y: np.ndarray, key: np.ndarray, margin: np.ndarr
             cols[k].append(v)
         live = np.flatnonzero(feature[at] >= 0)
         node = at[live]
-        xs, g, h = xs[live], g[live], h[live]
-        at = left[node] - (size + nodes) + (xs[np.arange(len(live)), feature[node]] > cut[node])
+        if len(live) < len(at):
+            xt, g, h = xt[:, live], g[live], h[live]
+        at = left[node] - (size + nodes) + (xt[feature[node], np.arange(len(live))] > cut[node])
+        hist = hist[:, :, inner] if hist is not None else None
         size, nodes, depth = size + nodes, 2 * len(inner), depth + 1
     return Tree(**{k: np.concatenate(v) for k, v in cols.items()})
 
