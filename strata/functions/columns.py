@@ -3,6 +3,8 @@ they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +28,41 @@ def safe_div(a: str | Column, b: str | Column, default=0.0) -> Column:
     return q if default is None else F.coalesce(q, F.lit(float(default)))
 
 
-def first_non_null_by(value: str, order: str) -> Column:
-    """Value of ``value`` on the row with the smallest ``order`` among rows
-    where ``value`` is not NULL; of several rows with that ``order`` the
-    smallest value, whatever the columns' types.  Order-independent (unlike
-    ``first``), so it is stable across partitions and task retries.  The map
-    side keeps one (order, value) per group."""
+def ordered_bits(c: Column) -> Column:
+    """A long that orders as the double does, one for each value: exponent and fraction side by side, negated for
+    negative numbers.  Powers of two divide exactly, so the fraction is the double's own."""
+    a = F.abs(c)
+    least = F.lit(2.0 ** -1022)
+    e0 = F.floor(F.log2(a)).cast("int")
+    m0 = a / F.pow(F.lit(2.0), e0.cast("double"))
+    e = e0 + (m0 >= 2).cast("int") - (m0 < 1).cast("int")      # where the logarithm was rounded over a power of two
+    m = a / F.pow(F.lit(2.0), e.cast("double"))
+    normal = (e + 1023).cast("long") * F.lit(1 << 52) + ((m - 1) * float(1 << 52)).cast("long")
+    tiny = (a * 2.0 ** 537 * 2.0 ** 537).cast("long")
+    bits = F.when(a == float("inf"), F.lit(2047 << 52)).when(a < least, tiny).otherwise(normal)
+    return F.when(c < 0, -bits).otherwise(bits)
+
+
+_INTS = (T.ByteType, T.ShortType, T.IntegerType)
+
+
+def first_non_null_by(value: str, order: str, schema: T.StructType) -> Column:
+    """Value of ``value`` on the row with the smallest ``order`` among rows where ``value`` is not NULL; of several
+    rows with that ``order`` the smallest value.  Order-independent (unlike ``first``), so it is stable
+    across partitions and task retries.
+
+    For an ``order`` of at most 32 bits and a numeric value both go into one fixed-width number, (order, value), whose
+    minimum is kept beside the value: the aggregate stays a hash aggregate.  Other types compare as a struct, which
+    costs a sort."""
     v, o = F.col(value), F.col(order)
+    kind = schema[value].dataType
+    if isinstance(schema[order].dataType, _INTS) and isinstance(kind, (*_INTS, T.LongType, T.FloatType, T.DoubleType)):
+        if isinstance(kind, _INTS):
+            key = o.cast("long") * F.lit(1 << 32) + v.cast("long")
+        else:
+            low = v if isinstance(kind, T.LongType) else ordered_bits(v.cast("double"))
+            key = o.cast("decimal(10,0)") * F.lit(Decimal(1 << 64)) + low.cast("decimal(20,0)")
+        return F.min_by(v, F.when(v.isNotNull(), key))
     return F.min(F.when(v.isNotNull(), F.struct(o.alias("o"), v.alias("v")))).getField("v")
 
 

@@ -26,9 +26,9 @@ def measure_aggs(spec: CohortSpec) -> list[Column]:
     return [_AGG[a](F.col(m)).alias(f"{m}_{a}") for m in spec.measures for a in spec.aggs]
 
 
-def static_aggs(spec: CohortSpec) -> list[Column]:
+def static_aggs(spec: CohortSpec, raw: DataFrame) -> list[Column]:
     """A2: first non-missing static per entity in sequence order."""
-    return [first_non_null_by(s, spec.seq).alias(s) for s in spec.statics]
+    return [first_non_null_by(s, spec.seq, raw.schema).alias(s) for s in spec.statics]
 
 
 def length_agg(spec: CohortSpec) -> Column:
@@ -60,7 +60,7 @@ def entity_range(raw: DataFrame, spec: CohortSpec) -> DataFrame:
 
 def entity_statics(raw: DataFrame, spec: CohortSpec) -> DataFrame:
     spec = spec.resolve(raw)
-    return raw.groupBy(*spec.entity).agg(*static_aggs(spec))
+    return raw.groupBy(*spec.entity).agg(*static_aggs(spec, raw))
 
 
 def entity_length(raw: DataFrame, spec: CohortSpec) -> DataFrame:
@@ -76,7 +76,7 @@ def entity_table(raw: DataFrame, spec: CohortSpec) -> DataFrame:
     seq_max and the ever-positive label, from a single hash aggregate."""
     spec = spec.resolve(raw)
     has_label = spec.row_label in raw.columns
-    aggs = static_aggs(spec) + measure_aggs(spec) + [length_agg(spec)]
+    aggs = static_aggs(spec, raw) + measure_aggs(spec) + [length_agg(spec)]
     if has_label:
         aggs.append(label_agg(spec))
     agg = raw.groupBy(*spec.entity).agg(*aggs)

@@ -31,6 +31,11 @@ def class_balance(ent: DataFrame, label: str = "label") -> DataFrame:
     return c.select(label, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
 
 
+def columns_by_suffix(columns: list[str], suffix: str) -> dict[str, str]:
+    """The columns that end with ``suffix``, in order, each with its name without it."""
+    return {c: c[:len(c) - len(suffix)] for c in columns if c.endswith(suffix) and c != suffix}
+
+
 def null_shares(ent: DataFrame, features: list[str]) -> DataFrame:
     """(feature, null_share) for every feature: 1 - non-null / rows."""
     lf = long_form(ent, [], features)

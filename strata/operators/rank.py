@@ -16,6 +16,8 @@ task; with two label values that is half the data per task.  Instead:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,14 @@ def _n_parts(df: DataFrame, n: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _with_offsets(rows: DataFrame, offsets: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` with the offsets of their partition and group; a NULL group is a group.  At most one row for each
+    partition and group is broadcast."""
+    named = offsets.select(*[F.col(c).alias(f"_j_{c}") if c in on else F.col(c) for c in offsets.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in on])
+    return rows.join(F.broadcast(named), cond, "inner")
+
+
 def rank_within(df: DataFrame, strata: list[str], order: list[str | Column],
                 out: str = "rank", n_parts: int | None = None) -> DataFrame:
     """1-based rank inside each stratum by ``order`` (which must make rows
@@ -47,7 +57,7 @@ def rank_within(df: DataFrame, strata: list[str], order: list[str | Column],
     w = Window.partitionBy(*strata).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *strata, "_pos0",
                             F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    ranked = parted.join(F.broadcast(offsets), ["_pid", *strata], "inner")
+    ranked = _with_offsets(parted, offsets, ["_pid", *strata])
     return ranked.select(
         *df.columns,
         (F.col("_off") + (F.col("_pos") - F.col("_pos0")) + 1).cast("long").alias(out))
@@ -73,20 +83,7 @@ def running_sums(df: DataFrame, order: list[str], values: list[str],
         F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_off_{v}") for v in values])
     wl = Window.partitionBy("_pid", *groups).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, 0)
     local = parted.select("*", *[F.sum(v).over(wl).alias(f"_loc_{v}") for v in values])
-    joined = local.join(F.broadcast(offsets), ["_pid", *groups], "inner")
+    joined = _with_offsets(local, offsets, ["_pid", *groups])
     return joined.select(*df.columns, *[
         (F.col(f"_off_{v}") + F.col(f"_loc_{v}")).alias(f"{v}{suffix}") for v in values])
 
-
-def dense_index(materialized: DataFrame, out: str = "_idx") -> DataFrame:
-    """0-based dense row index for a DataFrame read back from a reliable
-    checkpoint (fixed partitions and row order, so the index is stable under
-    task retries).  Offsets come from per-partition counts — one row per
-    partition — and are broadcast; no shuffle of the rows themselves."""
-    tagged = (materialized.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pos0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_pos0", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return tagged.join(F.broadcast(offsets), "_pid", "inner").select(
-        *materialized.columns, (F.col("_off") + F.col("_pos") - F.col("_pos0")).cast("long").alias(out))

@@ -15,7 +15,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.rank import rank_within
 from strata.session import cut_lineage
 
 SEED = 42
@@ -29,7 +28,14 @@ def draw_key(keys: list[str], seed: int = SEED) -> Column:
 
 def _class_counts(df: DataFrame, label: str) -> list[tuple]:
     # one row per class: a bounded collect
-    return sorted((r[0], r[1]) for r in df.groupBy(label).count().collect())
+    return _known_classes((r[0], r[1]) for r in df.groupBy(label).count().collect())
+
+
+def _known_classes(counts) -> list[tuple]:
+    counts = list(counts)
+    if any(c is None for c, _ in counts):
+        raise ValueError("a row without a class (NULL label) has no stratum; drop or label it first")
+    return sorted(counts)
 
 
 def largest_remainder(counts: list[tuple], n_draw: int) -> dict:
@@ -58,7 +64,7 @@ def quota_cuts(df: DataFrame, keys: list[str], label: str, quotas, seed: int) ->
     at most 16^5 counts a class are summed up in one task, and one row a class is collected."""
     draws = df.select(F.col(label).alias("c"), draw_key(keys, seed).alias("h"))
     counts = cut_lineage(draws.groupBy("c", F.substring("h", 1, PREFIX).alias("d")).agg(F.count(F.lit(1)).alias("n")))
-    totals = sorted((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect())
+    totals = _known_classes((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect())
     quota = quotas(totals)
     cuts = {c: "" if quota.get(c, 0) <= 0 else "g" for c, n in totals}       # "g" is above every hex digit
     open_classes = [c for c, n in totals if 0 < quota.get(c, 0) < n]
@@ -110,19 +116,26 @@ def stratified_sample_n(df: DataFrame, keys: list[str], label: str, n: int,
 def stratified_folds(df: DataFrame, keys: list[str], label: str, k: int = 5,
                      seed: int = SEED, fold_col: str = "fold") -> DataFrame:
     """K stratified folds.  Rows are ordered by (class, seeded draw) and
-    dealt round-robin, so per-class fold sizes differ by at most one."""
-    ranked = rank_within(df, [label], [draw_key(keys, seed), *keys], out="_r")
-    counts = _class_counts(ranked, label)
-    offs, run = {}, 0
-    for c, n in counts:
-        offs[c] = run
+    dealt round-robin, so per-class fold sizes differ by at most one.
+
+    A row's place is the count of its class's draws with smaller leading digits, at most 16^5 counts a class, plus its
+    rank among the draws with the same digits: one exchange by those digits, no sort of all rows.  ``df`` is
+    read twice.  A NULL class is an error."""
+    h = draw_key(keys, seed)
+    digits = F.substring("_h", 1, PREFIX).alias("_d")
+    counts = cut_lineage(df.select(F.col(label), h.alias("_h")).groupBy(label, digits).agg(F.count(F.lit(1)).alias("_n")))
+    totals = _known_classes((r[0], r[1]) for r in counts.groupBy(label).agg(F.sum("_n")).collect())
+    firsts, run = [], 0
+    for c, n in totals:
+        firsts.append(F.when(F.col(label) == F.lit(c), F.lit(run).cast("long")))
         run += n
-    spark = df.sparkSession
-    off = spark.createDataFrame([(c, int(o)) for c, o in offs.items()],
-                                f"{label} {df.schema[label].dataType.simpleString()}, _off long")
-    return (ranked.join(F.broadcast(off), label, "inner")
-            .withColumn(fold_col, ((F.col("_off") + F.col("_r") - 1) % k).cast("int"))
-            .drop("_r", "_off"))
+    if not totals:
+        return df.withColumn(fold_col, F.lit(0))
+    upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_d"))
+    before = counts.select(label, "_d", (upto - F.col("_n") + F.coalesce(*firsts)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(label, "_d").orderBy("_h", *keys))
+    placed = df.withColumn("_h", h).withColumn("_d", digits).join(before, [label, "_d"])
+    return placed.select(*df.columns, ((F.col("_before") + own - 1) % k).cast("int").alias(fold_col))
 
 
 def class_capped_sample(df: DataFrame, keys: list[str], label: str, n_samples: int,

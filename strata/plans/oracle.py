@@ -70,12 +70,6 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def round_all(select_sql: str, double_cols: list[str], other_cols: list[str],
-              places: int = PLACES) -> str:
-    cols = other_cols + [f"{r(c, places)} AS {c}" for c in double_cols]
-    return f"SELECT {', '.join(cols)} FROM ({select_sql}) q"
-
-
 # --- sampling twins (md5 draw order, largest-remainder quotas) -------------
 def draw_sql(keys: list[str], seed: int) -> str:
     return "md5('" + str(seed) + "' || " + " || ".join(

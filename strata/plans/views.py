@@ -6,14 +6,13 @@
   value per event type (mostly missing), row label = any error event.
 * V-SCORE — deterministic pseudo-scores per V-ORD entity, for the evaluation
   operators without a model.
-* V-LAB  — documents x labels, target = toxic.
 
 Each view is a lazy DataFrame; only the referenced columns are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import entity_table
@@ -34,14 +33,17 @@ DAY_SPEC = CohortSpec(
     statics=(), row_label="is_pos", target="label")
 
 
+def _ord_label() -> Column:
+    return ((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 40) & (F.col("l_discount") >= 0.08)).cast("int")
+
+
 def v_ord_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", *ORD_MEASURES, "l_returnflag")
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_totalprice",
         F.substring("o_orderpriority", 1, 1).cast("int").alias("o_priority"))
-    is_pos = ((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 40)
-              & (F.col("l_discount") >= 0.08)).cast("int").alias("is_pos")
+    is_pos = _ord_label().alias("is_pos")
     raw = li.join(o, "l_orderkey", "inner").select(
         "l_orderkey", "l_linenumber", *ORD_MEASURES, "o_totalprice", "o_priority", is_pos)
     return normalize_raw(raw, ORD_SPEC)
@@ -66,8 +68,7 @@ def v_wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_totalprice",
         F.substring("o_orderpriority", 1, 1).cast("int").alias("o_priority"))
     parts = [F.when(F.col(c) == v, F.col(m)).alias(f"{m}_{v.lower()}") for c, v in WIDE_PARTS for m in ORD_MEASURES]
-    is_pos = ((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 40)
-              & (F.col("l_discount") >= 0.08)).cast("int").alias("is_pos")
+    is_pos = _ord_label().alias("is_pos")
     return normalize_raw(li.join(o, "l_orderkey", "inner").select(
         "l_orderkey", "l_linenumber", *ORD_MEASURES, *parts, "o_totalprice", "o_priority", is_pos), WIDE_SPEC)
 
@@ -94,10 +95,9 @@ def v_day_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, label, p, p2): two deterministic scores with heavy ties."""
-    raw = v_ord_raw(spark, sf_dir)
-    agg = raw.groupBy("l_orderkey").agg(
-        F.max("l_quantity").alias("mq"), F.max("l_discount").alias("md"),
-        F.max("is_pos").alias("label"))
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL")     # no column of orders is used
+    agg = li.groupBy("l_orderkey").agg(
+        F.max("l_quantity").alias("mq"), F.max("l_discount").alias("md"), F.max(_ord_label()).alias("label"))
     p = F.round(F.least(F.lit(1.0), F.greatest(
         F.lit(0.0), 0.5 * F.col("mq") / 50 + 5 * F.col("md") - 0.35)), 2)
     p2 = F.round(0.5 * F.col("mq") / 50, 2)
@@ -111,11 +111,3 @@ def v_scores_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (s.select(F.lit("forest").alias("model"), "l_orderkey", "label", "p")
             .unionByName(s.select(F.lit("boosted").alias("model"), "l_orderkey", "label",
                                   F.col("p2").alias("p"))))
-
-
-def v_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "n_chars", F.length("text").alias("text_len"),
-        F.size(F.split("text", r"\s+")).alias("n_words"))
-    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    return docs.join(lab, "doc_id", "inner")

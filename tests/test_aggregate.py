@@ -1,7 +1,11 @@
 """Toy hourly table: one row per entity, ever-label, range, length, names."""
 import math
 
-from strata.operators.aggregate import entity_table
+from pyspark.sql import functions as F
+
+from strata.functions.columns import ordered_bits
+from strata.operators.aggregate import entity_statics, entity_table
+from strata.operators.profile import columns_by_suffix
 from strata.sources.tables import normalize_raw
 from strata.spec import CohortSpec
 
@@ -54,3 +58,43 @@ def test_first_static_by_sequence(spark):
     from strata.operators.aggregate import entity_statics
     got = {r.k: r.a for r in entity_statics(df, spec).collect()}
     assert got == {1: 20.0, 2: 5.0}
+
+
+def test_first_static_takes_the_smaller_of_a_tie_in_a_hash_aggregate(spark):
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.0 ** -1022, 1.0, 1.0000000000000002, 0.9999999999999999, 2.0, 1.9999999999999998,
+           1e308, -1e308, float("inf"), -float("inf"), 8.0, 7.999999999999999, -3.5, 0.1, 0.30000000000000004, None]
+    rows = [(e, 1, odd[(e * 7 + i) % 20], (e * 3 + i * 5) % 11 - 5, f"s{(e + i) % 4}") for e in range(40) for i in range(3)]
+    rows += [(e, 0, None, None, None) for e in range(40)] + [(e, 2, -9.0, -99, "a") for e in range(40)]
+    df = spark.createDataFrame(rows, "stay_id long, hour int, d double, i int, s string")
+    spec = CohortSpec(entity=("stay_id",), seq="hour", measures=(), statics=("d", "i"))
+    out = entity_statics(df, spec)
+    for r in out.collect():
+        for c in (2, 3):
+            tied = [x[c] for x in rows if x[0] == r.stay_id and x[1] == 1 and x[c] is not None]
+            assert r[c - 1] == min(tied)
+    assert "SortAggregate" not in out._jdf.queryExecution().toString()
+    text = entity_statics(df, CohortSpec(entity=("stay_id",), seq="hour", measures=(), statics=("s",)))
+    assert {r.s for r in text.collect()} <= {"s0", "s1", "s2", "s3"}
+
+
+def test_ordered_bits_order_as_the_doubles(spark):
+    import random
+    import struct
+    rng = random.Random(3)
+    vals = [struct.unpack("<d", rng.getrandbits(64).to_bytes(8, "little"))[0] for _ in range(3000)]
+    vals = [v for v in vals if v == v] + [x * 2.0 ** e for e in range(-1074, 1024) for x in (1.0, 1.0000000000000002)]
+    got = [(r.v, r.b) for r in spark.createDataFrame([(v,) for v in vals], "v double").select(
+        "v", ordered_bits(F.col("v")).alias("b")).collect()]
+    got.sort()
+    assert all((a[1] < b[1]) == (a[0] < b[0]) for a, b in zip(got, got[1:]))
+
+
+def test_entity_table_sorts_nothing(spark):
+    from strata.plans import views as V
+    plan = V.v_ord_entities(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan.split("== Physical Plan ==")[1].split(
+        "SortMergeJoin")[0]
+
+
+def test_columns_by_suffix():
+    assert columns_by_suffix(["a_mean", "b_max", "_mean", "c_mean"], "_mean") == {"a_mean": "a", "c_mean": "c"}

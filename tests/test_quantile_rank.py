@@ -68,3 +68,14 @@ def test_running_sums_grouped(spark):
     df = spark.createDataFrame(rows, "g string, k double, v long")
     out = {(r.g, r.k): r.v_cum for r in running_sums(df, ["k"], ["v"], groups=["g"], n_parts=5).collect()}
     assert out[("x", 49.0)] == sum(range(50)) and out[("y", 10.0)] == sum(range(11))
+
+
+def test_a_null_group_is_a_group(spark):
+    rows = [(i, None if i % 3 == 0 else i % 3, i % 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, s int, o int")
+    got = rank_within(df, ["s"], ["o", "id"]).collect()
+    assert len(got) == 60
+    for s in (None, 1, 2):
+        order = [r[0] for r in sorted((x for x in rows if x[1] == s), key=lambda x: (x[2], x[0]))]
+        assert [r.id for r in sorted((g for g in got if g.s == s), key=lambda g: g["rank"])] == order
+    assert running_sums(df.select("s", "id", "o"), ["id"], ["o"], groups=["s"]).count() == 60

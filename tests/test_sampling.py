@@ -1,6 +1,7 @@
 """Exact quotas, folds and determinism of the seeded samplers."""
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import sampling as S
@@ -70,3 +71,14 @@ def test_split_needs_no_sort_of_the_rows(spark):
     plan = out._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Sort" not in plan
     assert out.filter("split = 'test'").count() == 600
+
+
+def test_folds_need_no_range_sort_and_name_a_missing_class(spark):
+    df = labels(spark)
+    plan = S.stratified_folds(df, ["k"], "label", 5)._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan.lower()
+    holes = df.withColumn("label", F.when(F.col("k") % 10 != 3, F.col("label")))
+    for call in (lambda: S.stratified_folds(holes, ["k"], "label", 5), lambda: S.stratified_split(holes, ["k"], "label"),
+                 lambda: S.class_capped_sample(holes, ["k"], "label", 4)):
+        with pytest.raises(ValueError, match="NULL label"):
+            call()
