@@ -983,12 +983,13 @@ def q_model_roundtrip(spark, sf):
 
 @register("score_log")
 def q_score_log(spark, sf):
-    from strata.operators.scoring import log_scores
+    from strata.operators.scoring import log_scores, read_log
     r = TJ.score_with_bundle(spark, sf)
     scored2, bundle = r["reloaded_scored"], r["loaded"]
     path = TJ.work_dir(spark, "audit")
-    log_scores(scored2, path, bundle.threshold, bundle.model_type)
-    return spark.read.parquet(path)
+    for _ in range(2):      # the second is a replay
+        log_scores(scored2, path, bundle.threshold, bundle.model_type, run_id="daily-1")
+    return read_log(spark, path)
 
 
 @register("score_stream")

@@ -21,6 +21,7 @@ from strata.operators import sampling as S
 from strata.operators.aggregate import entity_table
 from strata.operators.ensembles import bin_rows, grow, held_confusion, keyed_rows
 from strata.operators.prep import FittedPrep, fit_prep, with_class_weight, with_positive_weight
+from strata.operators.rank import rank_within
 from strata.operators.report import importance_rank
 from strata.operators.scoring import score_table
 from strata.operators.trees import Fit
@@ -31,6 +32,7 @@ from strata.sources.tables import normalize_raw
 from strata.spec import CohortSpec
 
 KEY = "l_orderkey"
+ENTITY_ID = "entity_id"
 ORD_F = V.ORD_SPEC.feature_columns()
 
 # The published search.
@@ -197,6 +199,16 @@ def bundle_of(result: dict, kind: str) -> Bundle:
                   scaler_scale=sc.scales, threshold=result["threshold"], model_type=kind)
 
 
+def keyed_entities(ent: DataFrame, spec: CohortSpec) -> tuple[DataFrame, str]:
+    """The entity table with one long key.  The number of a string or composite key is its rank in key order: dense,
+    the same on every run, and found without bringing the keys to one place."""
+    if len(spec.entity) == 1 and isinstance(ent.schema[spec.entity[0]].dataType, T.IntegralType):
+        return ent, spec.entity[0]
+    if ENTITY_ID in ent.columns:
+        raise ValueError(f"column {ENTITY_ID} is taken")
+    return rank_within(ent, [], list(spec.entity), out=ENTITY_ID), ENTITY_ID
+
+
 def train_job(spark: SparkSession, source: str | DataFrame, spec: CohortSpec, out_dir: str | None = None,
               folds: int = 5, k_features: int = 50, n_draws: int = 25, demo_samples: int = 80,
               var_thresh: float = 0.01, forest_grid: dict | None = None,
@@ -206,16 +218,18 @@ def train_job(spark: SparkSession, source: str | DataFrame, spec: CohortSpec, ou
     the bundle, write run metrics and the report pack.  Returns the run-metrics row.
 
     ``source`` is a long table, or the path of one in Parquet, with the columns of
-    ``spec``; its entity is one integer column, and its target must be "label"."""
+    ``spec``; its target must be "label".  An entity of one integer column is the row key; any other, of strings, dates
+    or several columns, is numbered by a key dictionary first."""
     raw = spark.read.parquet(source) if isinstance(source, str) else source
     spec = spec.resolve(raw)
-    if len(spec.entity) != 1 or not isinstance(raw.schema[spec.entity[0]].dataType, T.IntegralType):
-        raise ValueError(f"train_job needs one integer entity column, got {list(spec.entity)}")
+    absent = [c for c in (*spec.entity, spec.seq) if c not in raw.columns]
+    if absent:
+        raise ValueError(f"train_job needs the entity and sequence columns, got none of {absent}")
     if spec.target != "label":
         raise ValueError(f"train_job needs the target to be named label, got {spec.target}")
-    key = spec.entity[0]
+    ent, key = keyed_entities(entity_table(normalize_raw(raw, spec), spec), spec)
     out_dir = out_dir or work_dir(spark, "train")
-    data, prep = prepare(entity_table(normalize_raw(raw, spec), spec), key, spec.feature_columns(), var_thresh)
+    data, prep = prepare(ent, key, spec.feature_columns(), var_thresh)
     data = cut_lineage(with_validation(data, key))
     searches = {"forest": {"grid_values": forest_grid or FOREST_GRID},
                 "boosted": {"space": boosted_space or BOOSTED_SPACE, "n_draws": n_draws}}

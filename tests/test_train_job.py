@@ -45,11 +45,27 @@ def test_train_job_takes_a_path_and_a_spec(spark, long_rows, tmp_path):
     assert B.load_bundle(spark, f"{out}/bundle").features == pack.features
 
 
+def test_train_job_takes_string_and_composite_keys(spark, long_rows):
+    e = F.col("patient")
+    rows = long_rows.select(F.concat(F.lit("p"), e % 30).alias("name"), F.expr("date'2020-01-01'").alias("day"),
+                            *[c for c in long_rows.columns]).withColumn("day", F.date_add("day", F.floor(e / 30).cast("int")))
+    spec = CohortSpec(entity=("name", "day"), seq="hour", measures=SPEC.measures, statics=SPEC.statics, row_label="ill")
+    ent, key = TJ.keyed_entities(TJ.entity_table(rows, spec.resolve(rows)), spec)
+    ids = {(r["name"], r["day"]): r[key] for r in ent.collect()}
+    assert sorted(ids.values()) == list(range(1, 301)) and sorted(ids) == sorted(ids, key=ids.get)
+    row = TJ.train_job(spark, rows, spec, folds=2, k_features=3, n_draws=1, demo_samples=10,
+                       forest_grid={"numTrees": [3], "maxDepth": [3]},
+                       boosted_space={"maxIter": ("int", 2, 3), "maxDepth": ("int", 2, 2)}).first()
+    assert row.n_train == 240 and row.n_test == 60 and all(sum(row[k].confusion) == 60 for k in ("forest", "boosted"))
+
+
 def test_train_job_names_what_it_cannot_take(spark, long_rows):
-    for bad in (long_rows.withColumn("patient", F.col("patient").cast("string")), long_rows.drop("age")):
-        spec = SPEC if "age" in bad.columns else CohortSpec(entity=("patient", "hour"), seq="hour", measures=("pulse",))
-        with pytest.raises(ValueError, match="integer entity"):
-            TJ.train_job(spark, bad, spec)
+    with pytest.raises(ValueError, match="entity and sequence"):
+        TJ.train_job(spark, long_rows, CohortSpec(entity=("ward", "patient"), seq="hour", measures=("pulse",)))
+    clash = long_rows.select("*", F.lit("x").alias("name"), F.lit(1.0).alias("entity_id"))
+    with pytest.raises(ValueError, match="entity_id"):
+        TJ.train_job(spark, clash, CohortSpec(entity=("name", "patient"), seq="hour", measures=("pulse",),
+                                              statics=("entity_id",), row_label="ill"))
 
 
 def test_a_bundle_that_reads_back_otherwise_is_not_published(spark, tmp_path, monkeypatch):
@@ -74,6 +90,52 @@ def test_a_bundle_that_reads_back_otherwise_is_not_published(spark, tmp_path, mo
     assert read(spark, path).threshold == 0.5
 
 
+def _constant_bundle(spark, threshold):
+    df = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 10).cast("double").alias("x"),
+                                (F.col("id") % 10 > 6).cast("double").alias("label"))
+    scaler = M.PopulationScaler(inputCols=["x"]).fit(df)
+    model = M.random_forest(num_trees=2, max_depth=2).fit(scaler.transform(df))
+    return df, B.Bundle(model, ["x"], scaler.means, scaler.scales, threshold, "forest")
+
+
+def test_a_failed_publication_leaves_the_old_bundle(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "b")
+    df, old = _constant_bundle(spark, 0.25)
+    B.publish_bundle(spark, old, path, df, "k")
+    new = B.Bundle(**{**old.__dict__, "threshold": 0.75})
+    with monkeypatch.context() as m:
+        m.setattr(B, "require_parity", lambda *a: (_ for _ in ()).throw(OSError("lost between trial and publication")))
+        with pytest.raises(OSError):
+            B.publish_bundle(spark, new, path, df, "k")
+    assert B.load_bundle(spark, path).threshold == 0.25
+    (tmp_path / "b" / "pointers" / "00000002").write_text("")         # a publisher that died before its pointer's text
+    assert B.load_bundle(spark, path).threshold == 0.25
+    assert B.publish_bundle(spark, new, path, df, "k").threshold == 0.75
+
+
+def test_of_two_publishers_one_wins(spark, tmp_path):
+    path = str(tmp_path / "b")
+    df, first = _constant_bundle(spark, 0.25)
+    second = B.Bundle(**{**first.__dict__, "threshold": 0.75})
+    B.publish_bundle(spark, first, path, df, "k", after=0)
+    with pytest.raises(B.PublishConflict):
+        B.publish_bundle(spark, second, path, df, "k", after=0)
+    assert B.load_bundle(spark, path).threshold == 0.25
+    assert B.publish_bundle(spark, second, path, df, "k").threshold == 0.75
+
+
+def test_a_replayed_run_logs_each_event_once(spark, tmp_path):
+    from strata.operators.scoring import log_scores, read_log
+    path = str(tmp_path / "audit")
+    scored = spark.range(10).select(F.col("id").alias("k"), F.lit(0.5).alias("p"))
+    for run in ("2024-01-01", "2024-01-01", "b"):
+        log_scores(scored, path, 0.4, "forest", run_id=run)
+    got = {r["run_id"]: r["count"] for r in read_log(spark, path).groupBy("run_id").count().collect()}
+    assert got == {"2024-01-01": 10, "b": 10}
+    with pytest.raises(ValueError):
+        log_scores(scored, path, 0.4, "forest", run_id="../x")
+
+
 def test_published_widths_and_search():
     assert TJ.sweep_widths(12) == list(range(1, 13)) and TJ.sweep_widths(45) == [*range(1, 21), 30, 40]
     assert len(M.param_grid(M.random_forest(), TJ.FOREST_GRID)) == 8
