@@ -28,26 +28,26 @@ FIRST_DEPTH, GROWTH = 16, 8
 
 
 def quantized(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``(vec_id, x, d)`` of the rows that take part."""
+    """``(row, vec_id, x, d)`` of the rows that take part; ``row`` tells rows of one id apart."""
     x = F.transform(F.col(vector_col), lambda v: v.cast("double"))
     ok = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     return (vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(ok)
-            .select(F.col(id_col).cast("long").alias("vec_id"),
+            .select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("vec_id"),
                     F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("x"))
-            .groupBy("vec_id").agg(F.min("x").alias("x")).select("vec_id", "x", F.size("x").alias("d")))
+            .withColumn("d", F.size("x")))
 
 
 class Lists:
     """A block's vectors and its sorted list of each dimension."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        order = np.argsort(ids)
-        self.ids, self.x = ids[order], np.ascontiguousarray(x[order])
+    def __init__(self, ids: np.ndarray, places: np.ndarray, x: np.ndarray):
+        order = np.lexsort((places, ids))
+        self.ids, self.places, self.x = ids[order], places[order], np.ascontiguousarray(x[order])
         self.order = np.argsort(self.x, axis=0, kind="stable").T.astype(np.int32)
         self.values = np.take_along_axis(self.x.T, self.order, 1)
 
     def best(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best rows for q other than ``own``, ties to the smaller id."""
+        """Ids and scores of the k best rows for q other than the row ``own``, ties to the smaller id."""
         n = len(self.ids)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         met = np.zeros(n, bool)
@@ -61,7 +61,7 @@ class Lists:
                 now[:] = True       # also where every component of q is zero
             new = np.flatnonzero(now & ~met)
             met |= now
-            new = new[self.ids[new] != own]
+            new = new[self.places[new] != own]
             rows, scores = np.r_[rows, new], np.r_[scores, self.x[new] @ q]
             if len(rows) > k:
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
@@ -84,18 +84,19 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
 
 
 def _block_best(k: int):
-    names = ["query_id", "vec_id", "score"]
+    names = ["query", "query_id", "vec_id", "score"]
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        out: list[list] = [[], [], [], []]
         if rows.num_rows and queries.num_rows:
             x, q = _matrix(rows["x"], rows.num_rows), _matrix(queries["x"], queries.num_rows)
             top = float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1])
             kind = np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else np.int64
-            lists, q = Lists(rows["vec_id"].to_numpy(), x.astype(kind)), q.astype(kind)
-            for own, one in zip(queries["vec_id"].to_numpy(), q, strict=True):
+            lists, q = Lists(rows["vec_id"].to_numpy(), rows["row"].to_numpy(), x.astype(kind)), q.astype(kind)
+            for own, told, one in zip(queries["row"].to_numpy(), queries["vec_id"].to_numpy(), q, strict=True):
                 ids, scores = lists.best(one, own, k)
-                for col, part in zip(out, (np.full(len(ids), own), ids, scores.astype(np.int64)), strict=True):
+                for col, part in zip(out, (np.full(len(ids), own), np.full(len(ids), told), ids, scores.astype(np.int64)),
+                                     strict=True):
                     col.append(part)
         return pa.table([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], names)
 
@@ -108,8 +109,8 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     ``every`` its k highest inner products with all other rows.
 
     Rows with a null id, a null vector, or null or non-finite components take no
-    part; vectors of different lengths do not meet; repeated ids are one row (of
-    several vectors the smallest).  A query without any other row has no result.
+    part; vectors of different lengths do not meet; rows of one id are rows of their
+    own, as candidates and as queries.  A query without any other row has no result.
     Scores must fit a long."""
     ship_package(vectors.sparkSession)
     data = cut_lineage(quantized(vectors, id_col, vector_col, scale))
@@ -118,14 +119,14 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     query_blocks = max(1, -(-ask.count() // query_block))
 
     def spot(n: int, salt: int):
-        return F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
 
     def all_of(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     rows = data.select("*", spot(blocks, 1).alias("rb"), all_of(query_blocks).alias("qb"))
-    queries = ask.select("*", spot(query_blocks, 2).alias("qb"), all_of(blocks).alias("rb"))
+    queries = ask.select(*[F.col(c).alias(c) for c in ask.columns], spot(query_blocks, 2).alias("qb"), all_of(blocks).alias("rb"))
     found = (rows.groupBy("rb", "qb", "d").cogroup(queries.groupBy("rb", "qb", "d"))
-             .applyInArrow(_block_best(k), "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+             .applyInArrow(_block_best(k), "query long, query_id long, vec_id long, score long"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

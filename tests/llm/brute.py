@@ -82,11 +82,11 @@ def near(docs, most=4):
 
 def top(rows, k=5, every=50):
     kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
-            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, q in kept:
+    for n, (i, q) in enumerate(kept):
         if i % every == 0:
-            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in kept if j != i)[:k]
+            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, (j, v) in enumerate(kept) if m != n)[:k]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     return sorted(out)
 
