@@ -97,6 +97,13 @@ def doc_blocks(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
+def free_prefix(df: DataFrame, base: str) -> str:
+    """``base``, longer by underscores until no column of ``df`` begins with it."""
+    while any(c.lower().startswith(base.lower()) for c in df.columns):
+        base += "_"
+    return base
+
+
 def same_row(left: str, right: str, *names: str) -> Column:
     """Null-safe equality of the named columns of two aliased frames."""
     cond = F.lit(True)

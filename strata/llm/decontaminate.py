@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import mapped, same_row, small_batches, staged, utf8_column
+from strata.llm.common import free_prefix, mapped, same_row, small_batches, staged, utf8_column
 
 WIDTH, SHINGLE = 10, 3
 LOG_BITS = 24
@@ -273,6 +273,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``decontaminate`` marks."""
-    bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_id"))
-                     & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("_th")), "left_anti")
+    own = free_prefix(docs, "_bad")
+    doc, text = f"{own}_id", f"{own}_th"
+    bad = found.where("contaminated").select(F.col("doc_id").alias(doc), F.col("th").alias(text)).distinct()
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(doc))
+                     & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col(text)), "left_anti")

@@ -19,11 +19,26 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import free_prefix
+
 NEAR, KEEP, BLOCK = 48, 0.5, 256
 
-#: Total IBAN length by country.
-IBAN_LENGTH = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22,
-               "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+#: Total IBAN length by country, the whole registry.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30}
+
+
+def _iban_pattern() -> str:
+    """One alternative for each length."""
+    of = {n: [c for c, m in IBAN_LENGTH.items() if m == n] for n in sorted(set(IBAN_LENGTH.values()))}
+    return "(?:" + "|".join(f"(?:{'|'.join(c)})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in of.items()) + ")"
 
 
 @dataclass(frozen=True)
@@ -48,8 +63,7 @@ KINDS = [
          r"\b(?:card|visa|mastercard|credit|karte|carte|tarjeta)\b"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6,
          r"\b(?:phone|tel|call|mobile|fax|telefon|teléfono)\b"),
-    Kind("iban", "(?:" + "|".join(f"{c}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for c, n in IBAN_LENGTH.items()) + ")",
-         "[A-Z]{2}[0-9]{2}", 0.9, r"\b(?:iban|bank|account|konto|compte|cuenta)\b", base=False, against="$^"),
+    Kind("iban", _iban_pattern(), "[A-Z]{2}[0-9]{2}", 0.9, r"\b(?:iban|bank|account|konto|compte|cuenta)\b", base=False, against="$^"),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"[0-9]-[0-9]{2}-[0-9]", 0.3,
          r"\b(?:ssn|social security|social insurance)\b", base=False),
 ]
@@ -140,18 +154,19 @@ def spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFram
     base, nth) sorted by start and kind; offsets in code points, end exclusive.
 
     A null or empty text has no spans.  All columns of ``docs`` stay, whatever
-    their names; repeated rows get equal results."""
+    their names, but one named ``out``, which is replaced; repeated rows get equal results."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    names = [f"_pii_{i}" for i in range(len(KINDS))]
-    df = docs.withColumn("_pii_text", text)
+    own = free_prefix(docs, "_pii_")
+    whole, names = f"{own}text", [f"{own}{i}" for i in range(len(KINDS))]
+    df = docs.withColumn(whole, text)
     # gaps and matches; the patterns run only on texts that hold what they need
-    df = df.withColumns({n: F.when(F.col("_pii_text").rlike(k.needs), F.split("_pii_text", k.pattern, -1))
+    df = df.withColumns({n: F.when(F.col(whole).rlike(k.needs), F.split(whole, k.pattern, -1))
                          for n, k in zip(names, KINDS, strict=True)})
     df = df.withColumns({n: F.when(F.size(n) > 1, F.zip_with(
         F.zip_with(F.slice(n, 1, F.size(n) - 1), F.slice(n, 2, F.size(n)),
                    lambda a, b: F.struct(F.length(a).alias("gap"), F.right(a, F.lit(NEAR)).alias("before"),
                                          F.left(b, F.lit(NEAR)).alias("after"))),
-        F.regexp_extract_all("_pii_text", F.lit(k.pattern), F.lit(0)),
+        F.regexp_extract_all(whole, F.lit(k.pattern), F.lit(0)),
         lambda g, hit: F.struct(g.gap.alias("gap"), F.length(hit).alias("size"), hit.alias("hit"),
                                 g.before.alias("before"), g.after.alias("after"))))
         for n, k in zip(names, KINDS, strict=True)})
@@ -165,7 +180,7 @@ def spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFram
     made = [F.filter(F.coalesce(F.zip_with(n, f"{n}_s", _judged(nth, k)), F.array()), lambda s: s.isNotNull())
             for nth, (n, k) in enumerate(zip(names, KINDS, strict=True))]
     df = df.withColumn(out, F.array_sort(F.concat(*made)))
-    return df.drop("_pii_text", *names, *[f"{n}_b" for n in names], *[f"{n}_s" for n in names])
+    return df.drop(whole, *names, *[f"{n}_b" for n in names], *[f"{n}_s" for n in names])
 
 
 def _told(found: Column) -> Column:
@@ -189,20 +204,21 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars")
     """``docs`` with every span replaced by its kind in brackets (overlapping
     spans by the first one's), and ``chars_col``, if there is one, brought up to
     date.  A null text stays null; other columns stay as they are."""
-    df = spans(docs, text_col, "_pii")
-    ends = F.transform("_pii", lambda s: s.end)
-    df = df.withColumn("_pii_e", _blocks(ends))
-    df = df.withColumn("_pii_p", _running(F.col("_pii_e"), F.slice(_bases(F.col("_pii_e"), F.lit(0), _most), 1,
-                                                                  F.size("_pii_e")), _most))
+    own = free_prefix(docs, "_found")
+    hits, ended, upto = own, f"{own}_e", f"{own}_p"
+    df = spans(docs, text_col, hits)
+    ends = F.transform(hits, lambda s: s.end)
+    df = df.withColumn(ended, _blocks(ends))
+    df = df.withColumn(upto, _running(F.col(ended), F.slice(_bases(F.col(ended), F.lit(0), _most), 1, F.size(ended)), _most))
     text = F.col(text_col).cast("string")
-    pieces = F.zip_with("_pii", "_pii_p", lambda s, p: F.when(
+    pieces = F.zip_with(hits, upto, lambda s, p: F.when(
         s.start >= p, F.concat(text.substr(p + 1, s.start - p), F.lit("["), F.upper(s.kind), F.lit("]")))
         .otherwise(F.lit("")))
     rest = text.substr(F.array_max(ends) + 1, F.length(text))
-    new = F.when(F.size("_pii") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
+    new = F.when(F.size(hits) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
     df = df.withColumn(text_col, new)
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
-        df = df.withColumn(chars_col, F.when(F.size("_pii") > 0, F.length(text_col)).otherwise(F.col(chars_col))
+        df = df.withColumn(chars_col, F.when(F.size(hits) > 0, F.length(text_col)).otherwise(F.col(chars_col))
                            .cast(kind))
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])

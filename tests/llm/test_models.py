@@ -105,6 +105,15 @@ def test_pages(spark):
     assert html_extract.extract(made.limit(0), chain).count() == 0
 
 
+def test_form_parts_and_foreign_comments_are_no_content(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    chain = html_extract.fit(pages)
+    said = "A paragraph of the article that is long enough to be read as one, with some words."
+    page = (f"<body><article><h1>Title</h1><p>{said}</p><button>Share this</button><select><option>One<option>Two</select>"
+            f"<p>{said}</p></article><div class='kommentare'><p>{said[::-1]}</p></div></body>")
+    assert html_extract.main_text(chain, page) == f"Title\n\n{said}\n\n{said}"
+
+
 def test_skipped_elements_end_at_their_end_tag():
     def texts(head):
         return [b.text for b in html_extract.blocks_of(f"<head>{head}</head><article><p>One.</p><p>Two.</p></article>")]

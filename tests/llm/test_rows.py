@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from strata.llm import packing, pii, topk
+from strata.llm import decontaminate, packing, pii, topk
 
 from . import brute
 from .conftest import SF, pairs, rows
@@ -24,6 +24,35 @@ def test_personal_data_adds_confirmed_kinds(odd):
     assert got[13] == "ssn:4:15,iban:22:49" and got[1] == got[2] == ""
 
 
+def test_ibans_of_every_country(spark):
+    def made(country, n):
+        body = ("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ" * 2)[:n - 4]
+        number = int("".join(str(int(c, 36)) for c in f"{body}{country}00"))
+        return f"{country}{98 - number % 97:02d}{body}"
+
+    data = [(i, f"pay {made(c, n)}.") for i, (c, n) in enumerate(sorted(pii.IBAN_LENGTH.items()))]
+    data += [(900, "pay GR1601101250000000012300695, or GR16 0110 1250 0000 0001 2300 696.")]
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.spans(spark.createDataFrame(
+        data, "doc_id long, text string"))).collect()}
+    for i, text in data[:-1]:
+        assert f"iban:4:{len(text) - 1}" in got[i], text
+    assert got[900] == "iban:4:31"
+
+
+def test_names_that_the_operators_use_themselves(spark):
+    df = spark.createDataFrame([(1, "mail a@b.co", "x", 2, "k"), (2, None, None, None, "k")],
+                               "doc_id long, text string, _pii_text string, _found int, pii string")
+    found = pii.spans(df, out="told")
+    assert found.columns == [*df.columns, "told"] and {r["_pii_text"] for r in found.collect()} == {"x", None}
+    got = pii.redact(df)
+    assert got.columns == df.columns and rows(got)[0] == (1, "mail [EMAIL]", "x", 2, "k")
+    clash = df.selectExpr("doc_id", "text", "doc_id AS _id", "doc_id AS _th", "doc_id AS _bad_id", "'z' AS th")
+    items = spark.createDataFrame([("i", "mail a b co")], "item_id string, text string")
+    marked = decontaminate.decontaminate(clash, items)
+    kept = decontaminate.drop_contaminated(clash, marked)
+    assert kept.columns == clash.columns and [r["doc_id"] for r in kept.collect()] == [2]
+
+
 def test_personal_data_many_and_long(spark):
     data = [(1, "a@b.cc 1.2.3.4 " * 3000), (2, "9" * 50_000 + "a" * 100_000 + "@" * 3), (3, "+1 " * 20_000)]
     df = spark.createDataFrame(data, "doc_id long, text string")
@@ -52,7 +81,11 @@ def test_top_k_ties_and_bad_vectors(spark):
              (402, [1.0, None, 1.0, 1.0])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
     assert rows(topk.top_k(df, block=100)) == brute.top(data)
-    assert rows(topk.top_k(df.union(df), block=100)) == brute.top(data)
+    assert rows(topk.top_k(df.union(df), block=100)) == brute.top(data + data)
+    again = [(50, [1.0, 0.0, 0.0, 0.0]), (1, [9.0, 0.0, 0.0, 0.0]), (1, [-5.0, 0.0, 0.0, 0.0]), (None, [9.0, 9.0, 9.0, 9.0])]
+    df2 = spark.createDataFrame(again, "vec_id long, embedding array<float>")
+    assert rows(topk.top_k(df2)) == brute.top(again)
+    assert rows(topk.top_k(df.union(df2), block=90)) == brute.top(data + again)
     assert topk.top_k(df.limit(0)).count() == 0
     assert topk.top_k(df.where("vec_id = 50")).count() == 0
 
