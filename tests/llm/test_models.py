@@ -59,9 +59,11 @@ def test_toxicity_held_out(spark, odd, none):
     model = toxicity.fit(docs, labels)
     got = toxicity.score(docs, model).join(labels, "doc_id").where("held_out").cache()
     assert got.where("predicted != cast(score >= 0.7 as int) or score < 0 or score > 1").count() == 0
-    english = docs.where("lang = 'en'").select("doc_id")
-    assert _rate(got.where("toxic = 1").join(english, "doc_id"), "predicted = 1") > 0.8
-    assert _rate(got.where("toxic = 1"), "predicted = 1") > 0.5      # about 300 labelled toxic texts in four languages
+    caught = {r["lang"]: r["share"] for r in got.where("toxic = 1").join(docs.select("doc_id", "lang"), "doc_id")
+              .groupBy("lang").agg(F.avg("predicted").alias("share")).collect()}
+    # learned from 197 toxic texts in English, 45, 42 and 21 in the others
+    assert caught["en"] > 0.85 and caught["de"] > 0.85 and caught["fr"] > 0.6 and caught["es"] > 0.3
+    assert _rate(got.where("toxic = 1"), "predicted = 1") > 0.75
     assert _rate(got.where("toxic = 0"), "predicted = 0") > 0.98
     assert toxicity.score(odd, model).count() == odd.count() and toxicity.score(none, model).count() == 0
     assert toxicity.fit(docs, labels.limit(0)) is None
