@@ -123,6 +123,26 @@ def test_knn_emits_from_many_tasks(spark):
     assert found and min(found) >= 9        # at least three blocks on either side
 
 
+def test_knn_leaves_far_blocks_out_and_splits_hot_leaves(spark):
+    rng = np.random.default_rng(3)
+    pts = np.concatenate([c + rng.normal(0, 1, (50, 3)) for c in rng.normal(0, 1000, (8, 3))])
+    pts = np.concatenate([pts, np.tile(pts[7], (200, 1))])      # a third of the rows are one point
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(pts)], "k long, a double, b double, c double")
+    x = df.select(F.col("k").alias("key"), F.array("a", "b", "c").alias("x"))
+    placed, blocks = BA._placed(x, len(pts), 8, 60)
+    assert placed.groupBy("block").count().agg(F.max("count")).first()[0] <= 90 and placed.count() == len(pts)
+    box = placed.groupBy("block").agg(*[F.array(*[f(F.col("z")[i]) for i in range(3)]).alias(n)
+                                        for n, f in (("lo", F.min), ("hi", F.max))])
+    pairs = BA.block_pairs(box.withColumn("kth", F.lit(100.0)), 0.0, 4)
+    assert 0 < pairs.count() < blocks * (blocks - 1) / 2
+    got = BA.minority_knn(df, "k", ["a", "b", "c"], k=5, block_rows=60).collect()
+    assert len(got) == 5 * len(pts)
+    for r in got:
+        d = ((pts - pts[r.k]) ** 2).sum(1)
+        d[r.k] = np.inf
+        assert np.lexsort((np.arange(len(pts)), d))[r.nn_rank - 1] == r.nn_key
+
+
 def test_nan_feature_is_rejected(spark, gauss):
     holes = gauss.withColumn("f1", F.when(F.col("k") < 3, F.lit(float("nan"))).otherwise(F.col("f1")))
     ok, bad = split_rejects(holes, FEATS, keep=["k"])
