@@ -22,15 +22,22 @@ pointer are one row, a *run*:
    have equal bytes.  All but the first of equal runs are removed whole, a
    bucket with one member is done, and where a bucket still holds different
    runs, the first of each go on;
-2. these are refined window by window on their bytes, in the order of their
-   places; a window that came before is removed.
-
-Both steps read a sorted stream and hold one row, or the windows of at most
-``chunk`` runs of one bucket.  Equal runs of one Arrow batch are combined before
-the shuffle, so a passage that a third of all documents share is a few rows of
-its bucket.  A bucket with more than ``chunk`` different runs is worked on chunk
-by chunk, and the first windows of its chunks meet in a second, evenly spread
-shuffle.  No bucket is collected, and no pairs are made."""
+2. these are refined on their bytes (``refine``): suffixes get the rank of their
+   8-byte bucket as pointer; each round sorts the members of a bucket by the
+   pointers at a later offset and renames them in place, later rounds read the
+   new pointers, and a suffix alone in its bucket leaves.  After 100 bytes the
+   windows that share a pointer are equal, and all but the first are removed.
+
+Both steps read a sorted stream and hold one batch, or at most ``chunk`` runs.
+Equal runs of one Arrow batch are combined before the shuffle, so a passage that
+a third of all documents share is a few rows of its bucket.  A bucket with more
+than ``chunk`` different runs is dealt in parts to many tasks for step 2, and the
+first windows of its parts meet in a further, evenly spread shuffle.  No bucket
+is collected, and no pairs are made.
+
+Across tasks a bucket is named by a 64-bit hash of its bytes, since ranks of all
+suffixes of a corpus would be a shuffled row for each byte and round; ranks are
+the pointers of step 2."""
 
 from __future__ import annotations
 
@@ -134,7 +141,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
         yield doc[first], q[point[first]], deep, first + lo - offsets[doc[first]], size
 
 
-RUN = "bucket long, deep long, doc_id long, th int, at long, n int"
+RUN = "bucket long, deep long, doc_id long, th long, at long, n int"
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -171,46 +178,88 @@ def _run_rows(docs: DataFrame, length: int) -> DataFrame:
     return mapped(docs, run, RUN)
 
 
-def _sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(bucket: np.ndarray, sent: int, chunk: int) -> tuple[np.ndarray, int, int]:
+    """Of runs sorted by bucket, ``sent`` of the first one's having gone before: the
+    part of each (-1 in a bucket of at most ``chunk``), how many stand before the
+    last bucket, and how many the last one has had."""
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    size = np.diff(np.r_[first, len(bucket)])
+    nth = np.arange(len(bucket)) - np.repeat(first, size)
+    nth[:size[0]] += sent
+    size_all = size.copy()
+    size_all[0] += sent
+    part = np.where(np.repeat(size_all, size) > chunk, nth // chunk, -1)
+    return part.astype(np.int32), int(first[-1]), int(size_all[-1])
+
+
+def _sort_out(chunk: int):
     """Step 1 over runs sorted by (bucket, deep, place): runs that go (n below
-    zero) and the first of each kind in buckets that hold several."""
-    before, pending = None, None    # the last row; a first run whose bucket may yet hold another
-    for batch in batches:
-        n = batch.column(5).to_numpy()
-        gone = batch.filter(pa.array(n < 0))
-        if gone.num_rows:
-            yield gone
-        batch = batch.filter(pa.array(n > 0))
-        if not batch.num_rows:
-            continue
-        ids = batch.column(2)
-        rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False),
-                ids.fill_null(0).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_numpy()]
-
-        def changed(x, i, before=before):
-            return np.r_[before is None or before[i] != x[0], x[1:] != x[:-1]]
-
-        steps = [changed(x, i) for i, x in enumerate(rows)]
-        new_bucket, new_deep = steps[0], steps[0] | steps[1]
-        same = ~np.logical_or.reduce(steps)          # a row of a document that another batch holds too
-        before, n = [x[-1] for x in rows], batch.column(5).to_numpy()
-        first = np.flatnonzero(new_deep)
-        if len(first):
-            follows = ~new_bucket[first]             # another run of the bucket comes before this one
-            if pending is not None and follows[0]:
-                yield pending
-            mixed = follows.copy()
-            mixed[:-1] |= follows[1:]
-            pending = None if mixed[-1] else batch.slice(first[-1], 1)
-            if mixed.any():
-                yield batch.take(pa.array(first[mixed]))
-        later = ~new_deep & ~same
-        if later.any():
-            yield batch.filter(pa.array(later)).set_column(5, "n", pa.array(-n[later]))
+    zero), and the first of each kind in buckets that hold several, with the part
+    of the bucket that they belong to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, pending = None, None    # the last row; a first run whose bucket may yet hold another
+        rest, at, sent = None, None, 0  # first runs of the last bucket; how many of that bucket went out
+
+        def dealt(found: list[pa.RecordBatch], last: bool) -> pa.RecordBatch | None:
+            nonlocal rest, at, sent
+            rows = pa.concat_batches(([rest] if rest is not None else []) + found)
+            bucket = rows.column(0).to_numpy()
+            part, ready, seen = _parts(bucket, sent if bucket[0] == at else 0, chunk)
+            if last or seen > chunk:
+                ready, at, sent = len(bucket), bucket[-1], seen
+            rest = rows.slice(ready) if ready < len(bucket) else None
+            return rows.slice(0, ready).append_column("part", pa.array(part[:ready])) if ready else None
+
+        def whole(rows: pa.RecordBatch) -> pa.RecordBatch:
+            return rows.append_column("part", pa.array(np.full(rows.num_rows, -1, np.int32)))
+
+        for batch in batches:
+            n = batch.column(5).to_numpy()
+            gone = batch.filter(pa.array(n < 0))
+            if gone.num_rows:
+                yield whole(gone)
+            batch = batch.filter(pa.array(n > 0))
+            if not batch.num_rows:
+                continue
+            ids = batch.column(2)
+            rows = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False),
+                    ids.fill_null(0).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_numpy()]
+
+            def changed(x, i, before=before):
+                return np.r_[before is None or before[i] != x[0], x[1:] != x[:-1]]
+
+            steps = [changed(x, i) for i, x in enumerate(rows)]
+            new_bucket, new_deep = steps[0], steps[0] | steps[1]
+            same = ~np.logical_or.reduce(steps)          # a row of a document that another batch holds too
+            before, n = [x[-1] for x in rows], batch.column(5).to_numpy()
+            first = np.flatnonzero(new_deep)
+            if len(first):
+                found = []
+                follows = ~new_bucket[first]             # another run of the bucket comes before this one
+                if pending is not None and follows[0]:
+                    found.append(pending)
+                mixed = follows.copy()
+                mixed[:-1] |= follows[1:]
+                pending = None if mixed[-1] else batch.slice(first[-1], 1)
+                if mixed.any():
+                    found.append(batch.take(pa.array(first[mixed])))
+                if found and (got := dealt(found, False)) is not None:
+                    yield got
+            later = ~new_deep & ~same
+            if later.any():
+                yield whole(batch.filter(pa.array(later)).set_column(5, "n", pa.array(-n[later])))
+        if rest is not None:
+            yield dealt([], True)
+
+    return run
+
+
+BODY = "bucket long, part int, doc_id long, th long, at long, body binary"
 
 
 def _bytes_of(docs: DataFrame, length: int) -> DataFrame:
-    """The bytes that the runs ``todo`` (bucket, at, n) of each document cover."""
+    """The bytes that the runs ``todo`` (bucket, part, at, n) of each document cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,71 +267,112 @@ def _bytes_of(docs: DataFrame, length: int) -> DataFrame:
             todo = batch.column(3)
             flat = todo.flatten()
             doc = np.repeat(np.arange(batch.num_rows), np.diff(todo.offsets.to_numpy()))
-            at, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            at, n = (flat.field(i).to_numpy(zero_copy_only=False) for i in (2, 3))
             starts = offsets[doc] + at
             raw = memoryview(data)
             body = [raw[a:b].tobytes() for a, b in zip(starts, starts + n + length - 1, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [flat.field(0), batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)),
-                 flat.field(1), pa.array(body, pa.binary())], ["bucket", "doc_id", "th", "at", "body"])
+                [flat.field(0), flat.field(1), batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)),
+                 flat.field(2), pa.array(body, pa.binary())], ["bucket", "part", "doc_id", "th", "at", "body"])
+
+    return mapped(docs, run, BODY)
+
+
+def refine(data: np.ndarray, depth: int) -> np.ndarray:
+    """Bucket pointers of all suffixes: two share one if their first ``depth``
+    bytes are equal.  A pointer is the rank of the bucket's first member.
+
+    The first buckets are those of 8 bytes.  A round sorts the members of every
+    bucket by the pointers found ``step`` bytes later and renames them; new names
+    stay inside the old bucket's ranks, so the pointers of other buckets, which
+    the next round reads, remain right.  A suffix alone in its bucket is settled:
+    its pointer holds at every depth, and it is not sorted again."""
+    n, known = len(data), 8
+    padded = np.r_[data, np.zeros(known, np.uint8)].astype(np.uint64)
+    gram = np.zeros(n, np.uint64)
+    for k in range(known):
+        gram = gram << np.uint64(8) | padded[k:n + k]
+    active = np.argsort(gram, kind="stable")
+    pointer = np.full(n + 1, -1)                # the last one is the end of the data
+    own, later = np.zeros(n, np.int64), gram[active]
+    while True:
+        fresh = np.r_[True, own[1:] != own[:-1]]
+        new = fresh | np.r_[True, later[1:] != later[:-1]]
+        place = np.arange(len(active))
+        within = np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(fresh, place, 0))
+        pointer[active] = own + within
+        first = np.flatnonzero(new)
+        size = np.diff(np.r_[first, len(active)])
+        active = active[np.repeat(size > 1, size)]
+        if known >= depth or not len(active):
+            return pointer[:n]
+        step = min(known, depth - known)
+        own, later = pointer[active], pointer[np.minimum(active + step, n)]
+        order = np.lexsort((later, own))
+        active, own, later = active[order], own[order], later[order]
+        known += step
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The rows again, cut only where (bucket, part) changes: at most ``most`` of them, or one larger group."""
+    rest = None
+    for batch in batches:
+        rows = batch if rest is None else pa.concat_batches([rest, batch])
+        bucket, part = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
+        at = 0
+        while len(cuts) and at < cuts[-1]:
+            to = int(cuts[max(np.searchsorted(cuts, at + most, "right") - 1, np.searchsorted(cuts, at, "right"))])
+            yield rows.slice(at, to - at)
+            at = to
+        rest = rows.slice(at) if at < rows.num_rows else None
+    if rest is not None:
+        yield rest
 
-    return mapped(docs, run, "bucket long, doc_id long, th int, at long, body binary")
 
+WINDOWS = "k1 long, k2 long, doc_id long, th long, at long, n int, sure boolean"
 
-def _window_scan(length: int, chunk: int):
-    """Step 2 over runs sorted by (bucket, place): ranges of windows that go
-    (``sure``), and the first windows of each chunk of a bucket that has more
-    than one; k1 and k2 name the window, or spread the sure rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, tuple] = {}
-        bucket, held, chunks, last = None, 0, 0, None
-        rows: list[tuple] = []
-
-        def leave():
-            if chunks:
-                for window, place in seen.items():
-                    name = xxhash.xxh3_128_intdigest(window)
-                    rows.append(((name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63), *place, 1, False))
-
-        def out():
-            cols = list(zip(*rows, strict=True))
-            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()
-            got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                             ["k1", "k2", "doc_id", "th", "at", "n", "sure"])
-            rows.clear()
-            return got
+def _window_scan(length: int):
+    """Step 2 over runs sorted by (bucket, part, place): ranges of windows that go
+    (``sure``), and the first windows of each part of a bucket that has several;
+    k1 and k2 name the window, or spread the sure rows."""
 
-        for batch in batches:
-            for b, doc, th, at, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if b != bucket:
-                    leave()
-                    seen, bucket, held, chunks = {}, b, 0, 0
-                elif (doc, th, at) == last:     # a row that repeats another
-                    continue
-                elif held == chunk:
-                    chunks += 1
-                    leave()
-                    seen, held = {}, 0
-                held, last = held + 1, (doc, th, at)
-                since = None
-                for k in range(len(body) - length + 1):
-                    window = body[k:k + length]
-                    if window in seen:
-                        since = k if since is None else since
-                        continue
-                    seen[window] = (doc, th, at + k)
-                    if since is not None:
-                        rows.append((b, at + since, doc, th, at + since, k - since, True))
-                        since = None
-                if since is not None:
-                    k = len(body) - length + 1
-                    rows.append((b, at + since, doc, th, at + since, k - since, True))
-            if len(rows) > 10_000:
-                yield out()
-        leave()
-        if rows:
-            yield out()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, CHUNK):
+            ids = rows.column(2)
+            keys = [rows.column(i).to_numpy() for i in (0, 1, 3, 4)]
+            keys += [ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()]
+            moved = [np.r_[True, x[1:] != x[:-1]] for x in keys]
+            own = np.logical_or.reduce(moved)               # not a row that repeats another
+            group = np.cumsum(moved[0] | moved[1])[own]
+            rows = rows.filter(pa.array(own))
+            bucket, part, at = (rows.column(i).to_numpy() for i in (0, 1, 4))
+            data, offsets = utf8_column(rows.column(5))
+            count = np.diff(offsets) - length + 1           # windows of each run
+            owner = np.repeat(np.arange(rows.num_rows), count)
+            k = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            begin = offsets[owner] + k
+            pointer = refine(data, length)[begin]
+            _, first = np.unique(pointer * (group[-1] + 1) + group[owner], return_index=True)
+            again = np.ones(len(owner), bool)
+            again[first] = False
+            turn = owner[1:] != owner[:-1]
+            start = np.flatnonzero(again & np.r_[True, turn | ~again[:-1]])
+            stop = np.flatnonzero(again & np.r_[turn | ~again[1:], True])
+            meet = np.flatnonzero(~again & (part[owner] >= 0))
+            raw = memoryview(data)
+            names = [xxhash.xxh3_128_intdigest(raw[a:a + length]) for a in begin[meet]]
+            high = np.array([name >> 64 for name in names], np.uint64).view(np.int64)
+            low = np.array([name & (1 << 64) - 1 for name in names], np.uint64).view(np.int64)
+            pick = np.r_[start, meet]
+            row = pa.array(owner[pick])
+            where = at[owner[pick]] + k[pick]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[bucket[owner[start]], high]), pa.array(np.r_[where[:len(start)], low]),
+                 rows.column(2).take(row), rows.column(3).take(row), pa.array(where),
+                 pa.array(np.r_[stop - start + 1, np.ones(len(meet), np.int64)].astype(np.int32)),
+                 pa.array(np.arange(len(pick)) < len(start))], ["k1", "k2", "doc_id", "th", "at", "n", "sure"])
 
     return run
 
@@ -330,11 +420,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ignored; an empty table gives no rows."""
     if length < Q:
         raise ValueError(f"length must be at least {Q}")
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col).cast("string")).alias("th"),
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("th"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     place = "doc_id", "th", "at"
     sorted_runs = _run_rows(keyed, length).repartition("bucket").sortWithinPartitions("bucket", "deep", *place)
-    judged = staged(mapped(sorted_runs, _sort_out, RUN), "suffix-runs")
+    judged = staged(mapped(sorted_runs, _sort_out(chunk), f"{RUN}, part int"), "suffix-runs")
 
     key = "id", "null", "th"        # never null, so that one exchange serves a grouping and the join with the texts
     own = F.coalesce("doc_id", F.lit(0)).alias("id"), F.isnull("doc_id").alias("null")
@@ -343,12 +433,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def with_text(lists: DataFrame, how: str) -> DataFrame:
         return texts.join(lists.hint("shuffle_merge"), list(key), how)
 
-    todo = (judged.where("n > 0").select(*own, "th", F.struct("bucket", "at", "n").alias("r")).groupBy(*key)
+    todo = (judged.where("n > 0").select(*own, "th", F.struct("bucket", "part", "at", "n").alias("r")).groupBy(*key)
             .agg(F.collect_list("r").alias("todo")))
     bodies = _bytes_of(with_text(todo, "inner").select("doc_id", "th", "text", "todo"), length)
-    windows = mapped(bodies.repartition("bucket")
-                     .sortWithinPartitions("bucket", *place), _window_scan(length, chunk),
-                     "k1 long, k2 long, doc_id long, th int, at long, n int, sure boolean")
+    dealt = bodies.repartition("bucket", "part").sortWithinPartitions("bucket", "part", *place)
+    windows = mapped(dealt, _window_scan(length), WINDOWS)
     nth = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("sure", *place))
     twins = windows.withColumn("nth", nth).where("sure or nth > 1").select(*place, "n")
     gone = (judged.where("n < 0").select(*place, (-F.col("n")).alias("n")).union(twins)

@@ -95,3 +95,31 @@ def test_drop_contaminated_keeps_clean_rows(spark, odd):
     kept = decontaminate.drop_contaminated(odd, decontaminate.decontaminate(odd, bench))
     bad = {r[0] for r in brute.contamination(pairs(odd), [(1, "ab c")]) if r[-1]}
     assert bad and {r["doc_id"] for r in kept.collect()} == {i for i, _ in pairs(odd)} - bad
+
+
+@pytest.mark.parametrize("alphabet,depth", [("ab", 100), ("a", 30), ("abcdefgh", 8), ("ab", 24)])
+def test_refined_pointers_equal_prefixes(alphabet, depth):
+    rng = np.random.default_rng(depth)
+    part = rng.choice(np.frombuffer(alphabet.encode(), np.uint8), 400)
+    data = np.r_[part, part[50:300], part]
+    pointer = suffix_dedup.refine(data, depth)
+    raw = data.tobytes()
+    at = range(len(raw) - depth + 1)
+    named = {pointer[i]: raw[i:i + depth] for i in at}
+    assert all(named[pointer[i]] == raw[i:i + depth] for i in at)
+    assert len(named) == len({raw[i:i + depth] for i in at})
+    assert [named[p] for p in sorted(named)] == sorted(set(named.values()))
+
+
+def test_parts_of_large_buckets():
+    bucket = np.array([1, 1, 2, 2, 2, 3])
+    part, ready, seen = suffix_dedup._parts(bucket, 0, 2)
+    assert (part.tolist(), ready, seen) == ([-1, -1, 0, 0, 1, -1], 5, 1)
+    assert suffix_dedup._parts(bucket[2:5], 3, 2)[0].tolist() == [1, 2, 2]
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    said = "".join(np.random.default_rng(5).choice(list("abcdefgh "), 150))
+    df = spark.createDataFrame([(None, f"{i}-{said}") for i in range(300)], "doc_id long, text string")
+    lost = sorted(r["n_removed"] for r in suffix_dedup.remove_repeats(df, chunk=5).collect())
+    assert lost[0] == 0 and lost[1] > len(said) and len(lost) == 300
