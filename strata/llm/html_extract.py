@@ -2,16 +2,21 @@
 
 A page is cut into leaf blocks: stretches of text between block-level tags.  A
 block's features are its open elements (tags, and words of their class, id and
-role) and its text (length, share of link text, punctuation, digits, words of
-notices).  A two-label chain (content or not) is trained in numpy on labelled
+role), its text (length, share of link text, punctuation, digits, words of
+notices) and its place, which needs no words: the plain text before and behind,
+how much of the page's plain text its container holds, how many blocks share the
+container, containers of the same make beside it.  A two-label chain (content or not) is trained in numpy on labelled
 pages and decoded by Viterbi; content blocks are joined in page order.
 
 Labelled pages: a bounded sample of the given pages whose semantic tags tell the
 article (``<article>`` or ``<main>`` without what lies in navigation and the
 like), and pages put together from the same blocks in other layouts (content
 classes instead of tags, sidebars, notices, adverts, forms, comments inside and
-outside the article), whose labels are known.  Pages of the sample without such
-tags are not used.  Extraction itself has no bound on pages, blocks or length.
+outside the article), whose labels are known.  Half of both are read once more, or
+instead, with classes, ids and roles removed and sectioning tags made ``div``s, so
+that place and text count too.  Pages of the sample without such
+tags are not used.  Where neither tags nor class words tell, a comment set like a
+paragraph in the article's own container cannot be told from one, and stays.  Extraction itself has no bound on pages, blocks or length.
 
 Of a skipped element everything is left out up to its end tag.  The inside of
 script, style and other plain-text elements holds no tags, so their end is the
@@ -46,6 +51,8 @@ SKIPPED = set("script style noscript template textarea iframe svg math object ca
 PLAIN = set("script style noscript textarea iframe title".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 TAGS = sorted(BREAKS - {"html", "body"})
+SECTIONS = set("article aside div footer form header main menu nav section".split())
+LEAVES = set("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre label legend figcaption caption center hr ul ol dl".split())
 GOOD = "article body content entry main post story text".split()
 BAD = ("ad ads advert advertisement banner breadcrumb comment comments consent cookie copyright disclaimer footer form "
        "header login menu modal nav navbar navigation newsletter notice notification popup promo promoted related "
@@ -70,7 +77,11 @@ NAMES = ([f"in:{t}" for t in TAGS] + [f"own:{t}" for t in TAGS] + [f"good:{w}" f
          + [f"bad:{w}" for w in BAD]
          + ["any good", "any bad", "bad inside good", "bias", "links none", "links some", "links most", "links all",
             "length 1", "length 2", "length 3", "length 4", "length 5", "ends as sentence", "has digits",
-            "mostly capitals", "notice"])
+            "mostly capitals", "notice"]
+         + [f"{side} {k}" for side in ("place", "text before", "text behind", "container share", "container blocks",
+                                       "container sentences") for k in range(1, 6)]
+         + ["largest container", "inside largest", "before largest", "behind largest", "beside heading",
+            "alike containers", "outside containers"])
 INDEX = {name: i for i, name in enumerate(NAMES)}
 
 
@@ -78,6 +89,8 @@ INDEX = {name: i for i, name in enumerate(NAMES)}
 class Block:
     text: str
     features: list[int]
+    plain: int = 0                                      # characters outside links
+    path: tuple[tuple[int, str], ...] = ()              # open elements: (number, tag)
 
 
 def _words(attributes: str) -> list[str]:
@@ -119,6 +132,55 @@ def _features(text: str, linked: int, stack: list[tuple[str, tuple[int, ...], bo
     return sorted(found)
 
 
+def _level(x: float, *steps: float) -> int:
+    return 1 + sum(x >= s for s in steps)
+
+
+def _place(blocks: list[Block]) -> None:
+    """Adds the features of a block's place on the page."""
+    plain = np.array([b.plain for b in blocks])
+    total = max(1, int(plain.sum()))
+    chain = [[number for number, tag in b.path if tag not in LEAVES] for b in blocks]
+    own = [c[-1] if c else -1 for c in chain]
+    held: dict[int, list[int]] = {}                     # blocks of each container itself
+    for i, c in enumerate(own):
+        held.setdefault(c, []).append(i)
+    prose = {c: sum(blocks[i].plain for i in members) for c, members in held.items()}
+    sentences = {c: sum(blocks[i].text[-1] in ".!?:;\"”»…" for i in members) for c, members in held.items()}
+    headed = {c for c, members in held.items() if any(b.path and b.path[-1][1] == "h1" for b in (blocks[i] for i in members))}
+    alike: dict[tuple, set[int]] = {}                   # containers by what they stand in, their tag and their size
+    make: dict[int, tuple] = {}
+    for b, c in zip(blocks, chain, strict=True):
+        if c:
+            make[c[-1]] = (c[-2] if len(c) > 1 else -1, next(t for n, t in b.path if n == c[-1]), min(3, len(held[c[-1]])))
+    for c, key in make.items():
+        alike.setdefault(key, set()).add(c)
+    top = max(prose, key=lambda c: (prose[c], -c))
+    begin, end = held[top][0], held[top][-1]
+    sums = np.r_[0, np.cumsum(plain)]
+    for i, b in enumerate(blocks):
+        c = own[i]
+        before, behind = sums[i] - sums[max(0, i - 2)], sums[min(len(blocks), i + 3)] - sums[i + 1]
+        found = [f"place {1 + 5 * i // len(blocks)}", f"text before {_level(before, 1, 60, 150, 400)}",
+                 f"text behind {_level(behind, 1, 60, 150, 400)}",
+                 f"container share {_level(prose[c] / total, 0.03, 0.15, 0.35, 0.6)}",
+                 f"container blocks {_level(len(held[c]), 2, 3, 5, 9)}",
+                 f"container sentences {_level(sentences[c] / len(held[c]), 0.01, 0.3, 0.6, 0.9)}"]
+        if c == top:
+            found.append("largest container")
+        elif top in chain[i]:
+            found.append("inside largest")
+        if not begin <= i <= end:
+            found.append("before largest" if i < begin else "behind largest")
+        if c in headed:
+            found.append("beside heading")
+        if c in make and len(alike[make[c]]) > 1:
+            found.append("alike containers")
+        if c == -1:
+            found.append("outside containers")
+        b.features += [INDEX[f] for f in found]
+
+
 _OPENED: dict[tuple[str, str], tuple] = {}
 
 
@@ -179,13 +241,15 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple] = []
     parts: list[str] = []
+    path: list[tuple[int, str]] = []        # as stack: numbers and tags of the open elements
     linked, links = 0, 0
 
     def close():
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, _features(text, min(linked, len(text)), stack)))
+            in_links = min(linked, len(text))
+            out.append(Block(text, _features(text, in_links, stack), len(text) - in_links, tuple(path)))
         parts.clear()
         linked = 0
 
@@ -219,17 +283,20 @@ def blocks_of(page: str) -> list[Block]:
             if slash:
                 for j in range(len(stack) - 1, -1, -1):
                     if stack[j][0] == tag:
-                        del stack[j:]
+                        del stack[j:], path[j:]
                         break
             else:
-                if stack and stack[-1][0] == "p":
-                    stack.pop()
-                elif stack and tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack[-1][0] == tag:
+                again = tag in ("li", "dt", "dd", "option", "tr", "td", "th")
+                if stack and (stack[-1][0] == "p" or again and stack[-1][0] == tag):
                     stack.pop()
+                    path.pop()
                 if tag not in VOID and not attributes.endswith("/"):
                     stack.append(_opened(tag, attributes))
+                    path.append((i, tag))
     parts.append(page[at:])
     close()
+    if out:
+        _place(out)
     return out
 
 
@@ -299,6 +366,16 @@ def layout(rng: random.Random, content: list[str], other: list[str]) -> str:
     return "<html><body>" + "".join(parts) + foot.format(tagged("p", some(1, 2))) + "</body></html>"
 
 
+def bare(page: str) -> str:
+    """The page without classes, ids and roles, its sectioning tags made ``div``s."""
+    out, at = [], 0
+    for start, end, slash, tag, attributes in _tokens(page):
+        if tag in BREAKS:
+            out += [page[at:start], f"<{slash}{'div' if tag in SECTIONS else tag}{ATTRIBUTE.sub('', attributes)}>"]
+            at = end
+    return "".join(out) + page[at:]
+
+
 @dataclass
 class Chain:
     emit: np.ndarray      # (features, 2)
@@ -391,6 +468,10 @@ def labelled(pages: list[str], seed: int = 11) -> list[tuple[list[Block], np.nda
         if labels is None or len(blocks) > MOST_BLOCKS:
             continue
         out.append((blocks, labels))
+        if len(out) % 2:
+            plain = blocks_of(bare(page))
+            if [b.text for b in plain] == [b.text for b in blocks]:
+                out.append((plain, labels))
         content.append([b.text for b, y in zip(blocks, labels, strict=True) if y][:40])
         other += [b.text for b, y in zip(blocks, labels, strict=True) if not y][:10]
     content = [c for c in content if c] or [["A title", "A first paragraph of some words, long enough to be one.",
@@ -399,7 +480,7 @@ def labelled(pages: list[str], seed: int = 11) -> list[tuple[list[Block], np.nda
     texts = sorted({t for c in content for t in c})
     for _ in range(LAYOUTS):
         page = layout(rng, rng.choice(content), other + rng.sample(texts, min(len(texts), 40)))
-        blocks = blocks_of(page)
+        blocks = blocks_of(bare(page) if rng.random() < 0.5 else page)
         labels = np.array([b.text.startswith("\x02") for b in blocks], int)
         for b in blocks:
             b.text = b.text.removeprefix("\x02")

@@ -116,6 +116,35 @@ def test_form_parts_and_foreign_comments_are_no_content(spark):
     assert html_extract.main_text(chain, page) == f"Title\n\n{said}\n\n{said}"
 
 
+def test_pages_without_telling_names(spark):
+    """Learned on one part of the pages, asked on the others with classes, ids, roles and sectioning tags gone."""
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect()]
+    chain = html_extract.train(html_extract.labelled(pages[:150]))
+    asked = same = 0
+    for page in pages[150:]:
+        blocks = html_extract.blocks_of(page)
+        labels = html_extract.semantic_labels(blocks)
+        if labels is None:
+            continue
+        want = "\n\n".join(b.text for b, y in zip(blocks, labels, strict=True) if y)
+        named = html_extract.bare(page).replace("<div>", '<div class="c1">')
+        asked += 1
+        same += html_extract.main_text(chain, named) == want
+        assert html_extract.main_text(chain, page) == want
+    assert asked >= 90 and same >= 0.95 * asked
+
+
+def test_place_of_a_block():
+    page = ("<div><a href=x>Menu</a></div><div><h1>Title</h1><p>A first sentence.</p><p>A second one, longer.</p>"
+            "<div>An advert.</div></div><div><p>Behind.</p></div><div><p>Again.</p></div>")
+    named = [{html_extract.NAMES[f] for f in b.features} for b in html_extract.blocks_of(page)]
+    assert "before largest" in named[0] and "text before 1" in named[0] and "container share 1" in named[0]
+    assert all({"largest container", "beside heading", "container blocks 3"} <= x for x in named[1:4])
+    assert "inside largest" in named[4] and "container blocks 1" in named[4]
+    assert all({"behind largest", "alike containers"} <= x for x in named[5:])
+    assert [b.plain for b in html_extract.blocks_of(page)][:2] == [0, 5]
+
+
 def test_skipped_elements_end_at_their_end_tag():
     def texts(head):
         return [b.text for b in html_extract.blocks_of(f"<head>{head}</head><article><p>One.</p><p>Two.</p></article>")]
