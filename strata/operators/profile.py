@@ -189,6 +189,16 @@ def class_ratio(ent: DataFrame, label: str = "label") -> DataFrame:
     return c.select("n_neg", "n_pos", safe_div("n_neg", "n_pos").alias("ratio"))
 
 
+def class_separation(ent: DataFrame, features: list[str], label: str = "label", places: int = 6) -> DataFrame:
+    """(feature, weight): mean of the positives less mean of the negatives, in standard deviations of all rows; the
+    weight of a feature on its own, without a model.  0 for a constant feature and where a class has no value."""
+    v = F.col("value")
+    gap = F.avg(F.when(F.col(label) == 1, v)) - F.avg(F.when(F.col(label) == 0, v))
+    weight = F.when(F.min(v) < F.max(v), gap / F.stddev_samp(v))
+    return long_form(ent, [label], features).groupBy("feature").agg(
+        F.round(F.coalesce(weight, F.lit(0.0)), places).alias("weight"))
+
+
 def cohort_stats(ent: DataFrame, features: list[str], places: int | None = 4) -> DataFrame:
     """Per-feature mean, std (1.0 when 0), q01, q25, q75, q99; rounded
     to ``places`` as published."""

@@ -848,6 +848,42 @@ def q_observation_sheet(spark, sf):
     return round_doubles(RP.observation_sheet(band, imp, [TJ.KEY]))
 
 
+_SIGNAL = (f"trl AS ({O.long_sql('ord_tr', ['label'], ORD_F)}),\nsig AS (SELECT feature, round(coalesce(CASE WHEN min(value) <"
+           " max(value) THEN (avg(value) FILTER (WHERE label = 1) - avg(value) FILTER (WHERE label = 0)) / stddev_samp(value)"
+           " END, 0), 6) AS weight FROM trl GROUP BY feature)\n")
+_SIGNALS = _ORD_SPLIT_ENT.rstrip() + ",\n" + _SIGNAL
+
+
+def _signals(spark, sf):
+    return P.class_separation(ord_train_entities(spark, sf).filter(F.col("split") == "train"), ORD_F)
+
+
+@register("signal_topk", _SIGNALS + "SELECT feature, weight FROM sig ORDER BY weight DESC, feature LIMIT 10")
+def q_signal_topk(spark, sf):
+    """K1 over weights that need no model."""
+    return RP.importance_topk(_signals(spark, sf), 10)
+
+
+@register("signal_rank", _SIGNALS + "SELECT feature, round(weight, 4) AS weight FROM sig ORDER BY abs(weight) DESC, feature")
+def q_signal_rank(spark, sf):
+    """K2 over weights that need no model."""
+    return RP.importance_rank(_signals(spark, sf))
+
+
+@register("signal_sheet", _BAND.rstrip() + ",\n" + _SIGNAL.rstrip() + ",\nw AS (SELECT feature, row_number() OVER (ORDER BY"
+          " abs(weight) DESC, feature) AS rank, CASE WHEN max(abs(weight)) OVER () > 0 THEN abs(weight) / max(abs(weight)) OVER ()"
+          " ELSE 0 END AS rel FROM sig)\nSELECT t.l_orderkey, CAST(w.rank AS INTEGER) AS rank, t.feature, " + O.r("t.value")
+          + " AS value, CASE WHEN t.value IS NULL OR s.q25 IS NULL OR s.q75 IS NULL THEN '' WHEN t.value > s.q75 THEN 'hi' WHEN"
+          " t.value < s.q25 THEN 'lo' ELSE '' END AS band, " + O.r("w.rel") + " AS rel_weight, w.rank <= 3 AS driver"
+          " FROM te_long t LEFT JOIN cst s USING (feature) JOIN w USING (feature)")
+def q_signal_sheet(spark, sf):
+    """R4 over weights that need no model: the test entities' features by weight, with bands and drivers."""
+    te, stats = _ord_test_and_stats(spark, sf)
+    weights = _signals(spark, sf).select("feature", F.abs("weight").alias("weight"))
+    band = RP.cohort_band(te, ["l_orderkey"], ORD_F, stats)
+    return round_doubles(RP.observation_sheet(band, weights, ["l_orderkey"]))
+
+
 _FOLDS = _ORD_SPLIT_ENT.rstrip() + ",\n" + O.folds_sql("fo", "ord_tr", ["l_orderkey"], "label", 5, 44)
 
 
@@ -962,7 +998,9 @@ def q_score_table(spark, sf):
     return TJ.score_with_bundle(spark, sf)["reloaded_scored"]
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", _ORD_SPLIT_ENT.rstrip() + ",\nper AS (SELECT least(count(*), 40) AS c FROM ord_se WHERE split = 'test'"
+          " GROUP BY label)\nSELECT CAST(2000 + sum(c) AS BIGINT) AS n, CAST(0 AS DOUBLE) AS max_abs_delta, CAST(0 AS BIGINT) AS n_flips,"
+          " CAST(0 AS BIGINT) AS n_unmatched FROM per")
 def q_model_roundtrip(spark, sf):
     """E12 export gate: 80 stratified test rows stacked (U2) with 2,000
     Gaussian rows drawn around the training means (X6), scored by the bundle

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import ordered_bits
 from strata.operators.aggregate import entity_statics, entity_table
-from strata.operators.profile import columns_by_suffix
+from strata.operators.profile import class_separation, columns_by_suffix
 from strata.sources.tables import normalize_raw
 from strata.spec import CohortSpec
 
@@ -98,3 +98,12 @@ def test_entity_table_sorts_nothing(spark):
 
 def test_columns_by_suffix():
     assert columns_by_suffix(["a_mean", "b_max", "_mean", "c_mean"], "_mean") == {"a_mean": "a", "c_mean": "c"}
+
+
+def test_class_separation(spark):
+    rows = [(0, 1.0, 5.0, None, 1.0), (0, 3.0, 5.0, 2.0, None), (1, 6.0, 5.0, None, 4.0), (1, 8.0, 5.0, None, 4.5)]
+    df = spark.createDataFrame(rows, "label int, up double, flat double, lone double, late double")
+    got = {r.feature: r.weight for r in class_separation(df, ["up", "flat", "lone", "late"]).collect()}
+    assert got["up"] == round(5.0 / math.sqrt(29.0 / 3), 6)
+    assert got["flat"] == 0.0 and got["lone"] == 0.0 and got["late"] > 1
+    assert class_separation(df.limit(0), ["up"]).count() == 0

@@ -17,7 +17,7 @@ def test_every_oracle_has_a_query():
 
 
 @pytest.mark.parametrize("name", ["entity_table", "stratified_split", "cohort_stats", "roc_auc",
-                                  "threshold_sweep", "impute_median", "corr_lower", "boxplot_by_class"])
+                                  "threshold_sweep", "impute_median", "corr_lower", "boxplot_by_class", "signal_sheet"])
 def test_oracle_agreement(spark, name):
     con = duckdb.connect()
     for t in ("lineitem", "orders", "events", "customer"):
