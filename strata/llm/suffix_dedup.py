@@ -28,7 +28,7 @@ pointer are one row, a *run*:
    new pointers, and a suffix alone in its bucket leaves.  After 100 bytes the
    windows that share a pointer are equal, and all but the first are removed.
 
-Both steps read a sorted stream and hold one batch, or at most ``chunk`` runs.
+Both steps read a sorted stream and hold one batch, or at most ``CHUNK`` runs.
 Equal runs of one Arrow batch are combined before the shuffle, so a passage that
 a third of all documents share is a few rows of its bucket.  A bucket with more
 than ``chunk`` different runs is dealt in parts to many tasks for step 2, and the
@@ -52,7 +52,8 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import doc_blocks, mapped, staged, utf8_column
 
-LENGTH, Q, CHUNK = 100, 24, 4096
+LENGTH, Q = 100, 24
+PART, CHUNK = 1024, 4096     # runs of a part of a bucket; runs refined at a time
 BLOCK = 1 << 18
 _POSITION = np.uint64((1 << 20) - 1)
 _RNG = np.random.default_rng(97531)
@@ -410,7 +411,7 @@ def _cut(docs: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH, chunk: int = CHUNK) -> DataFrame:
+                   length: int = LENGTH, chunk: int = PART) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept)`` per input row.
 
     A null text is empty; a text shorter than ``length`` loses nothing.  Rows
