@@ -62,6 +62,49 @@ def test_smaller_limits_cut_the_same_tree_off(rows):
     assert np.allclose(whole.importance, small.importance) and np.isclose(small.importance.sum(), 1)
 
 
+@pytest.mark.parametrize("kind", ["forest", "boosted"])
+def test_a_spread_model_scores_as_one_in_a_process(spark, rows, tmp_path, kind):
+    from pyspark.ml.functions import array_to_vector
+
+    from strata.operators.model import TreesModel
+    grown = E.grow(rows, [T.Fit(0, kind, 6, max_depth=5, weights=(0.6, 2.5))])
+    near, spread = grown.model(0), grown.model(0, model_bytes=0)
+    assert isinstance(spread, E.SpreadModel) and np.array_equal(spread.importance, near.importance)
+    seen = rows.select(F.monotonically_increasing_id().alias("row"), "x", array_to_vector("x").alias("features")).cache()
+    want = {r["row"]: r["p"] for r in zip_rows(near, seen)}
+    for part_bytes in (2000, E.PART_BYTES):
+        got = {r["row"]: r["p"] for r in spread.scores(seen, part_bytes).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - p) < 1e-12 for k, p in want.items())
+    TreesModel(spread).save(spark, str(tmp_path))
+    loaded = TreesModel.load(spark, str(tmp_path), model_bytes=0)
+    again = TreesModel.load(spark, str(tmp_path))
+    assert isinstance(loaded.model, E.SpreadModel) and not isinstance(again.model, E.SpreadModel)
+    for model in (TreesModel(spread), loaded, again):
+        out = model.transform(seen.unionAll(seen)).collect()
+        assert len(out) == 2 * len(want)
+        assert all(abs(r["probability"][1] - want[r["row"]]) < 1e-12 and r["prediction"] == (want[r["row"]] >= 0.5) for r in out)
+
+
+def zip_rows(model, seen):
+    got = seen.collect()
+    return [{"row": r["row"], "p": p} for r, p in zip(got, model.probability(np.array([r["x"] for r in got])), strict=True)]
+
+
+def test_cells_of_a_level_are_summed_in_parts(monkeypatch):
+    rng = np.random.default_rng(8)
+    x, key = rng.integers(0, T.BINS, (4000, 9)).astype(np.uint8), rng.integers(0, 1 << 60, 4000)
+    y = ((x[:, 0] > 30) & (x[:, 1] > 20) | (rng.random(4000) < 0.1)).astype(np.uint8)
+    fit = T.Fit(0, "forest", 1, weights=(0.6, 2.5))
+    whole = T.grow_forest(x, y, key, 0, fit)
+    held = []
+    summed = T.cells
+    monkeypatch.setattr(T, "cells", lambda key, sums, span: held.append(len(key)) or summed(key, sums, span))
+    monkeypatch.setattr(T, "RUN", 300)
+    parts = T.grow_forest(x, y, key, 0, fit)
+    assert all(np.array_equal(getattr(whole, c), getattr(parts, c)) for c in T.Tree.TYPES)
+    assert max(held) <= 2 * 300
+
+
 def test_first_split_equals_brute_force(rows):
     grown = E.grow(rows, [T.Fit(0, "boosted", 1, max_depth=1, step=1.0)])
     tree, edges = grown.of(0)[0], grown.edges[0]
