@@ -37,6 +37,22 @@ def test_knn_matches_brute_force(spark, gauss):
         assert K[np.lexsort((K, d))[r.nn_rank - 1]] == r.nn_key
 
 
+def test_knn_of_equal_points_compares_few_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(int(i * 7919 % 1009), float(i % 3), float(i % 2)) for i in range(1, 400)], "k long, a double, b double")
+    blocks = BA._first_neighbours
+    seen = []
+    monkeypatch.setattr(BA, "_first_neighbours", lambda x, f, k, b, n: seen.append(n) or blocks(x, f, k, b, n))
+    got = {(r.k, r.nn_rank): (r.nn_key, r.dist) for r in BA.minority_knn(df, "k", ["a", "b"], k=3, block_rows=10).collect()}
+    pdf = df.toPandas()
+    X, K = pdf[["a", "b"]].to_numpy(), pdf.k.to_numpy()
+    for i in range(len(K)):
+        d = ((X - X[i]) ** 2).sum(1)
+        d[i] = np.inf
+        near = np.lexsort((K, d))[:3]
+        assert [got[K[i], r + 1] for r in range(3)] == [(K[j], d[j] ** 0.5) for j in near]
+    assert len(got) == 3 * len(K) and seen == [6 * 4]
+
+
 def test_smote_parity_and_segments(spark, gauss):
     out = BA.smote(gauss, "k", FEATS, "label", k=5)
     c = {(r.label, r.synthetic): r["count"] for r in out.groupBy("label", "synthetic").count().collect()}
