@@ -344,12 +344,16 @@ def _finished(blocks: DataFrame, fits: dict[int, Fit], tops: dict) -> DataFrame:
     return every.join(ended, ["fit", "tree"], "left").groupBy("fit", "tree").applyInArrow(attach, TREES)
 
 
-def boosted_histograms(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo: dict, recent: dict, number: int,
-                       order: dict[int, list[int]]) -> DataFrame:
-    """One aggregate with the cells of all open nodes of all fits: cell is column * BINS + bin, a and b the sums of
-    gradient and hessian in units of 1 / FIX, n the rows.  Margins are those written and the ``recent`` trees'."""
+PARTS = "fit int, node int, width int, sums binary"
+
+
+def _boosted_parts(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo: dict, recent: dict, number: int,
+                   order: dict[int, list[int]]) -> DataFrame:
+    """What each task adds to the histograms of the open nodes, one row of ``PARTS`` a node: sums by drawn column, bin
+    and kind, as whole numbers.  Few tasks take many blocks each, so that a node's parts are few."""
+    spark = blocks.sparkSession
     plan = {i: (*tops[i, 0].arrays(), list(todo[i, 0])) for i, _ in todo}
-    known = blocks.sparkSession.sparkContext.broadcast((fits, plan, recent, order))
+    known = spark.sparkContext.broadcast((fits, plan, recent, order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models, work, late, at_place = known.value
@@ -363,23 +367,53 @@ def boosted_histograms(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo
                     if fit.group != grp.as_py():
                         continue
                     x = fit.seen(block)
+                    width = x.shape[1]
                     margin = _with_recent(margins[at_place[fit.group].index(i)], late[i], fit, x)
                     place = np.full(len(feature), -1)
                     place[nodes] = np.arange(len(nodes))
-                    rows = T.drawn_rows(key, fit, number)
-                    at = place[T.descend(feature, cut, left, x[rows])]
-                    rows, at = rows[at >= 0], at[at >= 0]
-                    g, h = T.gradients(margin[rows], y[rows], fit)
-                    columns = T.drawn_columns(x.shape[1], fit, number)
-                    xt = np.ascontiguousarray(x.T[columns][:, rows])
-                    hist = T.histograms(xt, at, len(nodes), g, h)
-                    n = T.histograms(xt, at, len(nodes), np.ones(len(at)), np.ones(len(at)))[:1]
-                    _, sums = held.setdefault((i, number), (nodes, np.zeros((len(nodes), x.shape[1] * BINS, 3), np.int64)))
-                    cell = (columns[:, None] * BINS + np.arange(BINS)[None, :]).ravel()
-                    sums[:, cell] += np.concatenate([hist, n]).transpose(2, 1, 3, 0).reshape(len(nodes), -1, 3).astype(np.int64)
-        yield _emit(held)
+                    at = place[T.descend(feature, cut, left, x)]
+                    drawn = np.zeros(len(at), bool)
+                    drawn[T.drawn_rows(key, fit, number)] = True
+                    rows = np.flatnonzero(drawn & (at >= 0))
+                    label = y
+                    if len(rows) < len(at):
+                        x, at, margin, label = x[rows], at[rows], margin[rows], y[rows]
+                    xt = np.ascontiguousarray(x.T[T.drawn_columns(width, fit, number)])
+                    _, sums = held.setdefault(i, (width, np.zeros((3, len(xt), len(nodes), BINS), np.int64)))
+                    sums += T.histograms(xt, at, len(nodes), *T.gradients(margin, label, fit), rows=True).astype(np.int64)
+        rows = [(i, node, width, sums[:, :, k].transpose(1, 2, 0).tobytes()) for i, (width, sums) in held.items()
+                for k, node in enumerate(work[i][-1])]
+        kinds = [pa.int32()] * 3 + [pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)],
+                                         ["fit", "node", "width", "sums"])
+
+    return _mapped(blocks.coalesce(2 * spark.sparkContext.defaultParallelism), run, PARTS)
+
+
+def _whole_sums(table: pa.Table, fit: Fit, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """The drawn columns of a node and its (column, bin, kind) sums from its parts."""
+    drawn = T.drawn_columns(table["width"][0].as_py(), fit, number)
+    total = np.zeros(len(drawn) * BINS * 3, np.int64)
+    for part in table["sums"]:
+        total += np.frombuffer(part.as_buffer(), np.int64)
+    return drawn, total.reshape(len(drawn), BINS, 3)
 
-    return _summed(_mapped(blocks, run, SUMS))
+
+def boosted_histograms(blocks: DataFrame, fits: dict[int, Fit], tops: dict, todo: dict, recent: dict, number: int,
+                       order: dict[int, list[int]]) -> DataFrame:
+    """The cells of all open nodes of all fits: cell is column * BINS + bin, a and b the sums of
+    gradient and hessian in units of 1 / FIX, n the rows.  Margins are those written and the ``recent`` trees'."""
+    known = blocks.sparkSession.sparkContext.broadcast(fits)
+
+    def run(table: pa.Table) -> pa.Table:
+        i, node = table["fit"][0].as_py(), table["node"][0].as_py()
+        drawn, sums = _whole_sums(table, known.value[i], number)
+        whole = np.zeros((1, table["width"][0].as_py(), BINS, 3), np.int64)
+        whole[0, drawn] = sums
+        return pa.Table.from_batches([_emit({(i, number): ([node], whole.reshape(1, -1, 3))})])
+
+    parts = _boosted_parts(blocks, fits, tops, todo, recent, number, order)
+    return parts.groupBy("fit", "node").applyInArrow(run, SUMS)
 
 
 def _with_recent(margin: np.ndarray, recent: list, fit: Fit, x: np.ndarray) -> np.ndarray:
@@ -389,20 +423,18 @@ def _with_recent(margin: np.ndarray, recent: list, fit: Fit, x: np.ndarray) -> n
     return margin
 
 
-def _boosted_cuts(summed: DataFrame, fits: dict[int, Fit], columns: dict[int, int], number: int) -> list:
-    known = summed.sparkSession.sparkContext.broadcast((fits, columns))
+def _boosted_cuts(parts: DataFrame, fits: dict[int, Fit], number: int) -> list:
+    """The best cut of each node, and its sums; one row for each open node."""
+    known = parts.sparkSession.sparkContext.broadcast(fits)
 
     def run(table: pa.Table) -> pa.Table:
         i = table["fit"][0].as_py()
-        fit = known.value[0][i]
-        width = fit.width(known.value[1][fit.group])
-        sums = np.zeros((width * BINS, 3))
-        sums[table["cell"].to_numpy()] = np.stack([table[c].to_numpy() for c in ("a", "b", "n")], axis=1)
-        drawn = T.drawn_columns(width, fit, number)
-        hist = sums.reshape(width, 1, BINS, 3)[drawn].transpose(3, 0, 1, 2)
+        fit = known.value[i]
+        drawn, sums = _whole_sums(table, fit, number)
+        hist = sums.astype(np.float64).transpose(2, 0, 1)[:, :, None]
         column, cut, gain, lg, lh = (v[0] for v in T.boosted_splits(hist[:2], fit))
-        a, b, n = hist[:, 0, 0].sum(axis=1)
-        ln = hist[2, column, 0, :cut + 1].sum() if column >= 0 else 0
+        a, b, n = sums[0].sum(axis=0)
+        ln = sums[column, :cut + 1, 2].sum() if column >= 0 else 0
         found = [int(drawn[column]) if column >= 0 else -1, int(cut), float(gain), int(lg), int(lh), int(ln), int(a - lg),
                  int(b - lh), int(n - ln)] if column >= 0 else [-1, 0, 0.0, int(a), int(b), int(n), 0, 0, 0]
         row = [i, table["node"][0].as_py(), *found]
@@ -410,7 +442,7 @@ def _boosted_cuts(summed: DataFrame, fits: dict[int, Fit], columns: dict[int, in
 
     kinds = [pa.int32()] * 4 + [pa.float64()] + [pa.int64()] * 6
     names = ["fit", "node", "column", "cut", "gain", "la", "lb", "ln", "ra", "rb", "rn"]
-    return summed.groupBy("fit", "node").applyInArrow(
+    return parts.groupBy("fit", "node").applyInArrow(
         run, "fit int, node int, column int, cut int, gain double, la long, lb long, ln long, ra long, rb long, "
              "rn long").collect()
 
@@ -421,7 +453,7 @@ def with_margins(blocks: DataFrame, order: dict[int, list[int]]) -> DataFrame:
     return blocks.withColumn("margin", F.unhex(F.repeat(F.lit("00"), (sizes * F.col("n")).cast("int"))))
 
 
-def _far_boosted(blocks: DataFrame, fits: dict[int, Fit], columns: dict[int, int]) -> DataFrame:
+def _far_boosted(blocks: DataFrame, fits: dict[int, Fit]) -> DataFrame:
     spark = blocks.sparkSession
     order = defaultdict(list)
     for i, f in fits.items():
@@ -435,8 +467,8 @@ def _far_boosted(blocks: DataFrame, fits: dict[int, Fit], columns: dict[int, int
         tops = {(i, 0): _Top(np.uint64(0)) for i in live}
         recent = {i: done[i][written:] for i in fits}
         while todo := _some(tops, NODES_A_PASS):
-            sums = boosted_histograms(state, fits, tops, todo, recent, number, order)
-            got = {(r["fit"], r["node"]): r for r in _boosted_cuts(sums, fits, columns, number)}
+            sums = _boosted_parts(state, fits, tops, todo, recent, number, order)
+            got = {(r["fit"], r["node"]): r for r in _boosted_cuts(sums, fits, number)}
             for (i, _), nodes in todo.items():
                 top = tops[i, 0]
                 for node in nodes:
@@ -678,7 +710,7 @@ def grow(rows: DataFrame | Binned, fits: list[Fit], local_bytes: int = LOCAL_BYT
     if forests:
         parts.append(_far_forests(blocks, forests, columns, local_bytes))
     if boosted:
-        parts.append(_far_boosted(blocks, boosted, columns))
+        parts.append(_far_boosted(blocks, boosted))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)

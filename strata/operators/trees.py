@@ -19,6 +19,7 @@ FIX = float(1 << 24)
 UNLIMITED = 1 << 20
 NO_NODE = -1
 RUN = 1 << 17       # cells' keys that are summed at once
+SMALL_TREE = 1 << 10    # nodes of a tree whose rows go down together
 
 
 @dataclass(frozen=True)
@@ -81,6 +82,8 @@ class Tree:
 
 def descend(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, x: np.ndarray) -> np.ndarray:
     """The node that each row of ``x`` ends in."""
+    if len(feature) <= SMALL_TREE and len(x):
+        return _descend_together(feature, cut, left, x)
     at = np.zeros(len(x), np.int64)
     live = np.arange(len(x))
     while True:
@@ -92,6 +95,21 @@ def descend(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, x: np.ndarra
         at[live] = left[node] + (x[live, f] > cut[node])
 
 
+def _descend_together(feature: np.ndarray, cut: np.ndarray, left: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """All rows go down a level at a time; a row stays in its leaf, as no bin lies above the leaf's cut."""
+    leaf = feature < 0
+    seen, down = np.where(leaf, 0, feature).astype(np.int64), np.where(leaf, np.arange(len(feature)), left).astype(np.int64)
+    most = np.where(leaf, 255, cut).astype(np.uint8)
+    flat, row = np.ascontiguousarray(x).reshape(-1), np.arange(len(x)) * x.shape[1]
+    at = np.zeros(len(x), np.int64)
+    while True:
+        to = down.take(at)
+        to += flat.take(row + seen.take(at)) > most.take(at)
+        if np.array_equal(to, at):
+            return at
+        at = to
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit hash of 64-bit numbers."""
     h = h.astype(np.uint64)
@@ -304,14 +322,17 @@ def drawn_columns(columns: int, fit: Fit, tree: int) -> np.ndarray:
     return np.sort(np.argsort(draws, kind="stable")[:most])
 
 
-def histograms(xt: np.ndarray, at: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """(2, column, node, bin) sums of whole numbers, exact below 2^53; ``xt`` has a row for each column."""
-    out = np.empty((2, len(xt), nodes, BINS))
+def histograms(xt: np.ndarray, at: np.ndarray, nodes: int, g: np.ndarray, h: np.ndarray, rows: bool = False) -> np.ndarray:
+    """(2, column, node, bin) sums of whole numbers, exact below 2^53; ``xt`` has a row for each column.  With ``rows``
+    a third kind of sum is the number of rows."""
+    out = np.empty((3 if rows else 2, len(xt), nodes, BINS))
     base = at * BINS
     for j, column in enumerate(xt):
         key = base + column
         out[0, j] = np.bincount(key, g, nodes * BINS).reshape(nodes, BINS)
         out[1, j] = np.bincount(key, h, nodes * BINS).reshape(nodes, BINS)
+        if rows:
+            out[2, j] = np.bincount(key, minlength=nodes * BINS).reshape(nodes, BINS)
     return out
 
 

@@ -162,3 +162,30 @@ def test_grouped_importances_are_the_models_own(rows):
         assert np.allclose(share, grown.model(i).importance) and share[3] == 0
     with pytest.raises(ValueError, match="no rows"):
         E.grow(rows, [T.Fit(9, "forest", 1)])
+
+
+def test_a_pass_of_boosting_moves_one_row_a_task_and_node(rows):
+    order, fits = {0: [0], 1: [1]}, {0: T.Fit(0, "boosted", 1, share=0.6), 1: T.Fit(1, "boosted", 1, subsample=0.5)}
+    data = E.bin_rows(rows)
+    state = E.with_margins(data.blocks, order)
+    tops = {(i, 0): E._Top(np.uint64(0)) for i in fits}
+    asked = (state, fits, tops, {ft: {0: 0} for ft in tops}, {0: [], 1: []}, 0, order)
+    parts = E._boosted_parts(*asked).collect()
+    assert 2 <= len(parts) <= 2 * state.rdd.getNumPartitions()
+    cells = {(r["fit"], r["cell"]): (r["a"], r["b"], r["n"]) for r in E.boosted_histograms(*asked).collect()}
+    assert {c // T.BINS for i, c in cells if i == 0} == set(T.drawn_columns(5, fits[0], 0))
+    for i in fits:
+        one = next(c // T.BINS for f, c in cells if f == i)
+        n = sum(v[2] for (f, c), v in cells.items() if f == i and c // T.BINS == one)
+        assert n == sum(data.sizes[i]) if i == 0 else 0 < n < sum(data.sizes[i])
+        assert sum(v[1] for (f, c), v in cells.items() if f == i and c // T.BINS == one) == n * T.FIX / 4
+
+
+def test_rows_go_down_small_and_large_trees_alike(monkeypatch):
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, T.BINS, (3000, 4)).astype(np.uint8), rng.integers(0, 2, 3000).astype(np.uint8)
+    tree = T.grow_forest(x, y, np.arange(3000), 0, T.Fit(0, "forest", 1, max_depth=7))
+    small = T.descend(tree.feature, tree.cut, tree.left, x)
+    monkeypatch.setattr(T, "SMALL_TREE", 0)
+    assert np.array_equal(small, T.descend(tree.feature, tree.cut, tree.left, x)) and len(set(small)) > 20
+    assert (tree.feature[small] < 0).all() and len(T.descend(tree.feature, tree.cut, tree.left, x[:0])) == 0
