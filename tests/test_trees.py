@@ -189,3 +189,17 @@ def test_rows_go_down_small_and_large_trees_alike(monkeypatch):
     monkeypatch.setattr(T, "SMALL_TREE", 0)
     assert np.array_equal(small, T.descend(tree.feature, tree.cut, tree.left, x)) and len(set(small)) > 20
     assert (tree.feature[small] < 0).all() and len(T.descend(tree.feature, tree.cut, tree.left, x[:0])) == 0
+
+
+def test_a_block_draws_a_bag_once_for_the_fits_of_a_seed(monkeypatch):
+    key, drawn = np.arange(500), []
+    own = T.bag
+    monkeypatch.setattr(T, "bag", lambda *a: drawn.append(a[1:]) or own(*a))
+    block = np.random.default_rng(1).integers(0, T.BINS, (500, 4)).astype(np.uint8)
+    bags, views = {}, {}
+    for columns in ((0, 2), (3, 1), None):
+        fit = T.Fit(0, "forest", 2, columns=columns)
+        assert np.array_equal(E._seen(block, fit, views), fit.seen(block))
+        for tree in range(2):
+            assert np.array_equal(E._bag(key, fit, tree, bags), own(key, 42, tree))
+    assert drawn == [(42, 0), (42, 1)]
