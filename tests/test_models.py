@@ -179,3 +179,33 @@ def test_a_fold_never_sees_its_own_labels(spark, gauss):
     a, b = (M.leakfree_search(pipe, [{}], d, n_folds=3) for d in (data, flip))
     assert a.fold_features[0] == b.fold_features[0] and len(a.fold_features) == 3
     assert 0 <= a.avgMetrics[0] <= 1
+
+
+@pytest.mark.parametrize("kind", ["grid", "spread"])
+def test_knn_inside_a_block_looks_at_near_leaves_only(monkeypatch, kind):
+    rng = np.random.default_rng(6)
+    pts = rng.integers(0, 4, (900, 3)).astype(float) if kind == "grid" else rng.normal(0, 1, (900, 3))
+    pts[5] = np.inf
+    monkeypatch.setattr(BA, "LEAF", 16)
+    monkeypatch.setattr(BA, "HELD", 200)
+    key, limit = np.arange(900), np.where(np.arange(400) % 3 == 0, 0.02, np.inf)
+    looked, cut = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *r, **o: looked.append(a.size) or cut(a, *r, **o))
+    i, j, d = BA._nearest(pts[:400], key[:400], pts, key, limit, 5)
+    for q in range(400):
+        with np.errstate(invalid="ignore"):
+            d2 = ((pts - pts[q]) ** 2).sum(1)
+        d2[q] = np.inf
+        want = [p for p in np.lexsort((key, d2))[:5] if np.isfinite(d2[p]) and d2[p] <= limit[q]]
+        assert j[i == q].tolist() == want and np.allclose(d[i == q], d2[want])
+    assert sum(looked) < 400 * 900 / 2
+
+
+def test_knn_rows_visit_only_blocks_within_their_bound(spark):
+    boxes = spark.createDataFrame([(0, [0.0], [1.0]), (1, [1.5], [2.0]), (2, [9.0], [9.5])],
+                                  "block int, lo array<double>, hi array<double>")
+    rows = spark.createDataFrame([(i, [z], [z], kth, 0, [2, 1]) for i, (z, kth) in enumerate(
+        [(0.1, 0.04), (0.9, 0.36), (1.0, 0.25), (0.0, 100.0)])],
+        "key long, x array<double>, z array<double>, kth double, block int, near array<int>")
+    got = rows.mapInPandas(BA._reached(boxes, 0.0), "key long, x array<double>, kth double, rb int").collect()
+    assert sorted((r.key, r.rb) for r in got) == [(1, 1), (2, 1), (3, 1), (3, 2)]
