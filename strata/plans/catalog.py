@@ -103,7 +103,7 @@ def q_static_join(spark, sf):
 @register("xy_join", O.with_(O.V_ORD_RAW, O.ORD_ENT)
           + "SELECT l_orderkey, " + O.r("l_quantity_mean") + " AS l_quantity_mean, label FROM ord_ent")
 def q_xy_join(spark, sf):
-    ent = V.v_ord_entities(spark, sf)
+    ent = cut_lineage(V.v_ord_entities(spark, sf).select("l_orderkey", "l_quantity_mean", "label"))    # one table for both
     x = ent.select("l_orderkey", "l_quantity_mean")
     y = ent.select("l_orderkey", "label")
     return round_doubles(agg.xy_join(x, y, "l_orderkey"))

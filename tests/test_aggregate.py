@@ -107,3 +107,16 @@ def test_class_separation(spark):
     assert got["up"] == round(5.0 / math.sqrt(29.0 / 3), 6)
     assert got["flat"] == 0.0 and got["lone"] == 0.0 and got["late"] > 1
     assert class_separation(df.limit(0), ["up"]).count() == 0
+
+
+def test_xy_join_builds_its_entities_once(spark, tmp_path):
+    from strata.plans.catalog import QUERIES
+    spark.createDataFrame([(1, 1, 5.0, 10.0, 0.0, 0.1, "R"), (1, 2, 45.0, 10.0, 0.09, 0.1, "R"), (2, 1, 3.0, 10.0, 0.0, 0.1, "N")],
+                          "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                          "l_tax double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 9.0, "1-URGENT"), (2, 8.0, "5-LOW"), (3, 8.0, "5-LOW")],
+                          "o_orderkey long, o_totalprice double, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["xy_join"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == [(1, 25.0, 1), (2, 3.0, 0)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Join") == 1       # no task holds the sorts and groups of both sides
