@@ -123,3 +123,26 @@ def test_rows_of_one_id_are_told_apart(spark):
     df = spark.createDataFrame([(None, f"{i}-{said}") for i in range(300)], "doc_id long, text string")
     lost = sorted(r["n_removed"] for r in suffix_dedup.remove_repeats(df, chunk=5).collect())
     assert lost[0] == 0 and lost[1] > len(said) and len(lost) == 300
+
+
+def test_parts_of_a_large_bucket_meet_by_stretches(spark):
+    """A line of 60 documents in different contexts: what its parts send on are few rows, not a row a window."""
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    line = "".join(rng.choice(list("abcdefgh "), 70))
+    texts = ["".join(rng.choice(list("abcdefgh "), 120)) + line + "".join(rng.choice(list("abcdefgh "), 120)) for _ in range(60)]
+    raw = "".join(texts).encode()
+    doc, bucket, _, at, n = (np.concatenate(c) for c in zip(*suffix_dedup.runs(
+        np.frombuffer(raw, np.uint8), np.arange(0, len(raw) + 1, 310)), strict=True))
+    names, count = np.unique(bucket, return_counts=True)
+    hot = np.flatnonzero(bucket == names[count.argmax()])
+    rows = pa.RecordBatch.from_arrays(
+        [suffix_dedup._signed(bucket[hot]), pa.array((doc[hot] // 6).astype(np.int32)), pa.array(doc[hot]), pa.array(doc[hot]),
+         pa.array(at[hot]), pa.array([raw[310 * d + a:310 * d + a + m + 99] for d, a, m in zip(doc[hot], at[hot], n[hot])], pa.binary())],
+        ["bucket", "part", "doc_id", "th", "at", "body"])
+    out = pa.Table.from_batches(list(suffix_dedup._window_scan(100)(iter([rows]))))
+    windows = sum(map(len, out["held"].to_pylist()))
+    assert len(hot) >= 20 and windows == n[hot].sum() and out.num_rows < windows / 5
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), chunk=3).collect()}
+    assert set(got.values()) == {0}
