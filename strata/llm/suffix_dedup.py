@@ -335,22 +335,41 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.R
         yield rest
 
 
-WINDOWS = "k1 long, k2 long, doc_id long, th long, at long, n int, sure boolean, held array<struct<k: int, name: long>>"
+WINDOWS = ("k1 long, k2 long, salt int, doc_id long, th long, at long, n int, sure boolean, stays boolean, "
+           "held array<struct<k: int, name: long>>")
+
+
+def _nth(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows of the same name stand before each, and whether a name has several."""
+    order = np.lexsort((low, high))
+    new = np.r_[True, (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])][:len(order)]
+    first = np.flatnonzero(new)
+    size = np.diff(np.r_[first, len(order)])
+    nth, several = np.empty(len(order), np.int32), np.empty(len(order), bool)
+    nth[order] = np.arange(len(order)) - np.repeat(first, size)
+    several[order] = np.repeat(size > 1, size)
+    return nth, several
 
 
 def _stretches(data: np.ndarray, offsets: np.ndarray, owner: np.ndarray, begin: np.ndarray, length: int):
     """Windows of runs (``owner``, ascending, and first byte) in stretches of at most ``STRETCH`` offsets of the pointer
     inside the window: the first window of each stretch, the 128-bit name of the bytes that all its windows hold, in two
     halves, and a name of each window."""
+    size = np.diff(offsets)
+    some = np.unique(owner)
     point, names = np.empty(len(owner), np.int64), np.empty(len(owner), np.uint64)
-    for lo in range(0, len(offsets) - 1, CHUNK):        # an offset in ``pointers`` has 20 bits
-        mine = slice(*np.searchsorted(owner, (lo, lo + CHUNK)))
-        part = data[offsets[lo]:offsets[min(lo + CHUNK, len(offsets) - 1)]]
-        if len(owner[mine]):
-            q, w = identifiers(part, length)
-            local = begin[mine] - offsets[lo]
-            point[mine] = pointers(q, len(part) - length + 1, length)[local] + offsets[lo]
-            names[mine] = w[local]
+    for lo in range(0, len(some), CHUNK):               # an offset in ``pointers`` has 20 bits
+        runs_here = some[lo:lo + CHUNK]
+        mine = slice(*np.searchsorted(owner, (runs_here[0], runs_here[-1] + 1)))
+        kept = np.zeros(len(size), bool)
+        kept[runs_here] = True
+        part = data[offsets[0]:offsets[-1]][np.repeat(kept, size)]
+        shift = np.zeros(len(size), np.int64)           # of a run's bytes in ``part``
+        shift[runs_here] = offsets[runs_here] - (np.cumsum(size[runs_here]) - size[runs_here])
+        q, w = identifiers(part, length)
+        local = begin[mine] - shift[owner[mine]]
+        point[mine] = pointers(q, len(part) - length + 1, length)[local] + shift[owner[mine]]
+        names[mine] = w[local]
     step = (point - begin) // STRETCH
     head = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (step[1:] != step[:-1])][:len(owner)])
     raw, near, far = memoryview(data), step[head] * STRETCH, np.minimum(step[head] * STRETCH + STRETCH - 1, length - Q)
@@ -364,7 +383,9 @@ def _window_scan(length: int):
     """Step 2 over runs sorted by (bucket, part, place): ranges of windows that go
     (``sure``), and the first windows of each part of a bucket that has several, a
     stretch of them in a row; k1 and k2 name the stretch's common bytes, or spread
-    the sure rows."""
+    the sure rows.  A row ``stays`` if another one here has its name; only the first
+    of these (salt 0) is sent to the rows of that name in other parts, so a name
+    that very many runs share does not come to one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_groups(batches, CHUNK):
@@ -397,12 +418,14 @@ def _window_scan(length: int):
             held = pa.StructArray.from_arrays([pa.array((k[meet] - np.repeat(k[meet[head]], size)).astype(np.int32)),
                                                pa.array(names.view(np.int64))], ["k", "name"])
             ends = pa.array(np.r_[np.zeros(len(start), np.int64), head, len(meet)].astype(np.int32))
+            salt, several = _nth(high, low)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.r_[bucket[owner[start]], high]), pa.array(np.r_[where[:len(start)], low]),
-                 rows.column(2).take(row), rows.column(3).take(row), pa.array(where),
+                 pa.array(np.r_[np.zeros(len(start), np.int32), salt]), rows.column(2).take(row), rows.column(3).take(row), pa.array(where),
                  pa.array(np.r_[stop - start + 1, np.ones(len(head), np.int64)].astype(np.int32)),
-                 pa.array(np.arange(len(pick)) < len(start)), pa.ListArray.from_arrays(ends, held)],
-                ["k1", "k2", "doc_id", "th", "at", "n", "sure", "held"])
+                 pa.array(np.arange(len(pick)) < len(start)), pa.array(np.r_[np.ones(len(start), bool), several]),
+                 pa.ListArray.from_arrays(ends, held)],
+                ["k1", "k2", "salt", "doc_id", "th", "at", "n", "sure", "stays", "held"])
 
     return run
 
@@ -468,7 +491,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bodies = _bytes_of(with_text(todo, "inner").select("doc_id", "th", "text", "todo"), length)
     dealt = bodies.repartition("bucket", "part").sortWithinPartitions("bucket", "part", *place)
     windows = mapped(dealt, _window_scan(length), WINDOWS)
-    met = windows.withColumn("others", F.count(F.lit(1)).over(Window.partitionBy("k1", "k2"))).where("sure or others > 1")
+    met = windows.withColumn("others", F.count(F.lit(1)).over(Window.partitionBy("k1", "k2", "salt"))).where(
+        "stays or others > 1")
     met = met.select("k1", "k2", "doc_id", "th", "at", "n", "sure", F.explode_outer("held").alias("w")).select(
         "k1", "k2", F.col("w.name").alias("name"), "doc_id", "th", (F.col("at") + F.coalesce("w.k", F.lit(0))).alias("at"),
         "n", "sure").repartition("k1", "k2", "name")

@@ -129,16 +129,16 @@ def test_parts_of_a_large_bucket_meet_by_stretches(spark):
     """A line of 60 documents in different contexts: what its parts send on are few rows, not a row a window."""
     import pyarrow as pa
     rng = np.random.default_rng(9)
-    line = "".join(rng.choice(list("abcdefgh "), 70))
+    line = "".join(rng.choice(list("abcdefgh "), 95))
     texts = ["".join(rng.choice(list("abcdefgh "), 120)) + line + "".join(rng.choice(list("abcdefgh "), 120)) for _ in range(60)]
     raw = "".join(texts).encode()
     doc, bucket, _, at, n = (np.concatenate(c) for c in zip(*suffix_dedup.runs(
-        np.frombuffer(raw, np.uint8), np.arange(0, len(raw) + 1, 310)), strict=True))
+        np.frombuffer(raw, np.uint8), np.arange(0, len(raw) + 1, 335)), strict=True))
     names, count = np.unique(bucket, return_counts=True)
     hot = np.flatnonzero(bucket == names[count.argmax()])
     rows = pa.RecordBatch.from_arrays(
         [suffix_dedup._signed(bucket[hot]), pa.array((doc[hot] // 6).astype(np.int32)), pa.array(doc[hot]), pa.array(doc[hot]),
-         pa.array(at[hot]), pa.array([raw[310 * d + a:310 * d + a + m + 99] for d, a, m in zip(doc[hot], at[hot], n[hot])], pa.binary())],
+         pa.array(at[hot]), pa.array([raw[335 * d + a:335 * d + a + m + 99] for d, a, m in zip(doc[hot], at[hot], n[hot])], pa.binary())],
         ["bucket", "part", "doc_id", "th", "at", "body"])
     out = pa.Table.from_batches(list(suffix_dedup._window_scan(100)(iter([rows]))))
     windows = sum(map(len, out["held"].to_pylist()))
@@ -146,3 +146,11 @@ def test_parts_of_a_large_bucket_meet_by_stretches(spark):
     got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup.remove_repeats(spark.createDataFrame(
         list(enumerate(texts)), "doc_id long, text string"), chunk=3).collect()}
     assert set(got.values()) == {0}
+    sent = [r for r in out.to_pylist() if not r["salt"]]
+    assert len(sent) < out.num_rows - 40 and any(r["stays"] for r in sent)
+
+
+def test_names_that_several_rows_share():
+    nth, several = suffix_dedup._nth(np.array([3, 1, 3, 3, 2]), np.array([7, 7, 7, 8, 7]))
+    assert nth.tolist() == [0, 0, 1, 0, 0] and several.tolist() == [True, False, True, False, False]
+    assert len(suffix_dedup._nth(np.empty(0, np.int64), np.empty(0, np.int64))[0]) == 0
