@@ -203,3 +203,42 @@ def test_a_block_draws_a_bag_once_for_the_fits_of_a_seed(monkeypatch):
         for tree in range(2):
             assert np.array_equal(E._bag(key, fit, tree, bags), own(key, 42, tree))
     assert drawn == [(42, 0), (42, 1)]
+
+
+def test_a_large_forest_stays_in_parts_and_says_the_same(spark, rows, tmp_path):
+    from strata.operators.model import TreesModel
+    fits = [T.Fit(0, "forest", 4, weights=(0.6, 2.5)), T.Fit(1, "forest", 3, min_split=4)]
+    near, far = E.grow(rows, fits), E.grow(rows, fits, local_bytes=1500)
+    sizes = {(r["fit"], r["tree"], r["part"]): r["n"] for r in
+             far.trees.select("fit", "tree", "part", F.length("cut").alias("n")).collect()}
+    for i in range(2):
+        assert len({t for f, t, _ in sizes if f == i}) == fits[i].trees
+        largest = max(len(t.feature) for t in far.of(i))
+        assert max(n for (f, *_), n in sizes.items() if f == i) < 0.8 * largest     # no row holds a tree
+    whole, spread = near.model(0), far.model(0, model_bytes=0)
+    seen = rows.select(F.monotonically_increasing_id().alias("row"), "x").cache()
+    want = {r["row"]: r["p"] for r in zip_rows(whole, seen)}
+    for part_bytes in (2000, E.PART_BYTES):
+        got = {r["row"]: r["p"] for r in spread.scores(seen, part_bytes).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - p) < 1e-12 for k, p in want.items())
+    assert np.allclose(spread.importance, whole.importance)
+    x = np.array([r["x"] for r in seen.collect()])
+    TreesModel(spread).save(spark, str(tmp_path))
+    again = TreesModel.load(spark, str(tmp_path)).model
+    assert len(again.features) == 4 and np.allclose(again.probability(x), whole.probability(x), atol=1e-12, rtol=0)
+    cut = far.model(0, 3, 20, model_bytes=0)     # ends inside the top of the trees
+    small = {r["row"]: r["p"] for r in zip_rows(near.model(0, 3, 20), seen)}
+    assert all(abs(r["p"] - small[r["row"]]) < 1e-12 for r in cut.scores(seen).collect())
+    variants = [(0, 4, T.UNLIMITED, 2), (0, 3, 3, 20), (0, 2, T.UNLIMITED, 40), (1, 3, 9, 4)]
+    assert E.held_confusion(far, rows, variants) == E.held_confusion(near, rows, variants)
+    ours, theirs = far.importances(), near.importances()
+    assert all(np.allclose(ours[i], theirs[i]) for i in range(2))
+
+
+def test_a_shallow_forest_is_grown_without_moving_rows(rows):
+    fits = [T.Fit(0, "forest", 3, max_depth=E.SHALLOW), T.Fit(0, "forest", 3, max_depth=E.SHALLOW + 1)]
+    near, far = E.grow(rows, fits), E.grow(rows, fits, local_bytes=1500)
+    parts = {r["fit"]: r["n"] for r in far.trees.groupBy("fit").agg(F.max("part").alias("n")).collect()}
+    assert parts[0] == 0 and parts[1] > 0       # a part above 0 is what one task grew from rows sent there
+    for i in range(2):
+        _same(near.of(i), far.of(i))
