@@ -242,3 +242,45 @@ def test_a_shallow_forest_is_grown_without_moving_rows(rows):
     assert parts[0] == 0 and parts[1] > 0       # a part above 0 is what one task grew from rows sent there
     for i in range(2):
         _same(near.of(i), far.of(i))
+
+
+def test_columns_summed_two_at_a_time_say_the_same(monkeypatch):
+    rng = np.random.default_rng(6)
+    xt, at = rng.integers(0, T.BINS, (5, 40000)).astype(np.uint8), rng.integers(0, 2, 40000)
+    g, h = np.rint(rng.normal(0, 0.4, 40000) * T.FIX), np.rint(rng.random(40000) * T.FIX)
+    counted = []
+    own = np.bincount
+    monkeypatch.setattr(T.np, "bincount", lambda *a, **k: counted.append(len(a[0])) or own(*a, **k))
+    both = T.histograms(xt, at, 2, g, h, rows=True)
+    assert len(counted) == 3 * 3        # two pairs and a column, three kinds
+    monkeypatch.setattr(T, "PAIRED", 0)
+    assert np.array_equal(both, T.histograms(xt, at, 2, g, h, rows=True))
+    assert both.sum() == 5 * (g.sum() + h.sum() + 40000)
+
+
+def test_a_boosted_tree_takes_its_rows_column_by_column(monkeypatch):
+    rng = np.random.default_rng(7)
+    x, y = rng.integers(0, T.BINS, (3000, 6)).astype(np.uint8), rng.integers(0, 2, 3000)
+    fit = T.Fit(0, "boosted", 2, max_depth=4, subsample=0.7, share=0.7)
+    taken, own = [], T.some_rows
+    monkeypatch.setattr(T, "some_rows", lambda xt, columns, rows: taken.append(xt) or own(xt, columns, rows))
+    trees = E._boosted(x, y, np.arange(3000), fit)
+    assert all(xt.flags.c_contiguous for xt in taken) and {len(xt) for xt in taken} == {4, 6}
+    for xt in taken:
+        rows = np.sort(rng.choice(xt.shape[1], 50))
+        assert np.array_equal(own(xt, [2, 0], rows), xt[[2, 0]][:, rows])
+    assert len(trees) == 2 and all((t.feature >= 0).any() for t in trees)
+
+
+def test_cells_of_few_rows_share_a_double(monkeypatch):
+    rng = np.random.default_rng(9)
+    x, key = rng.integers(0, T.BINS, (3000, 9)).astype(np.uint8), rng.integers(0, 1 << 60, 3000)
+    y = ((x[:, 0] > 30) & (x[:, 1] > 20) | (rng.random(3000) < 0.1)).astype(np.uint8)
+    fit, said = T.Fit(0, "forest", 1, weights=(0.6, 2.5)), []
+    own = T.packed
+    monkeypatch.setattr(T, "packed", lambda *a: said.append(own(*a)) or said[-1])
+    few = T.grow_forest(x, y, key, 0, fit)
+    assert said and all(v is not None for v in said) and own(np.full(9, 1 << 17), np.zeros(9), 3) is None
+    monkeypatch.setattr(T, "packed", lambda *a: None)
+    plain = T.grow_forest(x, y, key, 0, fit)
+    assert all(np.array_equal(getattr(few, c), getattr(plain, c)) for c in T.Tree.TYPES)
