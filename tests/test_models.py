@@ -209,3 +209,17 @@ def test_knn_rows_visit_only_blocks_within_their_bound(spark):
         "key long, x array<double>, z array<double>, kth double, block int, near array<int>")
     got = rows.mapInPandas(BA._reached(boxes, 0.0), "key long, x array<double>, kth double, rb int").collect()
     assert sorted((r.key, r.rb) for r in got) == [(1, 1), (2, 1), (3, 1), (3, 2)]
+
+
+def test_the_refit_of_a_search_begins_beside_its_folds(gauss, monkeypatch):
+    from threading import Event
+    clf = M.random_forest(num_trees=3, max_depth=3)
+    pipe, grid = M.leakfree_estimator(clf, FEATS, "k", k_features=3), [{clf.numTrees: 3}, {clf.numTrees: 5}]
+    begun, fit = Event(), M.PopulationScaler._fit
+    monkeypatch.setattr(M.PopulationScaler, "_fit", lambda self, rows: begun.set() or fit(self, rows))
+    monkeypatch.setattr(M, "cross_validate", lambda *a: begun.wait(60) and M.SearchResult([0.1, 0.4], None, [], []))
+    best = M.leakfree_search(pipe, grid, gauss, n_folds=3).bestModel
+    want = pipe.copy(grid[1]).fit(gauss.withColumn("label", F.col("label").cast("double")))
+    assert M.selected_indices(best) == M.selected_indices(want)
+    a, b = ({r["k"]: r["p"] for r in M.p_positive(m.transform(gauss)).select("k", "p").collect()} for m in (best, want))
+    assert a == b and len(a) == 200

@@ -194,3 +194,34 @@ def test_registered_searches_are_the_published_ones(spark, monkeypatch):
     assert set(called("train_job", "train_job", TJ)) == {"spark", "source", "spec"}
     assert called("deployable_fit", "rfe_select", TJ)["k"] == 50
     assert called("gbt_baseline", "boosted_trees", M)["max_depth"] == 6
+
+
+def test_a_query_prepares_its_rows_once(monkeypatch):
+    from unittest.mock import MagicMock
+
+    from strata.plans import catalog as C
+
+    class Stop(Exception):
+        pass
+
+    def stop(*args, **kwargs):
+        raise Stop
+
+    ready, made, passed = (MagicMock(), MagicMock(kept=["x"])), [], []
+    with monkeypatch.context() as m:
+        m.setattr(TJ, "prepared", lambda *a: made.append(a) or ready)
+        m.setattr(TJ, "rfe_select", lambda *a, ready=None, **k: passed.append(ready) or MagicMock())
+        m.setattr(TJ, "baseline", lambda spark, sf, kind, ready=None: passed.append(ready) or (None, None, None, ["x"]))
+        for owner, target, run in ((M, "deployable_fit", C.QUERIES["deployable_fit"]), (C.RP, "importance_table",
+                                   C.QUERIES["observation_sheet"]), (TJ, "Bundle", TJ.score_with_bundle)):
+            m.setattr(owner, target, stop)
+            with pytest.raises((Stop, AttributeError)):
+                run(None, "")
+    assert len(made) == 3 and passed == [ready] * 3
+    monkeypatch.setattr(TJ, "prepared", lambda *a: made.append(a))
+    monkeypatch.setattr(M, "random_forest", stop)
+    monkeypatch.setattr(M, "PopulationScaler", stop)
+    for run in (TJ.baseline, TJ.rfe_select):
+        with pytest.raises(Stop):
+            run(None, "", ready=ready)
+    assert len(made) == 3
