@@ -223,3 +223,31 @@ def test_the_refit_of_a_search_begins_beside_its_folds(gauss, monkeypatch):
     assert M.selected_indices(best) == M.selected_indices(want)
     a, b = ({r["k"]: r["p"] for r in M.p_positive(m.transform(gauss)).select("k", "p").collect()} for m in (best, want))
     assert a == b and len(a) == 200
+
+
+@pytest.mark.parametrize("kind", ["normal", "far", "huge"])
+def test_knn_sums_few_distances_feature_by_feature(monkeypatch, kind):
+    rng = np.random.default_rng(3)
+    pts = rng.normal(0, 1, (1500, 30))
+    pts = {"normal": pts, "far": 1e6 + pts, "huge": pts * 1e160}[kind]
+    pts[700:720] = pts[3]       # ties
+    key, summed, own = np.arange(1500), [], BA._exact
+    monkeypatch.setattr(BA, "_exact", lambda x, refs, i, j: summed.append(len(i)) or own(x, refs, i, j))
+    with np.errstate(all="ignore"):
+        i, j, d = BA._nearest(pts[:300], key[:300], pts, key, np.full(300, np.inf), 5)
+        for q in range(300):
+            d2 = np.zeros(1500)
+            for f in range(30):
+                d2 += (pts[q, f] - pts[:, f]) ** 2
+            d2[q] = np.inf
+            want = [p for p in np.lexsort((key, d2))[:5] if np.isfinite(d2[p])]
+            assert j[i == q].tolist() == want and d[i == q].tolist() == d2[want].tolist()
+    assert kind == "huge" or sum(summed) < 300 * 1500 / 4
+
+
+def test_a_fold_oversamples_columns_not_vectors(spark, gauss):
+    rows = gauss.withColumn("features", M.assemble(FEATS))
+    last = M.BalancedClassifier(estimator=M.random_forest(num_trees=2), featuresCol="features", keyCol="k")
+    a, b = (sorted((tuple(r["features"]), r["label"]) for r in d.collect()) for d in
+            (last.balanced_rows(rows), last.balanced_columns(gauss, [F.col(c) for c in FEATS])))
+    assert a == b and len(a) > gauss.count()
