@@ -284,3 +284,34 @@ def test_cells_of_few_rows_share_a_double(monkeypatch):
     monkeypatch.setattr(T, "packed", lambda *a: None)
     plain = T.grow_forest(x, y, key, 0, fit)
     assert all(np.array_equal(getattr(few, c), getattr(plain, c)) for c in T.Tree.TYPES)
+
+
+def test_a_large_node_is_summed_column_by_column(monkeypatch):
+    rng = np.random.default_rng(11)
+    x, key = rng.integers(0, T.BINS, (30000, 9)).astype(np.uint8), rng.integers(0, 1 << 60, 30000)
+    y = ((x[:, 0] > 30) & (x[:, 1] > 20) | (rng.random(30000) < 0.1)).astype(np.uint8)
+    a, b, tried = rng.integers(1, 4, 20000) * (y[:20000] == 0), 1 * (y[:20000] == 1), np.array([7, 0, 4])
+    want = T.node_cells(x, np.arange(20000), np.zeros(20000, int), tried[None, :], a, b)
+    for strip in (T.STRIP, 13000, 700):
+        monkeypatch.setattr(T, "STRIP", strip)
+        got = T.large_node_cells(np.ascontiguousarray(x.T), np.arange(20000), tried, a, b)
+        assert all(np.array_equal(p, q) for p, q in zip(want, got, strict=True))
+    fit, seen, own = T.Fit(0, "forest", 1, weights=(0.6, 2.5)), [], T.node_cells
+    monkeypatch.setattr(T, "node_cells", lambda x, rows, at, *a: seen.append(np.bincount(at).max()) or own(x, rows, at, *a))
+    alone = T.grow_forest(x, y, key, 0, fit)
+    assert max(seen) < T.LARGE < 30000
+    monkeypatch.setattr(T, "LARGE", 1 << 30)
+    together = T.grow_forest(x, y, key, 0, fit)
+    assert all(np.array_equal(getattr(alone, c), getattr(together, c)) for c in T.Tree.TYPES)
+
+
+def test_a_deep_forest_of_a_middling_group_is_grown_in_tasks(rows, monkeypatch):
+    monkeypatch.setattr(E, "FOREST_BYTES", 1500)
+    fits = [T.Fit(0, "forest", 3, max_depth=E.SHALLOW), T.Fit(0, "forest", 3)]
+    ways, near, far = {}, E._near, E._far_forests
+    monkeypatch.setattr(E, "_near", lambda blocks, some: ways.update(near=list(some)) or near(blocks, some))
+    monkeypatch.setattr(E, "_far_forests", lambda blocks, some, *a: ways.update(far=list(some)) or far(blocks, some, *a))
+    grown = E.grow(rows, fits)
+    assert ways == {"near": [1], "far": [0]}        # rows move once a task, not once a tree; a shallow one moves none
+    monkeypatch.undo()
+    _same(grown.of(1), E.grow(rows, fits, local_bytes=1500).of(1))
