@@ -315,3 +315,77 @@ def test_a_deep_forest_of_a_middling_group_is_grown_in_tasks(rows, monkeypatch):
     assert ways == {"near": [1], "far": [0]}        # rows move once a task, not once a tree; a shallow one moves none
     monkeypatch.undo()
     _same(grown.of(1), E.grow(rows, fits, local_bytes=1500).of(1))
+
+
+def test_many_shallow_forests_of_a_group_are_grown_where_its_columns_lie(rows, monkeypatch):
+    columns = [None, (0, 2), (1,)]
+    fits = [T.Fit(g, "forest", 6 + g, max_depth=4, weights=(0.6, 2.5), seed=41 + g, columns=c) for g in (0, 1) for c in columns]
+    want, ways, shared = E.grow(rows, fits), [], E._shared
+    monkeypatch.setattr(E, "_shared", lambda blocks, some: ways.append(list(some)) or shared(blocks, some))
+    monkeypatch.setattr(E, "_far_forests", None)
+    monkeypatch.setattr(E, "FOREST_BYTES", 0)
+    got = E.grow(rows, fits)
+    assert ways == [list(range(6))]
+    for i in range(6):
+        _same(want.of(i), got.of(i))
+
+
+@pytest.mark.parametrize("most", [300, 1 << 20])
+def test_a_shallow_tree_is_the_same_from_strips_of_rows(most):
+    rng = np.random.default_rng(5)
+    x, key = rng.integers(0, T.BINS, (2000, 9)).astype(np.uint8), rng.integers(0, 1 << 60, 2000)
+    x[:, 3:] = 7        # most columns have no cut
+    y = ((x[:, 0] > 30) & (x[:, 1] > 20) | (rng.random(2000) < 0.1)).astype(np.uint8)
+    for fit in (T.Fit(0, "forest", 3, max_depth=5, min_leaf=3), T.Fit(0, "forest", 3, max_depth=2, columns=(4, 1, 0))):
+        bags = []
+        for at in range(0, 2000, most):
+            drawn, code = T.bagged(key[at:at + most], y[at:at + most], fit.seed, 2)
+            bags.append(((drawn + at).astype(np.int32), code))
+        kept = [(r.copy(), c.copy()) for r, c in bags]
+        got, want = T.grow_shallow(np.ascontiguousarray(x.T), bags, 2, fit), T.grow_forest(fit.seen(x), y, key, 2, fit)
+        assert all(np.array_equal(getattr(got, c), getattr(want, c)) for c in T.Tree.TYPES)
+        assert all(np.array_equal(p, q) for b, k in zip(bags, kept, strict=True) for p, q in zip(b, k, strict=True))
+
+
+def test_rows_copied_into_node_order_grow_the_same_tree(monkeypatch):
+    rng = np.random.default_rng(8)
+    x, key = rng.integers(0, T.BINS, (9000, 6)).astype(np.uint8), rng.integers(0, 1 << 60, 9000)
+    y = ((x[:, 0] > 30) & (x[:, 1] > 20) | (rng.random(9000) < 0.2)).astype(np.uint8)
+    trees = []
+    for again in (1, 3, 1 << 30):
+        monkeypatch.setattr(T, "AGAIN", again)
+        trees.append(T.grow_forest(x, y, key, 0, T.Fit(0, "forest", 1)))
+    assert all(np.array_equal(getattr(t, c), getattr(trees[0], c)) for t in trees for c in T.Tree.TYPES)
+
+
+def test_rows_of_few_trees_are_on_the_move_at_a_time(rows, monkeypatch):
+    fits = [T.Fit(0, "forest", 4), T.Fit(1, "forest", 2, min_leaf=2)]
+    given, drop, names = [], E.drop_shuffles, []
+    mapped = E._mapped
+    monkeypatch.setattr(E, "drop_shuffles", lambda spark: given.append(1) or drop(spark))
+    monkeypatch.setattr(E, "_mapped", lambda df, run, schema: names.append(schema) or mapped(df, run, schema))
+    monkeypatch.setattr(E, "ROUTED_BYTES", 1)
+    far = E.grow(rows, fits, local_bytes=1500)
+    assert len(given) == 6      # a tree at a time
+    assert [n for n in names if "node int, x binary" in n] == ["fit int, tree int, node int, x binary, code binary"] * 6
+    monkeypatch.undo()
+    near = E.grow(rows, fits)
+    for i in range(2):
+        _same(near.of(i), far.of(i))
+
+
+def test_rows_are_deleted_once_they_are_binned(spark, rows):
+    from strata.session import cut_lineage, drop_written
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def kept():
+        return {f.getPath().getName() for f in files.listStatus(at)}
+
+    before = kept()
+    data = E.bin_rows(rows)
+    assert len(kept() - before) == 1 and data.blocks.count() > 0
+    own = cut_lineage(rows.limit(5))
+    drop_written(own)
+    assert len(kept() - before) == 1
