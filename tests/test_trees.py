@@ -389,3 +389,13 @@ def test_rows_are_deleted_once_they_are_binned(spark, rows):
     own = cut_lineage(rows.limit(5))
     drop_written(own)
     assert len(kept() - before) == 1
+
+
+def test_a_held_row_goes_down_a_tree_once_for_all_limits():
+    rng = np.random.default_rng(12)
+    x, key = rng.integers(0, T.BINS, (3000, 5)).astype(np.uint8), rng.integers(0, 1 << 60, 3000)
+    y = ((x[:, 0] > 30) & (x[:, 1] > 20) | (rng.random(3000) < 0.2)).astype(np.uint8)
+    tree = T.grow_forest(x, y, key, 0, T.Fit(0, "forest", 1))
+    at = T.descend(tree.feature, tree.cut, tree.left, x)
+    for limit in ((T.UNLIMITED, 2), (4, 2), (0, 2), (T.UNLIMITED, 50), (7, 9)):
+        assert np.array_equal(tree.ends(*limit)[at], T.descend(tree.stopped(*limit), tree.cut, tree.left, x))
